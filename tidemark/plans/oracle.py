@@ -291,5 +291,40 @@ FROM m WHERE NOT coalesce(wstart + 1800000000 <= wm, false) GROUP BY wstart""",
 }
 
 
+# Streaming twins: joins and stateful processors equal their batch twins exactly;
+# watermarked window aggregations emit only windows closed by the final watermark
+# (max event time - 10 minutes), so their oracle keeps only those.
+_CLOSED = "make_timestamp(epoch_us((SELECT max(ts) FROM events)) - 600000000)"
+
+
+def _closed(sql: str, end_col: str) -> str:
+    return f"SELECT * FROM ({sql.strip()}) AS q WHERE {end_col} <= {_CLOSED}"
+
+
+_STREAMING = {
+    "streaming_tumbling_counts": _closed(_SQL["tumbling_type_counts"], "window_end"),
+    "streaming_sliding_counts": _closed(_SQL["sliding_counts"], "window_end"),
+    "streaming_session_by_user": _closed(_SQL["session_by_user"], "session_end"),
+    "streaming_interval_join": _SQL["interval_join"],
+    "streaming_window_join": f"""
+WITH {CART}, {ADDS}, {CATALOG}
+SELECT a.user_id, {bucket('a.time', 6 * H)} AS window_start, {bucket('a.time', 6 * H, 6 * H)} AS window_end,
+       a.event_id AS cart_event_id, c.event_id AS catalog_event_id
+FROM adds a JOIN catalog c ON a.user_id = c.user_id
+ AND epoch_us(a.time) // {6 * H} = epoch_us(c.time) // {6 * H}""",
+    "streaming_running_count": _SQL["running_count_by_user"],
+    "streaming_type_map": _SQL["running_type_map"],
+    "streaming_recent_list": _SQL["recent_list_by_user"],
+    "streaming_high_quantity": _SQL["high_quantity_counter"],
+    "streaming_dynamic_threshold": f"""
+WITH {CART}, {ADDS}, {THRESHOLDS}
+SELECT a.event_id, a.user_id, a.quantity, coalesce(t.threshold, 0) AS threshold
+FROM adds a ASOF LEFT JOIN thresholds t ON a.time >= t.effective_ts
+WHERE a.quantity > coalesce(t.threshold, 0)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: v.strip() for k, v in _SQL.items()}
+    out = {k: v.strip() for k, v in _SQL.items()}
+    out.update({k: v.strip() for k, v in _STREAMING.items()})
+    return out
