@@ -25,8 +25,12 @@ from ..functions.columns import epoch_micros
 from ..session import scratch_path
 
 
-def stage_time_slices(df: DataFrame, path: str, *, ts: str, n_slices: int) -> str:
-    """Write ``df`` as ``n_slices`` files in event-time order (slice i before i+1)."""
+def stage_time_slices(df: DataFrame, path: str, *, ts: str, n_slices: int,
+                      only: range | None = None) -> str:
+    """Write ``df`` as ``n_slices`` files in event-time order (slice i before i+1).
+
+    ``only`` lands a subset of the slices (e.g. the first half now, the rest after
+    a restart)."""
     bounds = df.agg(F.min(epoch_micros(ts)).alias("lo"), F.max(epoch_micros(ts)).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     if lo is None:
@@ -34,7 +38,7 @@ def stage_time_slices(df: DataFrame, path: str, *, ts: str, n_slices: int) -> st
         return path
     width = (hi - lo) // n_slices + 1
     sl = F.floor((epoch_micros(ts) - F.lit(lo)) / F.lit(width))
-    for i in range(n_slices):
+    for i in (only if only is not None else range(n_slices)):
         # one file per slice: it is one micro-batch of the replay
         df.filter(sl == i).coalesce(1).write.mode("append").parquet(path)
     return path
