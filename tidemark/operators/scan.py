@@ -58,6 +58,35 @@ def id_block(c: str | Column, width: int) -> Column:
     return F.floor(c / F.lit(width)).cast("long")
 
 
+HOT = "_hot"
+ADAPTIVE_BLOCK = "_ablk"
+
+
+def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
+    """Keys holding at least ``min_rows`` rows, flagged ``_hot``.
+
+    A partial (map-side) count per key; the result has at most
+    ``rows / min_rows`` entries, which is what makes broadcasting it safe.
+    """
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+            .filter(F.col("_rows") >= min_rows).select(*keys, F.lit(True).alias(HOT)))
+
+
+def with_adaptive_block(df: DataFrame, *, keys: list[str], ts: str, coarse_us: int, fine_us: int,
+                        min_hot_rows: int) -> DataFrame:
+    """Adds ``_ablk``: fine time blocks for hot keys, coarse ones for the rest.
+
+    Fine blocks split a key that holds a large share of the rows across many tasks;
+    coarse blocks keep the block-total table small for the many sparse keys. Without
+    keys the whole table is one key, so fine blocks are used directly.
+    """
+    if not keys:
+        return df.withColumn(ADAPTIVE_BLOCK, time_block(ts, fine_us))
+    flagged = df.join(F.broadcast(hot_keys(df, keys, min_hot_rows)), on=keys, how="left")
+    blk = F.when(F.col(HOT), time_block(ts, fine_us)).otherwise(time_block(ts, coarse_us))
+    return flagged.withColumn(ADAPTIVE_BLOCK, blk).drop(HOT)
+
+
 def _order_struct(order: list[Column], value: Column) -> Column:
     fields = [o.alias(f"o{i}") for i, o in enumerate(order)]
     return F.when(value.isNotNull(), F.struct(*fields, value.alias("v")))

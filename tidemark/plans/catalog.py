@@ -4,9 +4,10 @@ Each entry is ``f(spark, sf_dir) -> DataFrame`` and reads the whole tables (no i
 subsets, no row caps; the one ``limit`` is the top-1 of ``busiest_window``, which
 is the feature). Column names match the DuckDB oracle in ``oracle.py``.
 
-Scan block widths (``spark.tidemark.scan.blockSeconds`` / ``blockIds``) choose how
-finely an ordered scan cuts a key's timeline; at cluster scale pick them so one
-block of the hottest key fits a task (see README).
+Ordered scans cut each key's timeline into blocks (``operators/scan.py``): keys
+with at least ``spark.tidemark.scan.hotKeyRows`` rows get ``fineBlockSeconds``
+blocks, the rest ``blockSeconds``; id-ordered scans use ``blockIds``. Pick the
+fine width so one block of the hottest key fits a task (see README).
 """
 
 from __future__ import annotations
@@ -19,23 +20,40 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.columns import duration_us, epoch_micros
 from ..operators import joins, late, partitioning, sessions, state, transforms, windows
-from ..operators.scan import id_block, time_block
+from ..operators.scan import ADAPTIVE_BLOCK, id_block, with_adaptive_block
 from ..sources import tables, views
 
 H_US = 3_600_000_000
 SECOND_US = 1_000_000
 
 
+def _conf_int(spark: SparkSession, name: str, default: int) -> int:
+    return int(spark.conf.get(f"spark.tidemark.scan.{name}", str(default)))
+
+
 def block_seconds(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.tidemark.scan.blockSeconds", str(24 * 3600)))
+    """Coarse block (sparse keys)."""
+    return _conf_int(spark, "blockSeconds", 24 * 3600)
+
+
+def fine_block_seconds(spark: SparkSession) -> int:
+    """Fine block (hot keys and key-less scans)."""
+    return _conf_int(spark, "fineBlockSeconds", 3600)
+
+
+def hot_key_rows(spark: SparkSession) -> int:
+    return _conf_int(spark, "hotKeyRows", 1_000_000)
 
 
 def block_ids(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.tidemark.scan.blockIds", "2000"))
+    return _conf_int(spark, "blockIds", 2000)
 
 
-def _tblock(spark: SparkSession, ts: str = "ts"):
-    return time_block(ts, block_seconds(spark) * SECOND_US)
+def _blocked(spark: SparkSession, df: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """Adds the adaptive scan block ``_ablk`` (fine for hot keys, coarse otherwise)."""
+    return with_adaptive_block(df, keys=keys, ts=ts, coarse_us=block_seconds(spark) * SECOND_US,
+                               fine_us=fine_block_seconds(spark) * SECOND_US,
+                               min_hot_rows=hot_key_rows(spark))
 
 
 def _events(spark, sf_dir, cols=None):
@@ -93,15 +111,15 @@ def _session_aggs():
 
 def session_by_user(spark, sf_dir):
     """T11 keyed: sessions per user with a 1 h gap."""
-    ev = _events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"])
-    return sessions.session_windows(ev, ts="ts", gap_us=H_US, keys=["user_id"], block=_tblock(spark),
+    ev = _blocked(spark, _events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]), ["user_id"], "ts")
+    return sessions.session_windows(ev, ts="ts", gap_us=H_US, keys=["user_id"], block=F.col(ADAPTIVE_BLOCK),
                                     aggs=_session_aggs(), tiebreak=["event_id"])
 
 
 def session_all(spark, sf_dir):
     """T11 windowAll: sessions over the whole stream with a 5 min gap."""
-    ev = _events(spark, sf_dir, ["event_id", "ts", "event_type"])
-    return sessions.session_windows(ev, ts="ts", gap_us=5 * 60 * SECOND_US, keys=[], block=_tblock(spark),
+    ev = _blocked(spark, _events(spark, sf_dir, ["event_id", "ts", "event_type"]), [], "ts")
+    return sessions.session_windows(ev, ts="ts", gap_us=5 * 60 * SECOND_US, keys=[], block=F.col(ADAPTIVE_BLOCK),
                                     aggs=_session_aggs(), tiebreak=["event_id"])
 
 
@@ -110,7 +128,8 @@ def session_all(spark, sf_dir):
 def global_every_10(spark, sf_dir):
     """Global window + CountTrigger(10): registrations among all events so far."""
     se = views.server_events(_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]))
-    return state.global_count_trigger(se, every=10, order=["ts", "event_id"], block=_tblock(spark),
+    se = _blocked(spark, se, [], "ts")
+    return state.global_count_trigger(se, every=10, order=["ts", "event_id"], block=F.col(ADAPTIVE_BLOCK),
                                       measure=F.col("event_type") == S.PLAYER_REGISTERED, name="registrations")
 
 
@@ -121,16 +140,16 @@ def _cart_day_windows(spark, sf_dir):
 
 def count_trigger(spark, sf_dir):
     """CountTrigger(5) on 1-day windows: cumulative pane sizes 5, 10, ..."""
-    c = _cart_day_windows(spark, sf_dir)
+    c = _blocked(spark, _cart_day_windows(spark, sf_dir), ["window_start", "window_end"], "time")
     return state.window_count_trigger(c, window_start="window_start", window_end="window_end", every=5,
-                                      order=["time", "event_id"], block=_tblock(spark, "time"))
+                                      order=["time", "event_id"], block=F.col(ADAPTIVE_BLOCK))
 
 
 def count_trigger_purging(spark, sf_dir):
     """PurgingTrigger(CountTrigger(5)): panes of exactly 5."""
-    c = _cart_day_windows(spark, sf_dir)
+    c = _blocked(spark, _cart_day_windows(spark, sf_dir), ["window_start", "window_end"], "time")
     return state.window_count_trigger(c, window_start="window_start", window_end="window_end", every=5,
-                                      order=["time", "event_id"], block=_tblock(spark, "time"), purging=True)
+                                      order=["time", "event_id"], block=F.col(ADAPTIVE_BLOCK), purging=True)
 
 
 # --------------------------------------------------------------------------- keyed state
@@ -154,33 +173,38 @@ def _cart(spark, sf_dir):
     return views.cart(_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type", "props"]))
 
 
+def _cart_by_user(spark, sf_dir, pred=None):
+    c = _cart(spark, sf_dir)
+    return _blocked(spark, c if pred is None else c.filter(pred), ["user_id"], "time")
+
+
 def running_count_by_user(spark, sf_dir):
     """V2 ValueState: events per user so far."""
-    out = state.running_count(_cart(spark, sf_dir), key="user_id", order=["time", "event_id"],
-                              block=_tblock(spark, "time"))
+    out = state.running_count(_cart_by_user(spark, sf_dir), key="user_id", order=["time", "event_id"],
+                              block=F.col(ADAPTIVE_BLOCK))
     return out.select("event_id", "user_id", "n")
 
 
 def running_type_map(spark, sf_dir):
     """V4 MapState: per-user counts per event type, ``type=n`` sorted."""
-    out = state.running_type_counts(_cart(spark, sf_dir), key="user_id", type_col="event_type",
+    out = state.running_type_counts(_cart_by_user(spark, sf_dir), key="user_id", type_col="event_type",
                                     types=[S.ADD_TO_CART, S.REMOVED_FROM_CART], order=["time", "event_id"],
-                                    block=_tblock(spark, "time"))
+                                    block=F.col(ADAPTIVE_BLOCK))
     return out.select("event_id", "user_id", "counts")
 
 
 def recent_list_by_user(spark, sf_dir):
     """V5 ListState, cleared when it exceeds 10 elements (sizes cycle 1..11)."""
-    out = state.recent_list(_cart(spark, sf_dir), key="user_id", order=["time", "event_id"],
-                            block=_tblock(spark, "time"), item=F.col("event_id").cast("string"))
+    out = state.recent_list(_cart_by_user(spark, sf_dir), key="user_id", order=["time", "event_id"],
+                            block=F.col(ADAPTIVE_BLOCK), item=F.col("event_id").cast("string"))
     return out.select("event_id", "user_id", "list_size", "items")
 
 
 def high_quantity_counter(spark, sf_dir):
     """V7/A10: per user, number of add-to-cart events with quantity > 5 so far."""
-    out = state.keyed_counter_over(_cart(spark, sf_dir),
-                                   pred=(F.col("event_type") == S.ADD_TO_CART) & (F.col("quantity") > 5),
-                                   key="user_id", order=["time", "event_id"], block=_tblock(spark, "time"))
+    hits = (F.col("event_type") == S.ADD_TO_CART) & (F.col("quantity") > 5)
+    out = state.running_count(_cart_by_user(spark, sf_dir, hits), key="user_id", order=["time", "event_id"],
+                              block=F.col(ADAPTIVE_BLOCK))
     return out.select("event_id", "user_id", "n")
 
 
@@ -320,7 +344,7 @@ def running_ratio(spark, sf_dir):
     first = ev.filter(F.col("event_type") == "purchase")
     second = ev.filter(F.col("event_type") == "view")
     out = joins.running_ratio(first, second, ts="ts", order_id="event_id",
-                              block_us=block_seconds(spark) * SECOND_US)
+                              block_us=fine_block_seconds(spark) * SECOND_US)
     return out.select("event_id", "source", "ratio")
 
 
