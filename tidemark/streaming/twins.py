@@ -29,13 +29,22 @@ DELAY = "10 minutes"
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "props"]
 
 
+_STAGED: dict[tuple, str] = {}
+
+
 def replay_events(spark: SparkSession, sf_dir: str, n_slices: int = N_SLICES) -> DataFrame:
-    """The ``events`` table as a file stream of ``n_slices`` time-ordered micro-batches."""
-    path = scratch_path(spark, "replay", "events")
+    """The ``events`` table as a file stream of ``n_slices`` time-ordered micro-batches.
+
+    The landed files are immutable, so every twin in a session replays the same
+    landing folder (each query keeps its own checkpoint).
+    """
     ev = tables.events(spark, sf_dir, EVENT_COLS)
-    stage_time_slices(ev, path, ts="ts", n_slices=n_slices)
-    schema = ev.schema
-    return file_stream(spark, path, schema)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), n_slices)
+    if key not in _STAGED:
+        path = scratch_path(spark, "replay", "events")
+        stage_time_slices(ev, path, ts="ts", n_slices=n_slices)
+        _STAGED[key] = path
+    return file_stream(spark, _STAGED[key], ev.schema)
 
 
 def _windowed(stream: DataFrame) -> DataFrame:
