@@ -11,6 +11,10 @@ needs all rows in one partition. Here sessions come from one blocked pass:
 * sessions are then aggregated with partial (map-side) aggregation, so a session
   that spans many blocks merges without meeting in one task.
 
+Cost: one shuffle of the rows on ``(key, block)``, one narrow shuffle of
+``(key, block, ts, tiebreak)`` for the block summaries (their in-block ``lag`` needs
+order), a tiny block table, and the partial-aggregated session merge.
+
 Semantics (the reference's): rows no more than ``gap`` apart share a session
 (a gap of exactly ``gap`` still merges); a session is ``[first, last + gap)``.
 """
@@ -36,6 +40,8 @@ def session_ids(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block:
          .withColumn("_start", F.when(prev.isNotNull() & ((F.col("_us") - prev) > gap_us), 1).otherwise(0))
     t = t.withColumn("_lcum", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
+    # The block summary needs in-block order (lag), so it re-reads the rows: Catalyst
+    # prunes this branch to (key, block, ts, tiebreak), a narrow second shuffle.
     blocks = t.groupBy(*keys, "_blk").agg(F.min("_us").alias("_bmin"), F.max("_us").alias("_bmax"),
                                           F.sum("_start").alias("_bint"))
     wb = Window.partitionBy(*keys).orderBy("_blk") if keys else Window.orderBy("_blk")
@@ -51,8 +57,15 @@ def session_ids(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block:
 
 
 def session_windows(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block: Column,
-                    aggs: list[Column], tiebreak: list[str] | None = None) -> DataFrame:
-    """One row per session: keys, ``session_start``, ``session_end`` and ``aggs``."""
+                    aggs: list[Column], tiebreak: list[str] | None = None,
+                    columns: list[str] | None = None) -> DataFrame:
+    """One row per session: keys, ``session_start``, ``session_end`` and ``aggs``.
+
+    ``columns`` (default: all) are the input columns the ``aggs`` read; projecting
+    to them first keeps the row shuffle narrow and shared by both branches.
+    """
+    if columns is not None:
+        df = df.select(*dict.fromkeys([*keys, ts, *(tiebreak or []), *columns]))
     with_sid = session_ids(df, ts=ts, gap_us=gap_us, keys=keys, block=block, tiebreak=tiebreak)
     out = with_sid.groupBy(*keys, SID).agg(
         F.min(ts).alias("session_start"),
