@@ -68,3 +68,32 @@ def busiest_window(windowed: DataFrame, count_col: str, k: int = 1) -> DataFrame
     only k rows per task travel; the reference collected every window to the client.
     """
     return windowed.orderBy(F.col(count_col).desc(), F.col("window_start").asc()).limit(k)
+
+
+def mergeable_aggregate(df: DataFrame, ts: str, size: str, partials: dict[str, Column],
+                        finish: dict[str, Column], *, keys: list[str] | None = None,
+                        slide: str | None = None) -> DataFrame:
+    """A4/U4 ``AggregateFunction`` (createAccumulator / add / merge / getResult).
+
+    The accumulator is a set of built-in aggregates (``partials``: name -> agg
+    column), which Spark computes map-side and merges after the shuffle; ``finish``
+    (name -> expression over the partial names) is ``getResult``. A custom
+    accumulator therefore never gathers a window's rows in one task, which a
+    grouped pandas UDF would.
+    """
+    out = window_aggregate(df, ts, size, [c.alias(n) for n, c in partials.items()], keys=keys, slide=slide)
+    return out.select(*(keys or []), "window_start", "window_end", *[c.alias(n) for n, c in finish.items()])
+
+
+def with_ingest_time(df: DataFrame, name: str = "ingest_ts") -> DataFrame:
+    """Processing time, taken once per micro-batch (``current_timestamp``)."""
+    return df.withColumn(name, F.current_timestamp())
+
+
+def processing_time_counts(df: DataFrame, size: str, name: str = "ingest_ts") -> DataFrame:
+    """T9 ``TumblingProcessingTimeWindows``: counts per wall-clock window of arrival.
+
+    Non-deterministic by design; tests run the same operator on a recorded
+    ingest-time column instead."""
+    d = df if name in df.columns else with_ingest_time(df, name)
+    return window_aggregate(d, name, size, [F.count(F.lit(1)).alias("events")])

@@ -85,10 +85,11 @@ def sliding_counts(spark, sf_dir):
 def window_value_stats(spark, sf_dir):
     """A4: mergeable accumulator (sum, count -> mean) per 3 h window, partial + final."""
     ev = _events(spark, sf_dir, ["ts", "value"])
-    out = windows.window_aggregate(ev, "ts", "3 hours", [
-        F.count(F.lit(1)).alias("n"), F.sum("value").alias("_s")])
-    return out.select("window_start", "window_end", "n", F.round("_s", 6).alias("total_value"),
-                      F.round(F.col("_s") / F.col("n"), 6).alias("mean_value"))
+    return windows.mergeable_aggregate(
+        ev, "ts", "3 hours",
+        partials={"_n": F.count(F.lit(1)), "_s": F.sum("value")},
+        finish={"n": F.col("_n"), "total_value": F.round("_s", 6),
+                "mean_value": F.round(F.col("_s") / F.col("_n"), 6)})
 
 
 def registration_windows(spark, sf_dir):

@@ -160,3 +160,31 @@ class EffectiveThreshold(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class WindowCountTrigger(StatefulProcessor):
+    """T13/T14 ``CountTrigger(every)`` on a window key: fires at every ``every``-th
+    element of the window with the cumulative pane size (or ``every`` when purging).
+    The key is ``(window_start, window_end)``; state is the count so far."""
+
+    SCHEMA = T.StructType([T.StructField("window_start", T.TimestampNTZType()),
+                           T.StructField("window_end", T.TimestampNTZType()),
+                           T.StructField("firing", T.LongType()), T.StructField("pane_size", T.LongType())])
+
+    def __init__(self, every: int = 5, purging: bool = False):
+        self.every, self.purging = every, purging
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n = sum(len(b) for b in rows)
+        start = self.count.get()[0] if self.count.exists() else 0
+        end = start + n
+        self.count.update((end,))
+        fired = list(range((start // self.every + 1) * self.every, end + 1, self.every))
+        if not fired:
+            return
+        yield pd.DataFrame({"window_start": [key[0]] * len(fired), "window_end": [key[1]] * len(fired),
+                            "firing": [f // self.every for f in fired],
+                            "pane_size": [self.every if self.purging else f for f in fired]})

@@ -120,8 +120,9 @@ def _cart_stream(spark, sf_dir):
     return views.cart(replay_events(spark, sf_dir))
 
 
-def _process(spark, stream: DataFrame, key: str, proc, schema, name: str, time_mode: str = "None") -> DataFrame:
-    out = stream.groupBy(key).transformWithStateInPandas(
+def _process(spark, stream: DataFrame, key, proc, schema, name: str, time_mode: str = "None") -> DataFrame:
+    keys = [key] if isinstance(key, str) else list(key)
+    out = stream.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=schema, outputMode="Append", timeMode=time_mode)
     return run_available_now(spark, out, name)
 
@@ -176,7 +177,17 @@ def streaming_dynamic_threshold(spark: SparkSession, sf_dir: str, shards: int =
     return run_available_now(spark, out, "dynamic_threshold")
 
 
+def streaming_count_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T13 streaming: CountTrigger(5) on 1-day windows of the cart stream (cumulative panes)."""
+    c = _cart_stream(spark, sf_dir)
+    w = c.select(F.window("time", "1 day").alias("w"), "event_id")
+    w = w.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_id")
+    return _process(spark, w, ["window_start", "window_end"], P.WindowCountTrigger(5),
+                    P.WindowCountTrigger.SCHEMA, "count_trigger")
+
+
 STREAMING_QUERIES = {
+    "streaming_count_trigger": streaming_count_trigger,
     "streaming_tumbling_counts": streaming_tumbling_counts,
     "streaming_sliding_counts": streaming_sliding_counts,
     "streaming_session_by_user": streaming_session_by_user,
