@@ -82,3 +82,16 @@ def test_cassandra_and_kafka_options():
     assert external.cassandra_options("ks", "people", "localhost") == {
         "keyspace": "ks", "table": "people", "spark.cassandra.connection.host": "localhost"}
     assert external.jdbc_options("jdbc:x", "t", user="u", password="p")["user"] == "u"
+
+
+def test_streaming_jdbc_via_foreach_batch(spark):
+    opts = external.jdbc_options("jdbc:derby:memory:tidemark_stream;create=true", "lines",
+                                 driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    src = scratch_path(spark, "test", "jdbc_src")
+    spark.createDataFrame([("a",), ("b",), ("c",)], "line string").coalesce(1).write.parquet(src)
+    external.write_jdbc(spark.createDataFrame([], "line string"), opts, mode="overwrite")
+    stream = file_stream(spark, src, spark.read.parquet(src).schema)
+    q = external.foreach_batch(stream, external.jdbc_batch_writer(opts, ["line"]),
+                               scratch_path(spark, "test", "jdbc_ck"))
+    q.awaitTermination()
+    assert sorted(r[0] for r in external.read_jdbc(spark, opts).collect()) == ["a", "b", "c"]

@@ -12,7 +12,7 @@ from tidemark.sources import tables, views
 from tidemark.streaming import processors as P
 from tidemark.streaming import twins
 from tidemark.streaming.replay import (event_time, file_stream, rate_numbers, run_available_now,
-                                       stage_time_slices, to_ntz)
+                                       stage_time_slices, to_ntz, watermark_drops)
 
 
 def _rows(df, cols=None):
@@ -54,9 +54,12 @@ def test_late_rows_micro_batch_semantics(spark):
     st = file_stream(spark, path, tables_schema := spark.read.parquet(path).schema)
     agg = (st.withColumn("ts", event_time("ts")).withWatermark("ts", "500 milliseconds")
            .groupBy(F.window("ts", "3 seconds").alias("w")).agg(F.count(F.lit(1)).alias("n")))
-    out = run_available_now(spark, agg.select(to_ntz("w.start").alias("start"), "n"), "late_fixture")
+    seen = {}
+    out = run_available_now(spark, agg.select(to_ntz("w.start").alias("start"), "n"), "late_fixture",
+                            on_done=lambda q: seen.update(dropped=watermark_drops(q)))
     got = {int((r["start"] - base).total_seconds()): r["n"] for r in out.collect()}
     assert got == {0: 3, 3: 2, 9: 1}
+    assert seen["dropped"] == 0
     assert tables_schema is not None
 
 
@@ -89,3 +92,20 @@ def test_rate_numbers_are_deterministic(spark):
     rows = out.collect()
     assert len(rows) >= 0  # availableNow over a rate source may plan zero or more batches
     assert all(r["n"] >= 0 for r in rows)
+
+
+def test_late_rows_are_counted_when_dropped(spark):
+    """A row whose window closed in an earlier micro-batch is dropped and counted."""
+    base = dt.datetime(2022, 2, 2)
+    path = scratch_path(spark, "test", "late2")
+    for batch in ([0.5, 9.0], [20.0], [1.0]):  # 1.0 arrives after the watermark passed 3 s
+        rows = [(base + dt.timedelta(seconds=s),) for s in batch]
+        spark.createDataFrame(rows, "ts timestamp_ntz").coalesce(1).write.mode("append").parquet(path)
+    st = file_stream(spark, path, spark.read.parquet(path).schema)
+    agg = (st.withColumn("ts", event_time("ts")).withWatermark("ts", "500 milliseconds")
+           .groupBy(F.window("ts", "3 seconds").alias("w")).agg(F.count(F.lit(1)).alias("n")))
+    seen = {}
+    out = run_available_now(spark, agg.select(to_ntz("w.start").alias("start"), "n"), "late_fixture2",
+                            on_done=lambda q: seen.update(dropped=watermark_drops(q)))
+    got = {int((r["start"] - base).total_seconds()): r["n"] for r in out.collect()}
+    assert got[0] == 1 and seen["dropped"] == 1

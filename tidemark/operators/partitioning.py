@@ -43,9 +43,10 @@ def rebalance(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
-def set_parallelism(df: DataFrame, n: int) -> DataFrame:
-    """Q5: output parallelism (file count of a sink). Narrow when shrinking."""
-    return df.coalesce(n) if n < df.rdd.getNumPartitions() else df.repartition(n)
+def set_parallelism(df: DataFrame, n: int, *, shuffle: bool = False) -> DataFrame:
+    """Q5: output parallelism (file count of a sink): ``coalesce`` (narrow, can only
+    shrink) or, with ``shuffle``, an even ``repartition``."""
+    return df.repartition(n) if shuffle else df.coalesce(n)
 
 
 def partition_report(df: DataFrame, n: int, partitioners: dict[str, Column]) -> DataFrame:

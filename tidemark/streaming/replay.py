@@ -75,9 +75,23 @@ def to_ntz(c: str | Column) -> Column:
     return c.cast("timestamp_ntz")
 
 
+def watermark_drops(query) -> int:
+    """T7 late-data accounting: rows the stateful operators dropped as late, summed
+    over the query's retained progress reports (``numRowsDroppedByWatermark``)."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            total += (op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict)
+                      else getattr(op, "numRowsDroppedByWatermark", 0))
+    return total
+
+
 def run_available_now(spark: SparkSession, stream: DataFrame, name: str, *, output_mode: str = "append",
-                      checkpoint: str | None = None, path: str | None = None) -> DataFrame:
-    """Run ``stream`` over all available input into a parquet file sink; return the output."""
+                      checkpoint: str | None = None, path: str | None = None,
+                      on_done=None) -> DataFrame:
+    """Run ``stream`` over all available input into a parquet file sink; return the output.
+
+    ``on_done(query)`` sees the finished query (progress, late-row counts)."""
     path = path or scratch_path(spark, "streams", name)
     checkpoint = checkpoint or path + "_checkpoint"
     q = (stream.writeStream.format("parquet").outputMode(output_mode)
@@ -87,4 +101,6 @@ def run_available_now(spark: SparkSession, stream: DataFrame, name: str, *, outp
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    if on_done is not None:
+        on_done(q)
     return spark.read.schema(stream.schema).parquet(path)
