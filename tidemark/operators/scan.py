@@ -14,8 +14,9 @@ levels:
 1. local running value inside ``(key, block)`` — one shuffle, balanced because a hot
    key is spread over many blocks;
 2. block totals via ``groupBy(key, block)`` — partial (map-side) aggregation, so only
-   one row per block leaves each task — and an exclusive running total over blocks;
-   that table has ``#keys x #blocks`` rows at most and is small;
+   one row per block leaves each task — and an exclusive running total over blocks,
+   computed by the same blocked scan over super-blocks of ``fanout`` blocks, so no
+   task orders more than ``#blocks / fanout`` block rows of one key;
 3. join back on ``(key, block)``: the big side is already hash-partitioned on exactly
    those columns by step 1, so it is not shuffled again; AQE broadcasts the small
    side when its measured size allows.
@@ -93,13 +94,20 @@ def _order_struct(order: list[Column], value: Column) -> Column:
 
 
 def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Column,
-         specs: dict[str, Scan]) -> DataFrame:
+         specs: dict[str, Scan], levels: int = 1, fanout: int = 1024, block_name: str = BLOCK) -> DataFrame:
     """Add one column per ``specs`` entry holding the running value in ``order``
     within each ``keys`` group. ``block`` must be monotone (non-decreasing) in
-    ``order`` within a key."""
+    ``order`` within a key.
+
+    The exclusive prefix over the block table is itself a blocked scan over
+    super-blocks of ``fanout`` blocks (``levels`` deep), so even a key-less scan
+    over billions of rows never orders more than ``#blocks / fanout`` rows in one
+    task.
+    """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    tmp = df.withColumn(BLOCK, block)
-    local_cols, total_cols, merge = [], [], {}
+    p = block_name  # prefix for this level's internal columns
+    tmp = df.withColumn(p, block)
+    local_cols, total_cols, internal = [], [], []
     for name, sp in specs.items():
         if sp.kind == "count":
             v, agg = F.lit(1).cast("long"), F.sum
@@ -113,31 +121,21 @@ def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Co
             v, agg = _order_struct(order, sp.value), F.max
         else:
             raise ValueError(f"unknown scan kind {sp.kind!r}")
-        vname = f"_v_{name}"
+        vname, lname, tname, oname = (f"{p}_v_{name}", f"{p}_l_{name}", f"{p}_t_{name}", f"{p}_o_{name}")
+        internal += [vname, lname, oname]
         tmp = tmp.withColumn(vname, v)
         frame_end = Window.currentRow if sp.inclusive else -1
-        w_local = (Window.partitionBy(*keys, BLOCK).orderBy(*order)
+        w_local = (Window.partitionBy(*keys, p).orderBy(*order)
                    .rowsBetween(Window.unboundedPreceding, frame_end))
-        local_cols.append(agg(vname).over(w_local).alias(f"_l_{name}"))
-        total_cols.append(agg(vname).alias(f"_t_{name}"))
-        merge[name] = sp
+        local_cols.append(agg(vname).over(w_local).alias(lname))
+        total_cols.append(agg(vname).alias(tname))
 
     local = tmp.select("*", *local_cols)
-    totals = tmp.groupBy(*keys, BLOCK).agg(*total_cols)
-    w_blocks = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    if not keys:
-        # Global order: the block table (one row per block) is the only thing that
-        # meets in one task, and its size is bounded by the number of blocks.
-        w_blocks = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys, BLOCK,
-        *[(F.sum if merge[n].kind in ("sum", "count") else
-           F.min if merge[n].kind == "min" else F.max)(f"_t_{n}").over(w_blocks).alias(f"_o_{n}")
-          for n in merge])
-    joined = local.join(offsets, on=[*keys, BLOCK], how="inner")
-    out = joined
-    for name, sp in merge.items():
-        loc, off = F.col(f"_l_{name}"), F.col(f"_o_{name}")
+    totals = tmp.groupBy(*keys, p).agg(*total_cols)
+    offsets = _block_offsets(totals, keys, p, specs, levels, fanout)
+    out = local.join(offsets, on=[*keys, p], how="inner")
+    for name, sp in specs.items():
+        loc, off = F.col(f"{p}_l_{name}"), F.col(f"{p}_o_{name}")
         if sp.kind in ("sum", "count"):
             val = F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0))
             if sp.kind == "sum":
@@ -149,5 +147,26 @@ def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Co
         else:  # last
             val = F.greatest(off, loc)["v"]
         out = out.withColumn(name, val)
-    drop = [c for c in out.columns if c.startswith(("_v_", "_l_", "_o_"))] + [BLOCK]
-    return out.drop(*drop)
+    return out.drop(*internal, p)
+
+
+def _merge_kind(kind: str) -> str:
+    return {"count": "sum", "sum": "sum", "min": "min", "max": "max", "last": "max"}[kind]
+
+
+def _block_offsets(totals: DataFrame, keys: list[str], p: str, specs: dict[str, Scan],
+                   levels: int, fanout: int) -> DataFrame:
+    """Exclusive prefix of the block totals over blocks, per key: ``{p}_o_{name}``."""
+    if levels > 0:
+        sub = {f"{p}_o_{n}": Scan(_merge_kind(sp.kind), F.col(f"{p}_t_{n}"), inclusive=False)
+               for n, sp in specs.items()}
+        res = scan(totals, keys=keys, order=[p], block=F.floor(F.col(p) / F.lit(fanout)).cast("long"),
+                   specs=sub, levels=levels - 1, fanout=fanout, block_name=p + "s")
+        return res.select(*keys, p, *sub)
+    # Last level: one window per key over its (super-)blocks. Without keys this is
+    # the only place rows meet in one task, and it holds #blocks / fanout**levels rows.
+    w = (Window.partitionBy(*keys).orderBy(p) if keys else Window.orderBy(p)) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    fn = {"sum": F.sum, "min": F.min, "max": F.max}
+    return totals.select(*keys, p, *[fn[_merge_kind(sp.kind)](f"{p}_t_{n}").over(w).alias(f"{p}_o_{n}")
+                                     for n, sp in specs.items()])

@@ -21,6 +21,12 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 ORDER = ["time", "event_id"]
 
 
+def _get(state, default):
+    """ValueState read in one round trip (``get`` is None when unset)."""
+    v = state.get()
+    return default if v is None else v[0]
+
+
 def _rows(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
     pdf = pd.concat(list(batches), ignore_index=True)
     return pdf.sort_values(ORDER, kind="stable").reset_index(drop=True)
@@ -37,8 +43,7 @@ class RunningCount(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
-        start = self.count.get()[0] if self.count.exists() else 0
-        n = start + pd.RangeIndex(1, len(pdf) + 1).to_numpy()
+        n = _get(self.count, 0) + pd.RangeIndex(1, len(pdf) + 1).to_numpy()
         self.count.update((int(n[-1]),))
         yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "n": n})
 
@@ -57,8 +62,7 @@ class HighQuantityCounter(RunningCount):
         pdf = pdf[(pdf["event_type"] == self.add_type) & (pdf["quantity"] > self.threshold)]
         if len(pdf) == 0:
             return
-        start = self.count.get()[0] if self.count.exists() else 0
-        n = start + pd.RangeIndex(1, len(pdf) + 1).to_numpy()
+        n = _get(self.count, 0) + pd.RangeIndex(1, len(pdf) + 1).to_numpy()
         self.count.update((int(n[-1]),))
         yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "user_id": key[0], "n": n})
 
@@ -74,7 +78,7 @@ class TypeCountMap(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
-        current = {k[0]: v[0] for k, v in self.counts.iterator()} if self.counts.exists() else {}
+        current = {k[0]: v[0] for k, v in self.counts.iterator()}
         rendered = []
         for et in pdf["event_type"]:
             current[et] = current.get(et, 0) + 1
@@ -103,7 +107,7 @@ class RecentList(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
-        current = [t[0] for t in self.items.get()] if self.items.exists() else []
+        current = [t[0] for t in self.items.get()]
         sizes, rendered = [], []
         for eid in pdf["event_id"]:
             current.append(str(eid))
@@ -146,7 +150,7 @@ class EffectiveThreshold(StatefulProcessor):
         ev = pdf[pdf["side"] == 1].sort_values(["time_us", "event_id"])
         if len(ev) == 0:
             return
-        hist = sorted((k[0], v[0]) for k, v in self.control.iterator()) if self.control.exists() else []
+        hist = sorted((k[0], v[0]) for k, v in self.control.iterator())
         eff = pd.Series([h[1] for h in hist], index=[h[0] for h in hist], dtype="int64")
         if len(eff):
             pos = eff.index.searchsorted(ev["time_us"].to_numpy(), side="right") - 1
@@ -179,7 +183,7 @@ class WindowCountTrigger(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n = sum(len(b) for b in rows)
-        start = self.count.get()[0] if self.count.exists() else 0
+        start = _get(self.count, 0)
         end = start + n
         self.count.update((end,))
         fired = list(range((start // self.every + 1) * self.every, end + 1, self.every))
