@@ -7,13 +7,20 @@ JDBC runs against any driver on the classpath (tests use in-process Derby).
 
 from __future__ import annotations
 
+import sys
+
 import os
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.codecs import decode_person, encode_person
 
+# Classes here run inside Python workers. Pickle them by value so executors do not
+# need this package installed (the driver may import it from anywhere).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class LineDirectoryWriter:
     """K5 ``RichSinkFunction`` as a ``ForeachWriter``: ``open`` once per

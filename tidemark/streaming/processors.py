@@ -12,14 +12,21 @@ so a restart resumes from the last committed batch (V8).
 
 from __future__ import annotations
 
+import sys
+
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 ORDER = ["time", "event_id"]
 
+# Classes here run inside Python workers. Pickle them by value so executors do not
+# need this package installed (the driver may import it from anywhere).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _get(state, default):
     """ValueState read in one round trip (``get`` is None when unset)."""

@@ -94,10 +94,21 @@ def run_available_now(spark: SparkSession, stream: DataFrame, name: str, *, outp
     ``on_done(query)`` sees the finished query (progress, late-row counts)."""
     path = path or scratch_path(spark, "streams", name)
     checkpoint = checkpoint or path + "_checkpoint"
-    q = (stream.writeStream.format("parquet").outputMode(output_mode)
-         .option("path", path).option("checkpointLocation", checkpoint)
-         .queryName(f"{name}_{abs(hash(path)) % 10**8}")
-         .trigger(availableNow=True).start())
+    # A new stateful query fixes its state-partition count from the session's
+    # shuffle partitions at start (then keeps it in the checkpoint). Size it to the
+    # cluster's parallelism, not a 200 default, for the time of ``start`` only:
+    # the query runs on a snapshot of the session conf.
+    parts = spark.conf.get("spark.tidemark.streaming.shufflePartitions", None) \
+        or str(spark.sparkContext.defaultParallelism)
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        q = (stream.writeStream.format("parquet").outputMode(output_mode)
+             .option("path", path).option("checkpointLocation", checkpoint)
+             .queryName(f"{name}_{abs(hash(path)) % 10**8}")
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
