@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros, interval_us
-from .scan import Scan, scan
 
 SID = "session_seq"
 
@@ -45,19 +44,17 @@ def session_ids(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block:
     # prunes this branch to (key, block, ts, tiebreak), a narrow second shuffle.
     blocks = t.groupBy(*keys, "_blk").agg(F.min("_us").alias("_bmin"), F.max("_us").alias("_bmax"),
                                           F.sum("_start").alias("_bint"))
-    # Across blocks (a small table, scanned hierarchically so no task orders all of
-    # it): the first row of a block starts a session iff it is more than ``gap``
-    # after the previous block's last row; session offsets are the running count of
-    # starts in earlier blocks.
-    sblk = F.floor(F.col("_blk") / F.lit(1024)).cast("long")
-    blocks = scan(blocks, keys=keys, order=["_blk"], block=sblk, block_name="_sb1",
-                  specs={"_prev_max": Scan("max", F.col("_bmax"), inclusive=False)})
+    # Across blocks: one row per (key, time block). Time blocks bound this table by
+    # span / block width (ten years of 1-minute blocks is ~5M small rows), so the
+    # key-less case can order it in one task; id-ordered scans, whose block count
+    # grows with the data, use the hierarchical offsets in ``scan.py`` instead.
+    wb = Window.partitionBy(*keys).orderBy("_blk") if keys else Window.orderBy("_blk")
+    prev_max = F.max("_bmax").over(wb.rowsBetween(Window.unboundedPreceding, -1))
     blocks = blocks.withColumn(
-        "_bfirst", F.when(F.col("_prev_max").isNull() | ((F.col("_bmin") - F.col("_prev_max")) > gap_us), 1)
-                    .otherwise(0))
-    blocks = scan(blocks, keys=keys, order=["_blk"], block=sblk, block_name="_sb2",
-                  specs={"_boff0": Scan("sum", (F.col("_bfirst") + F.col("_bint")).cast("long"), inclusive=False)})
-    blocks = blocks.withColumn("_boff", F.coalesce(F.col("_boff0"), F.lit(0)))
+        "_bfirst", F.when(prev_max.isNull() | ((F.col("_bmin") - prev_max) > gap_us), 1).otherwise(0))
+    blocks = blocks.withColumn(
+        "_boff", F.coalesce(F.sum(F.col("_bfirst") + F.col("_bint"))
+                            .over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     out = t.join(blocks.select(*keys, "_blk", "_bfirst", "_boff"), on=[*keys, "_blk"], how="inner")
     out = out.withColumn(SID, (F.col("_boff") + F.col("_bfirst") + F.col("_lcum")).cast("long"))
     return out.drop("_blk", "_us", "_first", "_start", "_lcum", "_bfirst", "_boff")
