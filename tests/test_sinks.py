@@ -14,7 +14,7 @@ from tidemark.sources import tables
 from tidemark.sources.codecs import decode_person, encode_person
 from tidemark.streaming.replay import file_stream, run_available_now
 
-PEOPLE = [("Daniel", 99), ("Alice", 1), ("Bob", 10), ("Mary Jane", 43)]
+PEOPLE = [("Ann", 99), ("Alice", 1), ("Bob", 10), ("Mary Jane", 43)]
 
 
 def test_text_sink_parallelism(spark):

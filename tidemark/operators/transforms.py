@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, fizzbuzz
+from ..schemas import PURCHASE_ALERT
 
 
 def map_column(df: DataFrame, expr: Column, name: str, keep: list[str] | None = None) -> DataFrame:
@@ -66,8 +67,7 @@ def threshold_filter(df: DataFrame, value: str, threshold: int | Column) -> Data
 
 def purchase_message(user: Column, quantity: Column, sku: Column, threshold: Column) -> Column:
     """The alert text of the threshold demos."""
-    return F.format_string("User %s attempting to purchase %s items of %s when threshold is %s",
-                           user.cast("string"), quantity.cast("string"), sku, threshold.cast("string"))
+    return F.format_string(PURCHASE_ALERT, user.cast("string"), quantity.cast("string"), sku, threshold.cast("string"))
 
 
 def split_stream(df: DataFrame, pred: Column) -> tuple[DataFrame, DataFrame]:

@@ -317,7 +317,7 @@ def window_join(spark, sf_dir):
     j = joins.window_join(adds, cat, key="user_id", left_ts="cart_time", right_ts="catalog_time",
                           size_us=6 * H_US)
     return j.select("user_id", "window_start", "window_end", "cart_event_id", "catalog_event_id",
-                    F.format_string("User %s browsed at %s and bought at %s", F.col("user_id").cast("string"),
+                    F.format_string(S.BROWSED_AND_BOUGHT, F.col("user_id").cast("string"),
                                     _iso("catalog_time"), _iso("cart_time")).alias("message"))
 
 

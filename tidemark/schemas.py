@@ -15,6 +15,9 @@ PLAYER_OFFLINE = "PlayerOffline"
 LOOKING_FOR_GAME = "PlayerIsLookingForAGame"
 GAME_STARTED = "GameStarted"
 GAME_FINISHED = "GameFinished"
+# The text of the demos' output messages (printf-style).
+PURCHASE_ALERT = "User %s attempting to purchase %s items of %s when threshold is %s"
+BROWSED_AND_BOUGHT = "User %s browsed at %s and bought at %s"
 # The four game types, in declaration order.
 GAME_TYPES = ("OneVsOne", "TwoVsTwo", "ThreeVsThree", "FourVsFour")
 
