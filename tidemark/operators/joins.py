@@ -73,7 +73,8 @@ def running_ratio(first: DataFrame, second: DataFrame, *, ts: str, order_id: str
         second.select(F.col(order_id).alias("event_id"), F.col(ts).alias("ts"), F.lit(1).alias("source")))
     s = scan(tagged, keys=[], order=["ts", "source", "event_id"], block=time_block("ts", block_us),
              specs={"first_count": Scan("sum", (F.col("source") == 0).cast("long")),
-                    "second_count": Scan("sum", (F.col("source") == 1).cast("long"))})
+                    "second_count": Scan("sum", (F.col("source") == 1).cast("long"))},
+             levels=0)  # time blocks: the block table is bounded by span / width
     return s.withColumn(name, F.round(F.col("first_count") * 100.0 /
                                       (F.col("first_count") + F.col("second_count")), 6))
 
@@ -122,7 +123,7 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_ts: str, right_ts: str,
                       payload.alias("_payload"))
     both = lt.unionByName(rt, allowMissingColumns=True)
     s = scan(both, keys=by, order=["_at", "_side"], block=time_block("_at", block_us),
-             specs={"_cur": Scan("last", F.col("_payload"))})
+             specs={"_cur": Scan("last", F.col("_payload"))}, levels=0)
     s = s.filter(F.col("_side") == 1)
     return s.select(*left.columns, *[F.col("_cur")[v].alias(v) for v in values])
 

@@ -1,5 +1,8 @@
 """Per-key running state in batch (A1, V2-V5, V7) and count triggers.
 
+``levels`` is the scan's offset depth: 1 (default) when the block count grows with
+the data (id blocks), 0 for time blocks, whose count is bounded by span / width.
+
 The reference keeps Value/List/Map state per key and emits after every element.
 In batch the same outputs are ordered prefix computations, one output row per
 input row, computed with the blocked scan (``scan.py``) so a hot key never sits
@@ -15,12 +18,12 @@ from pyspark.sql import functions as F
 from .scan import Scan, scan
 
 
-def rolling_reduce(df: DataFrame, *, key: str | Column, value: str, order: list[str], block: Column,
+def rolling_reduce(df: DataFrame, *, key: str | Column, value: str, order: list[str], block: Column, levels: int = 1,
                    name: str = "running_sum", key_name: str = "key") -> DataFrame:
     """A1 ``keyed.reduce(_ + _)``: the running sum per key after every element."""
     k = F.col(key) if isinstance(key, str) else key
     d = df.withColumn(key_name, k)
-    return scan(d, keys=[key_name], order=order, block=block, specs={name: Scan("sum", F.col(value))})
+    return scan(d, keys=[key_name], order=order, block=block, specs={name: Scan("sum", F.col(value))}, levels=levels)
 
 
 def reduce_final(df: DataFrame, *, key: str | Column, value: str, name: str = "total",
@@ -30,13 +33,13 @@ def reduce_final(df: DataFrame, *, key: str | Column, value: str, name: str = "t
     return df.groupBy(k.alias(key_name)).agg(F.sum(value).alias(name))
 
 
-def running_count(df: DataFrame, *, key: str, order: list[str], block: Column, name: str = "n") -> DataFrame:
+def running_count(df: DataFrame, *, key: str, order: list[str], block: Column, levels: int = 1, name: str = "n") -> DataFrame:
     """V2 ValueState counter: events so far for this key, including the current one."""
-    return scan(df, keys=[key], order=order, block=block, specs={name: Scan("count")})
+    return scan(df, keys=[key], order=order, block=block, specs={name: Scan("count")}, levels=levels)
 
 
 def running_type_counts(df: DataFrame, *, key: str, type_col: str, types: list[str], order: list[str],
-                        block: Column, name: str = "counts") -> DataFrame:
+                        block: Column, levels: int = 1, name: str = "counts") -> DataFrame:
     """V4 MapState: per key, the count of each type seen so far, rendered as
     ``type=n, ...`` sorted by type, types never seen omitted.
 
@@ -45,13 +48,13 @@ def running_type_counts(df: DataFrame, *, key: str, type_col: str, types: list[s
     """
     types = sorted(types)
     specs = {f"_c{i}": Scan("sum", (F.col(type_col) == t).cast("long")) for i, t in enumerate(types)}
-    s = scan(df, keys=[key], order=order, block=block, specs=specs)
+    s = scan(df, keys=[key], order=order, block=block, specs=specs, levels=levels)
     parts = [F.when(F.col(f"_c{i}") > 0, F.concat(F.lit(f"{t}="), F.col(f"_c{i}").cast("string")))
              for i, t in enumerate(types)]
     return s.withColumn(name, F.concat_ws(", ", *parts)).drop(*specs)
 
 
-def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column, item: Column,
+def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column, levels: int = 1, item: Column,
                 clear_above: int = 10, name: str = "items") -> DataFrame:
     """V5 ListState with clearing: append, read, clear when the list has more than
     ``clear_above`` elements. List sizes cycle ``1 .. clear_above + 1``.
@@ -61,7 +64,7 @@ def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column, ite
     group is unbounded.
     """
     period = clear_above + 1
-    s = scan(df, keys=[key], order=order, block=block, specs={"_rn": Scan("count")})
+    s = scan(df, keys=[key], order=order, block=block, specs={"_rn": Scan("count")}, levels=levels)
     s = s.withColumn("_cycle", F.floor((F.col("_rn") - 1) / period))
     w = (Window.partitionBy(key, "_cycle").orderBy("_rn")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -71,31 +74,32 @@ def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column, ite
              .drop("_rn", "_cycle"))
 
 
-def keyed_counter_over(df: DataFrame, *, pred: Column, key: str, order: list[str], block: Column,
+def keyed_counter_over(df: DataFrame, *, pred: Column, key: str, order: list[str], block: Column, levels: int = 1,
                        name: str = "n") -> DataFrame:
     """V7: count per key of the rows matching ``pred``; emits only on matching rows."""
-    return running_count(df.filter(pred), key=key, order=order, block=block, name=name)
+    return running_count(df.filter(pred), key=key, order=order, block=block, name=name, levels=levels)
 
 
-def global_count_trigger(df: DataFrame, *, every: int, order: list[str], block: Column,
+def global_count_trigger(df: DataFrame, *, every: int, order: list[str], block: Column, levels: int = 1,
                          measure: Column, name: str = "measure") -> DataFrame:
     """T12 global window + CountTrigger(every): fires after every ``every``-th
     element with the aggregate over *all* elements so far (non-purging). Trailing
     elements that never complete a group never fire."""
     s = scan(df, keys=[], order=order, block=block,
-             specs={"seen": Scan("count"), name: Scan("sum", measure.cast("long"))})
+             specs={"seen": Scan("count"), name: Scan("sum", measure.cast("long"))}, levels=levels)
     return s.filter(F.col("seen") % every == 0).select("seen", name)
 
 
 def window_count_trigger(df: DataFrame, *, window_start: str, window_end: str, every: int,
-                         order: list[str], block: Column, purging: bool = False) -> DataFrame:
+                         order: list[str], block: Column, levels: int = 1, purging: bool = False) -> DataFrame:
     """CountTrigger(every) on a time window.
 
     Fires at the every-th, 2*every-th ... element of each window; the pane size is
     cumulative (``rn``), or ``every`` for the purging variant (the window is
     cleared after each firing). The remainder below ``every`` never fires.
     """
-    s = scan(df, keys=[window_start, window_end], order=order, block=block, specs={"_rn": Scan("count")})
+    s = scan(df, keys=[window_start, window_end], order=order, block=block, specs={"_rn": Scan("count")},
+             levels=levels)
     fired = s.filter(F.col("_rn") % every == 0)
     return fired.select(window_start, window_end,
                         (F.col("_rn") / every).cast("long").alias("firing"),

@@ -130,7 +130,7 @@ def global_every_10(spark, sf_dir):
     """Global window + CountTrigger(10): registrations among all events so far."""
     se = views.server_events(_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]))
     se = _blocked(spark, se, [], "ts")
-    return state.global_count_trigger(se, every=10, order=["ts", "event_id"], block=F.col(ADAPTIVE_BLOCK),
+    return state.global_count_trigger(se, every=10, order=["ts", "event_id"], block=F.col(ADAPTIVE_BLOCK), levels=0,
                                       measure=F.col("event_type") == S.PLAYER_REGISTERED, name="registrations")
 
 
@@ -143,14 +143,15 @@ def count_trigger(spark, sf_dir):
     """CountTrigger(5) on 1-day windows: cumulative pane sizes 5, 10, ..."""
     c = _blocked(spark, _cart_day_windows(spark, sf_dir), ["window_start", "window_end"], "time")
     return state.window_count_trigger(c, window_start="window_start", window_end="window_end", every=5,
-                                      order=["time", "event_id"], block=F.col(ADAPTIVE_BLOCK))
+                                      order=["time", "event_id"], block=F.col(ADAPTIVE_BLOCK), levels=0)
 
 
 def count_trigger_purging(spark, sf_dir):
     """PurgingTrigger(CountTrigger(5)): panes of exactly 5."""
     c = _blocked(spark, _cart_day_windows(spark, sf_dir), ["window_start", "window_end"], "time")
     return state.window_count_trigger(c, window_start="window_start", window_end="window_end", every=5,
-                                      order=["time", "event_id"], block=F.col(ADAPTIVE_BLOCK), purging=True)
+                                      order=["time", "event_id"], block=F.col(ADAPTIVE_BLOCK), levels=0,
+                                      purging=True)
 
 
 # --------------------------------------------------------------------------- keyed state
@@ -182,7 +183,7 @@ def _cart_by_user(spark, sf_dir, pred=None):
 def running_count_by_user(spark, sf_dir):
     """V2 ValueState: events per user so far."""
     out = state.running_count(_cart_by_user(spark, sf_dir), key="user_id", order=["time", "event_id"],
-                              block=F.col(ADAPTIVE_BLOCK))
+                              block=F.col(ADAPTIVE_BLOCK), levels=0)
     return out.select("event_id", "user_id", "n")
 
 
@@ -190,14 +191,14 @@ def running_type_map(spark, sf_dir):
     """V4 MapState: per-user counts per event type, ``type=n`` sorted."""
     out = state.running_type_counts(_cart_by_user(spark, sf_dir), key="user_id", type_col="event_type",
                                     types=[S.ADD_TO_CART, S.REMOVED_FROM_CART], order=["time", "event_id"],
-                                    block=F.col(ADAPTIVE_BLOCK))
+                                    block=F.col(ADAPTIVE_BLOCK), levels=0)
     return out.select("event_id", "user_id", "counts")
 
 
 def recent_list_by_user(spark, sf_dir):
     """V5 ListState, cleared when it exceeds 10 elements (sizes cycle 1..11)."""
     out = state.recent_list(_cart_by_user(spark, sf_dir), key="user_id", order=["time", "event_id"],
-                            block=F.col(ADAPTIVE_BLOCK), item=F.col("event_id").cast("string"))
+                            block=F.col(ADAPTIVE_BLOCK), item=F.col("event_id").cast("string"), levels=0)
     return out.select("event_id", "user_id", "list_size", "items")
 
 
@@ -205,7 +206,7 @@ def high_quantity_counter(spark, sf_dir):
     """V7/A10: per user, number of add-to-cart events with quantity > 5 so far."""
     hits = (F.col("event_type") == S.ADD_TO_CART) & (F.col("quantity") > 5)
     out = state.running_count(_cart_by_user(spark, sf_dir, hits), key="user_id", order=["time", "event_id"],
-                              block=F.col(ADAPTIVE_BLOCK))
+                              block=F.col(ADAPTIVE_BLOCK), levels=0)
     return out.select("event_id", "user_id", "n")
 
 
