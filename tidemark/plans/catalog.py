@@ -350,13 +350,13 @@ def running_ratio(spark, sf_dir):
     return out.select("event_id", "source", "ratio")
 
 
-def dynamic_threshold_alerts(spark, sf_dir):
+def dynamic_threshold_alerts(spark, sf_dir, strategy: str = "broadcast"):
     """Add-to-cart above the threshold in force at its time (0 before the first)."""
     adds = views.cart_adds(_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type", "props"]))
     th = views.thresholds(spark)
     # The control table is a literal of len(THRESHOLD_VALUES) rows: its bound is proven.
     j = joins.asof_join(adds, th, left_ts="time", right_ts="effective_ts", values=["threshold"],
-                        strategy="broadcast")
+                        strategy=strategy, block_us=fine_block_seconds(spark) * SECOND_US)
     j = j.withColumn("threshold", F.coalesce("threshold", F.lit(views.THRESHOLD_DEFAULT)))
     hits = j.filter(F.col("quantity") > F.col("threshold"))
     return hits.select("event_id", "user_id", "quantity", "threshold",
@@ -364,6 +364,11 @@ def dynamic_threshold_alerts(spark, sf_dir):
                                                    F.col("threshold")).alias("message"))
 
 
+def dynamic_threshold_alerts_scan(spark, sf_dir):
+    """J5 for control tables of any size: union + blocked last-value scan, no broadcast."""
+    return dynamic_threshold_alerts(spark, sf_dir, strategy="scan")
+
+
 # --------------------------------------------------------------------------- late data
 
 def _late_kw(spark):
@@ -420,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_join_inclusive": interval_join_inclusive,
     "running_ratio": running_ratio,
     "dynamic_threshold_alerts": dynamic_threshold_alerts,
+    "dynamic_threshold_alerts_scan": dynamic_threshold_alerts_scan,
     "late_events": late_events,
     "late_window_counts": late_window_counts,
 }

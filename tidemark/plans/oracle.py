@@ -325,6 +325,9 @@ WHERE a.quantity > coalesce(t.threshold, 0)""",
 }
 
 
+_SQL["dynamic_threshold_alerts_scan"] = _SQL["dynamic_threshold_alerts"]
+
+
 def oracle_sql() -> dict[str, str]:
     out = {k: v.strip() for k, v in _SQL.items()}
     out.update({k: v.strip() for k, v in _STREAMING.items()})
