@@ -94,6 +94,33 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "tidemark", *parts, uuid.uuid4().hex])
 
 
+def cluster_conf(total_cores: int, *, input_tb: float = 100.0) -> dict[str, str]:
+    """Suggested settings for a large cluster (pass as ``extra`` to ``build_session``).
+
+    * shuffle partitions: about 200 MB of shuffle per partition for the widest
+      shuffle (the ``(key, block)`` row shuffle of the event columns), rounded up to
+      a multiple of the core count; AQE coalesces small ones at runtime;
+    * 256 MB scan splits and 256 MB AQE advisory size, so tasks stay spill-friendly;
+    * skew join splitting on, at 5x the median and 512 MB;
+    * scan blocks: 1 minute for hot keys, keys with over 5M rows are hot, and 10M ids
+      per id block, so one block of a key holding a third of the rows still fits a task.
+    """
+    est_shuffle_bytes = input_tb * 1e12 * 0.1  # the pruned event columns are about a tenth
+    parts = max(total_cores, int(est_shuffle_bytes / 200e6))
+    parts = ((parts + total_cores - 1) // total_cores) * total_cores
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.tidemark.scan.fineBlockSeconds": "60",
+        "spark.tidemark.scan.hotKeyRows": "5000000",
+        "spark.tidemark.scan.blockIds": "10000000",
+        "spark.tidemark.streaming.shufflePartitions": str(total_cores),
+    }
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the local bench (``local[N]``)."""
     return build_session(master=f"local[{cores}]", shuffle_partitions=shuffle_partitions,
