@@ -71,15 +71,15 @@ def test_restart_from_checkpoint_gives_same_totals(spark):
     ckpt = out + "_checkpoint"
 
     def run():
-        st = views.cart(file_stream(spark, src, ev.schema))
+        st = views.cart(file_stream(spark, src, ev.schema, files_per_batch=k))
         q = st.groupBy("user_id").transformWithStateInPandas(
             statefulProcessor=P.RunningCount(), outputStructType=P.RunningCount.SCHEMA,
             outputMode="Append", timeMode="None")
         return run_available_now(spark, q, "restart", checkpoint=ckpt, path=out)
 
-    stage_time_slices(ev, src, ts="ts", n_slices=4, only=range(0, 2))
+    k = stage_time_slices(ev, src, ts="ts", n_slices=4, only=range(0, 2), files_per_slice=3)
     first = run().count()
-    stage_time_slices(ev, src, ts="ts", n_slices=4, only=range(2, 4))
+    stage_time_slices(ev, src, ts="ts", n_slices=4, only=range(2, 4), files_per_slice=3)
     both = run()
     batch = catalog.running_count_by_user(spark, SF001)
     assert 0 < first < both.count()

@@ -3,9 +3,9 @@
 The reference's sources are wall-clock generators, sockets and Kafka. Here a
 stream is something Structured Streaming can replay exactly:
 
-* ``stage_time_slices`` lands a table as time-ordered files (one append per time
-  slice, so file modification order is event-time order), read back with
-  ``file_stream`` one file per micro-batch — the way a landing zone fills up;
+* ``stage_time_slices`` lands a table as time slices (one parallel append job per
+  slice, so file modification order follows event time), read back with
+  ``file_stream`` one slice per micro-batch, the way a landing zone fills up;
 * ``rate_numbers`` is the parallel, deterministic numbers source (S5): the
   ``rate-micro-batch`` source plus a seeded hash instead of a random generator;
 * ``line_stream`` reads text lines (S6, re-aimed from a raw socket).
@@ -26,22 +26,31 @@ from ..session import scratch_path
 
 
 def stage_time_slices(df: DataFrame, path: str, *, ts: str, n_slices: int,
-                      only: range | None = None) -> str:
-    """Write ``df`` as ``n_slices`` files in event-time order (slice i before i+1).
-
-    ``only`` lands a subset of the slices (e.g. the first half now, the rest after
-    a restart)."""
-    bounds = df.agg(F.min(epoch_micros(ts)).alias("lo"), F.max(epoch_micros(ts)).alias("hi")).first()
+                      only: range | None = None, files_per_slice: int | None = None) -> int:
+    """Land ``df`` as ``n_slices`` time slices, slice i strictly before slice i+1.
+
+    Each slice is written by ``k`` parallel tasks as exactly ``k`` files (round-robin,
+    so none is empty), one job per slice, so every file of slice i is older than any
+    file of slice i+1. Read back with ``maxFilesPerTrigger = k``, each micro-batch is
+    exactly one slice, in event-time order. Returns ``k``. ``only`` lands a subset of
+    the slices (e.g. the first half now, the rest after a restart).
+    """
+    spark = df.sparkSession
+    us = epoch_micros(ts)
+    bounds = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     if lo is None:
-        df.limit(0).write.mode("append").parquet(path)
-        return path
+        return 1
     width = (hi - lo) // n_slices + 1
-    sl = F.floor((epoch_micros(ts) - F.lit(lo)) / F.lit(width))
+    sl = F.floor((us - F.lit(lo)) / F.lit(width)).cast("long")
+    counts = {r["s"]: r["n"] for r in df.groupBy(sl.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    k = files_per_slice or spark.sparkContext.defaultParallelism
+    k = max(1, min([k, *counts.values()]))
     for i in (only if only is not None else range(n_slices)):
-        # one file per slice: it is one micro-batch of the replay
-        df.filter(sl == i).coalesce(1).write.mode("append").parquet(path)
-    return path
+        if counts.get(i, 0) == 0:
+            continue
+        df.filter(sl == i).repartition(k).write.mode("append").parquet(path)
+    return k
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, *, files_per_batch: int = 1,

@@ -42,9 +42,9 @@ def replay_events(spark: SparkSession, sf_dir: str, n_slices: int = N_SLICES) ->
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), n_slices)
     if key not in _STAGED:
         path = scratch_path(spark, "replay", "events")
-        stage_time_slices(ev, path, ts="ts", n_slices=n_slices)
-        _STAGED[key] = path
-    return file_stream(spark, _STAGED[key], ev.schema)
+        _STAGED[key] = (path, stage_time_slices(ev, path, ts="ts", n_slices=n_slices))
+    path, files_per_slice = _STAGED[key]
+    return file_stream(spark, path, ev.schema, files_per_batch=files_per_slice)
 
 
 def _windowed(stream: DataFrame) -> DataFrame:
