@@ -12,7 +12,7 @@ from tidemark.session import scratch_path
 from tidemark.sinks import external, files
 from tidemark.sources import tables
 from tidemark.sources.codecs import decode_person, encode_person
-from tidemark.streaming.replay import file_stream, run_available_now
+from tidemark.streaming.replay import file_stream, line_stream, run_available_now
 
 PEOPLE = [("Ann", 99), ("Alice", 1), ("Bob", 10), ("Mary Jane", 43)]
 
@@ -95,3 +95,14 @@ def test_streaming_jdbc_via_foreach_batch(spark):
                                scratch_path(spark, "test", "jdbc_ck"))
     q.awaitTermination()
     assert sorted(r[0] for r in external.read_jdbc(spark, opts).collect()) == ["a", "b", "c"]
+
+
+def test_line_stream_into_text_file_sink(spark):
+    """S6 line source -> K3 row-format streaming file sink (committed per micro-batch)."""
+    src = scratch_path(spark, "test", "lines2")
+    spark.createDataFrame([("x",), ("y",)], "line string").coalesce(1).write.text(src)
+    out = scratch_path(spark, "test", "lines2_out")
+    q = files.stream_to_files(line_stream(spark, src).select(F.col("line").alias("value")), out,
+                              out + "_ck", fmt="text", available_now=True)
+    q.awaitTermination()
+    assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["x", "y"]

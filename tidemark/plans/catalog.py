@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.columns import duration_us, epoch_micros
+from ..functions.columns import duration_us
 from ..operators import joins, late, partitioning, sessions, state, transforms, windows
 from ..operators.scan import ADAPTIVE_BLOCK, id_block, with_adaptive_block
 from ..sources import tables, views
