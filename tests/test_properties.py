@@ -123,3 +123,14 @@ def test_union_is_additive(spark):
     a = spark.range(10).toDF("x")
     b = spark.range(5).toDF("x")
     assert joins.union_streams(a, b, a).count() == 25
+
+
+def test_null_keys_are_kept_as_a_group(spark):
+    rows = [(1, None, 0), (2, None, 5), (3, 1, 1), (4, None, 9)]
+    df = spark.createDataFrame([(i, k, BASE + dt.timedelta(seconds=s)) for i, k, s in rows],
+                               "id long, k int, ts timestamp_ntz")
+    out = scan(df, keys=["k"], order=["ts", "id"], block=time_block("ts", 3 * SEC), specs={"n": Scan("count")})
+    assert sorted((r["id"], r["n"]) for r in out.collect()) == [(1, 1), (2, 2), (3, 1), (4, 3)]
+    ses = sessions.session_windows(df, ts="ts", gap_us=5 * SEC, keys=["k"], block=time_block("ts", 3 * SEC),
+                                   aggs=[F.count(F.lit(1)).alias("n")], tiebreak=["id"]).collect()
+    assert sorted((r["k"] is None, r["n"]) for r in ses) == [(False, 1), (True, 3)]  # gaps 5 s, 4 s <= 5 s

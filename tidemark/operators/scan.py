@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import epoch_micros
 
@@ -88,6 +89,36 @@ def with_adaptive_block(df: DataFrame, *, keys: list[str], ts: str, coarse_us: i
     return flagged.withColumn(ADAPTIVE_BLOCK, blk).drop(HOT)
 
 
+def _zero(dtype: T.DataType) -> Column:
+    """Any fixed value of ``dtype`` (stands in for null next to the isnull flag)."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dtype)
+    if isinstance(dtype, T.DateType):
+        return F.lit("1970-01-01").cast(dtype)
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, T.NumericType):
+        return F.lit(0).cast(dtype)
+    raise ValueError(f"scan keys must be atomic columns, got {dtype.simpleString()}: flatten them first")
+
+
+def null_safe_keys(df: DataFrame, keys: list[str], prefix: str) -> tuple[DataFrame, list[str]]:
+    """Replace each key by ``(isnull(k), coalesce(k, default))`` helper columns.
+
+    Windows group null keys together, but an equi-join drops them; joining (and
+    partitioning) on the helper pair keeps null-key rows as their own group
+    without re-shuffling, since both sides use the same expressions.
+    """
+    cols = []
+    for i, k in enumerate(keys):
+        n, v = f"{prefix}_kn{i}", f"{prefix}_kv{i}"
+        df = df.withColumn(n, F.col(k).isNull()).withColumn(v, F.coalesce(F.col(k), _zero(df.schema[k].dataType)))
+        cols += [n, v]
+    return df, cols
+
+
 def _order_struct(order: list[Column], value: Column) -> Column:
     fields = [o.alias(f"o{i}") for i, o in enumerate(order)]
     return F.when(value.isNotNull(), F.struct(*fields, value.alias("v")))
@@ -106,8 +137,9 @@ def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Co
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     p = block_name  # prefix for this level's internal columns
-    tmp = df.withColumn(p, block)
-    local_cols, total_cols, internal = [], [], []
+    # internal (null-safe) key columns: null keys stay a group of their own
+    tmp, keys = null_safe_keys(df.withColumn(p, block), keys, p)
+    local_cols, total_cols, internal = [], [], list(keys)
     for name, sp in specs.items():
         if sp.kind == "count":
             v, agg = F.lit(1).cast("long"), F.sum

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros, interval_us
+from .scan import null_safe_keys
 
 SID = "session_seq"
 
@@ -33,7 +34,8 @@ def session_ids(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block:
                 tiebreak: list[str] | None = None) -> DataFrame:
     """Adds ``session_seq`` (1-based per key) to every row."""
     order = [F.col(ts), *[F.col(c) for c in (tiebreak or [])]]
-    t = df.withColumn("_blk", block).withColumn("_us", epoch_micros(ts))
+    # internal (null-safe) key columns: null keys stay a group of their own
+    t, keys = null_safe_keys(df.withColumn("_blk", block).withColumn("_us", epoch_micros(ts)), keys, "_ss")
     w = Window.partitionBy(*keys, "_blk").orderBy(*order)
     prev = F.lag("_us").over(w)
     t = t.withColumn("_first", prev.isNull()) \
@@ -57,7 +59,7 @@ def session_ids(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block:
                             .over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     out = t.join(blocks.select(*keys, "_blk", "_bfirst", "_boff"), on=[*keys, "_blk"], how="inner")
     out = out.withColumn(SID, (F.col("_boff") + F.col("_bfirst") + F.col("_lcum")).cast("long"))
-    return out.drop("_blk", "_us", "_first", "_start", "_lcum", "_bfirst", "_boff")
+    return out.drop("_blk", "_us", "_first", "_start", "_lcum", "_bfirst", "_boff", *keys)
 
 
 def session_windows(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block: Column,
