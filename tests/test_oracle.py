@@ -60,3 +60,18 @@ def test_scans_with_hot_keys_and_fine_blocks(spark, con):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+def test_column_types_match_oracle(spark, con):
+    """Same names and the same types, so value hashes compare like with like."""
+    for name, sql in SQL.items():
+        if name.startswith("streaming_"):
+            continue
+        st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in QUERIES[name](spark, SF01).schema.fields}
+        dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+        assert st == dt, name
