@@ -8,6 +8,11 @@ so a replay of time-ordered files equals the batch operators in ``operators/stat
 
 State is per key in the RocksDB state store and is checkpointed with the query,
 so a restart resumes from the last committed batch (V8).
+
+Memory: a processor holds one key's rows *of one micro-batch* (to order them), never
+the key's history; bound it with the source's per-trigger limit
+(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``), sized so a hot key's share of a
+micro-batch fits a task. Per-key history lives in the state store.
 """
 
 from __future__ import annotations
