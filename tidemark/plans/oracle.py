@@ -303,6 +303,7 @@ def _closed(sql: str, end_col: str) -> str:
 
 _STREAMING = {
     "streaming_count_trigger": _SQL["count_trigger"],
+    "streaming_rolling_reduce": _SQL["rolling_reduce"],
     "streaming_tumbling_counts": _closed(_SQL["tumbling_type_counts"], "window_end"),
     "streaming_sliding_counts": _closed(_SQL["sliding_counts"], "window_end"),
     "streaming_session_by_user": _closed(_SQL["session_by_user"], "session_end"),

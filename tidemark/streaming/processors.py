@@ -204,3 +204,24 @@ class WindowCountTrigger(StatefulProcessor):
         yield pd.DataFrame({"window_start": [key[0]] * len(fired), "window_end": [key[1]] * len(fired),
                             "firing": [f // self.every for f in fired],
                             "pane_size": [self.every if self.purging else f for f in fired]})
+
+
+class RunningSum(StatefulProcessor):
+    """A1 ``keyed.reduce(_ + _)``: the running sum of ``value`` per key after every
+    element (ordered by ``order`` inside a micro-batch)."""
+
+    def __init__(self, key_name: str, value: str, order: str):
+        self.key_name, self.value, self.order = key_name, value, order
+
+    def schema(self, key_type: T.DataType) -> T.StructType:
+        return T.StructType([T.StructField(self.order, T.LongType()), T.StructField(self.key_name, key_type),
+                             T.StructField("running_sum", T.LongType())])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "s long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
+        run = _get(self.total, 0) + pdf[self.value].astype("int64").cumsum().to_numpy()
+        self.total.update((int(run[-1]),))
+        yield pd.DataFrame({self.order: pdf[self.order].to_numpy(), self.key_name: key[0], "running_sum": run})

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..session import scratch_path
@@ -186,7 +187,15 @@ def streaming_count_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
                     P.WindowCountTrigger.SCHEMA, "count_trigger")
 
 
+def streaming_rolling_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 streaming: keyBy(n is even).reduce(_ + _) with a ValueState running sum per key."""
+    ev = replay_events(spark, sf_dir).select("event_id", (F.col("event_id") % 2 == 0).alias("is_even"))
+    proc = P.RunningSum("is_even", "event_id", "event_id")
+    return _process(spark, ev, "is_even", proc, proc.schema(T.BooleanType()), "rolling_reduce")
+
+
 STREAMING_QUERIES = {
+    "streaming_rolling_reduce": streaming_rolling_reduce,
     "streaming_count_trigger": streaming_count_trigger,
     "streaming_tumbling_counts": streaming_tumbling_counts,
     "streaming_sliding_counts": streaming_sliding_counts,
