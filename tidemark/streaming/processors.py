@@ -95,8 +95,8 @@ class TypeCountMap(StatefulProcessor):
         for et in pdf["event_type"]:
             current[et] = current.get(et, 0) + 1
             rendered.append(", ".join(f"{t}={c}" for t, c in sorted(current.items()) if c > 0))
-        for t, c in current.items():
-            self.counts.updateValue((t,), (c,))
+        for t in set(pdf["event_type"]):  # only the entries this micro-batch changed
+            self.counts.updateValue((t,), (current[t],))
         yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "counts": rendered})
 
     def close(self) -> None:
