@@ -50,3 +50,29 @@ def test_mergeable_aggregate_and_processing_time(spark):
     assert [r["mean"] for r in out] == [2.0, 7.0]
     pt = windows.processing_time_counts(df, "1 hour")
     assert pt.agg(F.sum("events")).first()[0] == 10
+
+
+def test_asof_auto_picks_by_counted_size(spark):
+    from tidemark.operators import joins
+    base = dt.datetime(2024, 1, 1)
+    ev = spark.createDataFrame([(i, base + dt.timedelta(seconds=10 * i)) for i in range(12)], "id long, ts timestamp_ntz")
+    ctl = spark.createDataFrame([(v, base + dt.timedelta(seconds=25 * v)) for v in range(5)], "th int, eff timestamp_ntz")
+    small = joins.asof_join(ev, ctl, left_ts="ts", right_ts="eff", values=["th"], strategy="auto",
+                            max_broadcast_rows=10, block_us=30_000_000)
+    large = joins.asof_join(ev, ctl, left_ts="ts", right_ts="eff", values=["th"], strategy="auto",
+                            max_broadcast_rows=2, block_us=30_000_000)
+    assert "BroadcastNestedLoopJoin" in small._jdf.queryExecution().executedPlan().toString() or \
+        "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
+    want = sorted((i, (10 * i) // 25) for i in range(12))
+    assert sorted(map(tuple, small.select("id", "th").collect())) == want
+    assert sorted(map(tuple, large.select("id", "th").collect())) == want
+
+
+def test_session_helpers(spark):
+    from tidemark.session import checkpoint_root, cluster_conf, scratch_path
+    root = checkpoint_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "a").startswith(root.rstrip("/") + "/tidemark/a/")
+    conf = cluster_conf(1000, input_tb=100)
+    assert int(conf["spark.sql.shuffle.partitions"]) % 1000 == 0
+    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
