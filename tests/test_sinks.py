@@ -106,3 +106,16 @@ def test_line_stream_into_text_file_sink(spark):
                               out + "_ck", fmt="text", available_now=True)
     q.awaitTermination()
     assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["x", "y"]
+
+
+def test_print_sinks(spark, capsys):
+    """K1: print() for bounded output and the console sink for streams."""
+    files.show(spark.createDataFrame([(1, "a")], "n int, s string"))
+    assert "a" in capsys.readouterr().out
+    src = scratch_path(spark, "test", "console_src")
+    spark.createDataFrame([("hello",)], "line string").coalesce(1).write.parquet(src)
+    st = file_stream(spark, src, spark.read.parquet(src).schema)
+    q = (st.writeStream.format("console").option("checkpointLocation", scratch_path(spark, "test", "cck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.exception() is None
