@@ -115,7 +115,6 @@ def test_print_sinks(spark, capsys):
     src = scratch_path(spark, "test", "console_src")
     spark.createDataFrame([("hello",)], "line string").coalesce(1).write.parquet(src)
     st = file_stream(spark, src, spark.read.parquet(src).schema)
-    q = (st.writeStream.format("console").option("checkpointLocation", scratch_path(spark, "test", "cck"))
-         .trigger(availableNow=True).start())
+    q = files.console_stream(st, available_now=True)
     q.awaitTermination()
     assert q.exception() is None

@@ -31,10 +31,16 @@ def show(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
 
 
-def console_stream(stream: DataFrame, *, output_mode: str = "append", trigger: str | None = None):
-    """K1 for streams: the console sink."""
-    w = stream.writeStream.format("console").outputMode(output_mode).option("truncate", "false")
-    if trigger:
+def console_stream(stream: DataFrame, *, output_mode: str = "append", trigger: str | None = None,
+                   checkpoint: str | None = None, available_now: bool = False):
+    """K1 for streams: the console sink, checkpointed in the shared checkpoint folder
+    (Spark would otherwise pick a machine-local temporary one)."""
+    from ..session import scratch_path
+    w = (stream.writeStream.format("console").outputMode(output_mode).option("truncate", "false")
+         .option("checkpointLocation", checkpoint or scratch_path(stream.sparkSession, "console")))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger:
         w = w.trigger(processingTime=trigger)
     return w.start()
 
