@@ -1,0 +1,16 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tidemark.session import local_session
+    s = local_session(cores=8, shuffle_partitions=8)
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+    s.stop()
