@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, op1_preference, op2_resync, op5_pack, op8_wu_manber, op9_taat
+from tidemark.llm import common, op1_preference, op2_resync, op3_disclosure, op4_oph, op5_pack, op6_ecoc, op8_wu_manber, op9_taat, op10_mil
 from tidemark.sources.tables import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -51,11 +51,46 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op3_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the words that disclose it in every document."""
+    found = op3_disclosure.sanitise(common.documents(spark, sf_dir))
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("rest.doc_id", *[n(k) for k in op3_disclosure.KINDS], F.sha2(op3_disclosure.listed("base"), 256).alias("base_sha256"),
+                        op3_disclosure.listed("spans").alias("spans"))
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share at least three quarters of their 5-word shingles."""
+    return op4_oph.near_duplicates(common.documents(spark, sf_dir))
+
+
+OP4_SQL = r"""
+with recursive w as (select doc_id, string_split_regex(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+', ' ', 'g'), ' '), ' ') as words from documents),
+s as (select distinct doc_id, array_to_string(words[i:i + 4], ' ') as shingle
+      from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i from w where words <> ['']) ),
+n as (select doc_id, count(*) as n from s group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as shared from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * shared >= 75 * (x.n + y.n - shared)),
+edges as (select a, b from links union all select b, a from links),
+reach as (select doc_id, doc_id as root from documents union select e.b, r.root from reach r join edges e on e.a = r.doc_id where r.root < e.b)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, min(root) as component_id, d.doc_id = min(root) as kept
+from documents d join reach r on r.doc_id = d.doc_id left join n on n.doc_id = d.doc_id group by d.doc_id, n
+"""
+
+
 def op5_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return op5_pack.pack(common.documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), with_ids=False)
 
 
+def op6_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from the folds 1 to 4."""
+    docs = common.documents(spark, sf_dir)
+    fold = common.crc_mod("doc_id", 5)
+    found = op6_ecoc.identify(docs, op6_ecoc.train(docs.where(fold != 0)))
+    return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def contamination(found: DataFrame) -> DataFrame:
     """The columns of the contract from what ``find_windows`` gives."""
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
@@ -102,5 +137,16 @@ select query_id, rank, vec_id, score
 from (select *, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank from s) where rank <= 5
 """
 
-QUERIES = {f.__name__: f for f in (op1_preference_formatting, op2_token_counts, op5_packed_sequences, op8_decontamination, op9_exact_top_k)}
-SQL = {"op1_preference_formatting": OP1_SQL, "op8_decontamination": OP8_SQL, "op9_exact_top_k": OP9_SQL}
+def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels outside of fold 2."""
+    docs = common.documents(spark, sf_dir)
+    fold = common.crc_mod("doc_id", 4)
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
+    model = op10_mil.train(docs.where(fold != 2), labels.where(fold != 2))
+    found = op10_mil.score(docs, model)
+    return found.select("doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+
+
+QUERIES = {f.__name__: f for f in (op1_preference_formatting, op2_token_counts, op3_disclosure_sanitisation, op4_near_duplicates, op5_packed_sequences,
+                                  op6_language_codes, op8_decontamination, op9_exact_top_k, op10_toxic_sentences)}
+SQL = {"op1_preference_formatting": OP1_SQL, "op4_near_duplicates": OP4_SQL, "op8_decontamination": OP8_SQL, "op9_exact_top_k": OP9_SQL}
