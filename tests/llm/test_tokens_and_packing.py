@@ -13,7 +13,7 @@ from tidemark.llm.tokens import PieceEncoder, load
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PARTS = ["Hello", "world's", "x" * 50, "123456", "  ", "\n\t", "!!'s", "é", "é", "́", "İ", "क़", "<|endoftext|>", "<|end", "oftext|>",
-         "🙂🙂", "ﬁ", "Σας", " ", " ", "\x1c", "한국어", "각", "don't", "a.b,c", "'ll", "-", "漢字" * 20]
+         "🙂🙂", "ﬁ", "Σας", " ", " ", "\x1c", "한국어", "각", "don't", "a.b,c", "'ll", "-", "漢字" * 20, "End,", "x.,", "9.\n", "!!, ", "<|ENDOFTEXT|>", "ONE. "]
 
 
 def odd_texts(n, seed=5):

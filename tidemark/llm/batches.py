@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
 
+def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in each Python worker: the next tasks there find it again."""
+    name = "_tidemark_kept"
+    if name not in sys.modules:
+        sys.modules[name] = types.ModuleType(name)
+    kept = vars(sys.modules[name])
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def texts(batch: pa.RecordBatch) -> list[str]:
     return batch.column(batch.schema.get_field_index("text")).to_pylist()
 
@@ -22,3 +35,8 @@ def record_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -
             columns = [[] for _ in schema]
     if columns[0]:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def parts(items: list, size: int) -> Iterator[list]:
+    for i in range(0, len(items), size):
+        yield items[i:i + size]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.session import scratch_path
 from tidemark.sources.tables import read_table
@@ -26,8 +27,10 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
 
-def id_type(docs: DataFrame, id_col: str) -> str:
-    return docs.schema[id_col].dataType.simpleString()
+def output(docs: DataFrame, id_col: str, ddl: str, name: str | None = None) -> StructType:
+    """The id, of whatever type (it may be a struct of a whole row), and the columns of ``ddl``."""
+    kind = docs.select(docs[id_col]).schema.fields[0].dataType
+    return StructType([StructField(name or id_col, kind), *StructType.fromDDL(ddl).fields])
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -40,3 +43,7 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def crc_mod(id_col: str, n: int):
     """crc32 of the id as text, modulo n: the folds of the held-out rows."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
+
+
+def id_type(docs: DataFrame, id_col: str) -> str:
+    return docs.schema[id_col].dataType.simpleString()

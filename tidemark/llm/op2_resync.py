@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm import batches, common
-from tidemark.llm.tokens import PieceEncoder
+from tidemark.llm.tokens import piece_encoder
 
 #: Characters before a chunk's end that prove nothing: a special string or a composed
 #: character that begins there may go on behind it.
@@ -96,10 +96,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     empty (0 bytes, 0 tokens); repeated rows and null ids give a row each; other columns
     are not read.
     """
-    kind = common.id_type(docs, id_col)
-
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceEncoder(tokenizer_path)
+        pieces = piece_encoder(tokenizer_path)
         encode = ChunkEncoder(pieces.tokenizer)
         for batch in rows_in:
             texts = batches.texts(batch)
@@ -115,4 +113,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
                 names=[id_col, "n_bytes", "n_tokens", "n_chunks", "n_widened"])
 
     return common.id_and_text(docs, id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, n_bytes long, n_tokens long, n_chunks long, n_widened long")
+        run, common.output(docs, id_col, "n_bytes long, n_tokens long, n_chunks long, n_widened long"))

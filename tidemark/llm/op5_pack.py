@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tidemark.llm import batches, common
-from tidemark.llm.tokens import PieceEncoder
+from tidemark.llm.tokens import piece_encoder
 
 
 def best_fill(lengths: list[int], counts: dict[int, int], target: int) -> dict[int, int]:
@@ -136,11 +136,10 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
     id alone; repeated rows and null ids are documents of their own; an empty table gives
     no rows. A task holds at most ``pool_tokens`` ids, a batch of texts and the remembered pieces.
     """
-    kind = common.id_type(docs, id_col)
     end = end_id.to_bytes(4, "little")
 
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, schema = PieceEncoder(tokenizer_path), None
+        encoder, schema = piece_encoder(tokenizer_path), None
         base = TaskContext.get().partitionId() << 33
 
         def documents():
@@ -170,4 +169,4 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
             yield from batches.record_batches(again(), schema)
 
     return common.id_and_text(docs, id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids)
+        run, common.output(docs, id_col, "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids))

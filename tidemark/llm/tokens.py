@@ -1,17 +1,25 @@
-"""Token ids of texts by a public tokenizer whose pre-tokenizer drops white space.
+"""Token ids of texts by a public tokenizer that lower-cases and whose pre-tokenizer drops white space.
 
 In such a tokenizer no token, special string or normalisation step reaches across ASCII
-white space, so a text's ids are those of its white-space-separated pieces in order.
+white space, so a text's ids are those of its white-space-separated pieces in order. Its
+pre-tokens are runs of letters, single digits and runs of other characters; so full stops and
+commas between a letter or digit and white space are a pre-token, and pieces of their own.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
-#: Pieces remembered by one Python worker; past that the memory starts anew.
-CACHE_PIECES = 1_000_000
+from tidemark.llm import batches
+
+#: Pieces remembered by one Python worker, the first ones it meets (the frequent ones are among them).
+CACHE_PIECES = 2_000_000
+
+
+_STOPS = re.compile(rb"(?<=[a-z0-9])([.,]+)(?=[ \n])")
 
 
 def load(path: str):
@@ -31,16 +39,31 @@ class PieceEncoder:
         self.tokenizer = load(path)
         self.cache: dict[bytes, bytes] = {}
         self.cache_pieces = cache_pieces
+        self.special = [t.content.encode("utf-8").lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def pieces(self, text: str) -> list[bytes]:
+        """The text's pieces, brought to fewer forms unless it may hold a special string."""
+        data = text.encode("utf-8")
+        lower = data.lower()  # bytes: A-Z only
+        if not any(s in lower for s in self.special):
+            data = _STOPS.sub(rb" \1", lower)
+        return data.split()  # bytes: the six ASCII white spaces
 
     def ids(self, batch: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
-        pieces = [text.encode("utf-8").split() for text in batch]  # bytes.split: the six ASCII white spaces
-        if len(self.cache) > self.cache_pieces:
-            self.cache = {}
+        pieces = [self.pieces(text) for text in batch]
         cache = self.cache
-        missing = [p for p in set().union(*pieces) if p not in cache]
-        for i in range(0, len(missing), 20_000):
-            part = missing[i:i + 20_000]
+        missing = set().union(*pieces).difference(cache)
+        new = {}
+        for part in batches.parts(list(missing), 20_000):
             encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in part], add_special_tokens=False)
-            cache.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(part, encoded, strict=True))
-        return [b"".join(map(cache.__getitem__, p)) for p in pieces]
+            new.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(part, encoded, strict=True))
+        if len(cache) + len(new) <= self.cache_pieces:
+            cache.update(new)
+            return [b"".join(map(cache.__getitem__, p)) for p in pieces]
+        return [b"".join([new.get(x) or cache.get(x, b"") for x in p]) for p in pieces]
+
+
+def piece_encoder(path: str) -> PieceEncoder:
+    """The worker's encoder, with what it remembers from earlier tasks."""
+    return batches.kept_by_worker(("pieces", path), lambda: PieceEncoder(path))
