@@ -1,13 +1,71 @@
-"""The corpus pipeline: language, near-duplicates, benchmark passages, personal data, packing."""
+"""The corpus pipeline: language, near-duplicates, benchmark passages, personal data, packing.
+
+Each stage works on all rows that the one before it kept. Whole rows travel as a struct
+beside the text, so no stage depends on ids being there, or being unique.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import common, op3_disclosure, op4_oph, op5_pack, op6_ecoc, op8_wu_manber, queries
+from tidemark.sources.tables import read_table
+
+
+def _with_rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"])
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the codes, learned from these rows' own, can tell; texts without a letter go."""
+    common.prepare(spark)
+    found = op6_ecoc.identify(_with_rows(docs), op6_ecoc.train(docs), id_col="row")
+    return found.where(F.col("lang_pred") != op6_ecoc.UNDETERMINED).select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component, the one of the smallest id; rows that repeat an id are one, rows without an id stay."""
+    common.prepare(spark)
+    kept = op4_oph.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words lies in benchmark passages."""
+    common.prepare(spark)
+    found = op8_wu_manber.find_windows(_with_rows(docs), read_table(spark, sf_dir, "benchmark"), id_col="row")
+    return queries.contamination(found, "row").where("not contaminated").select("row.*")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their personal data and what discloses it replaced; ``n_chars`` follows the text."""
+    common.prepare(spark)
+    columns = {"text": F.col("clean"), "n_chars": F.char_length("clean").cast("long")}
+    found = op3_disclosure.sanitise(docs)
+    return found.select(*[columns.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens, a row per piece."""
+    common.prepare(spark)
+    return op5_pack.pack(docs, public_tokenizers.path(queries.WORD_BPE), with_ids=False)
+
 
-STAGES: list = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+    ("personal_data", personal_data), ("packing", packing)]
 
+#: Tokens, character codes and confirmed links have no SQL: tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``; each result is written to the shared folder and read again."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = common.written(spark, stage(spark, docs, sf_dir), name)
+    return docs

@@ -43,7 +43,3 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def crc_mod(id_col: str, n: int):
     """crc32 of the id as text, modulo n: the folds of the held-out rows."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
-
-
-def id_type(docs: DataFrame, id_col: str) -> str:
-    return docs.schema[id_col].dataType.simpleString()

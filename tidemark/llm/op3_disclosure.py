@@ -205,13 +205,12 @@ def sanitise(docs: DataFrame, *, text_col: str = "text", window: int = 8, least_
     others = [c for c in docs.columns if c != text_col]
     rest = F.struct(*[docs[c] for c in others]) if others else F.struct(F.lit(None).cast("string").alias("none"))
     rows = docs.select(rest.alias("rest"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    kind = rows.schema["rest"].dataType.simpleString()
-    scanned = rows.mapInArrow(_scan, f"rest {kind}, text string, base {SPANS_DDL}")
+    scanned = rows.mapInArrow(_scan, common.output(rows, "rest", f"text string, base {SPANS_DDL}"))
     hits = common.written(spark, scanned.where(F.size("base") > 0).withColumn("row", F.monotonically_increasing_id()), "entities")
     terms = _disclosing(rows, hits, window, least_contexts, generalise_at)
     terms = terms.groupBy("row").agg(F.collect_list(F.struct("term", "disclosure")).alias("terms"))
     found = hits.join(terms, "row", "left").select("rest", "text", "base", "terms")
-    found = found.mapInArrow(_finish(remove_at), f"rest {kind}, clean string, base {SPANS_DDL}, spans {SPANS_DDL}")
+    found = found.mapInArrow(_finish(remove_at), common.output(rows, "rest", f"clean string, base {SPANS_DDL}, spans {SPANS_DDL}"))
     plain = scanned.where(F.size("base") == 0).select("rest", F.col("text").alias("clean"), "base", F.col("base").alias("spans"))
     return plain.unionByName(found)
 

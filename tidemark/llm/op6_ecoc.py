@@ -138,12 +138,10 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     A null text, or one without a letter, is ``und`` with score 0 (as is every text when the model knows no
     language). Repeated rows and null ids give a row each; other columns are not read. No shuffle.
     """
-    kind = common.id_type(docs, id_col)
-
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_in:
             found = [model.predict(t) for t in batches.texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
                                               pa.array([f[2] for f in found], pa.bool_())], names=[id_col, "lang_pred", "score", "ambiguous"])
 
-    return common.id_and_text(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, ambiguous boolean")
+    return common.id_and_text(docs, id_col, text_col).mapInArrow(run, common.output(docs, id_col, "lang_pred string, score double, ambiguous boolean"))

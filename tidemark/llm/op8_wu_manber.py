@@ -107,7 +107,6 @@ def find_windows(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     hit words but are not listed. Repeated rows and null ids give a row each. Other columns are not read.
     """
     spark = docs.sparkSession
-    kind = common.id_type(docs, id_col)
     found_ddl = "n_words long, hits array<struct<start:long,`end`:long>>, item_ids array<string>"
     stretch = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -147,5 +146,5 @@ def find_windows(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     rows = common.id_and_text(docs, id_col, text_col)
     for i, block in enumerate(blocks):
         last = i == len(blocks) - 1
-        rows = rows.mapInArrow(step(block, last), (f"`{id_col}` {kind}, " if last else f"id {kind}, text string, ") + found_ddl)
+        rows = rows.mapInArrow(step(block, last), common.output(docs, id_col, ("" if last else "text string, ") + found_ddl, None if last else "id"))
     return rows

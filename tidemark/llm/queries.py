@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, op1_preference, op2_resync, op3_disclosure, op4_oph, op5_pack, op6_ecoc, op8_wu_manber, op9_taat, op10_mil
+from tidemark.llm import common, op1_preference, op2_resync, op3_disclosure, op4_oph, op5_pack, op6_ecoc, op7_kneser_ney, op8_wu_manber, op9_taat, op10_mil
 from tidemark.sources.tables import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -65,7 +65,8 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP4_SQL = r"""
-with recursive w as (select doc_id, string_split_regex(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+', ' ', 'g'), ' '), ' ') as words from documents),
+with recursive w as (select doc_id, string_split_regex(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+', ' ', 'g'), ' '), ' ') as words from documents),
 s as (select distinct doc_id, array_to_string(words[i:i + 4], ' ') as shingle
       from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i from w where words <> ['']) ),
 n as (select doc_id, count(*) as n from s group by doc_id),
@@ -91,11 +92,19 @@ def op6_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-def contamination(found: DataFrame) -> DataFrame:
+def op7_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all documents under a model of those outside of fold 2."""
+    docs = common.documents(spark, sf_dir)
+    fold = common.crc_mod("doc_id", 7)
+    found = op7_kneser_ney.score(docs, op7_kneser_ney.train(docs.where(fold != 2)))
+    return found.select("doc_id", (fold == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def contamination(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The columns of the contract from what ``find_windows`` gives."""
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
     return found.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
+        id_col, "n_words", n_hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
 
@@ -148,5 +157,5 @@ def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_preference_formatting, op2_token_counts, op3_disclosure_sanitisation, op4_near_duplicates, op5_packed_sequences,
-                                  op6_language_codes, op8_decontamination, op9_exact_top_k, op10_toxic_sentences)}
+                                  op6_language_codes, op7_kneser_ney_scores, op8_decontamination, op9_exact_top_k, op10_toxic_sentences)}
 SQL = {"op1_preference_formatting": OP1_SQL, "op4_near_duplicates": OP4_SQL, "op8_decontamination": OP8_SQL, "op9_exact_top_k": OP9_SQL}
