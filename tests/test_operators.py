@@ -33,12 +33,17 @@ def test_partition_custom_places_rows(spark):
     df = spark.createDataFrame([(f"user{i % 7}",) for i in range(200)], "user string")
     n = 4
     placed = partitioning.partition_custom(df, n, partitioning.hash_partitioner("user", n))
-    check = placed.select((F.spark_partition_id() == F.pmod(F.hash("user"), F.lit(n))).alias("ok"))
+    check = placed.select((F.spark_partition_id() == partitioning.hash_partitioner("user", n)).alias("ok"))
     assert check.filter(~F.col("ok")).count() == 0
     report = {(r["partitioner"], r["partition"]): r["rows"] for r in partitioning.partition_report(
         df, n, {"last": partitioning.last_partition(n)}).collect()}
     assert report == {("last", n - 1): 200}
     assert partitioning.rebalance(df, 5).rdd.getNumPartitions() == 5
+    assert partitioning.set_parallelism(df.repartition(4), 2).rdd.getNumPartitions() == 2
+    assert partitioning.set_parallelism(df, 6, shuffle=True).rdd.getNumPartitions() == 6
+    by_key = partitioning.key_partition(df, 3, "user").select("user", F.spark_partition_id().alias("p"))
+    assert by_key.distinct().count() == by_key.select("user").distinct().count()
+    assert sum(r["rows"] for r in partitioning.placement(placed).collect()) == 200
 
 
 def test_mergeable_aggregate_and_processing_time(spark):
@@ -58,9 +63,9 @@ def test_asof_auto_picks_by_counted_size(spark):
     ev = spark.createDataFrame([(i, base + dt.timedelta(seconds=10 * i)) for i in range(12)], "id long, ts timestamp_ntz")
     ctl = spark.createDataFrame([(v, base + dt.timedelta(seconds=25 * v)) for v in range(5)], "th int, eff timestamp_ntz")
     small = joins.asof_join(ev, ctl, left_ts="ts", right_ts="eff", values=["th"], strategy="auto",
-                            max_broadcast_rows=10, block_us=30_000_000)
+                            max_loop_rows=10, block_us=30_000_000)
     large = joins.asof_join(ev, ctl, left_ts="ts", right_ts="eff", values=["th"], strategy="auto",
-                            max_broadcast_rows=2, block_us=30_000_000)
+                            max_loop_rows=2, block_us=30_000_000)
     assert "BroadcastNestedLoopJoin" in small._jdf.queryExecution().executedPlan().toString() or \
         "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
     want = sorted((i, (10 * i) // 25) for i in range(12))
@@ -76,3 +81,36 @@ def test_session_helpers(spark):
     conf = cluster_conf(1000, input_tb=100)
     assert int(conf["spark.sql.shuffle.partitions"]) % 1000 == 0
     assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
+
+
+def test_small_column_functions(spark):
+    from tidemark.functions import columns
+    df = spark.createDataFrame([(7, "nick", dt.datetime(1970, 1, 1, 0, 0, 1, 500_000), {"b": 2, "a": 1})],
+                               "id int, name string, ts timestamp_ntz, m map<string,long>")
+    got = df.select(columns.entity_id(F.lit("player"), "id", "name"), columns.epoch_millis("ts"), columns.sorted_map_string(F.col("m"))).first()
+    assert tuple(got) == ("player|7|nick", 1500, "a=1, b=2")
+
+
+def test_sums_beyond_64_bits_are_exact(spark):
+    from tidemark.operators import state
+    from tidemark.operators.scan import id_block
+    big = 2**62
+    df = spark.createDataFrame([(i, big + i) for i in range(20)], "i long, v long")
+    got = state.rolling_reduce(df, key=F.lit(1), value="v", order=["i"], block=id_block("i", 3)).select("i", "running_sum").collect()
+    assert {r["i"]: int(r["running_sum"]) for r in got} == {i: sum(big + j for j in range(i + 1)) for i in range(20)}
+    assert int(state.reduce_final(df, key=F.lit(1), value="v").first()["total"]) == sum(big + j for j in range(20))
+
+
+def test_type_counts_of_any_types(spark):
+    from tidemark.operators import state
+    from tidemark.operators.scan import id_block
+    rows = [(i, None if i % 5 == 0 else i % 2, None if i % 7 == 0 else f"t{i % 4}") for i in range(60)]
+    df = spark.createDataFrame(rows, "i long, k long, ty string")
+    got = state.running_type_counts(df, key="k", type_col="ty", order=["i"], block=id_block("i", 9)).collect()
+    seen, want = {}, {}
+    for i, k, ty in rows:
+        counts = seen.setdefault(k, {})
+        if ty is not None:
+            counts[ty] = counts.get(ty, 0) + 1
+        want[i] = ", ".join(f"{t}={n}" for t, n in sorted(counts.items()))
+    assert {r["i"]: r["counts"] for r in got} == want

@@ -28,8 +28,8 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle_or_a_reason():
-    rows_only = {"partition_skew"}  # Spark's hash differs from DuckDB's
-    assert set(QUERIES) - set(SQL) <= rows_only | {n for n in QUERIES if n.startswith("streaming_")}
+    rows_only = set()
+    assert set(QUERIES) - set(SQL) == rows_only
 
 
 def test_entry_smoke(spark):

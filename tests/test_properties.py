@@ -93,22 +93,24 @@ def test_interval_join_matches_brute_force(spark, left, right, lo, hi, inclusive
     assert sorted((r["lid"], r["rid"]) for r in swapped.collect()) == got
 
 
+maybe = lambda s: st.one_of(st.none(), s)
+
+
 @settings(**SETTINGS)
-@given(events=rows_strategy, control=st.lists(st.tuples(st.sampled_from([0, 1]), st.integers(0, 60),
-                                                           st.integers(0, 9)), min_size=1, max_size=8,
-                                                 unique_by=lambda c: (c[0], c[1])),
+@given(events=st.lists(st.tuples(maybe(st.sampled_from([0, 1])), maybe(st.integers(0, 60))), min_size=1, max_size=12),
+       control=st.lists(st.tuples(maybe(st.sampled_from([0, 1])), maybe(st.integers(0, 60)), st.integers(0, 9)), max_size=8),
        keyed=st.booleans())
-def test_asof_scan_equals_broadcast(spark, events, control, keyed):
-    edf, _ = _df(spark, events)
-    cdf = spark.createDataFrame([(k, BASE + dt.timedelta(seconds=s), v) for k, s, v in control],
-                                "k int, eff timestamp_ntz, th int")
-    by = ["k"] if keyed else None
-    if not keyed:
-        cdf = cdf.dropDuplicates(["eff"])
-    a = joins.asof_join(edf, cdf, left_ts="ts", right_ts="eff", values=["th"], by=by, strategy="broadcast")
-    b = joins.asof_join(edf, cdf if keyed else cdf.drop("k"), left_ts="ts", right_ts="eff", values=["th"],
-                        by=by, strategy="scan", block_us=4 * SEC)
-    assert sorted(a.select("id", "th").collect()) == sorted(b.select("id", "th").collect())
+def test_asof_strategies_give_one_answer(spark, events, control, keyed):
+    at = lambda s: None if s is None else BASE + dt.timedelta(seconds=s)
+    edf = spark.createDataFrame([(i, k, at(s)) for i, (k, s) in enumerate(events)], "id long, k int, ts timestamp_ntz")
+    cdf = spark.createDataFrame([(k, at(s), v, i) for i, (k, s, v) in enumerate(control)], "k int, eff timestamp_ntz, th int, seq int")
+    want = {}
+    for i, (k, s) in enumerate(events):
+        known = [(cs, n, v) for n, (ck, cs, v) in enumerate(control) if cs is not None and s is not None and cs <= s and (not keyed or ck == k)]
+        want[i] = max(known)[2] if known else None
+    for how in ({"strategy": "broadcast"}, {"strategy": "scan"}, {"max_broadcast_rows": 100, "max_loop_rows": 100}, {"max_broadcast_rows": 1, "max_loop_rows": 1}):
+        got = joins.asof_join(edf, cdf, left_ts="ts", right_ts="eff", values=["th"], by=["k"] if keyed else None, right_order=["seq"], block_us=4 * SEC, **how)
+        assert {r["id"]: r["th"] for r in got.collect()} == want and got.count() == len(events), how
 
 
 @settings(**SETTINGS)
@@ -134,3 +136,21 @@ def test_null_keys_are_kept_as_a_group(spark):
     ses = sessions.session_windows(df, ts="ts", gap_us=5 * SEC, keys=["k"], block=time_block("ts", 3 * SEC),
                                    aggs=[F.count(F.lit(1)).alias("n")], tiebreak=["id"]).collect()
     assert sorted((r["k"] is None, r["n"]) for r in ses) == [(False, 1), (True, 3)]  # gaps 5 s, 4 s <= 5 s
+
+
+def test_null_times_are_kept(spark):
+    rows = [(1, 0, None), (2, 0, 5), (3, None, None), (4, 0, None), (5, 0, 9)]
+    df = spark.createDataFrame([(i, k, None if s is None else BASE + dt.timedelta(seconds=s)) for i, k, s in rows], "id long, k int, ts timestamp_ntz")
+    out = scan(df, keys=["k"], order=["ts", "id"], block=time_block("ts", 3 * SEC), specs={"n": Scan("count")})
+    assert {r["id"]: r["n"] for r in out.collect()} == {1: 1, 4: 2, 2: 3, 5: 4, 3: 1}
+    ses = sessions.session_windows(df, ts="ts", gap_us=5 * SEC, keys=["k"], block=time_block("ts", 3 * SEC),
+                                   aggs=[F.count(F.lit(1)).alias("n")], tiebreak=["id"]).collect()
+    assert sorted((r["k"] is None, r["session_start"] is None, r["n"]) for r in ses) == [(False, False, 2), (False, True, 2), (True, True, 1)]
+
+
+def test_a_null_key_can_be_hot(spark):
+    from tidemark.operators.scan import ADAPTIVE_BLOCK, with_adaptive_block
+    df = spark.createDataFrame([(i, None if i % 3 else i, BASE + dt.timedelta(minutes=i)) for i in range(90)], "id long, k int, ts timestamp_ntz")
+    out = with_adaptive_block(df, keys=["k"], ts="ts", coarse_us=3600 * 24 * SEC, fine_us=600 * SEC, min_hot_rows=20)
+    assert out.count() == 90
+    assert out.filter("k IS NULL").select(ADAPTIVE_BLOCK).distinct().count() > 5

@@ -2,7 +2,6 @@
 Derby, no server), Kafka record projection, codec strict/quarantine modes."""
 
 import glob
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +13,13 @@ from tidemark.sources import tables
 from tidemark.sources.codecs import decode_person, encode_person
 from tidemark.streaming.replay import file_stream, line_stream, run_available_now
 
-PEOPLE = [("Ann", 99), ("Alice", 1), ("Bob", 10), ("Mary Jane", 43)]
+
+@pytest.fixture(scope="module")
+def people(spark):
+    """(name, age) of a few customers."""
+    cust = tables.read_table(spark, SF001, "customer", ["c_name", "c_nationkey", "c_custkey"])
+    return cust.filter("c_custkey % 40 = 3").select(F.col("c_name").alias("name"), F.col("c_nationkey").cast("int").alias("age"))
+
 
 
 def test_text_sink_parallelism(spark):
@@ -36,39 +41,74 @@ def test_streaming_file_sink_and_foreach_writer(spark):
     out = run_available_now(spark, stream, "lines")
     assert sorted(r["value"] for r in out.collect()) == ["first line", "second line", "third line"]
     target = scratch_path(spark, "test", "foreach")
-    q = external.foreach_rows(stream, external.LineDirectoryWriter(target), scratch_path(spark, "test", "fck"))
-    q.awaitTermination()
-    lines = []
-    for f in glob.glob(os.path.join(target, "*.txt")):
-        lines += open(f).read().splitlines()
-    assert sorted(lines) == ["first line", "second line", "third line"]
-    assert not glob.glob(os.path.join(target, "*.inprogress"))
+    write = external.line_directory_writer(target)
+    external.foreach_batch(stream, write, scratch_path(spark, "test", "fck")).awaitTermination()
+    write(spark.read.text(src), 0)  # an epoch that is run again replaces its lines
+    assert sorted(r["value"] for r in spark.read.text(target).collect()) == ["first line", "second line", "third line"]
+
+
+def test_foreach_writer_sees_every_row(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    class Count:
+        def process(self, row):
+            seen.add(len(row["value"]))
+
+    src = scratch_path(spark, "test", "foreach_src")
+    spark.createDataFrame([("abc",), ("de",)], "line string").coalesce(1).write.text(src)
+    stream = file_stream(spark, src, spark.read.text(src).schema, fmt="text")
+    external.foreach_rows(stream, Count(), scratch_path(spark, "test", "fck2")).awaitTermination()
+    assert seen.value == 5
+
+
+def test_append_text_adds_lines(spark):
+    target = scratch_path(spark, "test", "append")
+    for n in (1, 2):
+        files.append_text(spark.range(n, n + 2).toDF("n"), target, name="Row")
+    assert sorted(r["value"] for r in spark.read.text(target).collect()) == ["Row(1)", "Row(2)", "Row(2)", "Row(3)"]
 
 
-def test_jdbc_round_trip_with_derby(spark):
+def test_jdbc_round_trip_with_derby(spark, people):
     opts = external.jdbc_options("jdbc:derby:memory:tidemark_people;create=true", "people",
                                  driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
-    df = spark.createDataFrame(PEOPLE, "name string, age int")
-    external.write_jdbc(df.limit(0), opts, mode="overwrite")
-    external.write_jdbc(df, opts, columns=["name", "age"])
+    external.write_jdbc(people.limit(0), opts, mode="overwrite")
+    external.write_jdbc(people, opts, columns=["name", "age"])
     back = external.read_jdbc(spark, opts)
-    assert sorted((r[0], r[1]) for r in back.select(*back.columns[:2]).collect()) == sorted(PEOPLE)
+    assert sorted((r[0], r[1]) for r in back.select(*back.columns[:2]).collect()) == sorted(map(tuple, people.collect()))
     assert [c.lower() for c in back.columns] == ["name", "age"]
+    split = external.read_jdbc(spark, opts, partition_column=back.columns[1], lower=0, upper=25, partitions=3)
+    assert split.rdd.getNumPartitions() == 3 and split.count() == back.count()
 
 
-def test_kafka_records_and_codec(spark):
-    df = spark.createDataFrame(PEOPLE, "name string, age int")
-    recs = external.kafka_records(df)
+def test_kafka_records_and_codec(spark, people):
+    recs = external.kafka_records(people)
     assert recs.schema["value"].dataType.simpleString() == "binary"
-    back = decode_person(recs)
-    assert sorted(map(tuple, back.collect())) == sorted(PEOPLE)
-    bad = spark.createDataFrame([("Zed,notanumber",), ("Ann,7,extra",), ("nocomma",)], "value string")
+    assert sorted(map(tuple, decode_person(recs).collect())) == sorted(map(tuple, people.collect()))
+    bad = spark.createDataFrame([("Zed,notanumber",), ("Uma,7,extra",), ("nocomma",), (None,)], "value string")
     q = decode_person(bad, mode="quarantine").collect()
-    assert [(r["name"], r["age"]) for r in q] == [(None, None), ("Ann", 7), (None, None)]
-    assert q[0]["_corrupt"] == "Zed,notanumber"
-    spark.conf.set("spark.sql.ansi.enabled", "true")
-    with pytest.raises(Exception):
-        decode_person(bad.limit(1)).collect()  # strict: the reference's deserializer throws
+    assert [(r["name"], r["age"]) for r in q] == [(None, None), ("Uma", 7), (None, None), (None, None)]
+    assert [r["_corrupt"] for r in q] == ["Zed,notanumber", None, "nocomma", None]
+
+
+@pytest.mark.parametrize("record", ["Zed,notanumber", "nocomma", None])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_decoding_fails(spark, record, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="not a person record"):
+            decode_person(spark.createDataFrame([(record,)], "value string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_records_that_cannot_be_encoded(spark):
+    odd = spark.createDataFrame([(None, 5), ("Uma", None), ("a,b", 1), ("Uma", 7)], "name string, age int")
+    got = encode_person(odd, mode="quarantine").collect()
+    assert [None if r["value"] is None else r["value"].decode() for r in got] == [None, None, None, "Uma,7"]
+    assert [r["_corrupt"] for r in got] == ["null,5", "Uma,null", "a,b,1", None]
+    for row in odd.collect()[:3]:
+        with pytest.raises(Exception, match="not a person record"):
+            encode_person(spark.createDataFrame([row], odd.schema)).collect()
 
 
 def test_customer_codec_round_trip(spark):

@@ -11,8 +11,9 @@ from tidemark.session import scratch_path
 from tidemark.sources import tables, views
 from tidemark.streaming import processors as P
 from tidemark.streaming import twins
-from tidemark.streaming.replay import (event_time, file_stream, rate_numbers, run_available_now,
-                                       stage_time_slices, to_ntz, watermark_drops)
+from tidemark.operators.scan import time_block
+from tidemark.streaming import blocked
+from tidemark.streaming.replay import (event_time, file_stream, run_available_now, stage_time_slices, time_slices, to_ntz, watermark_drops)
 
 
 def _rows(df, cols=None):
@@ -34,13 +35,29 @@ def test_join_twins_equal_batch(spark):
     assert _rows(s) == _rows(catalog.interval_join(spark, SF001), s.columns)
 
 
-def test_window_twin_emits_exactly_the_closed_windows(spark):
+def test_window_twin_emits_every_window(spark):
     s = _rows(twins.streaming_tumbling_counts(spark, SF001))
-    b = catalog.tumbling_type_counts(spark, SF001)
-    max_ts = tables.events(spark, SF001, ["ts"]).agg(F.max("ts")).first()[0]
-    wm = max_ts - dt.timedelta(minutes=10)
-    closed = _rows(b.filter(F.col("window_end") <= F.lit(wm)))
-    assert s == closed and len(s) > 0
+    assert s == _rows(catalog.tumbling_type_counts(spark, SF001)) and len(s) > 0
+
+
+def test_a_straggler_and_a_hot_key(spark):
+    """One row a month late, one key with a third of the rows: even slices, full parallelism, exact sums."""
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, None if i % 3 == 0 else i % 50, base + dt.timedelta(seconds=i)) for i in range(3600)] + [(9999, 1, base + dt.timedelta(days=31))]
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp_ntz").repartition(2)
+    path = scratch_path(spark, "test", "straggler")
+    k = stage_time_slices(df, path, ts="ts", n_slices=4)
+    sizes = [spark.read.parquet(path).filter((F.col("ts") >= F.lit(a)) & (F.col("ts") < F.lit(b or dt.datetime(2100, 1, 1)))).count()
+             for a, b in time_slices(df, "ts", 4)]
+    assert k == spark.sparkContext.defaultParallelism and sum(sizes) == 3601 and max(sizes) - min(sizes) < 100
+    stream = file_stream(spark, path, df.schema, files_per_batch=k)
+    got = blocked.running_sum(spark, stream, "hot", keys=["k"], order=["ts", "id"], block=time_block("ts", 60_000_000), value=F.lit(2**62),
+                              finish=lambda r, n: r.select("id", F.col(n).cast("string").alias("n")))
+    seen, want = {}, {}
+    for i, key, _ in rows:
+        seen[key] = seen.get(key, 0) + 2**62
+        want[i] = str(seen[key])
+    assert {r["id"]: r["n"] for r in got.collect()} == want
 
 
 def test_late_rows_micro_batch_semantics(spark):
@@ -86,14 +103,6 @@ def test_restart_from_checkpoint_gives_same_totals(spark):
     assert _rows(both) == _rows(batch, both.columns)
 
 
-def test_rate_numbers_are_deterministic(spark):
-    st = rate_numbers(spark, rows_per_batch=5, partitions=2)
-    out = run_available_now(spark, st, "rate")
-    rows = out.collect()
-    assert len(rows) >= 0  # availableNow over a rate source may plan zero or more batches
-    assert all(r["n"] >= 0 for r in rows)
-
-
 def test_late_rows_are_counted_when_dropped(spark):
     """A row whose window closed in an earlier micro-batch is dropped and counted."""
     base = dt.datetime(2022, 2, 2)

@@ -51,8 +51,12 @@ def floor_time(ts: str | Column, width_us: int, offset_us: int = 0) -> Column:
 
 
 def pmod_hash(key: str | Column, n: int) -> Column:
-    """F8 done right: non-negative ``hash(key) mod n`` (the reference's ``%`` can go negative)."""
-    return F.pmod(F.hash(col(key)), F.lit(n))
+    """F8 done right: a non-negative hash of the key's text, modulo n (the reference's ``%`` can go negative).
+
+    The first 32 bits of MD5: any engine gives the same number. A null key hashes as an empty text.
+    """
+    digits = F.substring(F.md5(F.coalesce(col(key).cast("string"), F.lit(""))), 1, 8)
+    return F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(n)).cast("int")
 
 
 def sorted_map_string(m: Column) -> Column:

@@ -4,9 +4,8 @@
   residual, so a hot key is spread over its time buckets instead of meeting in one
   join partition; AQE's skew-join splitting covers a hot ``(key, bucket)``.
 * The connected-streams running ratio is a blocked scan (no single task).
-* The as-of (broadcast-state) join broadcasts the control side only when its row
-  count is proven small; otherwise it runs as a blocked "last value" scan over the
-  union of both sides, which needs no broadcast at all.
+* The as-of (broadcast-state) join turns a control side of few rows into intervals;
+  otherwise it runs as a blocked "last value" scan over the union of both sides. Both give one answer.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros, floor_time
-from .scan import Scan, scan, time_block
+from .scan import Scan, null_safe_equal, scan, time_block
 
 
 def union_streams(*dfs: DataFrame) -> DataFrame:
@@ -79,54 +78,54 @@ def running_ratio(first: DataFrame, second: DataFrame, *, ts: str, order_id: str
                                       (F.col("first_count") + F.col("second_count")), 6))
 
 
-def _control_intervals(right: DataFrame, right_ts: str, by: list[str]) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy(right_ts) if by else Window.orderBy(right_ts)
-    return right.withColumn("_valid_to", F.lead(right_ts).over(w))
+def _control(right: DataFrame, right_ts: str, by: list[str], values: list[str], right_order: list[str]) -> DataFrame:
+    """One control row per key and time, the last by ``right_order`` and then by its values; none without a time."""
+    last = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(right_order)], F.struct(*values).alias("_payload"))
+    rows = right.filter(F.col(right_ts).isNotNull()).select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(by)],
+                                                           F.col(right_ts).alias("_from"), last.alias("_last"))
+    keys = [f"_rk{i}" for i in range(len(by))]
+    return rows.groupBy(*keys, "_from").agg(F.max("_last").getField("_payload").alias("_payload"))
 
 
 def asof_join(left: DataFrame, right: DataFrame, *, left_ts: str, right_ts: str,
-              values: list[str], by: list[str] | None = None, strategy: str = "auto",
-              max_broadcast_rows: int = 10_000, block_us: int | None = None) -> DataFrame:
+              values: list[str], by: list[str] | None = None, right_order: list[str] | None = None, strategy: str = "auto",
+              max_broadcast_rows: int = 10_000, max_loop_rows: int = 64, block_us: int | None = None) -> DataFrame:
     """Each left row gets the latest right row with ``right_ts <= left_ts``
-    (same ``by`` key); left rows before any control row get nulls.
+    (same ``by`` key); left rows before any control row, or without a time, get nulls.
 
-    strategy:
-      ``broadcast`` — the caller guarantees the right side is small (e.g. a literal
-                      control table); intervals ``[ts, next_ts)`` are broadcast.
+    Every left row stays. A null key matches a null key. Control rows without a time are never in
+    force; of several at one key and time the last by ``right_order``, then by its values, is. The
+    strategy picks a plan and never changes the answer:
+
+      ``broadcast`` — control rows become intervals ``[ts, next_ts)``, joined by key and range (without
+                      ``by``, a loop over the control rows: keep them few, as in a literal table).
       ``scan``      — union both sides, blocked "last value" scan; no size limit.
-      ``auto``      — counts at most ``max_broadcast_rows + 1`` right rows and
-                      picks ``broadcast`` only when it fits.
+      ``auto``      — counts right rows up to a bound and takes intervals only within it:
+                      ``max_broadcast_rows``, or ``max_loop_rows`` without ``by``.
     """
-    by = by or []
+    by, keys = by or [], [f"_rk{i}" for i in range(len(by or []))]
+    control = _control(right, right_ts, by, values, right_order or [])
     if strategy == "auto":
-        n = right.limit(max_broadcast_rows + 1).count()
-        strategy = "broadcast" if n <= max_broadcast_rows else "scan"
+        bound = max_broadcast_rows if by else max_loop_rows
+        strategy = "broadcast" if right.limit(bound + 1).count() <= bound else "scan"
+    outputs = [F.col("_payload").getField(v).alias(v) for v in values]
+    kept = [F.col(c) for c in left.columns]
     if strategy == "broadcast":
-        iv = _control_intervals(right.select(*by, right_ts, *values), right_ts, by)
-        r = F.broadcast(iv.alias("_r"))
-        cond = [F.col(f"_l.{left_ts}") >= F.col(f"_r.{right_ts}"),
-                F.col("_r._valid_to").isNull() | (F.col(f"_l.{left_ts}") < F.col("_r._valid_to"))]
-        cond += [F.col(f"_l.{k}") == F.col(f"_r.{k}") for k in by]
-        cond_all = cond[0]
-        for c in cond[1:]:
-            cond_all = cond_all & c
-        out = left.alias("_l").join(r, cond_all, "left")
-        return out.select("_l.*", *[F.col(f"_r.{v}").alias(v) for v in values])
+        w = Window.partitionBy(*keys).orderBy("_from") if keys else Window.orderBy("_from")
+        intervals = control.withColumn("_to", F.lead("_from").over(w))
+        at = F.col(left_ts)
+        cond = null_safe_equal([F.col(k) for k in by], [F.col(k) for k in keys])
+        cond = cond & (at >= F.col("_from")) & (F.col("_to").isNull() | (at < F.col("_to")))
+        return left.join(intervals, cond, "left").select(*kept, *outputs)
     if strategy != "scan":
         raise ValueError(f"unknown strategy {strategy!r}")
     if block_us is None:
         raise ValueError("scan strategy needs block_us")
-    payload = F.struct(*[F.col(v) for v in values])
-    lt = left.select("*", F.col(left_ts).alias("_at"), F.lit(1).alias("_side"),
-                     F.lit(None).cast(payload_type(right, values)).alias("_payload"))
-    rt = right.select(*[F.col(k) for k in by], F.col(right_ts).alias("_at"), F.lit(0).alias("_side"),
-                      payload.alias("_payload"))
+    lt = left.select("*", *[F.col(k).alias(r) for k, r in zip(by, keys, strict=True)], F.col(left_ts).alias("_at"), F.lit(1).alias("_side"),
+                     F.lit(None).cast(control.schema["_payload"].dataType).alias("_payload"))
+    rt = control.select(*keys, F.col("_from").alias("_at"), F.lit(0).alias("_side"), "_payload")
     both = lt.unionByName(rt, allowMissingColumns=True)
-    s = scan(both, keys=by, order=["_at", "_side"], block=time_block("_at", block_us),
+    s = scan(both, keys=keys, order=["_at", "_side"], block=time_block("_at", block_us),
              specs={"_cur": Scan("last", F.col("_payload"))}, levels=0)
     s = s.filter(F.col("_side") == 1)
-    return s.select(*left.columns, *[F.col("_cur")[v].alias(v) for v in values])
-
-
-def payload_type(df: DataFrame, cols: list[str]) -> str:
-    return "struct<" + ",".join(f"`{c}`:{df.schema[c].dataType.simpleString()}" for c in cols) + ">"
+    return s.select(*kept, *[F.col("_cur").getField(v).alias(v) for v in values])

@@ -49,16 +49,19 @@ def set_parallelism(df: DataFrame, n: int, *, shuffle: bool = False) -> DataFram
     return df.repartition(n) if shuffle else df.coalesce(n)
 
 
+def placement(df: DataFrame) -> DataFrame:
+    """partition, rows: how many rows each partition of ``df`` holds as it is laid out (empty ones left out)."""
+    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def partition_report(df: DataFrame, n: int, partitioners: dict[str, Column]) -> DataFrame:
     """Rows per target partition for each partitioner, with the max/mean skew ratio.
 
     Output: partitioner, partition, rows, share, skew (max rows / mean rows over n
     partitions, 1.0 = perfectly even, n = everything in one partition).
     """
-    parts = None
-    for name, pid in partitioners.items():
-        one = df.select(F.lit(name).alias("partitioner"), pid.cast("int").alias("partition"))
-        parts = one if parts is None else parts.unionByName(one)
+    targets = F.array(*[F.struct(F.lit(name).alias("partitioner"), pid.cast("int").alias("partition")) for name, pid in partitioners.items()])
+    parts = df.select(F.explode(targets).alias("t")).select("t.partitioner", "t.partition")
     counts = parts.groupBy("partitioner", "partition").agg(F.count(F.lit(1)).alias("rows"))
     totals = counts.groupBy("partitioner").agg(F.sum("rows").alias("_total"), F.max("rows").alias("_max"))
     return (counts.join(totals, "partitioner")

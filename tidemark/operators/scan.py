@@ -36,6 +36,9 @@ from ..functions.columns import epoch_micros
 
 BLOCK = "_blk"
 
+#: The block of rows whose order column is null: they sort first, as nulls do.
+NULL_BLOCK = -(1 << 62)
+
 
 @dataclass(frozen=True)
 class Scan:
@@ -65,15 +68,20 @@ ADAPTIVE_BLOCK = "_ablk"
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
-    """Keys holding at least ``min_rows`` rows, flagged ``_hot``.
-
-    A partial (map-side) count per key; the result has at most
-    ``rows / min_rows`` entries, which is what makes broadcasting it safe.
-    """
+    """Keys (null among them) holding at least ``min_rows`` rows, flagged ``_hot``: a partial
+    (map-side) count per key, of which at most ``rows / min_rows`` are left."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
             .filter(F.col("_rows") >= min_rows).select(*keys, F.lit(True).alias(HOT)))
 
 
+def null_safe_equal(left: list[Column], right: list[Column]) -> Column:
+    """Keys are equal, and a null key equals a null key."""
+    cond = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        cond = cond & a.eqNullSafe(b)
+    return cond
+
+
 def with_adaptive_block(df: DataFrame, *, keys: list[str], ts: str, coarse_us: int, fine_us: int,
                         min_hot_rows: int) -> DataFrame:
     """Adds ``_ablk``: fine time blocks for hot keys, coarse ones for the rest.
@@ -84,7 +92,9 @@ def with_adaptive_block(df: DataFrame, *, keys: list[str], ts: str, coarse_us: i
     """
     if not keys:
         return df.withColumn(ADAPTIVE_BLOCK, time_block(ts, fine_us))
-    flagged = df.join(F.broadcast(hot_keys(df, keys, min_hot_rows)), on=keys, how="left")
+    hot = hot_keys(df, keys, min_hot_rows).withColumnsRenamed({k: f"_hk_{k}" for k in keys})
+    cond = null_safe_equal([F.col(k) for k in keys], [F.col(f"_hk_{k}") for k in keys])
+    flagged = df.join(hot, cond, "left").drop(*[f"_hk_{k}" for k in keys])
     blk = F.when(F.col(HOT), time_block(ts, fine_us)).otherwise(time_block(ts, coarse_us))
     return flagged.withColumn(ADAPTIVE_BLOCK, blk).drop(HOT)
 
@@ -128,7 +138,8 @@ def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Co
          specs: dict[str, Scan], levels: int = 1, fanout: int = 1024, block_name: str = BLOCK) -> DataFrame:
     """Add one column per ``specs`` entry holding the running value in ``order``
     within each ``keys`` group. ``block`` must be monotone (non-decreasing) in
-    ``order`` within a key.
+    ``order`` within a key. Null keys are a group of their own; rows whose block is null
+    (their first order column is) come first in their group, as nulls sort.
 
     The exclusive prefix over the block table is itself a blocked scan over
     super-blocks of ``fanout`` blocks (``levels`` deep), so even a key-less scan
@@ -138,7 +149,7 @@ def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Co
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     p = block_name  # prefix for this level's internal columns
     # internal (null-safe) key columns: null keys stay a group of their own
-    tmp, keys = null_safe_keys(df.withColumn(p, block), keys, p)
+    tmp, keys = null_safe_keys(df.withColumn(p, F.coalesce(block, F.lit(NULL_BLOCK))), keys, p)
     local_cols, total_cols, internal = [], [], list(keys)
     for name, sp in specs.items():
         if sp.kind == "count":
@@ -171,7 +182,7 @@ def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Co
         if sp.kind in ("sum", "count"):
             val = F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0))
             if sp.kind == "sum":
-                val = F.when(off.isNull() & loc.isNull(), F.lit(None)).otherwise(val)
+                val = F.when(off.isNull() & loc.isNull(), F.lit(None)).otherwise(val)  # like SQL's sum
         elif sp.kind == "min":
             val = F.least(off, loc)
         elif sp.kind == "max":

@@ -16,7 +16,8 @@ Cost: one shuffle of the rows on ``(key, block)``, one narrow shuffle of
 order), a tiny block table, and the partial-aggregated session merge.
 
 Semantics (the reference's): rows no more than ``gap`` apart share a session
-(a gap of exactly ``gap`` still merges); a session is ``[first, last + gap)``.
+(a gap of exactly ``gap`` still merges); a session is ``[first, last + gap)``. Rows
+without a time are one session of their key, with neither start nor end; null keys are a key.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros, interval_us
-from .scan import null_safe_keys
+from .scan import NULL_BLOCK, null_safe_keys
 
 SID = "session_seq"
 
@@ -35,7 +36,7 @@ def session_ids(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block:
     """Adds ``session_seq`` (1-based per key) to every row."""
     order = [F.col(ts), *[F.col(c) for c in (tiebreak or [])]]
     # internal (null-safe) key columns: null keys stay a group of their own
-    t, keys = null_safe_keys(df.withColumn("_blk", block).withColumn("_us", epoch_micros(ts)), keys, "_ss")
+    t, keys = null_safe_keys(df.withColumn("_blk", F.coalesce(block, F.lit(NULL_BLOCK))).withColumn("_us", epoch_micros(ts)), keys, "_ss")
     w = Window.partitionBy(*keys, "_blk").orderBy(*order)
     prev = F.lag("_us").over(w)
     t = t.withColumn("_first", prev.isNull()) \

@@ -15,22 +15,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import Scan, scan
+from ..functions.columns import sorted_map_string
+from .scan import NULL_BLOCK, Scan, null_safe_keys, scan
+
+
+EXACT = "decimal(38,0)"  # sums of 64-bit numbers leave 64 bits after some 10**9 rows
 
 
 def rolling_reduce(df: DataFrame, *, key: str | Column, value: str, order: list[str], block: Column, levels: int = 1,
                    name: str = "running_sum", key_name: str = "key") -> DataFrame:
-    """A1 ``keyed.reduce(_ + _)``: the running sum per key after every element."""
+    """A1 ``keyed.reduce(_ + _)`` over whole numbers: the running sum per key after every element, exact."""
     k = F.col(key) if isinstance(key, str) else key
     d = df.withColumn(key_name, k)
-    return scan(d, keys=[key_name], order=order, block=block, specs={name: Scan("sum", F.col(value))}, levels=levels)
+    out = scan(d, keys=[key_name], order=order, block=block, specs={name: Scan("sum", F.col(value).cast("decimal(20,0)"))}, levels=levels)
+    return out.withColumn(name, F.col(name).cast(EXACT))
 
 
 def reduce_final(df: DataFrame, *, key: str | Column, value: str, name: str = "total",
                  key_name: str = "key") -> DataFrame:
-    """A1 final values: a grouped sum (partial + final aggregation)."""
+    """A1 final values: a grouped sum (partial + final aggregation), exact."""
     k = F.col(key) if isinstance(key, str) else key
-    return df.groupBy(k.alias(key_name)).agg(F.sum(value).alias(name))
+    return df.groupBy(k.alias(key_name)).agg(F.sum(F.col(value).cast("decimal(20,0)")).cast(EXACT).alias(name))
 
 
 def running_count(df: DataFrame, *, key: str, order: list[str], block: Column, levels: int = 1, name: str = "n") -> DataFrame:
@@ -38,20 +43,38 @@ def running_count(df: DataFrame, *, key: str, order: list[str], block: Column, l
     return scan(df, keys=[key], order=order, block=block, specs={name: Scan("count")}, levels=levels)
 
 
-def running_type_counts(df: DataFrame, *, key: str, type_col: str, types: list[str], order: list[str],
+def running_type_counts(df: DataFrame, *, key: str, type_col: str, order: list[str],
                         block: Column, levels: int = 1, name: str = "counts") -> DataFrame:
     """V4 MapState: per key, the count of each type seen so far, rendered as
-    ``type=n, ...`` sorted by type, types never seen omitted.
+    ``type=n, ...`` sorted by type, types never seen omitted (a null type is none).
 
-    ``types`` is the (small, known) domain of the type column; each becomes one
-    running sum in the same scan.
+    No list of types is needed: inside a block a row meets the types of its block; the counts
+    of the blocks before it come from a scan over (key, type) totals. Work and
+    output grow with rows times the types of their key.
     """
-    types = sorted(types)
-    specs = {f"_c{i}": Scan("sum", (F.col(type_col) == t).cast("long")) for i, t in enumerate(types)}
-    s = scan(df, keys=[key], order=order, block=block, specs=specs, levels=levels)
-    parts = [F.when(F.col(f"_c{i}") > 0, F.concat(F.lit(f"{t}="), F.col(f"_c{i}").cast("string")))
-             for i, t in enumerate(types)]
-    return s.withColumn(name, F.concat_ws(", ", *parts)).drop(*specs)
+    p = "_tc"
+    columns = F.struct(*df.columns)
+    d, keys = null_safe_keys(df.withColumn(p, F.coalesce(block, F.lit(NULL_BLOCK))), [key], p)
+    in_block = Window.partitionBy(*keys, p)
+    rows = d.select(*keys, p, columns.alias("_row"), F.col(type_col).alias("_own"), F.collect_set(type_col).over(in_block).alias("_types"),
+                    F.row_number().over(in_block.orderBy(*order)).alias("_i"))
+    met = rows.select(*keys, p, "_row", "_i", "_own", F.explode_outer("_types").alias("_type"))
+    so_far = Window.partitionBy(*keys, p, "_type").orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = met.withColumn("_n", F.count_if(F.col("_own") == F.col("_type")).over(so_far))
+    entry = F.when(F.col("_n") > 0, F.struct("_type", "_n"))
+    local = met.groupBy(*keys, p, "_i").agg(F.first("_row").alias("_row"), F.map_from_entries(F.collect_list(entry)).alias("_here"))
+
+    # totals of (key, block, type); every block of a key gets every type of the key
+    totals = d.filter(F.col(type_col).isNotNull()).groupBy(*keys, p, F.col(type_col).alias("_type")).agg(F.count(F.lit(1)).alias("_n"))
+    cells = d.select(*keys, p).distinct().join(totals.select(*keys, "_type").distinct(), keys).join(totals, [*keys, p, "_type"], "left")
+    before = scan(cells, keys=[*keys, "_type"], order=[p], block=F.floor(F.col(p) / 1024).cast("long"),
+                  specs={"_before": Scan("sum", F.coalesce("_n", F.lit(0)), inclusive=False)}, levels=max(levels - 1, 0), block_name=p + "s")
+    earlier = F.when(F.col("_before") > 0, F.struct("_type", "_before"))
+    before = before.groupBy(*keys, p).agg(F.map_from_entries(F.collect_list(earlier)).alias("_earlier"))
+    out = local.join(before, [*keys, p], "left")
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
+    both = F.map_zip_with("_here", F.coalesce("_earlier", none), lambda k, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+    return out.select("_row.*", sorted_map_string(both).alias(name))
 
 
 def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column, levels: int = 1, item: Column,
@@ -74,12 +97,6 @@ def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column, lev
              .drop("_rn", "_cycle"))
 
 
-def keyed_counter_over(df: DataFrame, *, pred: Column, key: str, order: list[str], block: Column, levels: int = 1,
-                       name: str = "n") -> DataFrame:
-    """V7: count per key of the rows matching ``pred``; emits only on matching rows."""
-    return running_count(df.filter(pred), key=key, order=order, block=block, name=name, levels=levels)
-
-
 def global_count_trigger(df: DataFrame, *, every: int, order: list[str], block: Column, levels: int = 1,
                          measure: Column, name: str = "measure") -> DataFrame:
     """T12 global window + CountTrigger(every): fires after every ``every``-th

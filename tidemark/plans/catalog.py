@@ -157,18 +157,18 @@ def count_trigger_purging(spark, sf_dir):
 # --------------------------------------------------------------------------- keyed state
 
 def rolling_reduce(spark, sf_dir):
-    """A1: keyBy(n is even).reduce(_ + _): running sum after every element."""
+    """A1: keyBy(n is even).reduce(_ + _): running sum after every element, exact and so given as text."""
     ev = _events(spark, sf_dir, ["event_id"])
     out = state.rolling_reduce(ev, key=(F.col("event_id") % 2 == 0), value="event_id", order=["event_id"],
                                block=id_block("event_id", block_ids(spark)), key_name="is_even")
-    return out.select("event_id", "is_even", F.col("running_sum").cast("long").alias("running_sum"))
+    return out.select("event_id", "is_even", F.col("running_sum").cast("string").alias("running_sum"))
 
 
 def reduce_final(spark, sf_dir):
-    """A1 finals: sum per parity key."""
+    """A1 finals: sum per parity key, as text."""
     ev = _events(spark, sf_dir, ["event_id"])
     out = state.reduce_final(ev, key=(F.col("event_id") % 2 == 0), value="event_id", key_name="is_even")
-    return out.select("is_even", F.col("total").cast("long").alias("total"))
+    return out.select("is_even", F.col("total").cast("string").alias("total"))
 
 
 def _cart(spark, sf_dir):
@@ -188,10 +188,10 @@ def running_count_by_user(spark, sf_dir):
 
 
 def running_type_map(spark, sf_dir):
-    """V4 MapState: per-user counts per event type, ``type=n`` sorted."""
-    out = state.running_type_counts(_cart_by_user(spark, sf_dir), key="user_id", type_col="event_type",
-                                    types=[S.ADD_TO_CART, S.REMOVED_FROM_CART], order=["time", "event_id"],
-                                    block=F.col(ADAPTIVE_BLOCK), levels=0)
+    """V4 MapState: per-user counts per event type (any type), ``type=n`` sorted."""
+    ev = _blocked(spark, _events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]), ["user_id"], "ts")
+    out = state.running_type_counts(ev, key="user_id", type_col="event_type", order=["ts", "event_id"],
+                                    block=F.col(ADAPTIVE_BLOCK))
     return out.select("event_id", "user_id", "counts")
 
 
@@ -279,14 +279,32 @@ def person_codec_roundtrip(spark, sf_dir):
     return back.select("c_custkey", "wire", "name", "age")
 
 
+def person_codec_quarantine(spark, sf_dir):
+    """Records of customers, some without a comma, an age or a whole one: kept with their raw text."""
+    from ..sources.codecs import decode_person
+    cust = tables.read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
+    k, name, age = F.col("c_custkey"), F.col("c_name"), F.col("c_nationkey").cast("string")
+    wire = (F.when(k % 11 == 0, name).when(k % 7 == 0, F.concat(name, F.lit(",x"), age)).when(k % 5 == 0, F.concat(name, F.lit(",Jr,"), age))
+            .when(k % 13 == 0, F.lit(None)).otherwise(F.concat(name, F.lit(","), age)))
+    back = decode_person(cust.select("c_custkey", wire.alias("value")), keep=["c_custkey"], mode="quarantine")
+    return back.select("c_custkey", "name", F.col("age").cast("string").alias("age"), F.col("_corrupt").alias("corrupt"))
+
+
+N_TARGETS = 8
+
+
 def partition_skew(spark, sf_dir):
     """Q2/Q3: load per target partition for the hash partitioner and the
     degenerate 'last partition' partitioner, with the skew ratio."""
-    c = _cart(spark, sf_dir)
-    n = 8
-    return partitioning.partition_report(c, n, {
-        "hash": partitioning.hash_partitioner("user_id", n),
-        "last": partitioning.last_partition(n)})
+    return partitioning.partition_report(_cart(spark, sf_dir), N_TARGETS, {
+        "hash": partitioning.hash_partitioner("user_id", N_TARGETS),
+        "last": partitioning.last_partition(N_TARGETS)})
+
+
+def partition_placement(spark, sf_dir):
+    """Q2: rows that each partition holds after they were placed by the custom partitioner."""
+    cart = _cart(spark, sf_dir)
+    return partitioning.placement(partitioning.partition_custom(cart, N_TARGETS, partitioning.hash_partitioner("user_id", N_TARGETS)))
 
 
 # --------------------------------------------------------------------------- joins
@@ -369,6 +387,50 @@ def dynamic_threshold_alerts_scan(spark, sf_dir):
     return dynamic_threshold_alerts(spark, sf_dir, strategy="scan")
 
 
+def _edge_sides(spark, sf_dir):
+    """Events with null keys and times, and control rows with nulls and several at one time."""
+    ev = _events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"])
+    e = F.col("event_id")
+    grp = F.when(e % 13 != 0, F.col("user_id") % 7).alias("grp")
+    left = ev.select("event_id", grp, F.when(e % 97 != 0, F.col("ts")).alias("ts"))
+    control = ev.filter(F.col("event_type") == "signup").select(
+        grp, F.when(e % 29 != 0, F.date_trunc("day", "ts").cast("timestamp_ntz")).alias("eff"), (e % 50).alias("threshold"), e.alias("control_id"))
+    return left, control
+
+
+def asof_edge_cases(spark, sf_dir, strategy: str = "broadcast"):
+    """J5 with null keys, null times and tied control rows: null keys match, the last control id of a tie counts."""
+    left, control = _edge_sides(spark, sf_dir)
+    j = joins.asof_join(left, control, left_ts="ts", right_ts="eff", values=["threshold"], by=["grp"], right_order=["control_id"],
+                        strategy=strategy, block_us=fine_block_seconds(spark) * SECOND_US)
+    return j.select("event_id", _shown("grp"), _shown("threshold"))
+
+
+def _shown(name: str):
+    """A column whose nulls are shown as -1."""
+    return F.coalesce(name, F.lit(-1)).cast("long").alias(name)
+
+
+def asof_edge_cases_scan(spark, sf_dir):
+    """The same as a blocked scan: the same answer."""
+    return asof_edge_cases(spark, sf_dir, strategy="scan")
+
+
+def running_count_edge_cases(spark, sf_dir):
+    """V2 with null keys and null times: nulls are a key, and come first in time."""
+    left, _ = _edge_sides(spark, sf_dir)
+    rows = _blocked(spark, left, ["grp"], "ts")
+    return state.running_count(rows, key="grp", order=["ts", "event_id"], block=F.col(ADAPTIVE_BLOCK), levels=0).select("event_id", _shown("grp"), "n")
+
+
+def session_edge_cases(spark, sf_dir):
+    """T11 with null keys and null times: rows without a time are one session of their key."""
+    left, _ = _edge_sides(spark, sf_dir)
+    out = sessions.session_windows(_blocked(spark, left, ["grp"], "ts"), ts="ts", gap_us=10 * 60 * SECOND_US, keys=["grp"], block=F.col(ADAPTIVE_BLOCK),
+                                   aggs=[F.count(F.lit(1)).alias("events")], tiebreak=["event_id"])
+    return out.select(_shown("grp"), *[F.coalesce(F.col(c).cast("string"), F.lit("none")).alias(c) for c in ("session_start", "session_end")], "events")
+
+
 # --------------------------------------------------------------------------- late data
 
 def _late_kw(spark):
@@ -418,7 +480,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "side_output_main": side_output_main,
     "side_output_side": side_output_side,
     "person_codec_roundtrip": person_codec_roundtrip,
+    "person_codec_quarantine": person_codec_quarantine,
     "partition_skew": partition_skew,
+    "partition_placement": partition_placement,
+    "asof_edge_cases": asof_edge_cases,
+    "asof_edge_cases_scan": asof_edge_cases_scan,
+    "running_count_edge_cases": running_count_edge_cases,
+    "session_edge_cases": session_edge_cases,
     "union_sources": union_sources,
     "window_join": window_join,
     "interval_join": interval_join,

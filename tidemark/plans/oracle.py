@@ -38,6 +38,15 @@ SERVER = """server_events AS (
          user_id AS player_id, ts
   FROM events)"""
 
+HASH8 = "CAST(('0x' || substr(md5(coalesce(CAST(user_id AS VARCHAR), '')), 1, 8))::BIGINT % 8 AS INTEGER)"
+
+EDGE = """l AS (
+  SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN user_id % 7 END AS grp, CASE WHEN event_id % 97 <> 0 THEN ts END AS ts FROM events),
+control AS (
+  SELECT CASE WHEN event_id % 13 <> 0 THEN user_id % 7 END AS grp, CASE WHEN event_id % 29 <> 0 THEN date_trunc('day', ts)::TIMESTAMP END AS eff,
+         event_id % 50 AS threshold, event_id AS control_id
+  FROM events WHERE event_type = 'signup')"""
+
 # Thresholds 2,0,4,5,6,3 effective every 5 days from 2024-01-06.
 THRESHOLDS = """thresholds AS (
   SELECT * FROM (VALUES (2, TIMESTAMP '2024-01-06 00:00:00'), (0, TIMESTAMP '2024-01-11 00:00:00'),
@@ -163,28 +172,25 @@ WHERE seen % 10 = 0""",
     "rolling_reduce": """
 SELECT event_id, event_id % 2 = 0 AS is_even,
        CAST(sum(event_id) OVER (PARTITION BY event_id % 2 = 0 ORDER BY event_id
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS VARCHAR) AS running_sum
 FROM events""",
 
     "reduce_final": """
-SELECT event_id % 2 = 0 AS is_even, CAST(sum(event_id) AS BIGINT) AS total FROM events GROUP BY 1""",
+SELECT event_id % 2 = 0 AS is_even, CAST(sum(event_id) AS VARCHAR) AS total FROM events GROUP BY 1""",
 
     "running_count_by_user": f"""
 WITH {CART}
 SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY time, event_id) AS n FROM cart""",
 
-    "running_type_map": f"""
-WITH {CART},
+    "running_type_map": """
+WITH t AS (SELECT DISTINCT event_type AS ty FROM events WHERE event_type IS NOT NULL),
 c AS (
-  SELECT event_id, user_id,
-         sum(CASE WHEN event_type = 'AddToShoppingCartEvent' THEN 1 ELSE 0 END) OVER w AS a,
-         sum(CASE WHEN event_type = 'RemovedFromShoppingCartEvent' THEN 1 ELSE 0 END) OVER w AS r
-  FROM cart WINDOW w AS (PARTITION BY user_id ORDER BY time, event_id
-                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT event_id, user_id,
-       concat_ws(', ', CASE WHEN a > 0 THEN 'AddToShoppingCartEvent=' || CAST(a AS VARCHAR) END,
-                       CASE WHEN r > 0 THEN 'RemovedFromShoppingCartEvent=' || CAST(r AS VARCHAR) END) AS counts
-FROM c""",
+  SELECT event_id, user_id, ty,
+         sum(CASE WHEN event_type = ty THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, ty ORDER BY ts, event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n
+  FROM events CROSS JOIN t)
+SELECT event_id, user_id, string_agg(ty || '=' || CAST(n AS VARCHAR), ', ' ORDER BY ty) FILTER (WHERE n > 0) AS counts
+FROM c GROUP BY event_id, user_id""",
 
     "recent_list_by_user": f"""
 WITH {CART},
@@ -239,6 +245,41 @@ SELECT c_custkey, c_name || ',' || CAST(c_nationkey AS VARCHAR) AS wire,
        CAST(split_part(c_name || ',' || CAST(c_nationkey AS VARCHAR), ',', 2) AS INTEGER) AS age
 FROM customer""",
 
+    "person_codec_quarantine": """
+WITH w AS (
+  SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN c_name WHEN c_custkey % 7 = 0 THEN c_name || ',x' || CAST(c_nationkey AS VARCHAR)
+                         WHEN c_custkey % 5 = 0 THEN c_name || ',Jr,' || CAST(c_nationkey AS VARCHAR) WHEN c_custkey % 13 = 0 THEN NULL
+                         ELSE c_name || ',' || CAST(c_nationkey AS VARCHAR) END AS value FROM customer),
+p AS (SELECT c_custkey, value, split_part(value, ',', 1) AS name, TRY_CAST(nullif(split_part(value, ',', 2), '') AS INTEGER) AS age FROM w)
+SELECT c_custkey, CASE WHEN age IS NOT NULL THEN name END AS name, CAST(age AS VARCHAR) AS age, CASE WHEN age IS NULL THEN value END AS corrupt FROM p""",
+
+    "partition_skew": f"""
+WITH {CART},
+p AS (SELECT 'hash' AS partitioner, {HASH8} AS partition FROM cart UNION ALL SELECT 'last', 7 FROM cart),
+c AS (SELECT partitioner, partition, count(*) AS rows FROM p GROUP BY 1, 2)
+SELECT partitioner, partition, rows, round(rows / sum(rows) OVER w, 6) AS share, round(max(rows) OVER w / (sum(rows) OVER w / 8.0), 6) AS skew
+FROM c WINDOW w AS (PARTITION BY partitioner)""",
+
+    "partition_placement": f"WITH {CART} SELECT {HASH8} AS partition, count(*) AS rows FROM cart GROUP BY 1",
+
+    "asof_edge_cases": f"""
+WITH {EDGE},
+c AS (SELECT grp, eff, arg_max(threshold, control_id) AS threshold FROM control WHERE eff IS NOT NULL GROUP BY 1, 2),
+u AS (SELECT grp, ts AS moment, 1 AS side, event_id, NULL::BIGINT AS threshold FROM l UNION ALL SELECT grp, eff, 0, NULL, threshold FROM c),
+f AS (SELECT *, last_value(threshold IGNORE NULLS) OVER (PARTITION BY grp ORDER BY moment NULLS FIRST, side
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS found FROM u)
+SELECT event_id, coalesce(grp, -1)::BIGINT AS grp, coalesce(found, -1)::BIGINT AS threshold FROM f WHERE side = 1""",
+
+    "running_count_edge_cases": f"""
+WITH {EDGE}
+SELECT event_id, coalesce(grp, -1)::BIGINT AS grp, row_number() OVER (PARTITION BY grp ORDER BY ts NULLS FIRST, event_id) AS n FROM l""",
+
+    "session_edge_cases": f"""
+WITH {EDGE},
+s AS (SELECT *, CASE WHEN ts IS NULL THEN -1 ELSE sum(new) OVER (PARTITION BY grp ORDER BY ts NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) END AS sid
+      FROM (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY grp ORDER BY ts NULLS FIRST, event_id) > 600000000 THEN 1 ELSE 0 END AS new FROM l))
+SELECT coalesce(grp, -1)::BIGINT AS grp, coalesce(min(ts)::VARCHAR, 'none') AS session_start, coalesce((max(ts) + INTERVAL 10 MINUTE)::VARCHAR, 'none') AS session_end, count(*) AS events FROM s GROUP BY grp, sid""",
+
     "union_sources": f"""
 WITH {CART}
 SELECT event_id, event_type, user_id, 'kafka_' || sku AS sku, quantity, time
@@ -291,22 +332,13 @@ FROM m WHERE NOT coalesce(wstart + 1800000000 <= wm, false) GROUP BY wstart""",
 }
 
 
-# Streaming twins: joins and stateful processors equal their batch twins exactly;
-# watermarked window aggregations emit only windows closed by the final watermark
-# (max event time - 10 minutes), so their oracle keeps only those.
-_CLOSED = "make_timestamp(epoch_us((SELECT max(ts) FROM events)) - 600000000)"
-
-
-def _closed(sql: str, end_col: str) -> str:
-    return f"SELECT * FROM ({sql.strip()}) AS q WHERE {end_col} <= {_CLOSED}"
-
-
+# Streaming twins equal their batch twins: a closing row at the end of the replay lets every window be emitted.
 _STREAMING = {
     "streaming_count_trigger": _SQL["count_trigger"],
     "streaming_rolling_reduce": _SQL["rolling_reduce"],
-    "streaming_tumbling_counts": _closed(_SQL["tumbling_type_counts"], "window_end"),
-    "streaming_sliding_counts": _closed(_SQL["sliding_counts"], "window_end"),
-    "streaming_session_by_user": _closed(_SQL["session_by_user"], "session_end"),
+    "streaming_tumbling_counts": _SQL["tumbling_type_counts"],
+    "streaming_sliding_counts": _SQL["sliding_counts"],
+    "streaming_session_by_user": _SQL["session_by_user"],
     "streaming_interval_join": _SQL["interval_join"],
     "streaming_window_join": f"""
 WITH {CART}, {ADDS}, {CATALOG}
@@ -315,6 +347,13 @@ SELECT a.user_id, {bucket('a.time', 6 * H)} AS window_start, {bucket('a.time', 6
 FROM adds a JOIN catalog c ON a.user_id = c.user_id
  AND epoch_us(a.time) // {6 * H} = epoch_us(c.time) // {6 * H}""",
     "streaming_running_count": _SQL["running_count_by_user"],
+    "streaming_restart": _SQL["running_count_by_user"],
+    "streaming_count_trigger_purging": _SQL["count_trigger_purging"],
+    "streaming_side_outputs": f"""
+WITH {CART} SELECT *, CASE WHEN coalesce(user_id = 1, false) THEN 'side' ELSE 'main' END AS output FROM cart""",
+    "streaming_ingest_windows": f"""
+SELECT {bucket('ingest_ts', H)} AS window_start, {bucket('ingest_ts', H, H)} AS window_end, count(*) AS events
+FROM (SELECT make_timestamp(epoch_us(ts) + (event_id * 7 % 20) * 1000000) AS ingest_ts FROM events WHERE ts IS NOT NULL) GROUP BY 1, 2""",
     "streaming_type_map": _SQL["running_type_map"],
     "streaming_recent_list": _SQL["recent_list_by_user"],
     "streaming_high_quantity": _SQL["high_quantity_counter"],
@@ -327,6 +366,7 @@ WHERE a.quantity > coalesce(t.threshold, 0)""",
 
 
 _SQL["dynamic_threshold_alerts_scan"] = _SQL["dynamic_threshold_alerts"]
+_SQL["asof_edge_cases_scan"] = _SQL["asof_edge_cases"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,52 +7,19 @@ JDBC runs against any driver on the classpath (tests use in-process Derby).
 
 from __future__ import annotations
 
-import sys
-
-import os
-
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.codecs import decode_person, encode_person
 
-# Classes here run inside Python workers. Pickle them by value so executors do not
-# need this package installed (the driver may import it from anywhere).
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-class LineDirectoryWriter:
-    """K5 ``RichSinkFunction`` as a ``ForeachWriter``: ``open`` once per
-    (partition, epoch), ``process`` per row, ``close`` with the error if any.
-
-    Each (partition, epoch) writes its own file, written to a temporary name and
-    renamed on success, so a retried task replaces its output instead of
-    duplicating it. ``directory`` must be on storage every executor can reach.
-    """
-
-    def __init__(self, directory: str, column: str = "value"):
-        self.directory, self.column = directory, column
-        self._fh = None
-        self._tmp = self._final = None
 
-    def open(self, partition_id: int, epoch_id: int) -> bool:
-        os.makedirs(self.directory, exist_ok=True)
-        self._final = os.path.join(self.directory, f"part-{epoch_id:08d}-{partition_id:05d}.txt")
-        self._tmp = self._final + ".inprogress"
-        self._fh = open(self._tmp, "w", encoding="utf-8")
-        return True
-
-    def process(self, row) -> None:
-        self._fh.write(f"{row[self.column]}\n")
-
-    def close(self, error) -> None:
-        if self._fh is not None:
-            self._fh.close()
-        if error is None and self._tmp:
-            os.replace(self._tmp, self._final)
-        elif self._tmp and os.path.exists(self._tmp):
-            os.remove(self._tmp)
+def line_directory_writer(directory: str, column: str = "value"):
+    """K5 custom sink as a ``foreachBatch`` function: each epoch is a folder of text lines of its own,
+    replaced when the epoch is run again (so retries don't repeat lines). Spark writes it, so
+    ``directory`` may be on any file system it knows."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(f"{directory.rstrip('/')}/epoch={epoch_id}")
+    return write
 
 
 def foreach_rows(stream: DataFrame, writer, checkpoint: str, *, available_now: bool = True):
@@ -93,7 +60,11 @@ def jdbc_batch_writer(options: dict, columns: list[str] | None = None):
     return write
 
 
-def read_jdbc(spark: SparkSession, options: dict) -> DataFrame:
+def read_jdbc(spark: SparkSession, options: dict, *, partition_column: str | None = None, lower: int = 0, upper: int = 0,
+              partitions: int = 1) -> DataFrame:
+    """A table over JDBC; with a numeric ``partition_column`` and its bounds, by ``partitions`` tasks."""
+    if partition_column:
+        options = options | {"partitionColumn": partition_column, "lowerBound": str(lower), "upperBound": str(upper), "numPartitions": str(partitions)}
     return spark.read.format("jdbc").options(**options).load()
 
 
@@ -123,6 +94,12 @@ def write_kafka(records: DataFrame, bootstrap: str, topic: str) -> None:
     records.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save()
 
 
+def stream_kafka(records: DataFrame, bootstrap: str, topic: str, checkpoint: str):
+    """K8 for streams: the same records, checkpointed."""
+    return (records.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
+            .option("checkpointLocation", checkpoint).start())
+
+
 # ----------------------------------------------------------------------------- Cassandra (K7)
 
 CASSANDRA_FORMAT = "org.apache.spark.sql.cassandra"

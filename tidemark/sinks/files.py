@@ -17,7 +17,7 @@ def write_text(df: DataFrame, path: str, *, parallelism: int | None = None, mode
     """K2 ``writeAsText(path).setParallelism(n)``: one line per row; n files (a directory)."""
     lines = df.select(render_row(df, name).alias("value"))
     if parallelism:
-        lines = lines.coalesce(parallelism)
+        lines = lines.repartition(parallelism)  # limits the sink's tasks only, not those above it
     lines.write.mode(mode).text(path)
 
 

@@ -22,10 +22,6 @@ from .. import schemas as S
 from ..functions.columns import json_int
 
 
-def with_k(events: DataFrame) -> DataFrame:
-    return events.withColumn("k", json_int("props", "k"))
-
-
 def cart(events: DataFrame) -> DataFrame:
     """Shopping-cart events (adds and removals) as one discriminated row type."""
     k = json_int("props", "k")

@@ -1,6 +1,6 @@
-"""``transformWithState`` processors: the reference's keyed Value/List/Map state.
+"""``transformWithState`` processors: one each for keyed Value, List and Map state (V2-V5).
 
-Each processor sees, per key and micro-batch, the key's new rows; it sorts them by
+Running sums and triggers of hot keys run as blocked scans instead (``blocked.py``). Each processor sees, per key and micro-batch, the key's new rows; it sorts them by
 ``(time, event_id)`` (arrival order inside a micro-batch is not defined), folds
 them through its state and emits one output row per input row, like the
 reference's ``processElement``. Across micro-batches rows arrive in batch order,
@@ -63,22 +63,6 @@ class RunningCount(StatefulProcessor):
         pass
 
 
-class HighQuantityCounter(RunningCount):
-    """V7: counts only add-to-cart rows with quantity above ``threshold``; emits on those rows."""
-
-    def __init__(self, threshold: int = 5, add_type: str = "AddToShoppingCartEvent"):
-        self.threshold, self.add_type = threshold, add_type
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        pdf = pdf[(pdf["event_type"] == self.add_type) & (pdf["quantity"] > self.threshold)]
-        if len(pdf) == 0:
-            return
-        n = _get(self.count, 0) + pd.RangeIndex(1, len(pdf) + 1).to_numpy()
-        self.count.update((int(n[-1]),))
-        yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "user_id": key[0], "n": n})
-
-
 class TypeCountMap(StatefulProcessor):
     """V4 MapState: count per event type per key; emits ``type=n, ...`` (sorted) per row."""
 
@@ -91,10 +75,12 @@ class TypeCountMap(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
         current = {k[0]: v[0] for k, v in self.counts.iterator()}
-        rendered = []
-        for et in pdf["event_type"]:
-            current[et] = current.get(et, 0) + 1
-            rendered.append(", ".join(f"{t}={c}" for t, c in sorted(current.items()) if c > 0))
+        types = sorted({*current, *pdf["event_type"]})
+        # per type, the running count over the batch's rows
+        n = {t: current.get(t, 0) + (pdf["event_type"] == t).cumsum() for t in types}
+        shown = pd.DataFrame({t: (t + "=" + c.astype(str)).where(c > 0) for t, c in n.items()})
+        rendered = shown.apply(lambda column: column + ", ").fillna("").sum(axis=1).str.removesuffix(", ")
+        current = {t: int(c.iloc[-1]) for t, c in n.items()}
         for t in set(pdf["event_type"]):  # only the entries this micro-batch changed
             self.counts.updateValue((t,), (current[t],))
         yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "counts": rendered})
@@ -119,16 +105,15 @@ class RecentList(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
-        current = [t[0] for t in self.items.get()]
-        sizes, rendered = [], []
-        for eid in pdf["event_id"]:
-            current.append(str(eid))
-            sizes.append(len(current))
-            rendered.append(", ".join(current))
-            if len(current) > self.clear_above:
-                current = []
-        if current:
-            self.items.put([(x,) for x in current])
+        held = [t[0] for t in self.items.get()]
+        items = pd.Series([*held, *pdf["event_id"].astype(str)], dtype=str).to_numpy()
+        # positions in the cycle of sizes 1 .. clear_above + 1 that the rows take
+        at = len(held) + pd.RangeIndex(len(pdf)).to_numpy()
+        sizes = at % (self.clear_above + 1) + 1
+        rendered = [", ".join(items[e - k + 1:e + 1]) for e, k in zip(at, sizes, strict=True)]
+        left = int(len(items) % (self.clear_above + 1))
+        if left:
+            self.items.put([(x,) for x in items[len(items) - left:]])
         else:
             self.items.clear()
         yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0],
@@ -136,92 +121,3 @@ class RecentList(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-class EffectiveThreshold(StatefulProcessor):
-    """J5/V6 broadcast state, effective-dated: control rows (``side`` 0) carry
-    ``(effective_ts, threshold)`` and are fanned out to every shard key; event rows
-    (``side`` 1) are checked against the latest control row at or before their time
-    (``default`` before the first). The control history is a MapState, so control
-    rows may arrive in any micro-batch before the events they govern."""
-
-    SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
-                           T.StructField("quantity", T.IntegerType()), T.StructField("threshold", T.IntegerType())])
-
-    def __init__(self, default: int = 0):
-        self.default = default
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.control = handle.getMapState("thresholds", "effective_us long", "threshold int")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        ctl = pdf[pdf["side"] == 0]
-        for us, th in zip(ctl["time_us"], ctl["threshold"]):
-            self.control.updateValue((int(us),), (int(th),))
-        ev = pdf[pdf["side"] == 1].sort_values(["time_us", "event_id"])
-        if len(ev) == 0:
-            return
-        hist = sorted((k[0], v[0]) for k, v in self.control.iterator())
-        eff = pd.Series([h[1] for h in hist], index=[h[0] for h in hist], dtype="int64")
-        if len(eff):
-            pos = eff.index.searchsorted(ev["time_us"].to_numpy(), side="right") - 1
-            th = [int(eff.iloc[p]) if p >= 0 else self.default for p in pos]
-        else:
-            th = [self.default] * len(ev)
-        out = pd.DataFrame({"event_id": ev["event_id"].to_numpy(), "user_id": ev["user_id"].to_numpy(),
-                            "quantity": ev["quantity"].to_numpy().astype("int32"),
-                            "threshold": pd.array(th, dtype="int32")})
-        yield out[out["quantity"] > out["threshold"]]
-
-    def close(self) -> None:
-        pass
-
-
-class WindowCountTrigger(StatefulProcessor):
-    """T13/T14 ``CountTrigger(every)`` on a window key: fires at every ``every``-th
-    element of the window with the cumulative pane size (or ``every`` when purging).
-    The key is ``(window_start, window_end)``; state is the count so far."""
-
-    SCHEMA = T.StructType([T.StructField("window_start", T.TimestampNTZType()),
-                           T.StructField("window_end", T.TimestampNTZType()),
-                           T.StructField("firing", T.LongType()), T.StructField("pane_size", T.LongType())])
-
-    def __init__(self, every: int = 5, purging: bool = False):
-        self.every, self.purging = every, purging
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n = sum(len(b) for b in rows)
-        start = _get(self.count, 0)
-        end = start + n
-        self.count.update((end,))
-        fired = list(range((start // self.every + 1) * self.every, end + 1, self.every))
-        if not fired:
-            return
-        yield pd.DataFrame({"window_start": [key[0]] * len(fired), "window_end": [key[1]] * len(fired),
-                            "firing": [f // self.every for f in fired],
-                            "pane_size": [self.every if self.purging else f for f in fired]})
-
-
-class RunningSum(StatefulProcessor):
-    """A1 ``keyed.reduce(_ + _)``: the running sum of ``value`` per key after every
-    element (ordered by ``order`` inside a micro-batch)."""
-
-    def __init__(self, key_name: str, value: str, order: str):
-        self.key_name, self.value, self.order = key_name, value, order
-
-    def schema(self, key_type: T.DataType) -> T.StructType:
-        return T.StructType([T.StructField(self.order, T.LongType()), T.StructField(self.key_name, key_type),
-                             T.StructField("running_sum", T.LongType())])
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "s long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
-        run = _get(self.total, 0) + pdf[self.value].astype("int64").cumsum().to_numpy()
-        self.total.update((int(run[-1]),))
-        yield pd.DataFrame({self.order: pdf[self.order].to_numpy(), self.key_name: key[0], "running_sum": run})

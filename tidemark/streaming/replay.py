@@ -6,8 +6,6 @@ stream is something Structured Streaming can replay exactly:
 * ``stage_time_slices`` lands a table as time slices (one parallel append job per
   slice, so file modification order follows event time), read back with
   ``file_stream`` one slice per micro-batch, the way a landing zone fills up;
-* ``rate_numbers`` is the parallel, deterministic numbers source (S5): the
-  ``rate-micro-batch`` source plus a seeded hash instead of a random generator;
 * ``line_stream`` reads text lines (S6, re-aimed from a raw socket).
 
 ``run_available_now`` drives a streaming query over everything available with a
@@ -17,6 +15,8 @@ batch DataFrame (read through the sink's commit log, so only committed files).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,31 +25,45 @@ from ..functions.columns import epoch_micros
 from ..session import scratch_path
 
 
+def time_slices(df: DataFrame, ts: str, n_slices: int) -> list[tuple]:
+    """[from, to) bounds of ``n_slices`` slices of about equally many rows (fewer if times repeat); the last has no end.
+
+    Rows without a time belong to no slice.
+    """
+    cuts = [i / n_slices for i in range(1, n_slices)]
+    found = df.agg(F.min(ts).alias("lo"), F.percentile_approx(epoch_micros(ts), F.array(*[F.lit(c) for c in cuts]), F.lit(10_000)).alias("cuts")).first()
+    if found["lo"] is None:
+        return []
+    epoch = dt.datetime(1970, 1, 1)
+    starts = sorted({found["lo"], *[epoch + dt.timedelta(microseconds=c) for c in found["cuts"]]})
+    return list(zip(starts, [*starts[1:], None], strict=True))
+
+
 def stage_time_slices(df: DataFrame, path: str, *, ts: str, n_slices: int,
                       only: range | None = None, files_per_slice: int | None = None) -> int:
-    """Land ``df`` as ``n_slices`` time slices, slice i strictly before slice i+1.
-
-    Each slice is written by ``k`` parallel tasks as exactly ``k`` files (round-robin,
-    so none is empty), one job per slice, so every file of slice i is older than any
-    file of slice i+1. Read back with ``maxFilesPerTrigger = k``, each micro-batch is
-    exactly one slice, in event-time order. Returns ``k``. ``only`` lands a subset of
-    the slices (e.g. the first half now, the rest after a restart).
+    """Land ``df`` as time slices of about equally many rows, slice i strictly before slice i+1.
+
+    Each slice is written by ``k`` parallel tasks as ``k`` files, one job per slice, so every file of
+    slice i is older than any file of slice i+1. Read back with ``maxFilesPerTrigger = k``, each
+    micro-batch is one slice, in event-time order. Rows are dealt in turn, and ``k`` is no more than the rows that
+    the fullest input split of the smallest slice has at least, so no file is empty. Returns ``k``.
+    ``only`` lands a subset of the slices (e.g. the first half now, the rest after a restart). Slices are
+    chosen by bounds on ``ts`` itself, which parquet can prune by.
     """
     spark = df.sparkSession
-    us = epoch_micros(ts)
-    bounds = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    if lo is None:
+    slices = time_slices(df, ts, n_slices)
+    if not slices:
         return 1
-    width = (hi - lo) // n_slices + 1
-    sl = F.floor((us - F.lit(lo)) / F.lit(width)).cast("long")
-    counts = {r["s"]: r["n"] for r in df.groupBy(sl.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = [df.filter((F.col(ts) >= F.lit(a)) & (F.col(ts) < F.lit(b)) if b is not None else F.col(ts) >= F.lit(a)) for a, b in slices]
+    index = F.lit(0)
+    for a, _ in slices[1:]:
+        index = index + (F.col(ts) >= F.lit(a)).cast("int")
+    least = df.filter(F.col(ts).isNotNull()).groupBy(index.alias("s")).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0]
     k = files_per_slice or spark.sparkContext.defaultParallelism
-    k = max(1, min([k, *counts.values()]))
-    for i in (only if only is not None else range(n_slices)):
-        if counts.get(i, 0) == 0:
-            continue
-        df.filter(sl == i).repartition(k).write.mode("append").parquet(path)
+    k = max(1, min(k, least // max(1, df.rdd.getNumPartitions())))
+    for i in (only if only is not None else range(len(slices))):
+        if i < len(slices):
+            parts[i].repartition(k).write.mode("append").parquet(path)
     return k
 
 
@@ -65,15 +79,6 @@ def line_stream(spark: SparkSession, path: str, *, files_per_batch: int = 1) ->
             .load(path).withColumnRenamed("value", "line"))
 
 
-def rate_numbers(spark: SparkSession, *, rows_per_batch: int, partitions: int = 4, seed: int = 42,
-                 start_ms: int = 1_644_883_200_000, advance_ms: int = 5000) -> DataFrame:
-    """Parallel, replayable numbers: ``value`` (sequence), ``n`` (seeded hash, >= 0), ``timestamp``."""
-    src = (spark.readStream.format("rate-micro-batch")
-           .option("rowsPerBatch", rows_per_batch).option("numPartitions", partitions)
-           .option("startTimestamp", start_ms).option("advanceMillisPerBatch", advance_ms).load())
-    return src.select("timestamp", "value", F.abs(F.xxhash64(F.col("value"), F.lit(seed))).alias("n"))
-
-
 def event_time(c: str) -> Column:
     """``withWatermark`` needs TIMESTAMP (not NTZ): reinterpret the NTZ value as UTC."""
     return F.col(c).cast("timestamp")

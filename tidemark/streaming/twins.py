@@ -1,51 +1,67 @@
 """Structured Streaming twins of the batch catalogue.
 
 Each twin replays the driver's ``events`` table as time-ordered files (one
-micro-batch per file), runs the streaming form of an operator with
-``trigger(availableNow=True)`` into a parquet file sink (checkpointed in the
-shared checkpoint folder) and returns the sink's output. Tests and the oracle
-check stream == batch:
+micro-batch per slice), runs the streaming form of an operator with
+``trigger(availableNow=True)`` and returns its output. Tests and the oracle check stream == batch:
 
 * windowed aggregations and session windows run in append mode behind a
-  watermark, so only windows closed by the final watermark are emitted (the
-  oracle keeps the same closed windows);
-* stream-stream joins and ``transformWithState`` processors emit every result and
-  equal their batch twins exactly.
+  watermark; a row far in the future lands last and closes all windows of the input;
+* stream-stream joins, ``transformWithState`` processors and the blocked scans per micro-batch
+  (``blocked.py``) emit every result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.columns import duration_us
+from ..operators import joins, windows
+from ..operators.scan import id_block, time_block
 from ..session import scratch_path
 from ..sources import tables, views
+from . import blocked
 from . import processors as P
 from .replay import event_time, file_stream, run_available_now, stage_time_slices, to_ntz
 
-N_SLICES = 4
 DELAY = "10 minutes"
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "props"]
+#: Closes every window: a row so long after the last one (it is in no result, its own window stays open).
+FLUSH_AFTER = "INTERVAL 3650 DAYS"
 
 
-_STAGED: dict[tuple, str] = {}
+def n_slices(spark: SparkSession) -> int:
+    """Micro-batches of a replay: ``spark.tidemark.streaming.slices``; make it so many that a slice fits the cluster."""
+    return int(spark.conf.get("spark.tidemark.streaming.slices", "4"))
 
 
-def replay_events(spark: SparkSession, sf_dir: str, n_slices: int = N_SLICES) -> DataFrame:
-    """The ``events`` table as a file stream of ``n_slices`` time-ordered micro-batches.
+_STAGED: dict[tuple, tuple[str, int]] = {}
 
-    The landed files are immutable, so every twin in a session replays the same
-    landing folder (each query keeps its own checkpoint).
+
+def replay_events(spark: SparkSession, sf_dir: str, *, flush: bool = False) -> DataFrame:
+    """The ``events`` table as a file stream of time-ordered micro-batches; with ``flush``, the closing row comes last.
+
+    The landed files are immutable, so the twins of a session replay the same
+    landing folder as long as the table's files are the same (each query keeps its own checkpoint).
     """
     ev = tables.events(spark, sf_dir, EVENT_COLS)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), n_slices)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), n_slices(spark), *_state_of(ev))
     if key not in _STAGED:
         path = scratch_path(spark, "replay", "events")
-        _STAGED[key] = (path, stage_time_slices(ev, path, ts="ts", n_slices=n_slices))
+        k = stage_time_slices(ev, f"{path}/slices", ts="ts", n_slices=n_slices(spark))
+        last = ev.agg(F.max("ts").alias("ts")).filter("ts IS NOT NULL")
+        flush_row = last.select(*[(F.col("ts") + F.expr(FLUSH_AFTER) if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in ev.schema])
+        flush_row.coalesce(1).write.parquet(f"{path}/flush")
+        _STAGED[key] = (path, k)
     path, files_per_slice = _STAGED[key]
-    return file_stream(spark, path, ev.schema, files_per_batch=files_per_slice)
+    return file_stream(spark, f"{path}/{'*' if flush else 'slices'}", ev.schema, files_per_batch=files_per_slice)
+
+
+def _state_of(df: DataFrame) -> tuple:
+    """The table's files, their lengths and times: another state of the table is another replay."""
+    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return tuple(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first())
 
 
 def _windowed(stream: DataFrame) -> DataFrame:
@@ -54,7 +70,7 @@ def _windowed(stream: DataFrame) -> DataFrame:
 
 def streaming_tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3 h tumbling registrations, event time, 10 min watermark, append mode."""
-    se = views.server_events(replay_events(spark, sf_dir))
+    se = views.server_events(replay_events(spark, sf_dir, flush=True))
     agg = (_windowed(se).groupBy(F.window("ts", "3 hours").alias("w"))
            .agg(F.count_if(F.col("event_type") == S.PLAYER_REGISTERED).alias("registrations"),
                 F.count(F.lit(1)).alias("events")))
@@ -65,7 +81,7 @@ def streaming_tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streaming_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T10 streaming: 3 h windows sliding by 1 h."""
-    se = views.server_events(replay_events(spark, sf_dir))
+    se = views.server_events(replay_events(spark, sf_dir, flush=True))
     agg = (_windowed(se).groupBy(F.window("ts", "3 hours", "1 hour").alias("w"))
            .agg(F.count_if(F.col("event_type") == S.PLAYER_REGISTERED).alias("registrations"),
                 F.count(F.lit(1)).alias("events")))
@@ -76,7 +92,7 @@ def streaming_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streaming_session_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T11 streaming: per-user session windows, 1 h gap (the key column is required)."""
-    ev = replay_events(spark, sf_dir)
+    ev = replay_events(spark, sf_dir, flush=True)
     agg = (_windowed(ev).groupBy("user_id", F.session_window("ts", "1 hour").alias("w"))
            .agg(F.count(F.lit(1)).alias("events"),
                 F.count_if(F.col("event_type") == "signup").alias("registrations")))
@@ -135,8 +151,9 @@ def streaming_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streaming_type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V4 streaming: MapState of counts per event type per user."""
-    return _process(spark, _cart_stream(spark, sf_dir), "user_id", P.TypeCountMap(), P.TypeCountMap.SCHEMA,
+    """V4 streaming: MapState of counts per event type per user, over all events."""
+    events = replay_events(spark, sf_dir).select("event_id", "user_id", "event_type", F.col("ts").alias("time"))
+    return _process(spark, events, "user_id", P.TypeCountMap(), P.TypeCountMap.SCHEMA,
                     "type_map")
 
 
@@ -151,47 +168,103 @@ def streaming_recent_list(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "recent_list")
 
 
+def _block(spark: SparkSession, ts: str):
+    return time_block(ts, int(spark.conf.get("spark.tidemark.scan.fineBlockSeconds", "3600")) * 1_000_000)
+
+
 def streaming_high_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V7 streaming: checkpointed per-user counter of add-to-cart with quantity > 5."""
-    return _process(spark, _cart_stream(spark, sf_dir), "user_id", P.HighQuantityCounter(5),
-                    P.RunningCount.SCHEMA, "high_quantity")
+    """V7 streaming: per-user counter of add-to-cart with quantity > 5, a blocked scan per micro-batch."""
+    hits = _cart_stream(spark, sf_dir).filter((F.col("event_type") == S.ADD_TO_CART) & (F.col("quantity") > 5))
+    return blocked.running_sum(spark, hits, "high_quantity", keys=["user_id"], order=["time", "event_id"], block=_block(spark, "time"), value=F.lit(1),
+                               finish=lambda rows, n: rows.select("event_id", "user_id", F.col(n).cast("long").alias("n")))
 
 
-def streaming_dynamic_threshold(spark: SparkSession, sf_dir: str, shards: int = 8) -> DataFrame:
-    """J5/V6 streaming: effective-dated control rows fanned out to ``shards`` keys;
-    events keyed by ``pmod(xxhash64(user), shards)``."""
+def streaming_dynamic_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5/V6 streaming: each micro-batch is joined as of the control rows that have landed by then."""
     adds = views.cart_adds(replay_events(spark, sf_dir))
-    ev = adds.select(F.lit(1).alias("side"), F.pmod(F.xxhash64("user_id"), F.lit(shards)).alias("shard"),
-                     "event_id", "user_id", "quantity", F.unix_micros(event_time("time")).alias("time_us"),
-                     F.lit(None).cast("int").alias("threshold"))
-    ctl_path = scratch_path(spark, "replay", "thresholds")
-    views.thresholds(spark).coalesce(1).write.parquet(ctl_path)
-    ctl = file_stream(spark, ctl_path, S.THRESHOLDS)
-    ctl = ctl.select(F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
-                     .alias("shard"), F.lit(None).cast("long").alias("event_id"),
-                     F.lit(None).cast("long").alias("user_id"), F.lit(None).cast("int").alias("quantity"),
-                     F.unix_micros(event_time("effective_ts")).alias("time_us"), "threshold")
-    both = ev.unionByName(ctl)
-    out = both.groupBy("shard").transformWithStateInPandas(
-        statefulProcessor=P.EffectiveThreshold(views.THRESHOLD_DEFAULT),
-        outputStructType=P.EffectiveThreshold.SCHEMA, outputMode="Append", timeMode="None")
-    return run_available_now(spark, out, "dynamic_threshold")
+    control, out = scratch_path(spark, "replay", "thresholds"), scratch_path(spark, "streams", "dynamic_threshold")
+    views.thresholds(spark).coalesce(1).write.parquet(control)
+
+    def alerts(rows: DataFrame) -> DataFrame:
+        landed = rows.sparkSession.read.schema(S.THRESHOLDS).parquet(control)
+        j = joins.asof_join(rows, landed, left_ts="time", right_ts="effective_ts", values=["threshold"], block_us=duration_us("1 hour"))
+        j = j.withColumn("threshold", F.coalesce("threshold", F.lit(views.THRESHOLD_DEFAULT)))
+        return j.filter(F.col("quantity") > F.col("threshold")).select("event_id", "user_id", "quantity", "threshold")
+
+    blocked.run_batches(spark, adds, "dynamic_threshold", lambda batch, i: alerts(batch).write.mode("overwrite").parquet(f"{out}/batch={i}"))
+    return blocked.read_batches(spark, out, alerts(spark.createDataFrame([], adds.schema)))
+
+
+def _count_trigger(spark: SparkSession, sf_dir: str, name: str, every: int, purging: bool) -> DataFrame:
+    w = _cart_stream(spark, sf_dir).select(F.window("time", "1 day").alias("w"), "event_id", "time")
+    w = w.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_id", "time")
+
+    def fired(rows: DataFrame, n: str) -> DataFrame:
+        rows = rows.withColumn(n, F.col(n).cast("long")).filter(F.col(n) % every == 0)
+        pane = F.lit(every).cast("long") if purging else F.col(n)
+        return rows.select("window_start", "window_end", (F.col(n) / every).cast("long").alias("firing"), pane.alias("pane_size"))
+
+    return blocked.running_sum(spark, w, name, keys=["window_start", "window_end"], order=["time", "event_id"], block=_block(spark, "time"),
+                               value=F.lit(1), finish=fired)
 
 
 def streaming_count_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T13 streaming: CountTrigger(5) on 1-day windows of the cart stream (cumulative panes)."""
-    c = _cart_stream(spark, sf_dir)
-    w = c.select(F.window("time", "1 day").alias("w"), "event_id")
-    w = w.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_id")
-    return _process(spark, w, ["window_start", "window_end"], P.WindowCountTrigger(5),
-                    P.WindowCountTrigger.SCHEMA, "count_trigger")
+    return _count_trigger(spark, sf_dir, "count_trigger", 5, purging=False)
+
+
+def streaming_count_trigger_purging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T14 streaming: the purging trigger, panes of exactly 5."""
+    return _count_trigger(spark, sf_dir, "count_trigger_purging", 5, purging=True)
 
 
 def streaming_rolling_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 streaming: keyBy(n is even).reduce(_ + _) with a ValueState running sum per key."""
+    """A1 streaming: keyBy(n is even).reduce(_ + _); two keys, each spread over its blocks. Sums are given as text, exact."""
     ev = replay_events(spark, sf_dir).select("event_id", (F.col("event_id") % 2 == 0).alias("is_even"))
-    proc = P.RunningSum("is_even", "event_id", "event_id")
-    return _process(spark, ev, "is_even", proc, proc.schema(T.BooleanType()), "rolling_reduce")
+    block = id_block("event_id", int(spark.conf.get("spark.tidemark.scan.blockIds", "2000")))
+    return blocked.running_sum(spark, ev, "rolling_reduce", keys=["is_even"], order=["event_id"], block=block, value=F.col("event_id"),
+                               finish=lambda rows, n: rows.select("event_id", "is_even", F.col(n).cast("string").alias("running_sum")))
+
+
+def streaming_side_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13 streaming: main and side output of one read of the stream, each micro-batch written to both."""
+    cart, out = _cart_stream(spark, sf_dir), scratch_path(spark, "streams", "side_outputs")
+
+    def tagged(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("output", F.when(F.coalesce(F.col("user_id") == 1, F.lit(False)), F.lit("side")).otherwise(F.lit("main")))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        tagged(batch).write.mode("overwrite").partitionBy("output").parquet(f"{out}/batch={batch_id}")
+
+    blocked.run_batches(spark, cart, "side_outputs", step)
+    main, side = (blocked.read_batches(spark, f"{out}", tagged(spark.createDataFrame([], cart.schema)).drop("output")) for _ in range(2))
+    place = F.col("_metadata.file_path")
+    return main.filter(place.contains("/output=main/")).withColumn("output", F.lit("main")).unionByName(
+        side.filter(place.contains("/output=side/")).withColumn("output", F.lit("side")))
+
+
+def streaming_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V8: the running count stopped after half of the input and started again from its checkpoint."""
+    ev = tables.events(spark, sf_dir, EVENT_COLS)
+    landing, out = scratch_path(spark, "replay", "restart"), scratch_path(spark, "streams", "restart")
+    half = n_slices(spark) // 2
+    result = None
+    for part in (range(half), range(half, n_slices(spark))):
+        k = stage_time_slices(ev, landing, ts="ts", n_slices=n_slices(spark), only=part)
+        stream = views.cart(file_stream(spark, landing, ev.schema, files_per_batch=k))
+        counted = stream.groupBy("user_id").transformWithStateInPandas(
+            statefulProcessor=P.RunningCount(), outputStructType=P.RunningCount.SCHEMA, outputMode="Append", timeMode="None")
+        result = run_available_now(spark, counted, "restart", checkpoint=f"{out}_checkpoint", path=out)
+    return result
+
+
+def streaming_ingest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T9 streaming: 1 h windows over a recorded ingest time (a few seconds after the event's)."""
+    ev = replay_events(spark, sf_dir, flush=True)
+    ingest = event_time("ts") + F.make_dt_interval(secs=F.pmod(F.coalesce("event_id", F.lit(0)) * 7, F.lit(20)).cast("decimal(18,6)"))
+    timed = ev.select(ingest.alias("ingest_ts")).withWatermark("ingest_ts", DELAY)
+    counts = windows.processing_time_counts(timed, "1 hour")
+    return run_available_now(spark, counts.select(to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"), "events"), "ingest_windows")
 
 
 STREAMING_QUERIES = {
@@ -207,4 +280,8 @@ STREAMING_QUERIES = {
     "streaming_recent_list": streaming_recent_list,
     "streaming_high_quantity": streaming_high_quantity,
     "streaming_dynamic_threshold": streaming_dynamic_threshold,
+    "streaming_count_trigger_purging": streaming_count_trigger_purging,
+    "streaming_side_outputs": streaming_side_outputs,
+    "streaming_restart": streaming_restart,
+    "streaming_ingest_windows": streaming_ingest_windows,
 }
