@@ -91,5 +91,13 @@ def test_bins_agree_as_often_as_the_sets_are_alike():
 
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(100)] + [(1000, 500), (500, 700), (7, 7), (700, 1000)]
-    got = {r.v: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
-    assert got == {**dict.fromkeys(range(1, 101), 0), 700: 500, 1000: 500}
+    for one_task in (1000, 10):
+        got = {r.v: r.root for r in components(spark.createDataFrame(edges, "u long, v long"), one_task).collect()}
+        assert got == {**dict.fromkeys(range(1, 101), 0), 700: 500, 1000: 500}
+
+
+def test_bitmap_of_wanted_slots(spark):
+    ids = spark.range(0, 5000, 7)
+    bits = np.unpackbits(op4_oph.wanted_slots(ids), bitorder="little")
+    slots = {r[0] for r in ids.select(op4_oph._slot()).collect()}
+    assert set(np.flatnonzero(bits).tolist()) == slots

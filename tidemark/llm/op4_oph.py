@@ -6,10 +6,11 @@ bin's own random order of the others (the same for all documents), which makes a
 bins agree with the Jaccard similarity as their chance. Bands of bins are bucket keys.
 
 Equal sets are one class from the start. In each bucket every class is paired with the bucket's smallest
-class only: a star, so a bucket of n gives n - 1 pairs. Pairs are
-confirmed on full sets, and their links give components. A star can miss a link between two
-of its other members; it matters only if they are in different components. So, in buckets that
-still span components, the pairs across components that the sizes allow are confirmed as well.
+class only: a star, so a bucket of n gives n - 1 pairs. Pairs whose signatures (a few
+bits of each bin) agree nearly often enough are confirmed on full sets, and their links give components. A star can miss a link between two
+of its other members; it matters only if they are in different components. So the members of buckets that
+still span components are compared by their signatures, in blocks, and the few pairs across
+components that may be alike are confirmed on full sets as well.
 """
 
 from __future__ import annotations
@@ -25,10 +26,16 @@ from pyspark.sql import functions as F
 from tidemark.llm import batches, common
 from tidemark.llm.components import components
 
-BIN_BITS = 7
+BIN_BITS = 9
 BINS = 1 << BIN_BITS
 BAND_ROWS = 4
-BANDS = BINS // BAND_ROWS
+BANDS = 32
+#: Bits of each bin that a signature keeps, two bins in a byte.
+SIGNATURE_BITS = 4
+#: Bits of the filter that keeps texts no pair asks for out of the shuffle (it lets some through, which are joined away).
+FILTER_BITS = 24
+#: Members of a block when a bucket's signatures are compared.
+BLOCK = 256
 
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _EDGES = np.arange(1, BINS, dtype=np.uint64) << np.uint64(64 - BIN_BITS)
@@ -70,33 +77,115 @@ def bins_of(hashes: np.ndarray) -> np.ndarray:
 
 
 def band_keys(bins: np.ndarray) -> np.ndarray:
-    rows = bins.reshape(BANDS, BAND_ROWS)
+    rows = bins[:BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
     key = _mix(np.arange(BANDS, dtype=np.uint64) + _P)
     for i in range(BAND_ROWS):
         key = _mix(key * _P + rows[:, i])
     return key.view(np.int64)
 
 
+def signature(bins: np.ndarray) -> bytes:
+    low = bins.astype(np.uint8) & np.uint8(15)
+    return (low[0::2] | (low[1::2] << np.uint8(4))).tobytes()
+
+
+def least_matches(percent: int) -> int:
+    """How many bins of two signatures agree at least, but for once in 30,000 times, if the sets reach ``percent``."""
+    p = percent / 100 + (1 - percent / 100) / 2**SIGNATURE_BITS
+    return int(BINS * p - 4 * (BINS * p * (1 - p)) ** 0.5)
+
+
 def _sketches(size: int):
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("n", pa.int32()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
+        schema = pa.schema([("n", pa.int32()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
         for batch in rows_in:
-            counts, digests, bands = [], [], []
+            counts, digests, bands, signatures = [], [], [], []
             for text in batches.texts(batch):
                 s = shingles(text, size)
                 counts.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                bands.append(band_keys(bins_of(s)) if len(s) else None)
-            arrays = [pa.array(x, f.type) for x, f in zip((counts, digests, bands), schema, strict=True)]
+                bins = bins_of(s) if len(s) else None
+                bands.append(None if bins is None else band_keys(bins))
+                signatures.append(None if bins is None else signature(bins))
+            arrays = [pa.array(x, f.type) for x, f in zip((counts, digests, bands, signatures), schema, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["id", *schema.names])
     return run
 
 
-def _sets(size: int):
+def _sets(size: int, wanted: np.ndarray):
+    """The full sets of rows whose slot is wanted."""
+    def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_in:
+            slot = batch.column("slot").to_numpy()
+            part = batch.filter(pa.array((wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
+            sets = [shingles(t, size) for t in batches.texts(part)]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                                              pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "digest", "members"])
+    return run
+
+
+def _slot():
+    return F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS))
+
+
+def wanted_slots(ids: DataFrame) -> np.ndarray:
+    """A bitmap of the slots of ``ids``, put together from pieces of 4 KB that Spark makes: its size is fixed."""
+    pieces = ids.select(_slot().alias("slot")).groupBy(F.expr("bitmap_bucket_number(slot + 1)").alias("piece")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot + 1))").alias("bits"))
+    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for row in pieces.toLocalIterator():
+        piece = np.frombuffer(row["bits"], np.uint8)
+        out[(row["piece"] - 1) * len(piece):row["piece"] * len(piece)] = piece
+    return out
+
+
+def _bins(signatures: pa.Array) -> np.ndarray:
+    packed = np.frombuffer(b"".join(signatures.to_pylist()), np.uint8).reshape(len(signatures), -1)
+    bins = np.empty((len(signatures), 2 * packed.shape[1]), np.uint8)
+    bins[:, 0::2], bins[:, 1::2] = packed & 15, packed >> 4
+    return bins
+
+
+def _alike(percent: int):
+    """Those pairs whose signatures agree often enough."""
+    least = least_matches(percent)
+
+    def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_in:
+            if batch.num_rows:
+                same = (_bins(batch.column("su")) == _bins(batch.column("sv"))).sum(axis=1) >= least
+                yield batch.select(["u", "v"]).filter(pa.array(same))
+    return run
+
+
+def _members(items: pa.Array) -> dict[str, np.ndarray]:
+    """A block's members as arrays."""
+    fields = dict(zip([f.name for f in items.type], items.flatten(), strict=True))
+    return {"bins": _bins(fields["signature"]), "bands": fields["bands"].flatten().to_numpy(zero_copy_only=False).reshape(len(items), -1)} | {k: fields[k].to_numpy(zero_copy_only=False) for k in ("node", "root", "n")}
+
+
+def _compare(percent: int):
+    """Pairs of two blocks of a bucket: of different components, of sizes that fit, alike by their signatures,
+    and with this band as the first they share (else another bucket gives them)."""
+    least = least_matches(percent)
+
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_in:
-            sets = [shingles(t, size).view(np.int64) for t in batches.texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "members"])
+            us, vs = [], []
+            columns = [batch.column(c) for c in ("left", "right")]
+            for i, (band, same) in enumerate(zip(batch.column("band").to_pylist(), batch.column("same").to_pylist(), strict=True)):
+                a, b = (_members(c[i].values) for c in columns)
+                small, large = np.minimum.outer(a["n"], b["n"]), np.maximum.outer(a["n"], b["n"])
+                open_ = (a["root"][:, None] != b["root"][None, :]) & (100 * small.astype(np.int64) >= percent * large.astype(np.int64))
+                for k in range(band):
+                    open_ &= a["bands"][:, k][:, None] != b["bands"][:, k][None, :]
+                x, y = np.nonzero(np.triu(open_, 1) if same else open_)
+                for s in range(0, len(x), 8192):
+                    p, q = x[s:s + 8192], y[s:s + 8192]
+                    alike = (a["bins"][p] == b["bins"][q]).sum(axis=1) >= least
+                    us.append(a["node"][p[alike]])
+                    vs.append(b["node"][q[alike]])
+            u, v = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (us, vs))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v), pa.int64()), pa.array(np.maximum(u, v), pa.int64())], names=["u", "v"])
     return run
 
 
@@ -105,8 +194,10 @@ def links(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFra
     spark = rows.sparkSession
     pairs = common.written(spark, pairs, "pairs")
     wanted = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
-    sets = rows.join(wanted, "id").dropDuplicates(["id", "text"]).mapInArrow(_sets(size), "id long, members array<long>")
-    sets = common.written(spark, sets, "sets")
+    wanted = common.written(spark, wanted, "wanted")
+    asked = rows.where("id is not null").select("id", "text", _slot().alias("slot"))
+    sets = asked.mapInArrow(_sets(size, wanted_slots(wanted)), "id long, digest binary, members array<long>")
+    sets = common.written(spark, sets.join(wanted, "id").dropDuplicates(["id", "digest"]).select("id", "members"), "sets")
     u = sets.select(F.col("id").alias("u"), F.col("members").alias("mu"))
     v = sets.select(F.col("id").alias("v"), F.col("members").alias("mv"))
     both = F.size(F.array_intersect("mu", "mv"))
@@ -125,28 +216,42 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     rows = common.id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
-    sketches = common.written(spark, rows.mapInArrow(_sketches(shingle_words), "id long, n int, digest binary, bands array<long>"), "sketches")
+    sketches = common.written(spark, rows.mapInArrow(_sketches(shingle_words), "id long, n int, digest binary, bands array<long>, signature binary"), "sketches")
     sets = sketches.where("id is not null and digest is not null")
-    classes = sets.groupBy("digest").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    members = common.written(spark, classes.select("node", "n", F.explode("bands").alias("key")), "members")
+    classes = common.written(spark, sets.groupBy("digest").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    members = classes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     fits = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
     buckets = members.groupBy("key").agg(F.min("node").alias("centre"), F.min_by("n", "node").alias("cn"), F.count("*").alias("size")).where("size > 1")
     star = (members.join(buckets, "key").where(F.col("node") != F.col("centre")).where(fits(F.col("n"), F.col("cn")))
             .select(F.col("centre").alias("u"), F.col("node").alias("v")).distinct())
-    same = sets.join(classes.select("digest", "node"), "digest").where("id <> node").select(F.col("node").alias("u"), F.col("id").alias("v")).distinct()
+    star = common.written(spark, star, "star")
+
+    def known(nodes: DataFrame) -> DataFrame:
+        return sets.join(nodes.select(F.col("node").alias("id")).distinct(), "id").dropDuplicates(["id", "digest"])
+
+    marks = known(star.select(F.col("u").alias("node")).union(star.select(F.col("v").alias("node"))))
+    marked = (star.join(marks.select(F.col("id").alias("v"), F.col("signature").alias("sv")), "v")
+              .join(marks.select(F.col("id").alias("u"), F.col("signature").alias("su")), "u"))
+    star = marked.mapInArrow(_alike(percent), "u long, v long").distinct()
     found = common.written(spark, links(rows, star, shingle_words, percent), "links")
     roots = common.written(spark, components(found), "roots")
 
-    # buckets that span components: pairs across them
+    # buckets that span components: pairs across them, but those with the bucket's centre, which the star has
     placed = members.join(roots.withColumnRenamed("v", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("node").alias("centre"), F.count("*").alias("size"))
-    mixed = mixed.where("lo <> hi and size > 2").select("key", "centre")
-    placed = common.written(spark, placed.join(mixed, "key"), "mixed")
-    a = placed.where("node <> centre").select("key", F.col("node").alias("u"), F.col("n").alias("un"), F.col("root").alias("ur"))
-    b = placed.select("key", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("root").alias("vr"))
-    rest = a.join(b, "key").where("u < v and ur <> vr").where(fits(F.col("un"), F.col("vn"))).select("u", "v").distinct()
+    mixed = mixed.where("lo <> hi and size > 2").select("key", "centre", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    placed = placed.join(mixed, "key").where("node <> centre")
+    placed = common.written(spark, placed.select("key", "band", "node", "root", "n", F.pmod(F.xxhash64("node"), "blocks").alias("block")), "mixed")
+    marks = known(placed).select(F.col("id").alias("node"), "bands", "signature")
+    blocks = placed.join(marks, "node").groupBy("key", "band", "block").agg(F.collect_list(F.struct("node", "root", "n", "bands", "signature")).alias("items"))
+    left = blocks.withColumnRenamed("items", "left")
+    right = blocks.select("key", F.col("block").alias("other"), F.col("items").alias("right"))
+    compared = left.join(right, "key").where("block <= other").select("band", (F.col("block") == F.col("other")).alias("same"), "left", "right")
+    rest = compared.mapInArrow(_compare(percent), "u long, v long").where("u <> v").distinct()
     more = common.written(spark, links(rows, rest, shingle_words, percent), "links")
 
+    # the other rows of a class, and the classes of an id that repeats, are linked as well
+    same = sets.join(classes.select("digest", "node"), "digest").where("id <> node").select(F.col("node").alias("u"), F.col("id").alias("v")).distinct()
     final = components(found.unionByName(more).unionByName(same))
     out = sketches.join(final.select(F.col("v").alias("id"), "root"), "id", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
