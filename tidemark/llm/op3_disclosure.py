@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import batches, common
@@ -96,44 +96,43 @@ def _scan(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("rest"), batch.column("text"), pa.array(spans, SPANS)], names=["rest", "text", "base"])
 
 
+def _outside(text: str, covered: list[tuple[int, int]]) -> list[re.Match]:
+    """The words of a text that touch none of the stretches."""
+    hidden = np.zeros(len(text) + 1, np.int32)
+    for a, b in covered:
+        hidden[a] += 1
+        hidden[b] -= 1
+    inside = np.concatenate(([0], np.cumsum(np.cumsum(hidden[:-1]) > 0)))
+    return [m for m in WORD.finditer(text) if inside[m.end()] == inside[m.start()]]
+
+
 def _contexts(window: int):
     """(row, entity, context, term): each entity's neighbouring words; context is a digest of all of them."""
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in rows_in:
                 for row, text, base in zip(batch.column("row").to_pylist(), batches.texts(batch), batch.column("base").to_pylist(), strict=True):
-                    covered = [(s["start"], s["end"]) for s in base]
-                    words = [m for m in WORD.finditer(text) if not any(a < m.end() and m.start() < b for a, b in covered)] if len(covered) < 50 else _outside(text, covered)
+                    words = _outside(text, [(s["start"], s["end"]) for s in base])
                     starts = np.array([m.start() for m in words], np.int64)
                     for s in base:
                         i = int(np.searchsorted(starts, s["start"]))
                         near = [m.group().lower() for m in words[max(0, i - window):i + window]]
                         value = f"{s['kind']}:{text[s['start']:s['end']].lower()}"
                         context = xxhash.xxh3_64_intdigest("\n".join(near)) - (1 << 63)
-                        for term in {*near}:
+                        for term in set(near):
                             yield row, xxhash.xxh3_64_intdigest(value) - (1 << 63), context, term
 
         yield from batches.record_batches(rows(), pa.schema([("row", pa.int64()), ("entity", pa.int64()), ("context", pa.int64()), ("term", pa.string())]))
     return run
 
 
-def _outside(text: str, covered: list[tuple[int, int]]) -> list[re.Match]:
-    """The words of a text that touch none of the stretches."""
-    hidden = np.zeros(len(text) + 1, np.int32)
-    for a, b in covered:
-        hidden[a] += 1
-        hidden[b] -= 1
-    inside = np.concatenate(([0], np.cumsum(np.cumsum(hidden[:-1]) > 0)))
-    return [m for m in WORD.finditer(text) if inside[m.end()] == inside[m.start()]]
-
-
 def _document_counts(bits: bytes):
     """In how many rows of a task each word is, of those that the filter lets through."""
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes, mask, seen = np.frombuffer(bits, np.uint8).tobytes(), (1 << FILTER_BITS) - 1, Counter()
+        mask, seen = (1 << FILTER_BITS) - 1, Counter()
         for batch in rows_in:
             for text in batches.texts(batch):
-                seen.update(w for w in set(WORD.findall(text.lower())) if passes[zlib.crc32(w.encode("utf-8")) & mask])
+                seen.update(w for w in set(WORD.findall(text.lower())) if bits[zlib.crc32(w.encode("utf-8")) & mask])
         yield from batches.record_batches(iter(seen.items()), pa.schema([("term", pa.string()), ("n", pa.int64())]))
     return run
 
@@ -215,6 +214,6 @@ def sanitise(docs: DataFrame, *, text_col: str = "text", window: int = 8, least_
     return plain.unionByName(found)
 
 
-def listed(spans) -> object:
+def listed(spans: str) -> Column:
     """Spans as kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
