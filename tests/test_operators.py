@@ -63,9 +63,9 @@ def test_asof_auto_picks_by_counted_size(spark):
     ev = spark.createDataFrame([(i, base + dt.timedelta(seconds=10 * i)) for i in range(12)], "id long, ts timestamp_ntz")
     ctl = spark.createDataFrame([(v, base + dt.timedelta(seconds=25 * v)) for v in range(5)], "th int, eff timestamp_ntz")
     small = joins.asof_join(ev, ctl, left_ts="ts", right_ts="eff", values=["th"], strategy="auto",
-                            max_loop_rows=10, block_us=30_000_000)
+                            max_loop_rows=10)
     large = joins.asof_join(ev, ctl, left_ts="ts", right_ts="eff", values=["th"], strategy="auto",
-                            max_loop_rows=2, block_us=30_000_000)
+                            max_loop_rows=2)
     assert "BroadcastNestedLoopJoin" in small._jdf.queryExecution().executedPlan().toString() or \
         "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
     want = sorted((i, (10 * i) // 25) for i in range(12))

@@ -47,13 +47,13 @@ def test_queries_run_at_smallest_scale(spark):
 
 SCAN_QUERIES = ["session_by_user", "session_all", "global_every_10", "count_trigger", "count_trigger_purging",
                 "rolling_reduce", "running_count_by_user", "running_type_map", "recent_list_by_user",
-                "high_quantity_counter", "running_ratio", "late_events", "late_window_counts"]
+                "high_quantity_counter", "running_ratio", "late_events", "late_window_counts", "asof_edge_cases_scan",
+                "running_count_edge_cases", "session_edge_cases", "dynamic_threshold_alerts_scan"]
 
 
 def test_scans_with_hot_keys_and_fine_blocks(spark, con):
     """Force the hot-key path (fine blocks) and many small blocks: same answers."""
-    conf = {"spark.tidemark.scan.hotKeyRows": "20", "spark.tidemark.scan.blockSeconds": str(6 * 3600),
-            "spark.tidemark.scan.fineBlockSeconds": "600", "spark.tidemark.scan.blockIds": "40"}
+    conf = {"spark.tidemark.scan.blockRows": "15", "spark.tidemark.scan.blockIds": "40"}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:

@@ -109,7 +109,7 @@ def test_asof_strategies_give_one_answer(spark, events, control, keyed):
         known = [(cs, n, v) for n, (ck, cs, v) in enumerate(control) if cs is not None and s is not None and cs <= s and (not keyed or ck == k)]
         want[i] = max(known)[2] if known else None
     for how in ({"strategy": "broadcast"}, {"strategy": "scan"}, {"max_broadcast_rows": 100, "max_loop_rows": 100}, {"max_broadcast_rows": 1, "max_loop_rows": 1}):
-        got = joins.asof_join(edf, cdf, left_ts="ts", right_ts="eff", values=["th"], by=["k"] if keyed else None, right_order=["seq"], block_us=4 * SEC, **how)
+        got = joins.asof_join(edf, cdf, left_ts="ts", right_ts="eff", values=["th"], by=["k"] if keyed else None, right_order=["seq"], block_rows=2, **how)
         assert {r["id"]: r["th"] for r in got.collect()} == want and got.count() == len(events), how
 
 
@@ -149,8 +149,33 @@ def test_null_times_are_kept(spark):
 
 
 def test_a_null_key_can_be_hot(spark):
-    from tidemark.operators.scan import ADAPTIVE_BLOCK, with_adaptive_block
+    from tidemark.operators.blocks import measured_blocks
     df = spark.createDataFrame([(i, None if i % 3 else i, BASE + dt.timedelta(minutes=i)) for i in range(90)], "id long, k int, ts timestamp_ntz")
-    out = with_adaptive_block(df, keys=["k"], ts="ts", coarse_us=3600 * 24 * SEC, fine_us=600 * SEC, min_hot_rows=20)
+    out, block = measured_blocks(df, keys=["k"], at="ts", rows=10)
     assert out.count() == 90
-    assert out.filter("k IS NULL").select(ADAPTIVE_BLOCK).distinct().count() > 5
+    assert out.filter("k IS NULL").select(block).distinct().count() > 5
+    assert out.filter("k IS NOT NULL").select(block).distinct().count() == 1
+
+
+@settings(**SETTINGS)
+@given(rows=st.lists(st.tuples(maybe(st.sampled_from([0, 0, 0, 1])), maybe(st.one_of(st.integers(0, 60), st.integers(1000, 1003)))), min_size=1, max_size=60),
+       size=st.sampled_from([1, 4, 1000]))
+def test_measured_blocks_follow_the_order_and_change_no_result(spark, rows, size):
+    from tidemark.operators.blocks import FANOUT, measured_blocks
+    data = [(i, k, None if s is None else BASE + dt.timedelta(seconds=s)) for i, (k, s) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k int, ts timestamp_ntz")
+    out, block = measured_blocks(df, keys=["k"], at="ts", rows=size)
+    if block is not None:
+        cut = sorted((str(r["k"]), r["ts"], r["_ablk"]) for r in out.collect() if r["ts"] is not None)
+        assert all(a[2] <= b[2] for a, b in zip(cut, cut[1:], strict=False) if a[0] == b[0])
+    got = scan(out, keys=["k"], order=["ts", "id"], block=block, fanout=FANOUT, specs={"n": Scan("count"), "s": Scan("sum", F.col("id")), "m": Scan("max", F.col("id"), inclusive=False)})
+    at = lambda r: (r[2] is not None, r[2] or BASE, r[0])
+    for r in got.collect():
+        me = (r["id"], r["k"], r["ts"])
+        before = [d for d in data if d[1] == me[1] and at(d) <= at(me)]
+        assert (r["n"], r["s"]) == (len(before), sum(d[0] for d in before))
+        assert r["m"] == max((d[0] for d in before if d[0] != me[0]), default=None)
+    ses = {b: sorted(map(str, sessions.session_windows(x, ts="ts", gap_us=5 * SEC, keys=["k"], block=c, fanout=FANOUT,
+                                                       aggs=[F.count(F.lit(1)).alias("n")], tiebreak=["id"]).collect()))
+           for b, x, c in (("cut", out, block), ("whole", df, None))}
+    assert ses["cut"] == ses["whole"]

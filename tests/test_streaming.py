@@ -11,7 +11,6 @@ from tidemark.session import scratch_path
 from tidemark.sources import tables, views
 from tidemark.streaming import processors as P
 from tidemark.streaming import twins
-from tidemark.operators.scan import time_block
 from tidemark.streaming import blocked
 from tidemark.streaming.replay import (event_time, file_stream, run_available_now, stage_time_slices, time_slices, to_ntz, watermark_drops)
 
@@ -51,7 +50,7 @@ def test_a_straggler_and_a_hot_key(spark):
              for a, b in time_slices(df, "ts", 4)]
     assert k == spark.sparkContext.defaultParallelism and sum(sizes) == 3601 and max(sizes) - min(sizes) < 100
     stream = file_stream(spark, path, df.schema, files_per_batch=k)
-    got = blocked.running_sum(spark, stream, "hot", keys=["k"], order=["ts", "id"], block=time_block("ts", 60_000_000), value=F.lit(2**62),
+    got = blocked.running_sum(spark, stream, "hot", keys=["k"], order=["ts", "id"], at="ts", value=F.lit(2**62),
                               finish=lambda r, n: r.select("id", F.col(n).cast("string").alias("n")))
     seen, want = {}, {}
     for i, key, _ in rows:

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros, floor_time
-from .scan import Scan, null_safe_equal, scan, time_block
+from .blocks import FANOUT, measured_blocks
+from .scan import Scan, null_safe_equal, scan
 
 
 def union_streams(*dfs: DataFrame) -> DataFrame:
@@ -59,21 +60,25 @@ def interval_join(left: DataFrame, right: DataFrame, *, key: str, left_ts: str,
     return lb.join(rb, on=[key, "_bucket"], how="inner").filter(lo & hi).drop("_bucket")
 
 
-def running_ratio(first: DataFrame, second: DataFrame, *, ts: str, order_id: str,
-                  block_us: int, name: str = "ratio") -> DataFrame:
-    """J4 connect + co-process: after every arrival from either stream, emit
+def connect(first: DataFrame, second: DataFrame, *, ts: str, order_id: str) -> DataFrame:
+    """J4 ``connect``: both streams as (event_id, ts, source), source 0 = first. Where both are filters of
+    one table, tag its rows instead: then it is read once."""
+    return union_streams(
+        first.select(F.col(order_id).alias("event_id"), F.col(ts).alias("ts"), F.lit(0).alias("source")),
+        second.select(F.col(order_id).alias("event_id"), F.col(ts).alias("ts"), F.lit(1).alias("source")))
+
+
+def running_ratio(tagged: DataFrame, *, block_rows: int | None = None, name: str = "ratio") -> DataFrame:
+    """J4 co-process: after every arrival from either stream, emit
     ``count(first) * 100.0 / (count(first) + count(second))`` so far.
 
-    Arrival order is ``(ts, source, order_id)``; source 0 = first. Counts are a
+    ``tagged`` is what ``connect`` gives. Arrival order is ``(ts, source, event_id)``. Counts are a
     blocked global scan, not a parallelism-1 operator.
     """
-    tagged = union_streams(
-        first.select(F.col(order_id).alias("event_id"), F.col(ts).alias("ts"), F.lit(0).alias("source")),
-        second.select(F.col(order_id).alias("event_id"), F.col(ts).alias("ts"), F.lit(1).alias("source")))
-    s = scan(tagged, keys=[], order=["ts", "source", "event_id"], block=time_block("ts", block_us),
+    rows, block = measured_blocks(tagged, keys=[], at="ts", rows=block_rows)
+    s = scan(rows, keys=[], order=["ts", "source", "event_id"], block=block, fanout=FANOUT,
              specs={"first_count": Scan("sum", (F.col("source") == 0).cast("long")),
-                    "second_count": Scan("sum", (F.col("source") == 1).cast("long"))},
-             levels=0)  # time blocks: the block table is bounded by span / width
+                    "second_count": Scan("sum", (F.col("source") == 1).cast("long"))})
     return s.withColumn(name, F.round(F.col("first_count") * 100.0 /
                                       (F.col("first_count") + F.col("second_count")), 6))
 
@@ -89,7 +94,7 @@ def _control(right: DataFrame, right_ts: str, by: list[str], values: list[str],
 
 def asof_join(left: DataFrame, right: DataFrame, *, left_ts: str, right_ts: str,
               values: list[str], by: list[str] | None = None, right_order: list[str] | None = None, strategy: str = "auto",
-              max_broadcast_rows: int = 10_000, max_loop_rows: int = 64, block_us: int | None = None) -> DataFrame:
+              max_broadcast_rows: int = 10_000, max_loop_rows: int = 64, block_rows: int | None = None) -> DataFrame:
     """Each left row gets the latest right row with ``right_ts <= left_ts``
     (same ``by`` key); left rows before any control row, or without a time, get nulls.
 
@@ -119,13 +124,11 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_ts: str, right_ts: str,
         return left.join(intervals, cond, "left").select(*kept, *outputs)
     if strategy != "scan":
         raise ValueError(f"unknown strategy {strategy!r}")
-    if block_us is None:
-        raise ValueError("scan strategy needs block_us")
     lt = left.select("*", *[F.col(k).alias(r) for k, r in zip(by, keys, strict=True)], F.col(left_ts).alias("_at"), F.lit(1).alias("_side"),
                      F.lit(None).cast(control.schema["_payload"].dataType).alias("_payload"))
     rt = control.select(*keys, F.col("_from").alias("_at"), F.lit(0).alias("_side"), "_payload")
     both = lt.unionByName(rt, allowMissingColumns=True)
-    s = scan(both, keys=keys, order=["_at", "_side"], block=time_block("_at", block_us),
-             specs={"_cur": Scan("last", F.col("_payload"))}, levels=0)
+    both, block = measured_blocks(both, keys=keys, at="_at", rows=block_rows)
+    s = scan(both, keys=keys, order=["_at", "_side"], block=block, fanout=FANOUT, specs={"_cur": Scan("last", F.col("_payload"))})
     s = s.filter(F.col("_side") == 1)
     return s.select(*kept, *[F.col("_cur").getField(v).alias(v) for v in values])

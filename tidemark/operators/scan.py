@@ -14,7 +14,7 @@ levels:
 1. local running value inside ``(key, block)`` — one shuffle, balanced because a hot
    key is spread over many blocks;
 2. block totals via ``groupBy(key, block)`` — partial (map-side) aggregation, so only
-   one row per block leaves each task — and an exclusive running total over blocks,
+   one row per block leaves each task, kept as a small table that is computed once — and an exclusive running total over blocks,
    computed by the same blocked scan over super-blocks of ``fanout`` blocks, so no
    task orders more than ``#blocks / fanout`` block rows of one key;
 3. join back on ``(key, block)``: the big side is already hash-partitioned on exactly
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import epoch_micros
+from ..session import kept
 
 BLOCK = "_blk"
 
@@ -63,17 +64,6 @@ def id_block(c: str | Column, width: int) -> Column:
     return F.floor(c / F.lit(width)).cast("long")
 
 
-HOT = "_hot"
-ADAPTIVE_BLOCK = "_ablk"
-
-
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
-    """Keys (null among them) holding at least ``min_rows`` rows, flagged ``_hot``: a partial
-    (map-side) count per key, of which at most ``rows / min_rows`` are left."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") >= min_rows).select(*keys, F.lit(True).alias(HOT)))
-
-
 def null_safe_equal(left: list[Column], right: list[Column]) -> Column:
     """Keys are equal, and a null key equals a null key."""
     cond = F.lit(True)
@@ -82,23 +72,6 @@ def null_safe_equal(left: list[Column], right: list[Column]) -> Column:
     return cond
 
 
-def with_adaptive_block(df: DataFrame, *, keys: list[str], ts: str, coarse_us: int, fine_us: int,
-                        min_hot_rows: int) -> DataFrame:
-    """Adds ``_ablk``: fine time blocks for hot keys, coarse ones for the rest.
-
-    Fine blocks split a key that holds a large share of the rows across many tasks;
-    coarse blocks keep the block-total table small for the many sparse keys. Without
-    keys the whole table is one key, so fine blocks are used directly.
-    """
-    if not keys:
-        return df.withColumn(ADAPTIVE_BLOCK, time_block(ts, fine_us))
-    hot = hot_keys(df, keys, min_hot_rows).withColumnsRenamed({k: f"_hk_{k}" for k in keys})
-    cond = null_safe_equal([F.col(k) for k in keys], [F.col(f"_hk_{k}") for k in keys])
-    flagged = df.join(hot, cond, "left").drop(*[f"_hk_{k}" for k in keys])
-    blk = F.when(F.col(HOT), time_block(ts, fine_us)).otherwise(time_block(ts, coarse_us))
-    return flagged.withColumn(ADAPTIVE_BLOCK, blk).drop(HOT)
-
-
 def _zero(dtype: T.DataType) -> Column:
     """Any fixed value of ``dtype`` (stands in for null next to the isnull flag)."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -134,11 +107,25 @@ def _order_struct(order: list[Column], value: Column) -> Column:
     return F.when(value.isNotNull(), F.struct(*fields, value.alias("v")))
 
 
-def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Column,
+def _windowed(df: DataFrame, keys: list[str], order: list[Column], specs: dict[str, Scan]) -> DataFrame:
+    """The running values by one window per key."""
+    out = []
+    for name, sp in specs.items():
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow if sp.inclusive else -1)
+        if sp.kind == "count":
+            out.append(F.count(F.lit(1)).over(w).alias(name))
+        elif sp.kind == "last":
+            out.append(F.last(sp.value, ignorenulls=True).over(w).alias(name))
+        else:
+            out.append({"sum": F.sum, "min": F.min, "max": F.max}[sp.kind](sp.value).over(w).alias(name))
+    return df.select(*[c for c in df.columns if c not in specs], *out)
+
+
+def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Column | None,
          specs: dict[str, Scan], levels: int = 1, fanout: int = 1024, block_name: str = BLOCK) -> DataFrame:
     """Add one column per ``specs`` entry holding the running value in ``order``
     within each ``keys`` group. ``block`` must be monotone (non-decreasing) in
-    ``order`` within a key. Null keys are a group of their own; rows whose block is null
+    ``order`` within a key; None (no key needs cutting, see ``blocks.py``) makes it one window per key. Null keys are a group of their own; rows whose block is null
     (their first order column is) come first in their group, as nulls sort.
 
     The exclusive prefix over the block table is itself a blocked scan over
@@ -147,6 +134,10 @@ def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Co
     task.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
+    if any(sp.kind not in ("sum", "count", "min", "max", "last") for sp in specs.values()):
+        raise ValueError(f"unknown scan kind in {sorted(sp.kind for sp in specs.values())}")
+    if block is None:
+        return _windowed(df, keys, order, specs)
     p = block_name  # prefix for this level's internal columns
     # internal (null-safe) key columns: null keys stay a group of their own
     tmp, keys = null_safe_keys(df.withColumn(p, F.coalesce(block, F.lit(NULL_BLOCK))), keys, p)
@@ -160,10 +151,8 @@ def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Co
             v, agg = sp.value, F.max
         elif sp.kind == "min":
             v, agg = sp.value, F.min
-        elif sp.kind == "last":
+        else:  # last
             v, agg = _order_struct(order, sp.value), F.max
-        else:
-            raise ValueError(f"unknown scan kind {sp.kind!r}")
         vname, lname, tname, oname = (f"{p}_v_{name}", f"{p}_l_{name}", f"{p}_t_{name}", f"{p}_o_{name}")
         internal += [vname, lname, oname]
         tmp = tmp.withColumn(vname, v)
@@ -174,7 +163,7 @@ def scan(df: DataFrame, *, keys: list[str], order: list[str | Column], block: Co
         total_cols.append(agg(vname).alias(tname))
 
     local = tmp.select("*", *local_cols)
-    totals = tmp.groupBy(*keys, p).agg(*total_cols)
+    totals = kept(tmp.groupBy(*keys, p).agg(*total_cols), "totals")
     offsets = _block_offsets(totals, keys, p, specs, levels, fanout)
     out = local.join(offsets, on=[*keys, p], how="inner")
     for name, sp in specs.items():

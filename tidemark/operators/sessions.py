@@ -26,15 +26,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros, interval_us
-from .scan import NULL_BLOCK, null_safe_keys
+from ..session import kept
+from .scan import NULL_BLOCK, Scan, null_safe_keys, scan
 
 SID = "session_seq"
 
 
-def session_ids(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block: Column,
-                tiebreak: list[str] | None = None) -> DataFrame:
-    """Adds ``session_seq`` (1-based per key) to every row."""
+def session_ids(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block: Column | None,
+                tiebreak: list[str] | None = None, fanout: int = 1024) -> DataFrame:
+    """Adds ``session_seq`` (1-based per key) to every row. Without blocks (None) it is one window per key."""
     order = [F.col(ts), *[F.col(c) for c in (tiebreak or [])]]
+    if block is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        prev, us = F.lag(epoch_micros(ts)).over(w), epoch_micros(ts)
+        first = F.lag(F.lit(1)).over(w).isNull() | (prev.isNull() & us.isNotNull()) | ((us - prev) > gap_us)
+        t = df.withColumn("_start", F.when(first, 1).otherwise(0))
+        return t.withColumn(SID, F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_start")
     # internal (null-safe) key columns: null keys stay a group of their own
     t, keys = null_safe_keys(df.withColumn("_blk", F.coalesce(block, F.lit(NULL_BLOCK))).withColumn("_us", epoch_micros(ts)), keys, "_ss")
     w = Window.partitionBy(*keys, "_blk").orderBy(*order)
@@ -47,25 +54,21 @@ def session_ids(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block:
     # prunes this branch to (key, block, ts, tiebreak), a narrow second shuffle.
     blocks = t.groupBy(*keys, "_blk").agg(F.min("_us").alias("_bmin"), F.max("_us").alias("_bmax"),
                                           F.sum("_start").alias("_bint"))
-    # Across blocks: one row per (key, time block). Time blocks bound this table by
-    # span / block width (ten years of 1-minute blocks is ~5M small rows), so the
-    # key-less case can order it in one task; id-ordered scans, whose block count
-    # grows with the data, use the hierarchical offsets in ``scan.py`` instead.
-    wb = Window.partitionBy(*keys).orderBy("_blk") if keys else Window.orderBy("_blk")
-    prev_max = F.max("_bmax").over(wb.rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.withColumn(
-        "_bfirst", F.when(prev_max.isNull() | ((F.col("_bmin") - prev_max) > gap_us), 1).otherwise(0))
-    blocks = blocks.withColumn(
-        "_boff", F.coalesce(F.sum(F.col("_bfirst") + F.col("_bint"))
-                            .over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    blocks = kept(blocks, "blocks")
+    # Across blocks: scans over the block table, super-block by super-block.
+    over = {"keys": keys, "order": ["_blk"], "block": F.floor(F.col("_blk") / fanout), "levels": 1, "fanout": fanout, "block_name": "_sblk"}
+    blocks = scan(blocks, specs={"_bprev": Scan("max", F.col("_bmax"), inclusive=False)}, **over)
+    blocks = blocks.withColumn("_bfirst", F.when(F.col("_bprev").isNull() | ((F.col("_bmin") - F.col("_bprev")) > gap_us), 1).otherwise(0))
+    blocks = scan(blocks, specs={"_boff": Scan("sum", F.col("_bfirst") + F.col("_bint"), inclusive=False)}, **over)
+    blocks = blocks.withColumn("_boff", F.coalesce("_boff", F.lit(0)))
     out = t.join(blocks.select(*keys, "_blk", "_bfirst", "_boff"), on=[*keys, "_blk"], how="inner")
     out = out.withColumn(SID, (F.col("_boff") + F.col("_bfirst") + F.col("_lcum")).cast("long"))
     return out.drop("_blk", "_us", "_first", "_start", "_lcum", "_bfirst", "_boff", *keys)
 
 
-def session_windows(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block: Column,
+def session_windows(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block: Column | None,
                     aggs: list[Column], tiebreak: list[str] | None = None,
-                    columns: list[str] | None = None) -> DataFrame:
+                    columns: list[str] | None = None, fanout: int = 1024) -> DataFrame:
     """One row per session: keys, ``session_start``, ``session_end`` and ``aggs``.
 
     ``columns`` (default: all) are the input columns the ``aggs`` read; projecting
@@ -73,7 +76,7 @@ def session_windows(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], blo
     """
     if columns is not None:
         df = df.select(*dict.fromkeys([*keys, ts, *(tiebreak or []), *columns]))
-    with_sid = session_ids(df, ts=ts, gap_us=gap_us, keys=keys, block=block, tiebreak=tiebreak)
+    with_sid = session_ids(df, ts=ts, gap_us=gap_us, keys=keys, block=block, tiebreak=tiebreak, fanout=fanout)
     out = with_sid.groupBy(*keys, SID).agg(
         F.min(ts).alias("session_start"),
         (F.max(ts) + interval_us(gap_us)).alias("session_end"),

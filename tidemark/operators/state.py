@@ -1,7 +1,6 @@
 """Per-key running state in batch (A1, V2-V5, V7) and count triggers.
 
-``levels`` is the scan's offset depth: 1 (default) when the block count grows with
-the data (id blocks), 0 for time blocks, whose count is bounded by span / width.
+``block``, ``levels`` and ``fanout`` are the scan's (``scan.py``, ``blocks.py``).
 
 The reference keeps Value/List/Map state per key and emits after every element.
 In batch the same outputs are ordered prefix computations, one output row per
@@ -22,12 +21,12 @@ from .scan import NULL_BLOCK, Scan, null_safe_keys, scan
 EXACT = "decimal(38,0)"  # sums of 64-bit numbers leave 64 bits after some 10**9 rows
 
 
-def rolling_reduce(df: DataFrame, *, key: str | Column, value: str, order: list[str], block: Column, levels: int = 1,
+def rolling_reduce(df: DataFrame, *, key: str | Column, value: str, order: list[str], block: Column | None, levels: int = 1, fanout: int = 1024,
                    name: str = "running_sum", key_name: str = "key") -> DataFrame:
     """A1 ``keyed.reduce(_ + _)`` over whole numbers: the running sum per key after every element, exact."""
     k = F.col(key) if isinstance(key, str) else key
     d = df.withColumn(key_name, k)
-    out = scan(d, keys=[key_name], order=order, block=block, specs={name: Scan("sum", F.col(value).cast("decimal(20,0)"))}, levels=levels)
+    out = scan(d, keys=[key_name], order=order, block=block, specs={name: Scan("sum", F.col(value).cast("decimal(20,0)"))}, levels=levels, fanout=fanout)
     return out.withColumn(name, F.col(name).cast(EXACT))
 
 
@@ -38,13 +37,13 @@ def reduce_final(df: DataFrame, *, key: str | Column, value: str, name: str = "t
     return df.groupBy(k.alias(key_name)).agg(F.sum(F.col(value).cast("decimal(20,0)")).cast(EXACT).alias(name))
 
 
-def running_count(df: DataFrame, *, key: str, order: list[str], block: Column, levels: int = 1, name: str = "n") -> DataFrame:
+def running_count(df: DataFrame, *, key: str, order: list[str], block: Column | None, levels: int = 1, fanout: int = 1024, name: str = "n") -> DataFrame:
     """V2 ValueState counter: events so far for this key, including the current one."""
-    return scan(df, keys=[key], order=order, block=block, specs={name: Scan("count")}, levels=levels)
+    return scan(df, keys=[key], order=order, block=block, specs={name: Scan("count")}, levels=levels, fanout=fanout)
 
 
 def running_type_counts(df: DataFrame, *, key: str, type_col: str, order: list[str],
-                        block: Column, levels: int = 1, name: str = "counts") -> DataFrame:
+                        block: Column | None, levels: int = 1, fanout: int = 1024, name: str = "counts") -> DataFrame:
     """V4 MapState: per key, the count of each type seen so far, rendered as
     ``type=n, ...`` sorted by type, types never seen omitted (a null type is none).
 
@@ -52,9 +51,9 @@ def running_type_counts(df: DataFrame, *, key: str, type_col: str, order: list[s
     of the blocks before it come from a scan over (key, type) totals. Work and
     output grow with rows times the types of their key.
     """
-    p = "_tc"
+    p, uncut = "_tc", block is None
     columns = F.struct(*df.columns)
-    d, keys = null_safe_keys(df.withColumn(p, F.coalesce(block, F.lit(NULL_BLOCK))), [key], p)
+    d, keys = null_safe_keys(df.withColumn(p, F.lit(0) if uncut else F.coalesce(block, F.lit(NULL_BLOCK))), [key], p)
     in_block = Window.partitionBy(*keys, p)
     rows = d.select(*keys, p, columns.alias("_row"), F.col(type_col).alias("_own"), F.collect_set(type_col).over(in_block).alias("_types"),
                     F.row_number().over(in_block.orderBy(*order)).alias("_i"))
@@ -64,11 +63,13 @@ def running_type_counts(df: DataFrame, *, key: str, type_col: str, order: list[s
     entry = F.when(F.col("_n") > 0, F.struct("_type", "_n"))
     local = met.groupBy(*keys, p, "_i").agg(F.first("_row").alias("_row"), F.map_from_entries(F.collect_list(entry)).alias("_here"))
 
+    if uncut:
+        return local.select("_row.*", sorted_map_string(F.col("_here")).alias(name))
     # totals of (key, block, type); every block of a key gets every type of the key
     totals = d.filter(F.col(type_col).isNotNull()).groupBy(*keys, p, F.col(type_col).alias("_type")).agg(F.count(F.lit(1)).alias("_n"))
     cells = d.select(*keys, p).distinct().join(totals.select(*keys, "_type").distinct(), keys).join(totals, [*keys, p, "_type"], "left")
-    before = scan(cells, keys=[*keys, "_type"], order=[p], block=F.floor(F.col(p) / 1024).cast("long"),
-                  specs={"_before": Scan("sum", F.coalesce("_n", F.lit(0)), inclusive=False)}, levels=max(levels - 1, 0), block_name=p + "s")
+    before = scan(cells, keys=[*keys, "_type"], order=[p], block=F.floor(F.col(p) / fanout).cast("long"),
+                  specs={"_before": Scan("sum", F.coalesce("_n", F.lit(0)), inclusive=False)}, levels=max(levels - 1, 0), fanout=fanout, block_name=p + "s")
     earlier = F.when(F.col("_before") > 0, F.struct("_type", "_before"))
     before = before.groupBy(*keys, p).agg(F.map_from_entries(F.collect_list(earlier)).alias("_earlier"))
     out = local.join(before, [*keys, p], "left")
@@ -77,7 +78,7 @@ def running_type_counts(df: DataFrame, *, key: str, type_col: str, order: list[s
     return out.select("_row.*", sorted_map_string(both).alias(name))
 
 
-def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column, levels: int = 1, item: Column,
+def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column | None, levels: int = 1, fanout: int = 1024, item: Column,
                 clear_above: int = 10, name: str = "items") -> DataFrame:
     """V5 ListState with clearing: append, read, clear when the list has more than
     ``clear_above`` elements. List sizes cycle ``1 .. clear_above + 1``.
@@ -87,7 +88,7 @@ def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column, lev
     group is unbounded.
     """
     period = clear_above + 1
-    s = scan(df, keys=[key], order=order, block=block, specs={"_rn": Scan("count")}, levels=levels)
+    s = scan(df, keys=[key], order=order, block=block, specs={"_rn": Scan("count")}, levels=levels, fanout=fanout)
     s = s.withColumn("_cycle", F.floor((F.col("_rn") - 1) / period))
     w = (Window.partitionBy(key, "_cycle").orderBy("_rn")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -97,18 +98,18 @@ def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column, lev
              .drop("_rn", "_cycle"))
 
 
-def global_count_trigger(df: DataFrame, *, every: int, order: list[str], block: Column, levels: int = 1,
+def global_count_trigger(df: DataFrame, *, every: int, order: list[str], block: Column | None, levels: int = 1, fanout: int = 1024,
                          measure: Column, name: str = "measure") -> DataFrame:
     """T12 global window + CountTrigger(every): fires after every ``every``-th
     element with the aggregate over *all* elements so far (non-purging). Trailing
     elements that never complete a group never fire."""
     s = scan(df, keys=[], order=order, block=block,
-             specs={"seen": Scan("count"), name: Scan("sum", measure.cast("long"))}, levels=levels)
+             specs={"seen": Scan("count"), name: Scan("sum", measure.cast("long"))}, levels=levels, fanout=fanout)
     return s.filter(F.col("seen") % every == 0).select("seen", name)
 
 
 def window_count_trigger(df: DataFrame, *, window_start: str, window_end: str, every: int,
-                         order: list[str], block: Column, levels: int = 1, purging: bool = False) -> DataFrame:
+                         order: list[str], block: Column | None, levels: int = 1, fanout: int = 1024, purging: bool = False) -> DataFrame:
     """CountTrigger(every) on a time window.
 
     Fires at the every-th, 2*every-th ... element of each window; the pane size is
@@ -116,7 +117,7 @@ def window_count_trigger(df: DataFrame, *, window_start: str, window_end: str, e
     cleared after each firing). The remainder below ``every`` never fires.
     """
     s = scan(df, keys=[window_start, window_end], order=order, block=block, specs={"_rn": Scan("count")},
-             levels=levels)
+             levels=levels, fanout=fanout)
     fired = s.filter(F.col("_rn") % every == 0)
     return fired.select(window_start, window_end,
                         (F.col("_rn") / every).cast("long").alias("firing"),

@@ -4,10 +4,8 @@ Each entry is ``f(spark, sf_dir) -> DataFrame`` and reads the whole tables (no i
 subsets, no row caps; the one ``limit`` is the top-1 of ``busiest_window``, which
 is the feature). Column names match the DuckDB oracle in ``oracle.py``.
 
-Ordered scans cut each key's timeline into blocks (``operators/scan.py``): keys
-with at least ``spark.tidemark.scan.hotKeyRows`` rows get ``fineBlockSeconds``
-blocks, the rest ``blockSeconds``; id-ordered scans use ``blockIds``. Pick the
-fine width so one block of the hottest key fits a task (see README).
+Ordered scans cut the order of keys with more than ``spark.tidemark.scan.blockRows`` rows into blocks
+(``operators/blocks.py``); arrival-ordered replays use blocks of ``spark.tidemark.scan.blockIds`` ids.
 """
 
 from __future__ import annotations
@@ -20,7 +18,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.columns import duration_us
 from ..operators import joins, late, partitioning, sessions, state, transforms, windows
-from ..operators.scan import ADAPTIVE_BLOCK, id_block, with_adaptive_block
+from ..operators.blocks import FANOUT, measured_blocks
+from ..operators.scan import id_block
 from ..sources import tables, views
 
 H_US = 3_600_000_000
@@ -31,29 +30,14 @@ def _conf_int(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(f"spark.tidemark.scan.{name}", str(default)))
 
 
-def block_seconds(spark: SparkSession) -> int:
-    """Coarse block (sparse keys)."""
-    return _conf_int(spark, "blockSeconds", 24 * 3600)
-
-
-def fine_block_seconds(spark: SparkSession) -> int:
-    """Fine block (hot keys and key-less scans)."""
-    return _conf_int(spark, "fineBlockSeconds", 3600)
-
-
-def hot_key_rows(spark: SparkSession) -> int:
-    return _conf_int(spark, "hotKeyRows", 1_000_000)
-
-
 def block_ids(spark: SparkSession) -> int:
     return _conf_int(spark, "blockIds", 2000)
 
 
-def _blocked(spark: SparkSession, df: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Adds the adaptive scan block ``_ablk`` (fine for hot keys, coarse otherwise)."""
-    return with_adaptive_block(df, keys=keys, ts=ts, coarse_us=block_seconds(spark) * SECOND_US,
-                               fine_us=fine_block_seconds(spark) * SECOND_US,
-                               min_hot_rows=hot_key_rows(spark))
+def _blocked(df: DataFrame, keys: list[str], at) -> tuple[DataFrame, dict]:
+    """Rows and the scan's arguments for blocks of the data's own measure."""
+    rows, block = measured_blocks(df, keys=keys, at=at)
+    return rows, {"block": block, "fanout": FANOUT}
 
 
 def _events(spark, sf_dir, cols=None):
@@ -112,15 +96,15 @@ def _session_aggs():
 
 def session_by_user(spark, sf_dir):
     """T11 keyed: sessions per user with a 1 h gap."""
-    ev = _blocked(spark, _events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]), ["user_id"], "ts")
-    return sessions.session_windows(ev, ts="ts", gap_us=H_US, keys=["user_id"], block=F.col(ADAPTIVE_BLOCK),
+    ev, blocks = _blocked(_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]), ["user_id"], "ts")
+    return sessions.session_windows(ev, ts="ts", gap_us=H_US, keys=["user_id"], **blocks,
                                     aggs=_session_aggs(), tiebreak=["event_id"])
 
 
 def session_all(spark, sf_dir):
     """T11 windowAll: sessions over the whole stream with a 5 min gap."""
-    ev = _blocked(spark, _events(spark, sf_dir, ["event_id", "ts", "event_type"]), [], "ts")
-    return sessions.session_windows(ev, ts="ts", gap_us=5 * 60 * SECOND_US, keys=[], block=F.col(ADAPTIVE_BLOCK),
+    ev, blocks = _blocked(_events(spark, sf_dir, ["event_id", "ts", "event_type"]), [], "ts")
+    return sessions.session_windows(ev, ts="ts", gap_us=5 * 60 * SECOND_US, keys=[], **blocks,
                                     aggs=_session_aggs(), tiebreak=["event_id"])
 
 
@@ -129,8 +113,8 @@ def session_all(spark, sf_dir):
 def global_every_10(spark, sf_dir):
     """Global window + CountTrigger(10): registrations among all events so far."""
     se = views.server_events(_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]))
-    se = _blocked(spark, se, [], "ts")
-    return state.global_count_trigger(se, every=10, order=["ts", "event_id"], block=F.col(ADAPTIVE_BLOCK), levels=0,
+    se, blocks = _blocked(se, [], "ts")
+    return state.global_count_trigger(se, every=10, order=["ts", "event_id"], **blocks,
                                       measure=F.col("event_type") == S.PLAYER_REGISTERED, name="registrations")
 
 
@@ -141,16 +125,16 @@ def _cart_day_windows(spark, sf_dir):
 
 def count_trigger(spark, sf_dir):
     """CountTrigger(5) on 1-day windows: cumulative pane sizes 5, 10, ..."""
-    c = _blocked(spark, _cart_day_windows(spark, sf_dir), ["window_start", "window_end"], "time")
+    c, blocks = _blocked(_cart_day_windows(spark, sf_dir), ["window_start", "window_end"], "time")
     return state.window_count_trigger(c, window_start="window_start", window_end="window_end", every=5,
-                                      order=["time", "event_id"], block=F.col(ADAPTIVE_BLOCK), levels=0)
+                                      order=["time", "event_id"], **blocks)
 
 
 def count_trigger_purging(spark, sf_dir):
     """PurgingTrigger(CountTrigger(5)): panes of exactly 5."""
-    c = _blocked(spark, _cart_day_windows(spark, sf_dir), ["window_start", "window_end"], "time")
+    c, blocks = _blocked(_cart_day_windows(spark, sf_dir), ["window_start", "window_end"], "time")
     return state.window_count_trigger(c, window_start="window_start", window_end="window_end", every=5,
-                                      order=["time", "event_id"], block=F.col(ADAPTIVE_BLOCK), levels=0,
+                                      order=["time", "event_id"], **blocks,
                                       purging=True)
 
 
@@ -159,8 +143,8 @@ def count_trigger_purging(spark, sf_dir):
 def rolling_reduce(spark, sf_dir):
     """A1: keyBy(n is even).reduce(_ + _): running sum after every element, exact and so given as text."""
     ev = _events(spark, sf_dir, ["event_id"])
-    out = state.rolling_reduce(ev, key=(F.col("event_id") % 2 == 0), value="event_id", order=["event_id"],
-                               block=id_block("event_id", block_ids(spark)), key_name="is_even")
+    ev, blocks = _blocked(ev.withColumn("is_even", F.col("event_id") % 2 == 0), ["is_even"], F.col("event_id"))
+    out = state.rolling_reduce(ev, key="is_even", value="event_id", order=["event_id"], key_name="is_even", **blocks)
     return out.select("event_id", "is_even", F.col("running_sum").cast("string").alias("running_sum"))
 
 
@@ -177,36 +161,35 @@ def _cart(spark, sf_dir):
 
 def _cart_by_user(spark, sf_dir, pred=None):
     c = _cart(spark, sf_dir)
-    return _blocked(spark, c if pred is None else c.filter(pred), ["user_id"], "time")
+    return _blocked(c if pred is None else c.filter(pred), ["user_id"], "time")
 
 
 def running_count_by_user(spark, sf_dir):
     """V2 ValueState: events per user so far."""
-    out = state.running_count(_cart_by_user(spark, sf_dir), key="user_id", order=["time", "event_id"],
-                              block=F.col(ADAPTIVE_BLOCK), levels=0)
+    cart, blocks = _cart_by_user(spark, sf_dir)
+    out = state.running_count(cart, key="user_id", order=["time", "event_id"], **blocks)
     return out.select("event_id", "user_id", "n")
 
 
 def running_type_map(spark, sf_dir):
     """V4 MapState: per-user counts per event type (any type), ``type=n`` sorted."""
-    ev = _blocked(spark, _events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]), ["user_id"], "ts")
-    out = state.running_type_counts(ev, key="user_id", type_col="event_type", order=["ts", "event_id"],
-                                    block=F.col(ADAPTIVE_BLOCK))
+    ev, blocks = _blocked(_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]), ["user_id"], "ts")
+    out = state.running_type_counts(ev, key="user_id", type_col="event_type", order=["ts", "event_id"], **blocks)
     return out.select("event_id", "user_id", "counts")
 
 
 def recent_list_by_user(spark, sf_dir):
     """V5 ListState, cleared when it exceeds 10 elements (sizes cycle 1..11)."""
-    out = state.recent_list(_cart_by_user(spark, sf_dir), key="user_id", order=["time", "event_id"],
-                            block=F.col(ADAPTIVE_BLOCK), item=F.col("event_id").cast("string"), levels=0)
+    cart, blocks = _cart_by_user(spark, sf_dir)
+    out = state.recent_list(cart, key="user_id", order=["time", "event_id"], item=F.col("event_id").cast("string"), **blocks)
     return out.select("event_id", "user_id", "list_size", "items")
 
 
 def high_quantity_counter(spark, sf_dir):
     """V7/A10: per user, number of add-to-cart events with quantity > 5 so far."""
     hits = (F.col("event_type") == S.ADD_TO_CART) & (F.col("quantity") > 5)
-    out = state.running_count(_cart_by_user(spark, sf_dir, hits), key="user_id", order=["time", "event_id"],
-                              block=F.col(ADAPTIVE_BLOCK), levels=0)
+    cart, blocks = _cart_by_user(spark, sf_dir, hits)
+    out = state.running_count(cart, key="user_id", order=["time", "event_id"], **blocks)
     return out.select("event_id", "user_id", "n")
 
 
@@ -361,10 +344,8 @@ def interval_join_inclusive(spark, sf_dir):
 def running_ratio(spark, sf_dir):
     """connect(purchases, views) + running percentage of purchases after every arrival."""
     ev = _events(spark, sf_dir, ["event_id", "ts", "event_type"])
-    first = ev.filter(F.col("event_type") == "purchase")
-    second = ev.filter(F.col("event_type") == "view")
-    out = joins.running_ratio(first, second, ts="ts", order_id="event_id",
-                              block_us=fine_block_seconds(spark) * SECOND_US)
+    source = F.when(F.col("event_type") == "purchase", 0).otherwise(1)
+    out = joins.running_ratio(ev.filter(F.col("event_type").isin("purchase", "view")).select("event_id", "ts", source.alias("source")))
     return out.select("event_id", "source", "ratio")
 
 
@@ -373,8 +354,7 @@ def dynamic_threshold_alerts(spark, sf_dir, strategy: str = "broadcast"):
     adds = views.cart_adds(_events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type", "props"]))
     th = views.thresholds(spark)
     # The control table is a literal of len(THRESHOLD_VALUES) rows: its bound is proven.
-    j = joins.asof_join(adds, th, left_ts="time", right_ts="effective_ts", values=["threshold"],
-                        strategy=strategy, block_us=fine_block_seconds(spark) * SECOND_US)
+    j = joins.asof_join(adds, th, left_ts="time", right_ts="effective_ts", values=["threshold"], strategy=strategy)
     j = j.withColumn("threshold", F.coalesce("threshold", F.lit(views.THRESHOLD_DEFAULT)))
     hits = j.filter(F.col("quantity") > F.col("threshold"))
     return hits.select("event_id", "user_id", "quantity", "threshold",
@@ -401,8 +381,7 @@ def _edge_sides(spark, sf_dir):
 def asof_edge_cases(spark, sf_dir, strategy: str = "broadcast"):
     """J5 with null keys, null times and tied control rows: null keys match, the last control id of a tie counts."""
     left, control = _edge_sides(spark, sf_dir)
-    j = joins.asof_join(left, control, left_ts="ts", right_ts="eff", values=["threshold"], by=["grp"], right_order=["control_id"],
-                        strategy=strategy, block_us=fine_block_seconds(spark) * SECOND_US)
+    j = joins.asof_join(left, control, left_ts="ts", right_ts="eff", values=["threshold"], by=["grp"], right_order=["control_id"], strategy=strategy)
     return j.select("event_id", _shown("grp"), _shown("threshold"))
 
 
@@ -419,14 +398,15 @@ def asof_edge_cases_scan(spark, sf_dir):
 def running_count_edge_cases(spark, sf_dir):
     """V2 with null keys and null times: nulls are a key, and come first in time."""
     left, _ = _edge_sides(spark, sf_dir)
-    rows = _blocked(spark, left, ["grp"], "ts")
-    return state.running_count(rows, key="grp", order=["ts", "event_id"], block=F.col(ADAPTIVE_BLOCK), levels=0).select("event_id", _shown("grp"), "n")
+    rows, blocks = _blocked(left, ["grp"], "ts")
+    return state.running_count(rows, key="grp", order=["ts", "event_id"], **blocks).select("event_id", _shown("grp"), "n")
 
 
 def session_edge_cases(spark, sf_dir):
     """T11 with null keys and null times: rows without a time are one session of their key."""
     left, _ = _edge_sides(spark, sf_dir)
-    out = sessions.session_windows(_blocked(spark, left, ["grp"], "ts"), ts="ts", gap_us=10 * 60 * SECOND_US, keys=["grp"], block=F.col(ADAPTIVE_BLOCK),
+    rows, blocks = _blocked(left, ["grp"], "ts")
+    out = sessions.session_windows(rows, ts="ts", gap_us=10 * 60 * SECOND_US, keys=["grp"], **blocks,
                                    aggs=[F.count(F.lit(1)).alias("events")], tiebreak=["event_id"])
     return out.select(_shown("grp"), *[F.coalesce(F.col(c).cast("string"), F.lit("none")).alias(c) for c in ("session_start", "session_end")], "events")
 

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -95,6 +95,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "tidemark", *parts, uuid.uuid4().hex])
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder: computed once, whoever reads it, and safe from lost executors."""
+    path = scratch_path(df.sparkSession, "kept", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cluster_conf(total_cores: int, *, input_tb: float = 100.0) -> dict[str, str]:
     """Suggested settings for a large cluster (pass as ``extra`` to ``build_session``).
 
@@ -103,8 +110,8 @@ def cluster_conf(total_cores: int, *, input_tb: float = 100.0) -> dict[str, str]
       a multiple of the core count; AQE coalesces small ones at runtime;
     * 256 MB scan splits and 256 MB AQE advisory size, so tasks stay spill-friendly;
     * skew join splitting on, at 5x the median and 512 MB;
-    * scan blocks: 1 minute for hot keys, keys with over 5M rows are hot, and 10M ids
-      per id block, so one block of a key holding a third of the rows still fits a task.
+    * scan blocks of 5M rows, and of 10M ids in arrival order, so a block fits a task
+      whatever share of the rows its key holds.
     """
     est_shuffle_bytes = input_tb * 1e12 * 0.1  # the pruned event columns are about a tenth
     parts = max(total_cores, int(est_shuffle_bytes / 200e6))
@@ -115,8 +122,7 @@ def cluster_conf(total_cores: int, *, input_tb: float = 100.0) -> dict[str, str]
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-        "spark.tidemark.scan.fineBlockSeconds": "60",
-        "spark.tidemark.scan.hotKeyRows": "5000000",
+        "spark.tidemark.scan.blockRows": "5000000",
         "spark.tidemark.scan.blockIds": "10000000",
         "spark.tidemark.streaming.shufflePartitions": str(total_cores),
     }

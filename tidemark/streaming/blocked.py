@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.blocks import FANOUT, measured_blocks
 from ..operators.scan import Scan, null_safe_equal, scan
 from ..session import scratch_path
 
@@ -37,17 +38,19 @@ def read_batches(spark: SparkSession, path: str, empty: DataFrame) -> DataFrame:
     return spark.read.schema(empty.schema).option("recursiveFileLookup", "true").parquet(path)
 
 
-def running_sum(spark: SparkSession, stream: DataFrame, name: str, *, keys: list[str], order: list[str], block: Column, value: Column,
+def running_sum(spark: SparkSession, stream: DataFrame, name: str, *, keys: list[str], order: list[str], at: str | Column, value: Column,
                 finish: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """``finish(rows, column)`` of every row with the running sum of ``value`` per key in ``column``, over all batches.
 
-    Rows of a batch are ordered by ``order``; batches follow each other. Sums are exact (decimal(38,0)).
+    Rows of a batch are ordered by ``order`` (``at`` is its first column, see ``measured_blocks``); batches follow
+    each other. Sums are exact (decimal(38,0)).
     """
     out, totals, total = scratch_path(spark, "streams", name), scratch_path(spark, "streams", f"{name}_totals"), "decimal(38,0)"
     by = [f"_c_{k}" for k in keys]
 
     def summed(rows: DataFrame) -> DataFrame:
-        local = scan(rows, keys=keys, order=order, block=block, specs={CARRIED: Scan("sum", value.cast("decimal(20,0)"))}, levels=1)
+        rows, block = measured_blocks(rows, keys=keys, at=at)
+        local = scan(rows, keys=keys, order=order, block=block, specs={CARRIED: Scan("sum", value.cast("decimal(20,0)"))}, fanout=FANOUT)
         return local.withColumn(CARRIED, F.col(CARRIED).cast(total))
 
     def step(batch: DataFrame, batch_id: int) -> None:

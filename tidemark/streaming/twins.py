@@ -16,9 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.columns import duration_us
 from ..operators import joins, windows
-from ..operators.scan import id_block, time_block
 from ..session import scratch_path
 from ..sources import tables, views
 from . import blocked
@@ -168,14 +166,10 @@ def streaming_recent_list(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "recent_list")
 
 
-def _block(spark: SparkSession, ts: str):
-    return time_block(ts, int(spark.conf.get("spark.tidemark.scan.fineBlockSeconds", "3600")) * 1_000_000)
-
-
 def streaming_high_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V7 streaming: per-user counter of add-to-cart with quantity > 5, a blocked scan per micro-batch."""
     hits = _cart_stream(spark, sf_dir).filter((F.col("event_type") == S.ADD_TO_CART) & (F.col("quantity") > 5))
-    return blocked.running_sum(spark, hits, "high_quantity", keys=["user_id"], order=["time", "event_id"], block=_block(spark, "time"), value=F.lit(1),
+    return blocked.running_sum(spark, hits, "high_quantity", keys=["user_id"], order=["time", "event_id"], at="time", value=F.lit(1),
                                finish=lambda rows, n: rows.select("event_id", "user_id", F.col(n).cast("long").alias("n")))
 
 
@@ -187,7 +181,7 @@ def streaming_dynamic_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def alerts(rows: DataFrame) -> DataFrame:
         landed = rows.sparkSession.read.schema(S.THRESHOLDS).parquet(control)
-        j = joins.asof_join(rows, landed, left_ts="time", right_ts="effective_ts", values=["threshold"], block_us=duration_us("1 hour"))
+        j = joins.asof_join(rows, landed, left_ts="time", right_ts="effective_ts", values=["threshold"])
         j = j.withColumn("threshold", F.coalesce("threshold", F.lit(views.THRESHOLD_DEFAULT)))
         return j.filter(F.col("quantity") > F.col("threshold")).select("event_id", "user_id", "quantity", "threshold")
 
@@ -204,7 +198,7 @@ def _count_trigger(spark: SparkSession, sf_dir: str, name: str, every: int, purg
         pane = F.lit(every).cast("long") if purging else F.col(n)
         return rows.select("window_start", "window_end", (F.col(n) / every).cast("long").alias("firing"), pane.alias("pane_size"))
 
-    return blocked.running_sum(spark, w, name, keys=["window_start", "window_end"], order=["time", "event_id"], block=_block(spark, "time"),
+    return blocked.running_sum(spark, w, name, keys=["window_start", "window_end"], order=["time", "event_id"], at="time",
                                value=F.lit(1), finish=fired)
 
 
@@ -221,8 +215,7 @@ def streaming_count_trigger_purging(spark: SparkSession, sf_dir: str) -> DataFra
 def streaming_rolling_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 streaming: keyBy(n is even).reduce(_ + _); two keys, each spread over its blocks. Sums are given as text, exact."""
     ev = replay_events(spark, sf_dir).select("event_id", (F.col("event_id") % 2 == 0).alias("is_even"))
-    block = id_block("event_id", int(spark.conf.get("spark.tidemark.scan.blockIds", "2000")))
-    return blocked.running_sum(spark, ev, "rolling_reduce", keys=["is_even"], order=["event_id"], block=block, value=F.col("event_id"),
+    return blocked.running_sum(spark, ev, "rolling_reduce", keys=["is_even"], order=["event_id"], at=F.col("event_id"), value=F.col("event_id"),
                                finish=lambda rows, n: rows.select("event_id", "is_even", F.col(n).cast("string").alias("running_sum")))
 
 
