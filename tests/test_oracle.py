@@ -10,7 +10,7 @@ from tidemark.streaming.twins import STREAMING_QUERIES
 
 # the training-text queries have their own tests
 QUERIES = {n: f for n, f in E.queries().items() if n in CATALOG or n in STREAMING_QUERIES}
-SQL = E.oracle_sql()
+SQL = {n: s for n, s in E.oracle_sql().items() if n in QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -349,6 +349,15 @@ FROM adds a JOIN catalog c ON a.user_id = c.user_id
     "streaming_running_count": _SQL["running_count_by_user"],
     "streaming_restart": _SQL["running_count_by_user"],
     "streaming_count_trigger_purging": _SQL["count_trigger_purging"],
+    "streaming_late_counts": f"""
+WITH a AS (
+  SELECT ts, event_id * 4 // (SELECT max(event_id) + 1 FROM events WHERE ts IS NOT NULL)
+             + CASE WHEN event_id % 40 = 0 THEN 2 WHEN event_id % 20 = 0 THEN 1 ELSE 0 END AS batch
+  FROM events WHERE ts IS NOT NULL),
+m AS (SELECT b.batch, max(epoch_us(a.ts)) AS seen FROM (SELECT DISTINCT batch FROM a) b LEFT JOIN a ON a.batch <= b.batch - 2 GROUP BY b.batch)
+SELECT {bucket('ts', H // 2)} AS window_start, {bucket('ts', H // 2, H // 2)} AS window_end, count(*) AS events
+FROM a JOIN m ON a.batch = m.batch
+WHERE NOT coalesce(epoch_us(ts) // {H // 2} * {H // 2} + {H // 2} <= seen - {H}, false) GROUP BY 1, 2""",
     "streaming_side_outputs": f"""
 WITH {CART} SELECT *, CASE WHEN coalesce(user_id = 1, false) THEN 'side' ELSE 'main' END AS output FROM cart""",
     "streaming_ingest_windows": f"""

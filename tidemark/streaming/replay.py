@@ -67,6 +67,17 @@ def stage_time_slices(df: DataFrame, path: str, *, ts: str, n_slices: int,
     return k
 
 
+def stage_slices(df: DataFrame, path: str, index: Column, n: int) -> int:
+    """Land the rows whose ``index`` is 0, then 1, up to ``n`` - 1: one micro-batch each when read back with the number of
+    files that is returned (the same as in ``stage_time_slices``)."""
+    counts = df.groupBy(index.alias("s")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("s").between(0, n - 1))
+    least = counts.agg(F.min("n")).first()[0] or 1
+    k = max(1, min(df.sparkSession.sparkContext.defaultParallelism, least // max(1, df.rdd.getNumPartitions())))
+    for i in range(n):
+        df.filter(index == i).repartition(k).write.mode("append").parquet(path)
+    return k
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, *, files_per_batch: int = 1,
                 fmt: str = "parquet") -> DataFrame:
     return (spark.readStream.format(fmt).schema(schema)

@@ -21,7 +21,7 @@ from ..session import scratch_path
 from ..sources import tables, views
 from . import blocked
 from . import processors as P
-from .replay import event_time, file_stream, run_available_now, stage_time_slices, to_ntz
+from .replay import event_time, file_stream, run_available_now, stage_slices, stage_time_slices, to_ntz
 
 DELAY = "10 minutes"
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "props"]
@@ -260,6 +260,26 @@ def streaming_ingest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_available_now(spark, counts.select(to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"), "events"), "ingest_windows")
 
 
+def streaming_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 streaming: rows that arrive one or two micro-batches late, 30 min windows, a watermark of 1 h.
+
+    Spark drops a row whose window ended before the watermark that the micro-batch before it ran with,
+    which is the latest time of all rows up to two micro-batches earlier, less the delay.
+    """
+    ev = tables.events(spark, sf_dir, ["event_id", "ts"]).filter("ts IS NOT NULL")
+    last = ev.agg(F.max("event_id")).first()[0] or 0
+    late = F.when(F.col("event_id") % 40 == 0, 2).when(F.col("event_id") % 20 == 0, 1).otherwise(0)
+    landing = scratch_path(spark, "replay", "late")
+    k = stage_slices(ev, f"{landing}/slices", F.expr(f"event_id * 4 div {last + 1}") + late, 6)
+    flush = ev.agg(F.max("ts").alias("ts")).filter("ts IS NOT NULL").select(F.lit(None).cast("long").alias("event_id"), (F.col("ts") + F.expr(FLUSH_AFTER)).alias("ts"))
+    flush.coalesce(1).write.parquet(f"{landing}/flush")
+    stream = file_stream(spark, f"{landing}/*", ev.schema, files_per_batch=k)
+    agg = (stream.withColumn("ts", event_time("ts")).withWatermark("ts", "1 hour").groupBy(F.window("ts", "30 minutes").alias("w"))
+           .agg(F.count(F.lit(1)).alias("events")))
+    out = agg.select(to_ntz("w.start").alias("window_start"), to_ntz("w.end").alias("window_end"), "events")
+    return run_available_now(spark, out, "late_counts")
+
+
 STREAMING_QUERIES = {
     "streaming_rolling_reduce": streaming_rolling_reduce,
     "streaming_count_trigger": streaming_count_trigger,
@@ -277,4 +297,5 @@ STREAMING_QUERIES = {
     "streaming_side_outputs": streaming_side_outputs,
     "streaming_restart": streaming_restart,
     "streaming_ingest_windows": streaming_ingest_windows,
+    "streaming_late_counts": streaming_late_counts,
 }
