@@ -148,6 +148,19 @@ def test_line_stream_into_text_file_sink(spark):
     assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["x", "y"]
 
 
+def test_trigger_cadence(spark):
+    """T5: a micro-batch every so often, over what has landed by then."""
+    src, out = scratch_path(spark, "test", "cadence"), scratch_path(spark, "test", "cadence_out")
+    spark.createDataFrame([("a",)], "line string").coalesce(1).write.text(src)
+    q = files.stream_to_files(line_stream(spark, src).select(F.col("line").alias("value")), out, out + "_ck", fmt="text", trigger="500 milliseconds")
+    q.processAllAvailable()
+    spark.createDataFrame([("b",)], "line string").coalesce(1).write.mode("append").text(src)
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["a", "b"]
+    assert len({p["batchId"] for p in q.recentProgress if p["numInputRows"]}) == 2
+
+
 def test_print_sinks(spark, capsys):
     """K1: print() for bounded output and the console sink for streams."""
     files.show(spark.createDataFrame([(1, "a")], "n int, s string"))

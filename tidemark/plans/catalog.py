@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.columns import duration_us
+from ..functions.columns import duration_us, entity_id, epoch_millis
 from ..operators import joins, late, partitioning, sessions, state, transforms, windows
 from ..operators.blocks import FANOUT, measured_blocks
 from ..operators.scan import id_block
+from ..session import scratch_path
+from ..sinks import files
 from ..sources import tables, views
 
 H_US = 3_600_000_000
@@ -252,6 +254,35 @@ def side_output_side(spark, sf_dir):
     return side
 
 
+def rich_map(spark, sf_dir):
+    """A function with set-up once per partition, over Arrow batches: n * 10."""
+    import pyarrow as pa
+
+    def times(batches, factor):
+        import pyarrow.compute as pc
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pc.multiply(b.column(0), factor)], names=["n", "n10"])
+
+    ev = _events(spark, sf_dir, ["event_id"]).withColumnRenamed("event_id", "n")
+    return transforms.map_batches(ev, times, "n long, n10 long", setup=lambda: 10)
+
+
+def event_entities(spark, sf_dir):
+    """composed ids and epoch milliseconds."""
+    ev = _events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"])
+    return ev.select("event_id", entity_id(F.lit("player"), "user_id", "event_type").alias("entity"), epoch_millis("ts").alias("millis"))
+
+
+def text_sink_roundtrip(spark, sf_dir):
+    """K2/K4: adds written as text by 4 tasks, removals appended, all lines read back."""
+    cart, path = _cart(spark, sf_dir), scratch_path(spark, "sinks", "text")
+    row = ["event_id", "user_id", "quantity"]
+    adds = F.col("event_type") == S.ADD_TO_CART
+    files.write_text(cart.filter(adds).select(*row), path, parallelism=4, name="Add")
+    files.append_text(cart.filter(~adds).select(*row), path, name="Remove")
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 def person_codec_roundtrip(spark, sf_dir):
     """S8 + K8 + F4/F5: Person(name, age) -> 'name,age' UTF-8 bytes -> Person."""
     from ..sources.codecs import decode_person, encode_person
@@ -460,6 +491,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "side_output_main": side_output_main,
     "side_output_side": side_output_side,
     "person_codec_roundtrip": person_codec_roundtrip,
+    "rich_map": rich_map,
+    "event_entities": event_entities,
+    "text_sink_roundtrip": text_sink_roundtrip,
     "person_codec_quarantine": person_codec_quarantine,
     "partition_skew": partition_skew,
     "partition_placement": partition_placement,

@@ -245,6 +245,16 @@ SELECT c_custkey, c_name || ',' || CAST(c_nationkey AS VARCHAR) AS wire,
        CAST(split_part(c_name || ',' || CAST(c_nationkey AS VARCHAR), ',', 2) AS INTEGER) AS age
 FROM customer""",
 
+    "rich_map": "SELECT event_id AS n, event_id * 10 AS n10 FROM events",
+
+    "event_entities": """
+SELECT event_id, concat_ws('|', 'player', CAST(user_id AS VARCHAR), event_type) AS entity, epoch_us(ts) // 1000 AS millis FROM events""",
+
+    "text_sink_roundtrip": f"""
+WITH {CART}
+SELECT CASE WHEN event_type = 'AddToShoppingCartEvent' THEN 'Add(' ELSE 'Remove(' END || coalesce(CAST(event_id AS VARCHAR), 'null') || ','
+       || coalesce(CAST(user_id AS VARCHAR), 'null') || ',' || coalesce(CAST(quantity AS VARCHAR), 'null') || ')' AS line FROM cart""",
+
     "person_codec_quarantine": """
 WITH w AS (
   SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN c_name WHEN c_custkey % 7 = 0 THEN c_name || ',x' || CAST(c_nationkey AS VARCHAR)
@@ -349,6 +359,9 @@ FROM adds a JOIN catalog c ON a.user_id = c.user_id
     "streaming_running_count": _SQL["running_count_by_user"],
     "streaming_restart": _SQL["running_count_by_user"],
     "streaming_count_trigger_purging": _SQL["count_trigger_purging"],
+    "streaming_source_watermark": _SQL["tumbling_type_counts"],
+    "streaming_lines": """
+SELECT 'Event(' || CAST(event_id AS VARCHAR) || ',' || event_type || ')' AS line FROM events WHERE event_type = 'purchase'""",
     "streaming_late_counts": f"""
 WITH a AS (
   SELECT ts, event_id * 4 // (SELECT max(event_id) + 1 FROM events WHERE ts IS NOT NULL)

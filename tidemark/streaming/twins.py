@@ -19,9 +19,10 @@ from .. import schemas as S
 from ..operators import joins, windows
 from ..session import scratch_path
 from ..sources import tables, views
+from ..sinks import external, files
 from . import blocked
 from . import processors as P
-from .replay import event_time, file_stream, run_available_now, stage_slices, stage_time_slices, to_ntz
+from .replay import event_time, file_stream, line_stream, run_available_now, stage_slices, stage_time_slices, to_ntz
 
 DELAY = "10 minutes"
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "props"]
@@ -62,19 +63,37 @@ def _state_of(df: DataFrame) -> tuple:
     return tuple(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first())
 
 
-def _windowed(stream: DataFrame) -> DataFrame:
-    return stream.withColumn("ts", event_time("ts")).withWatermark("ts", DELAY)
+def _windowed(stream: DataFrame, delay: str = DELAY) -> DataFrame:
+    return stream.withColumn("ts", event_time("ts")).withWatermark("ts", delay)
 
 
-def streaming_tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """3 h tumbling registrations, event time, 10 min watermark, append mode."""
+def _tumbling(spark: SparkSession, sf_dir: str, name: str, delay: str) -> DataFrame:
     se = views.server_events(replay_events(spark, sf_dir, flush=True))
-    agg = (_windowed(se).groupBy(F.window("ts", "3 hours").alias("w"))
+    agg = (_windowed(se, delay).groupBy(F.window("ts", "3 hours").alias("w"))
            .agg(F.count_if(F.col("event_type") == S.PLAYER_REGISTERED).alias("registrations"),
                 F.count(F.lit(1)).alias("events")))
     out = agg.select(to_ntz("w.start").alias("window_start"), to_ntz("w.end").alias("window_end"),
                      "registrations", "events")
-    return run_available_now(spark, out, "tumbling_counts")
+    return run_available_now(spark, out, name)
+
+
+def streaming_tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3 h tumbling registrations, event time, 10 min watermark, append mode."""
+    return _tumbling(spark, sf_dir, "tumbling_counts", DELAY)
+
+
+def streaming_source_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source's own time is the watermark (no delay), as its micro-batches come in order."""
+    return _tumbling(spark, sf_dir, "source_watermark", "0 seconds")
+
+
+def streaming_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines as a stream, those of purchases through a custom sink that writes a folder per epoch."""
+    landing, target = scratch_path(spark, "replay", "lines"), scratch_path(spark, "streams", "lines")
+    files.write_text(tables.events(spark, sf_dir, ["event_id", "event_type"]), landing, parallelism=4, name="Event")
+    lines = line_stream(spark, landing, files_per_batch=2).filter(F.col("line").endswith(",purchase)"))
+    external.foreach_batch(lines, external.line_directory_writer(target, "line"), f"{target}_checkpoint").awaitTermination()
+    return spark.read.option("recursiveFileLookup", "true").text(target).select(F.col("value").alias("line"))
 
 
 def streaming_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,4 +317,6 @@ STREAMING_QUERIES = {
     "streaming_restart": streaming_restart,
     "streaming_ingest_windows": streaming_ingest_windows,
     "streaming_late_counts": streaming_late_counts,
+    "streaming_source_watermark": streaming_source_watermark,
+    "streaming_lines": streaming_lines,
 }
