@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -26,29 +25,36 @@ MARGIN = 32
 
 
 class ChunkEncoder:
-    """Encodes chunks and says at which characters their pre-tokens start."""
+    """Encodes chunks."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a pre-token
-        self.alone = np.zeros_like(self.ends)  # added tokens
-        for token, i in vocabulary.items():
-            self.ends[i] = token.endswith("</w>")
-        for i in tokenizer.get_added_tokens_decoder():
-            self.ends[i] = self.alone[i] = True
-
-    def __call__(self, chunks: list[str]) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """For each chunk: its tokens' count, its pre-tokens' first characters, and their first tokens."""
-        out = []
-        for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False):
-            ids = np.array(e.ids, np.int64)
-            starts, stops = np.array(e.offsets, np.int64).reshape(-1, 2).T
-            first = np.ones(len(ids), bool)
-            # one character can become two, of two pre-tokens: then it is no place to splice at
-            first[1:] = (self.ends[ids[:-1]] | self.alone[ids[1:]]) & (starts[1:] >= stops[:-1])
-            at = np.flatnonzero(first)
-            out.append((len(ids), starts[at], at))
+        self.alone = set(tokenizer.get_added_tokens_decoder())
+        self.ends = self.alone | {i for token, i in vocabulary.items() if token.endswith("</w>")}  # ids that end a pre-token
+
+    def __call__(self, chunks: list[str]) -> list[Chunk]:
+        return [Chunk(e, self.ends, self.alone) for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+
+
+class Chunk:
+    """A chunk's tokens, and the characters at which its pre-tokens start."""
+
+    def __init__(self, encoding, ends: set[int], alone: set[int]):
+        self.encoding, self.ids, self.ends, self.alone = encoding, encoding.ids, ends, alone
+
+    def starts(self, lo: int, hi: int, from_end: bool = False) -> dict[int, int]:
+        """character: token, of the pre-tokens that start in [lo, hi]; looked at from the chunk's end or its beginning.
+
+        One character can become two, of two pre-tokens: then it is no place to splice at.
+        """
+        at, out = self.encoding.token_to_chars, {}
+        for i in range(len(self.ids) - 1, -1, -1) if from_end else range(len(self.ids)):
+            start = at(i)[0]
+            if start < lo if from_end else start > hi:
+                break
+            if lo <= start <= hi and (not i or (self.ids[i - 1] in self.ends or self.ids[i] in self.alone) and start >= at(i - 1)[1]):
+                out[start] = i
         return out
 
 
@@ -59,36 +65,32 @@ def count_by_chunks(encode, text: str, chunk: int, overlap: int) -> tuple[int, i
         raise ValueError("an overlap must exceed the margin and be at most half a chunk")
     spans = [(s, min(s + chunk, len(text))) for s in range(0, max(len(text) - overlap, 1), step)]
     total = widened = 0
-    lo, end = 0, 0  # of the chunk at hand: its first right token, and its end in the text
+    begin = end = lo = 0  # of the chunk at hand: its place in the text, and its first right token
     at_hand = None
-    begin = 0
-    for group in range(0, len(spans), 64):  # bounds what is held of a huge text
-        part = spans[group:group + 64]
-        for (s, e), encoded in zip(part, encode([text[s:e] for s, e in part]), strict=True):
+    for part in batches.parts(spans, 64):  # bounds what is held of a huge text
+        for (s, e), after in zip(part, encode([text[s:e] for s, e in part]), strict=True):
             if at_hand is None:
-                begin, end, at_hand = s, e, encoded
+                begin, end, at_hand = s, e, after
                 continue
             while True:
-                a_at = at_hand[1] + begin
-                a = a_at[(a_at >= s) & (a_at <= end - MARGIN) & (at_hand[2] > lo)]
-                common_at = a[np.isin(a, encoded[1] + s)]
-                if len(common_at):
-                    p = common_at[0]
-                    i = at_hand[2][np.searchsorted(a_at, p)]
-                    total += int(i) - lo
-                    lo = int(encoded[2][np.searchsorted(encoded[1] + s, p)])
-                    begin, end, at_hand = s, e, encoded
+                proven = {begin + c: i for c, i in at_hand.starts(s - begin, end - MARGIN - begin, from_end=True).items() if i > lo}
+                theirs = {s + c: i for c, i in after.starts(0, end - MARGIN - s).items()}
+                both = proven.keys() & theirs.keys()
+                if both:
+                    splice = min(both)
+                    total += proven[splice] - lo
+                    begin, end, lo, at_hand = s, e, theirs[splice], after
                     break
                 if end >= e:  # the chunk at hand has taken this one in
                     break
                 end = min(e, end + max(overlap, end - begin))
                 at_hand = encode([text[begin:end]])[0]
                 widened += 1
-    return total + at_hand[0] - lo, len(spans), widened
+    return total + len(at_hand.ids) - lo, len(spans), widened
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
-                 chunk_chars: int = 8192, overlap_chars: int = 256) -> DataFrame:
+                 chunk_chars: int = 32_768, overlap_chars: int = 256) -> DataFrame:
     """(id, n_bytes, n_tokens, n_chunks, n_widened) of every row of ``docs``.
 
     Texts of at most ``chunk_chars`` are one chunk and are encoded as they are; longer ones
