@@ -1,7 +1,6 @@
 """Streaming: stream == batch on closed windows, exact per-row state, restart from checkpoint (V8)."""
 
 import datetime as dt
-import os
 
 from pyspark.sql import functions as F
 

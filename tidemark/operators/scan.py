@@ -7,15 +7,14 @@ plain ``Window.partitionBy(key).orderBy(ts)`` it sends each key (or, without a k
 the whole table) to a single task: a key holding a third of the rows becomes a
 third of the job in one task.
 
-Instead the order is cut into *blocks* (a monotone function of the order, e.g. an
-hour bucket of the timestamp or ``event_id div N``) and the scan is done in two
-levels:
+Instead the order of a key that is too large for a task is cut into *blocks* (a monotone function of
+the order, see ``blocks.py``) and the scan is done in two levels:
 
 1. local running value inside ``(key, block)`` — one shuffle, balanced because a hot
    key is spread over many blocks;
 2. block totals via ``groupBy(key, block)`` — partial (map-side) aggregation, so only
-   one row per block leaves each task, kept as a small table that is computed once — and an exclusive running total over blocks,
-   computed by the same blocked scan over super-blocks of ``fanout`` blocks, so no
+   one row per block leaves each task, kept as a small table that is computed once — and an
+   exclusive running total over blocks, computed by the same blocked scan over super-blocks of ``fanout`` blocks, so no
    task orders more than ``#blocks / fanout`` block rows of one key;
 3. join back on ``(key, block)``: the big side is already hash-partitioned on exactly
    those columns by step 1, so it is not shuffled again; AQE broadcasts the small

@@ -13,7 +13,8 @@ needs all rows in one partition. Here sessions come from one blocked pass:
 
 Cost: one shuffle of the rows on ``(key, block)``, one narrow shuffle of
 ``(key, block, ts, tiebreak)`` for the block summaries (their in-block ``lag`` needs
-order), a tiny block table, and the partial-aggregated session merge.
+order), a small block table that is kept, and the partial-aggregated session merge. Where no key
+needs cutting, it is one window per key.
 
 Semantics (the reference's): rows no more than ``gap`` apart share a session
 (a gap of exactly ``gap`` still merges); a session is ``[first, last + gap)``. Rows
