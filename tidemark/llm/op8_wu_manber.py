@@ -10,7 +10,6 @@ don't shorten the shifts of the others.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
