@@ -190,7 +190,7 @@ def _compare(percent: int):
 
 
 def links(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (u, v) whose full sets are similar enough. rows: (id, text)."""
+    """Those of ``pairs`` (u, v) whose full sets are similar enough (some twice, where an id repeats). rows: (id, text)."""
     spark = rows.sparkSession
     pairs = common.written(spark, pairs, "pairs")
     wanted = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
@@ -202,7 +202,7 @@ def links(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFra
     v = sets.select(F.col("id").alias("v"), F.col("members").alias("mv"))
     both = F.size(F.array_intersect("mu", "mv"))
     joined = pairs.join(v, "v").join(u, "u").select("u", "v", (F.size("mu") + F.size("mv")).alias("total"), both.alias("both"))
-    return joined.where(100 * F.col("both") >= percent * (F.col("total") - F.col("both"))).select("u", "v").distinct()
+    return joined.where(100 * F.col("both") >= percent * (F.col("total") - F.col("both"))).select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 75) -> DataFrame:
@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = common.id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     sketches = common.written(spark, rows.mapInArrow(_sketches(shingle_words), "id long, n int, digest binary, bands array<long>, signature binary"), "sketches")
     sets = sketches.where("id is not null and digest is not null")
-    classes = common.written(spark, sets.groupBy("digest").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    classes = common.written(spark, sets.groupBy("digest").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "classes")
     members = classes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     fits = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
     buckets = members.groupBy("key").agg(F.min("node").alias("centre"), F.min_by("n", "node").alias("cn"), F.count("*").alias("size")).where("size > 1")
@@ -226,12 +226,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             .select(F.col("centre").alias("u"), F.col("node").alias("v")).distinct())
     star = common.written(spark, star, "star")
 
-    def known(nodes: DataFrame) -> DataFrame:
-        return sets.join(nodes.select(F.col("node").alias("id")).distinct(), "id").dropDuplicates(["id", "digest"])
-
-    marks = known(star.select(F.col("u").alias("node")).union(star.select(F.col("v").alias("node"))))
-    marked = (star.join(marks.select(F.col("id").alias("v"), F.col("signature").alias("sv")), "v")
-              .join(marks.select(F.col("id").alias("u"), F.col("signature").alias("su")), "u"))
+    marked = (star.join(classes.select(F.col("node").alias("v"), F.col("signature").alias("sv")), "v")
+              .join(classes.select(F.col("node").alias("u"), F.col("signature").alias("su")), "u"))
     star = marked.mapInArrow(_alike(percent), "u long, v long").distinct()
     found = common.written(spark, links(rows, star, shingle_words, percent), "links")
     roots = common.written(spark, components(found), "roots")
@@ -242,8 +238,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     mixed = mixed.where("lo <> hi and size > 2").select("key", "centre", F.ceil(F.col("size") / BLOCK).alias("blocks"))
     placed = placed.join(mixed, "key").where("node <> centre")
     placed = common.written(spark, placed.select("key", "band", "node", "root", "n", F.pmod(F.xxhash64("node"), "blocks").alias("block")), "mixed")
-    marks = known(placed).select(F.col("id").alias("node"), "bands", "signature")
-    blocks = placed.join(marks, "node").groupBy("key", "band", "block").agg(F.collect_list(F.struct("node", "root", "n", "bands", "signature")).alias("items"))
+    blocks = placed.join(classes.select("node", "bands", "signature"), "node").groupBy("key", "band", "block").agg(F.collect_list(F.struct("node", "root", "n", "bands", "signature")).alias("items"))
     left = blocks.withColumnRenamed("items", "left")
     right = blocks.select("key", F.col("block").alias("other"), F.col("items").alias("right"))
     compared = left.join(right, "key").where("block <= other").select("band", (F.col("block") == F.col("other")).alias("same"), "left", "right")
