@@ -9,13 +9,15 @@ from pyspark.sql.types import StructField, StructType
 from tidemark.session import scratch_path
 from tidemark.sources.tables import read_table
 
-#: Rows of one Arrow batch: bounds what a Python worker holds of long texts.
+#: Rows and bytes of one Arrow batch: they bound what a Python worker holds at once (a longer text is a batch of its own).
 ARROW_ROWS = 512
+ARROW_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Session settings of the operators (batch size of the Python workers)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
