@@ -16,7 +16,7 @@ import numpy as np
 from tidemark.llm import batches
 
 #: Pieces remembered by one Python worker, the first ones it meets (the frequent ones are among them).
-CACHE_PIECES = 800_000
+CACHE_PIECES = 1_100_000
 
 
 _STOPS = re.compile(rb"(?<=[a-z0-9])([.,]+)(?=[ \n])")
