@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tidemark.llm import op4_oph
 from tidemark.llm.components import components
@@ -89,6 +90,28 @@ def test_bins_agree_as_often_as_the_sets_are_alike():
         assert abs(np.mean(agree) - both / (2 * n - both)) < 0.03
 
 
+def test_short_pairs_at_exactly_three_quarters(spark):
+    r = random.Random(9)
+    rows = []
+    for i, (small, large) in enumerate([(3, 4), (6, 8), (12, 16), (24, 32)] * 1500):
+        text = [f"w{r.randrange(10**12)}" for _ in range(large + 4)]
+        rows += [(2 * i, " ".join(text[:small + 4])), (2 * i + 1, " ".join(text))]
+    got = op4_oph.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))
+    assert [tuple(x) for x in got.where("component_id <> doc_id - doc_id % 2").collect()] == []
+
+
+def test_signatures_rule_out_no_link():
+    r = np.random.default_rng(3)
+    hashes = lambda n: r.integers(0, 2**64, n, np.uint64)
+    for small, large, times in [(1, 1, 50), (3, 4, 2000), (12, 16, 2000), (75, 100, 500), (750, 1000, 300), (768, 1024, 300), (780, 1040, 300), (6000, 8000, 100)]:
+        for _ in range(times):
+            both, rest = hashes(small), hashes(large - small)
+            at = r.integers(0, len(rest) + 1)
+            sets = [np.sort(np.concatenate([both, x])) for x in (rest[:at], rest[at:])]
+            u, v = (op4_oph._bins(pa.array([op4_oph.signature(s)])) for s in sets)
+            assert op4_oph.may_link(u, v, *(np.array([len(s)]) for s in sets), 75)
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(100)] + [(1000, 500), (500, 700), (7, 7), (700, 1000)]
     for one_task in (1000, 10):

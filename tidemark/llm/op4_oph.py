@@ -7,7 +7,7 @@ bins agree with the Jaccard similarity as their chance. Bands of bins are bucket
 
 Equal sets are one class from the start. In each bucket every class is paired with the bucket's smallest
 class only: a star, so a bucket of n gives n - 1 pairs. Pairs whose signatures (a few
-bits of each bin) agree nearly often enough are confirmed on full sets, and their links give components. A star can miss a link between two
+bits of each bin before densification) don't rule it out are confirmed on full sets, and their links give components. A star can miss a link between two
 of its other members; it matters only if they are in different components. So the members of buckets that
 still span components are compared by their signatures, in blocks, and the few pairs across
 components that may be alike are confirmed on full sets as well.
@@ -30,8 +30,9 @@ BIN_BITS = 9
 BINS = 1 << BIN_BITS
 BAND_ROWS = 4
 BANDS = 32
-#: Bits of each bin that a signature keeps, two bins in a byte.
-SIGNATURE_BITS = 4
+#: Unions of up to so many shingles are ruled out by signatures only if that is certain, larger ones also if a link would agree so rarely by chance.
+CERTAIN_UNION = 1024
+MISSED = 1e-12
 #: Bits of the filter that keeps texts no pair asks for out of the shuffle (it lets some through, which are joined away).
 FILTER_BITS = 24
 #: Members of a block when a bucket's signatures are compared.
@@ -63,10 +64,15 @@ def shingles(text: str, size: int) -> np.ndarray:
     return np.unique(h)
 
 
+def _cut(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the bins of a sorted set begin and end, and which have a hash."""
+    cut = np.concatenate(([0], np.searchsorted(hashes, _EDGES), [len(hashes)]))
+    return cut, cut[:-1] < cut[1:]
+
+
 def bins_of(hashes: np.ndarray) -> np.ndarray:
     """The smallest hash of each bin of a sorted, non-empty set, empty bins densified."""
-    cut = np.concatenate(([0], np.searchsorted(hashes, _EDGES), [len(hashes)]))
-    filled = cut[:-1] < cut[1:]
+    cut, filled = _cut(hashes)
     source = np.flatnonzero(filled)
     if len(source) < BINS:
         copied = np.arange(BINS)
@@ -84,15 +90,33 @@ def band_keys(bins: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def signature(bins: np.ndarray) -> bytes:
-    low = bins.astype(np.uint8) & np.uint8(15)
+def signature(hashes: np.ndarray) -> bytes:
+    """Four bits of each bin, two bins in a byte: 0 if the bin is empty, else 1 to 15 by its smallest hash."""
+    cut, filled = _cut(hashes)
+    low = np.zeros(BINS, np.uint8)
+    low[filled] = hashes[cut[:-1][filled]] % np.uint64(15) + np.uint64(1)
     return (low[0::2] | (low[1::2] << np.uint8(4))).tobytes()
 
 
-def least_matches(percent: int) -> int:
-    """How many bins of two signatures agree at least, but for once in 30,000 times, if the sets reach ``percent``."""
-    p = percent / 100 + (1 - percent / 100) / 2**SIGNATURE_BITS
-    return int(BINS * p - 4 * (BINS * p * (1 - p)) ** 0.5)
+def least_matches(nu: np.ndarray, nv: np.ndarray, occupied: np.ndarray, percent: int) -> np.ndarray:
+    """How many of the bins ``occupied`` by either set hold the same smallest hash at least, if the sets reach ``percent``.
+
+    The smallest hashes of the union's bins are a sample of it without replacement, as large as ``occupied``; those
+    that both sets have are the smallest of both. The sample misses no more of them than the sets differ in, which is certain.
+    Of larger unions it also has fewer than Serfling's bound with a chance of ``MISSED`` at most, whatever the size.
+    """
+    total = nu.astype(np.int64) + nv
+    both = -(-percent * total // (100 + percent))
+    union = total - both
+    certain = (occupied - (union - both)).astype(float)
+    spread = np.sqrt(occupied * np.maximum(1 - (occupied - 1) / union, 0) * -np.log(MISSED) / 2)
+    return np.where(union <= CERTAIN_UNION, certain, np.maximum(certain, occupied * both / union - spread - 1e-6))
+
+
+def may_link(u: np.ndarray, v: np.ndarray, nu: np.ndarray, nv: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of two matrices of signature bins don't rule out that their sets reach ``percent``."""
+    empty = ((u | v) == 0).sum(axis=1)
+    return (u == v).sum(axis=1) - empty >= least_matches(nu, nv, u.shape[1] - empty, percent)
 
 
 def _sketches(size: int):
@@ -106,7 +130,7 @@ def _sketches(size: int):
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 bins = bins_of(s) if len(s) else None
                 bands.append(None if bins is None else band_keys(bins))
-                signatures.append(None if bins is None else signature(bins))
+                signatures.append(signature(s) if len(s) else None)
             arrays = [pa.array(x, f.type) for x, f in zip((counts, digests, bands, signatures), schema, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["id", *schema.names])
     return run
@@ -146,14 +170,12 @@ def _bins(signatures: pa.Array) -> np.ndarray:
 
 
 def _alike(percent: int):
-    """Those pairs whose signatures agree often enough."""
-    least = least_matches(percent)
-
+    """Those pairs that their signatures don't rule out."""
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_in:
             if batch.num_rows:
-                same = (_bins(batch.column("su")) == _bins(batch.column("sv"))).sum(axis=1) >= least
-                yield batch.select(["u", "v"]).filter(pa.array(same))
+                nu, nv = (batch.column(c).to_numpy() for c in ("nu", "nv"))
+                yield batch.select(["u", "v"]).filter(pa.array(may_link(_bins(batch.column("su")), _bins(batch.column("sv")), nu, nv, percent)))
     return run
 
 
@@ -164,10 +186,8 @@ def _members(items: pa.Array) -> dict[str, np.ndarray]:
 
 
 def _compare(percent: int):
-    """Pairs of two blocks of a bucket: of different components, of sizes that fit, alike by their signatures,
+    """Pairs of two blocks of a bucket: of different components, of sizes that fit, not ruled out by their signatures,
     and with this band as the first they share (else another bucket gives them)."""
-    least = least_matches(percent)
-
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_in:
             us, vs = [], []
@@ -181,7 +201,7 @@ def _compare(percent: int):
                 x, y = np.nonzero(np.triu(open_, 1) if same else open_)
                 for s in range(0, len(x), 8192):
                     p, q = x[s:s + 8192], y[s:s + 8192]
-                    alike = (a["bins"][p] == b["bins"][q]).sum(axis=1) >= least
+                    alike = may_link(a["bins"][p], b["bins"][q], a["n"][p], b["n"][q], percent)
                     us.append(a["node"][p[alike]])
                     vs.append(b["node"][q[alike]])
             u, v = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (us, vs))
@@ -226,8 +246,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             .select(F.col("centre").alias("u"), F.col("node").alias("v")).distinct())
     star = common.written(spark, star, "star")
 
-    marked = (star.join(classes.select(F.col("node").alias("v"), F.col("signature").alias("sv")), "v")
-              .join(classes.select(F.col("node").alias("u"), F.col("signature").alias("su")), "u"))
+    marked = (star.join(classes.select(F.col("node").alias("v"), F.col("signature").alias("sv"), F.col("n").alias("nv")), "v")
+              .join(classes.select(F.col("node").alias("u"), F.col("signature").alias("su"), F.col("n").alias("nu")), "u"))
     star = marked.mapInArrow(_alike(percent), "u long, v long").distinct()
     found = common.written(spark, links(rows, star, shingle_words, percent), "links")
     roots = common.written(spark, components(found), "roots")
