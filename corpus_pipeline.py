@@ -21,9 +21,12 @@ def _with_rows(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the codes, learned from these rows' own, can tell; texts without a letter go."""
+    """Documents in a language that the codes, learned from these rows' own, can tell; texts without a letter go, and only those if no row has a language."""
     common.prepare(spark)
-    found = op6_ecoc.identify(_with_rows(docs), op6_ecoc.train(docs), id_col="row")
+    model = op6_ecoc.train(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = op6_ecoc.identify(_with_rows(docs), model, id_col="row")
     return found.where(F.col("lang_pred") != op6_ecoc.UNDETERMINED).select("row.*")
 
 

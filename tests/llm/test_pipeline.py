@@ -98,6 +98,14 @@ def test_run_gives_the_last_stage(spark, tables):
     assert np.all([len(s) == 2 for s in corpus_pipeline.STAGES])
 
 
+def test_texts_without_any_language_label_stay(spark):
+    rows = [(1, "some words"), (2, None), (3, "12 !!"), (4, "\n\u00e9t\u00e9"), (None, "more"), (4, "again \U00020000"), (5, "")]
+    docs = spark.createDataFrame([(i, t, None, "s", 0, None, 1) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.language(spark, docs, "")
+    assert kept.dtypes == docs.dtypes
+    assert keyed(kept) == sorted(((i, t) for i, t in rows if any(c.isalpha() for c in t or "")), key=str)
+
+
 def test_empty_documents(spark, tables, tmp_path):
     folder, _ = tables
     docs = spark.createDataFrame([], SCHEMA)
