@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, op1_preference, op2_resync, op3_disclosure, op4_oph, op5_pack, op6_ecoc, op7_kneser_ney, op8_wu_manber, op9_taat, op10_mil
+from tidemark.llm import common, op1_preference, op2_resync, op3_disclosure, op4_oph, op5_pack, op6_ecoc, op7_kneser_ney, op8_wu_manber, op9_taat, op10_mil, op11_fim, op12_merkle, op13_gam
 from tidemark.sources.tables import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -156,6 +156,86 @@ def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as prefix, suffix and middle of its lines, and the text that its output gives back."""
+    found = op11_fim.transform(common.documents(spark, sf_dir), with_text=False)
+    return found.drop("output")
+
+
+OP11_SQL = r"""
+with h as (select coalesce(text, '') as text, doc_id, sha256('7:' || coalesce(doc_id::varchar, '')) as h from documents),
+u as (select *, case when text = '' then [] else regexp_extract_all(text, '[^\n]*\n|[^\n]+') end as units,
+      ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from h),
+c as (select *, len(units) as n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) as a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) as b,
+      case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 100 then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form from u),
+p as (select *, coalesce(array_to_string(units[1:a], ''), '') as prefix, coalesce(array_to_string(units[a + 1:b], ''), '') as middle, coalesce(array_to_string(units[b + 1:n], ''), '') as suffix from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefix) end::bigint as prefix_chars, case when form <> 'plain' then length(middle) end::bigint as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256 from p
+"""
+
+MANIFEST_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the dataset's Merkle tree, and whether its row, tampered with where 3 divides its id's crc32, still leads to the root."""
+    docs = read_table(spark, sf_dir, "documents", MANIFEST_COLUMNS)
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.coalesce(common.crc_mod("doc_id", 3) == 0, F.lit(False))
+    shown = op12_merkle.leaf(docs, MANIFEST_COLUMNS, {"text": F.when(tampered, lowered).otherwise(F.col("text"))})
+    found = op12_merkle.manifest(docs, MANIFEST_COLUMNS, carried={"shown": shown}).proofs()
+    folded = found.withColumn("folded_root", op12_merkle.fold(F.col("shown"), F.col("proof")))
+    return folded.select(F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root", F.sha2(op12_merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _op12_sql(levels: int = 9, over: int = 4) -> str:
+    """The manifest level by level: up to 8 ** levels rows a language, 8 ** over languages."""
+    enc = lambda c, text=None: f"coalesce(strlen({text or f'{c}::varchar'}) || ':' || {text or f'{c}::varchar'}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(enc(c, text if c == "text" else None) for c in MANIFEST_COLUMNS) + ")"
+    bits = "list_reduce(list_prepend(xor(c, b), range(8)), lambda r, i: case when r % 2 = 1 then xor(r // 2, 3988292384) else r // 2 end)"
+    crc = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)), lambda c, b: {bits}), 4294967295)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""l as (select doc_id, coalesce('=' || lang, '-') as tree, {leaf('text')} as leaf, case when {crc} % 3 = 0 then {leaf(lower)} else {leaf('text')} end as shown from documents)""",
+             "r as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i, row_number() over () as row from l)"]
+
+    def tree(name: str, first: str, levels: int) -> None:
+        parts.append(f"{name}0 as ({first})")
+        for k in range(levels):
+            parts.append(f"{name}g{k} as (select tree, i // 8 as i, list(digest order by i) as ds, max(n) as n from {name}{k} group by all)")
+            parts.append(f"{name}{k + 1} as (select tree, i, case when n = 1 then ds[1] else sha256(array_to_string(ds, '')) end as digest, (n + 7) // 8 as n from {name}g{k})")
+
+    def climb(name: str, rows: str, out: str, levels: int) -> None:
+        """rows: (row, tree, i, folded, sides); i is the rank in the tree."""
+        parts.append(f"{out}0 as ({rows})")
+        for k in range(levels):
+            inside = f"(x.i // {8 ** k}) % 8"
+            left, right = f"coalesce(array_to_string(g.ds[1:{inside}], ''), '')", f"coalesce(array_to_string(g.ds[{inside} + 2:8], ''), '')"
+            parts.append(f"""{out}{k + 1} as (select row, x.tree, x.i, case when g.n = 1 then folded else sha256({left} || folded || {right}) end as folded,
+                case when g.n = 1 then sides else sides || {left} || {right} end as sides from {out}{k} x join {name}g{k} g on g.tree = x.tree and g.i = x.i // {8 ** (k + 1)})""")
+
+    tree("t", "select tree, i, leaf as digest, count(*) over (partition by tree) as n from r", levels)
+    parts.append(f"s as (select tree as lang, digest, row_number() over (order by tree) - 1 as i from t{levels})")
+    tree("o", "select '' as tree, i, digest, count(*) over () as n from s", over)
+    climb("t", "select row, tree, i, shown as folded, '' as sides from r", "c", levels)
+    climb("o", f"select row, '' as tree, s.i, folded, sides from c{levels} c join s on s.lang = c.tree", "d", over)
+    return "with " + ",\n".join(parts) + f"""
+select r.doc_id, r.leaf, s.digest as subroot, o.digest as root, sha256(d.sides) as proof_sha256, d.folded as folded_root, d.folded = o.digest as verified
+from r join d{over} d on d.row = r.row join s on s.lang = r.tree, o{over} o
+"""
+
+
+def op13_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from labels outside of fold 0."""
+    docs = common.documents(spark, sf_dir)
+    fold = common.crc_mod("doc_id", 5)
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    found = op13_gam.score(docs, op13_gam.train(docs.where(fold != 0), labels.where(fold != 0)))
+    return found.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "reasons")
+
+
 QUERIES = {f.__name__: f for f in (op1_preference_formatting, op2_token_counts, op3_disclosure_sanitisation, op4_near_duplicates, op5_packed_sequences,
-                                  op6_language_codes, op7_kneser_ney_scores, op8_decontamination, op9_exact_top_k, op10_toxic_sentences)}
-SQL = {"op1_preference_formatting": OP1_SQL, "op4_near_duplicates": OP4_SQL, "op8_decontamination": OP8_SQL, "op9_exact_top_k": OP9_SQL}
+                                  op6_language_codes, op7_kneser_ney_scores, op8_decontamination, op9_exact_top_k, op10_toxic_sentences, op11_fill_in_middle, op12_merkle_manifest,
+                                  op13_quality_scores)}
+SQL = {"op1_preference_formatting": OP1_SQL, "op4_near_duplicates": OP4_SQL, "op8_decontamination": OP8_SQL, "op9_exact_top_k": OP9_SQL,
+       "op11_fill_in_middle": OP11_SQL, "op12_merkle_manifest": _op12_sql()}
