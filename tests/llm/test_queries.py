@@ -20,6 +20,9 @@ COLUMNS = {
     "op8": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op9": ["query_id", "rank", "vec_id", "score"],
     "op10": ["doc_id", "held_out", "score", "predicted"],
+    "op11": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+    "op12": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op13": ["doc_id", "held_out", "score", "predicted"],
 }
 
 
@@ -41,10 +44,10 @@ def test_columns_and_rows(spark, name):
     if number not in ("op5", "op9"):
         assert df.count() == n
     if "held_out" in df.columns:
-        mod, fold = {"op6": (5, 0), "op7": (7, 2), "op10": (4, 2)}[number]
+        mod, fold = {"op6": (5, 0), "op7": (7, 2), "op10": (4, 2), "op13": (5, 0)}[number]
         assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % mod == fold) for r in df.collect())
 
 
 def test_all_are_registered():
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
