@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros, interval_us
 from ..session import kept
+from .blocks import FANOUT, measured_blocks
 from .scan import NULL_BLOCK, Scan, null_safe_keys, scan
 
 SID = "session_seq"
@@ -59,7 +60,8 @@ def session_ids(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], block:
     # Across blocks: scans over the block table, super-block by super-block.
     over = {"keys": keys, "order": ["_blk"], "block": F.floor(F.col("_blk") / fanout), "levels": 1, "fanout": fanout, "block_name": "_sblk"}
     blocks = scan(blocks, specs={"_bprev": Scan("max", F.col("_bmax"), inclusive=False)}, **over)
-    blocks = blocks.withColumn("_bfirst", F.when(F.col("_bprev").isNull() | ((F.col("_bmin") - F.col("_bprev")) > gap_us), 1).otherwise(0))
+    later = F.col("_bmin").isNull() & (F.col("_blk") > NULL_BLOCK)  # rows without a time may be several blocks, and are one session
+    blocks = blocks.withColumn("_bfirst", F.when(later, 0).when(F.col("_bprev").isNull() | ((F.col("_bmin") - F.col("_bprev")) > gap_us), 1).otherwise(0))
     blocks = scan(blocks, specs={"_boff": Scan("sum", F.col("_bfirst") + F.col("_bint"), inclusive=False)}, **over)
     blocks = blocks.withColumn("_boff", F.coalesce("_boff", F.lit(0)))
     out = t.join(blocks.select(*keys, "_blk", "_bfirst", "_boff"), on=[*keys, "_blk"], how="inner")
@@ -85,6 +87,21 @@ def session_windows(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], blo
     return out.drop(SID)
 
 
+def merge_sessions(parts: DataFrame, *, gap_us: int, sums: list[str]) -> DataFrame:
+    """Sessions (first, last, ``sums``) put together where the next begins no more than ``gap_us`` after any before it has ended.
+
+    Both the furthest end so far and the number of the session are scans over the parts, so parts that come from
+    everywhere never meet in one task. Parts without times are one session.
+    """
+    rows, block = measured_blocks(parts.select("first", "last", *sums), keys=[], at="first")
+    over = {"keys": [], "order": ["first", "last"], "block": block, "fanout": FANOUT}
+    s = scan(rows, specs={"_reach": Scan("max", epoch_micros("last"), inclusive=False)}, **over)
+    at = epoch_micros("first")
+    begins = at.isNotNull() & (F.col("_reach").isNull() | (at - F.col("_reach") > gap_us))
+    s = scan(s.withColumn("_begins", F.when(begins, 1).otherwise(0)), specs={SID: Scan("sum", F.col("_begins"))}, **over)
+    return s.groupBy(SID).agg(F.min("first").alias("first"), F.max("last").alias("last"), *[F.sum(c).cast("long").alias(c) for c in sums]).drop(SID)
+
+
 def session_windows_builtin(df: DataFrame, *, ts: str, gap: str, keys: list[str],
                             aggs: list[Column]) -> DataFrame:
     """Spark's own ``session_window`` — the streaming form (needs a key column)."""

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import sorted_map_string
+from ..functions.columns import epoch_micros, sorted_map_string
 from .scan import NULL_BLOCK, Scan, null_safe_keys, scan
 
 
@@ -43,15 +43,15 @@ def running_count(df: DataFrame, *, key: str, order: list[str], block: Column |
 
 
 def running_type_counts(df: DataFrame, *, key: str, type_col: str, order: list[str],
-                        block: Column | None, levels: int = 1, fanout: int = 1024, name: str = "counts") -> DataFrame:
+                        block: Column | None, levels: int = 1, fanout: int = 1024, name: str = "counts", as_text: bool = True) -> DataFrame:
     """V4 MapState: per key, the count of each type seen so far, rendered as
-    ``type=n, ...`` sorted by type, types never seen omitted (a null type is none).
+    ``type=n, ...`` sorted by type, or as a map; types never seen omitted (a null type is none).
 
     No list of types is needed: inside a block a row meets the types of its block; the counts
     of the blocks before it come from a scan over (key, type) totals. Work and
     output grow with rows times the types of their key.
     """
-    p, uncut = "_tc", block is None
+    p, uncut, shown = "_tc", block is None, sorted_map_string if as_text else (lambda m: m)
     columns = F.struct(*df.columns)
     d, keys = null_safe_keys(df.withColumn(p, F.lit(0) if uncut else F.coalesce(block, F.lit(NULL_BLOCK))), [key], p)
     in_block = Window.partitionBy(*keys, p)
@@ -64,7 +64,7 @@ def running_type_counts(df: DataFrame, *, key: str, type_col: str, order: list[s
     local = met.groupBy(*keys, p, "_i").agg(F.first("_row").alias("_row"), F.map_from_entries(F.collect_list(entry)).alias("_here"))
 
     if uncut:
-        return local.select("_row.*", sorted_map_string(F.col("_here")).alias(name))
+        return local.select("_row.*", shown(F.col("_here")).alias(name))
     # totals of (key, block, type); every block of a key gets every type of the key
     totals = d.filter(F.col(type_col).isNotNull()).groupBy(*keys, p, F.col(type_col).alias("_type")).agg(F.count(F.lit(1)).alias("_n"))
     cells = d.select(*keys, p).distinct().join(totals.select(*keys, "_type").distinct(), keys).join(totals, [*keys, p, "_type"], "left")
@@ -75,27 +75,49 @@ def running_type_counts(df: DataFrame, *, key: str, type_col: str, order: list[s
     out = local.join(before, [*keys, p], "left")
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
     both = F.map_zip_with("_here", F.coalesce("_earlier", none), lambda k, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
-    return out.select("_row.*", sorted_map_string(both).alias(name))
+    return out.select("_row.*", shown(both).alias(name))
+
+
+def open_lists(df: DataFrame, *, key: str, order: list[str], block: Column | None, levels: int = 1, fanout: int = 1024, item: Column,
+               clear_above: int, ttl_us: int | None = None, ts: str | None = None) -> DataFrame:
+    """``df`` with ``_rn``, the row's number in its key, and ``_list``, the items of the key's list after this row.
+
+    A list of more than ``clear_above`` items is cleared after it was read, so sizes cycle
+    ``1 .. clear_above + 1``. With ``ttl_us`` a list that was not written for so long or longer is
+    gone when the next element comes. Two causes end a list, but only one of them looks at time, and that one looks
+    at the row before, not at the list: a first scan gives each row's number and the time ``ts`` before it, so
+    it is known where lists expire; a second gives the number of the last row at which one did, and cycles
+    count from there. A list is gathered from the rows of its own cycle, ``clear_above + 1`` at most, so no group is unbounded.
+    """
+    over = {"keys": [key], "order": order, "block": block, "levels": levels, "fanout": fanout}
+    if ttl_us is None:
+        s, life = scan(df, specs={"_rn": Scan("count")}, **over), F.lit(1)
+    else:
+        s = scan(df, specs={"_rn": Scan("count"), "_before": Scan("max", epoch_micros(ts), inclusive=False)}, **over)
+        begins = (F.col("_rn") == 1) | (epoch_micros(ts) - F.col("_before") >= ttl_us)
+        s = scan(s.withColumn("_begin", F.when(begins, F.col("_rn"))), specs={"_life": Scan("max", F.col("_begin"))}, **over)
+        s, life = s.drop("_before", "_begin"), F.col("_life")
+    s = s.withColumn("_first", F.col("_rn") - F.pmod(F.col("_rn") - life, F.lit(clear_above + 1)))  # the list's first row
+    w = Window.partitionBy(key, "_first").orderBy("_rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return s.withColumn("_list", F.collect_list(item).over(w)).drop("_life", "_first")
 
 
 def recent_list(df: DataFrame, *, key: str, order: list[str], block: Column | None, levels: int = 1, fanout: int = 1024, item: Column,
                 clear_above: int = 10, name: str = "items") -> DataFrame:
     """V5 ListState with clearing: append, read, clear when the list has more than
-    ``clear_above`` elements. List sizes cycle ``1 .. clear_above + 1``.
+    ``clear_above`` elements (``open_lists``)."""
+    s = open_lists(df, key=key, order=order, block=block, levels=levels, fanout=fanout, item=item, clear_above=clear_above)
+    return s.withColumn("list_size", F.size("_list")).withColumn(name, F.array_join("_list", ", ")).drop("_rn", "_list")
+
+
+def recent_list_ttl(df: DataFrame, *, key: str, ts: str, order: list[str], block: Column | None, levels: int = 1, fanout: int = 1024, item: Column,
+                    ttl_us: int, clear_above: int = 10, name: str = "items") -> DataFrame:
+    """V5 ListState with clearing and time to live in event time (``open_lists``); ``ts`` is the first of ``order``.
 
-    The running index comes from the blocked scan; the list itself is gathered over
-    ``(key, cycle)`` partitions that hold at most ``clear_above + 1`` rows, so no
-    group is unbounded.
+    Rows without a time come first in their key; they neither expire nor let expire.
     """
-    period = clear_above + 1
-    s = scan(df, keys=[key], order=order, block=block, specs={"_rn": Scan("count")}, levels=levels, fanout=fanout)
-    s = s.withColumn("_cycle", F.floor((F.col("_rn") - 1) / period))
-    w = (Window.partitionBy(key, "_cycle").orderBy("_rn")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    lst = F.collect_list(item).over(w)
-    return (s.withColumn("list_size", F.size(lst))
-             .withColumn(name, F.array_join(lst, ", "))
-             .drop("_rn", "_cycle"))
+    s = open_lists(df, key=key, order=order, block=block, levels=levels, fanout=fanout, item=item, clear_above=clear_above, ttl_us=ttl_us, ts=ts)
+    return s.withColumn("list_size", F.size("_list")).withColumn(name, F.array_join("_list", ", ")).drop("_rn", "_list")
 
 
 def global_count_trigger(df: DataFrame, *, every: int, order: list[str], block: Column | None, levels: int = 1, fanout: int = 1024,

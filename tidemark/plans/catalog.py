@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import duration_us, entity_id, epoch_millis
-from ..operators import joins, late, partitioning, sessions, state, transforms, windows
+from ..operators import accumulate, joins, late, partitioning, sessions, state, transforms, windows
 from ..operators.blocks import FANOUT, measured_blocks
 from ..operators.scan import id_block
 from ..session import scratch_path
 from ..sinks import files
-from ..sources import tables, views
+from ..sources import elements, tables, views
 
 H_US = 3_600_000_000
 SECOND_US = 1_000_000
@@ -36,9 +36,9 @@ def block_ids(spark: SparkSession) -> int:
     return _conf_int(spark, "blockIds", 2000)
 
 
-def _blocked(df: DataFrame, keys: list[str], at) -> tuple[DataFrame, dict]:
-    """Rows and the scan's arguments for blocks of the data's own measure."""
-    rows, block = measured_blocks(df, keys=keys, at=at)
+def _blocked(df: DataFrame, keys: list[str], at, tie: str | None = "event_id") -> tuple[DataFrame, dict]:
+    """Rows and the scan's arguments for blocks of the data's own measure; rows order by ``at``, then by ``tie``."""
+    rows, block = measured_blocks(df, keys=keys, at=at, tie=tie)
     return rows, {"block": block, "fanout": FANOUT}
 
 
@@ -145,7 +145,7 @@ def count_trigger_purging(spark, sf_dir):
 def rolling_reduce(spark, sf_dir):
     """A1: keyBy(n is even).reduce(_ + _): running sum after every element, exact and so given as text."""
     ev = _events(spark, sf_dir, ["event_id"])
-    ev, blocks = _blocked(ev.withColumn("is_even", F.col("event_id") % 2 == 0), ["is_even"], F.col("event_id"))
+    ev, blocks = _blocked(ev.withColumn("is_even", F.col("event_id") % 2 == 0), ["is_even"], F.col("event_id"), None)
     out = state.rolling_reduce(ev, key="is_even", value="event_id", order=["event_id"], key_name="is_even", **blocks)
     return out.select("event_id", "is_even", F.col("running_sum").cast("string").alias("running_sum"))
 
@@ -187,6 +187,21 @@ def recent_list_by_user(spark, sf_dir):
     return out.select("event_id", "user_id", "list_size", "items")
 
 
+def recent_list_ttl(spark, sf_dir):
+    """V5 ListState with both ends of a list: cleared above 10 elements, expired after an hour without a write."""
+    cart, blocks = _cart_by_user(spark, sf_dir)
+    out = state.recent_list_ttl(cart, key="user_id", ts="time", order=["time", "event_id"], item=F.col("event_id").cast("string"), ttl_us=H_US, **blocks)
+    return out.select("event_id", "user_id", "list_size", "items")
+
+
+def recent_list_ttl_edge_cases(spark, sf_dir):
+    """The same with null keys and null times, lists of up to 3 and ten minutes to live."""
+    left, _ = _edge_sides(spark, sf_dir)
+    rows, blocks = _blocked(left, ["grp"], "ts")
+    out = state.recent_list_ttl(rows, key="grp", ts="ts", order=["ts", "event_id"], item=F.col("event_id").cast("string"), ttl_us=10 * 60 * SECOND_US, clear_above=2, **blocks)
+    return out.select("event_id", _shown("grp"), "list_size", "items")
+
+
 def high_quantity_counter(spark, sf_dir):
     """V7/A10: per user, number of add-to-cart events with quantity > 5 so far."""
     hits = (F.col("event_type") == S.ADD_TO_CART) & (F.col("quantity") > 5)
@@ -463,6 +478,55 @@ def late_window_counts(spark, sf_dir):
     return late.on_time_window_counts(ev, **_late_kw(spark))
 
 
+def late_events_periodic(spark, sf_dir):
+    """The same arrivals, window and delay, but the watermark is emitted once in 5 arrivals: rows meet the last emitted one."""
+    ev = _events(spark, sf_dir, ["event_id", "ts"])
+    group, place, _ = views.arrival_order("event_id")
+    out = late.with_periodic_watermark(ev, ts="ts", tick=group * 4 + F.floor(place / 5), window_us=duration_us("30 minutes"), delay_us=duration_us("1 hour"))
+    return out.filter("is_late").select("event_id", "ts", "window_end", "watermark")
+
+
+# --------------------------------------------------------------------------- own accumulators, sources, layouts
+
+def accumulator_top_values(spark, sf_dir):
+    """A4/U4: an accumulator of our own: the three greatest whole values, and how often each came, per type and day."""
+    ev = _events(spark, sf_dir, ["ts", "event_type", "value"])
+    rows = ev.select("event_type", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), F.floor("value").cast("long").alias("v"))
+    found = accumulate.accumulate(rows, keys=["event_type", "day"], values=["v"], accumulator=accumulate.TopCounts(3), result="top array<long>, counts array<long>")
+    shown = F.array_join(F.zip_with("top", "counts", lambda v, n: F.concat(v.cast("string"), F.lit("x"), n.cast("string"))), ", ")
+    return found.select("event_type", "day", shown.alias("top"))
+
+
+def sequence_sources(spark, sf_dir):
+    """An inclusive sequence over the ids of the events, and for each number what the events and two literal sources say.
+
+    The literal elements are the record types and their order in a collection; a number without an event, or with
+    one of another type, keeps a row.
+    """
+    ev = _events(spark, sf_dir, ["event_id", "event_type"])
+    ends = ev.agg(F.min("event_id").alias("a"), F.max("event_id").alias("b")).first()
+    numbers = elements.sequence(spark, ends["a"] or 0, -1 if ends["b"] is None else ends["b"])
+    kinds = elements.from_elements(spark, [("purchase", S.ADD_TO_CART), ("error", S.REMOVED_FROM_CART), ("view", S.PRODUCT_VIEWED)], "event_type string, record string")
+    ranks = elements.from_collection(spark, [("signup",), ("click",), ("view",), ("purchase",), ("error",)], "event_type string")
+    found = numbers.join(ev, numbers["n"] == ev["event_id"], "left").join(F.broadcast(kinds), "event_type", "left").join(F.broadcast(ranks), "event_type", "left")
+    return found.select("n", F.coalesce("record", F.lit("none")).alias("record"), F.coalesce("seq", F.lit(-1)).cast("long").alias("seq"))
+
+
+def layout_report(spark, sf_dir):
+    """Q4/Q5: rows and balance of the cart events dealt out evenly, and of the same after the parallelism is lowered without a shuffle."""
+    cart = _cart(spark, sf_dir)
+    dealt = partitioning.rebalance(cart.repartition(3, "user_id"), 2 * N_TARGETS)
+    narrowed = partitioning.set_parallelism(dealt, N_TARGETS)
+
+    def report(name: str, df: DataFrame, n: int) -> DataFrame:
+        # round robin begins at a place of its own in each of the 3 tasks before it: partitions differ by 3 rows at most
+        held = partitioning.placement(df).agg(F.sum("rows").alias("rows"), F.max("rows").alias("most"), F.count(F.lit(1)).alias("used"))
+        even = F.col("most") <= F.col("rows") / n + 3 * (2 * N_TARGETS // n)
+        return held.select(F.lit(name).alias("layout"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), (F.col("used") <= n).alias("within"), F.coalesce(even, F.lit(True)).alias("even"))
+
+    return report("dealt", dealt, 2 * N_TARGETS).unionByName(report("narrowed", narrowed, N_TARGETS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_type_counts": tumbling_type_counts,
     "tumbling_by_type": tumbling_by_type,
@@ -480,6 +544,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_count_by_user": running_count_by_user,
     "running_type_map": running_type_map,
     "recent_list_by_user": recent_list_by_user,
+    "recent_list_ttl": recent_list_ttl,
+    "recent_list_ttl_edge_cases": recent_list_ttl_edge_cases,
     "high_quantity_counter": high_quantity_counter,
     "fizzbuzz": fizzbuzz,
     "fizzbuzz_labels": fizzbuzz_labels,
@@ -510,4 +576,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dynamic_threshold_alerts_scan": dynamic_threshold_alerts_scan,
     "late_events": late_events,
     "late_window_counts": late_window_counts,
+    "late_events_periodic": late_events_periodic,
+    "accumulator_top_values": accumulator_top_values,
+    "sequence_sources": sequence_sources,
+    "layout_report": layout_report,
 }

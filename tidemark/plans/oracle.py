@@ -108,6 +108,16 @@ FROM adds a JOIN catalog c ON a.user_id = c.user_id
  AND epoch_us(c.time) - epoch_us(a.time) {hi} {2 * H}"""
 
 
+def _recent_list_ttl(rows: str, key: str, ttl: int, period: int, shown: str) -> str:
+    """Lists of ``rows`` (event_id, key, moment): a row an hour (``ttl``) or more after the one before begins a new list, and so does every ``period``-th."""
+    return f"""
+n AS (SELECT *, row_number() OVER w AS rn, epoch_us(moment) - epoch_us(lag(moment) OVER w) AS idle FROM {rows}
+      WINDOW w AS (PARTITION BY {key} ORDER BY moment NULLS FIRST, event_id)),
+b AS (SELECT *, max(CASE WHEN rn = 1 OR idle >= {ttl} THEN rn END) OVER (PARTITION BY {key} ORDER BY rn ROWS UNBOUNDED PRECEDING) AS life FROM n),
+g AS (SELECT *, list(CAST(event_id AS VARCHAR)) OVER (PARTITION BY {key}, life, (rn - life) // {period} ORDER BY rn ROWS UNBOUNDED PRECEDING) AS lst FROM b)
+SELECT event_id, {shown}, CAST(len(lst) AS INTEGER) AS list_size, array_to_string(lst, ', ') AS items FROM g"""
+
+
 _ARRIVAL = "event_id // 20, (event_id * 7) % 20, event_id"
 
 _LATE = f"""
@@ -202,6 +212,10 @@ l AS (
   FROM n)
 SELECT event_id, user_id, CAST(len(lst) AS INTEGER) AS list_size, array_to_string(lst, ', ') AS items FROM l""",
 
+    "recent_list_ttl": f"WITH {CART}, c AS (SELECT event_id, user_id, time AS moment FROM cart), {_recent_list_ttl('c', 'user_id', H, 11, 'user_id')}",
+    "recent_list_ttl_edge_cases": f"""WITH {EDGE}, c AS (SELECT event_id, grp, ts AS moment FROM l),
+{_recent_list_ttl('c', 'grp', H // 6, 3, 'coalesce(grp, -1)::BIGINT AS grp')}""",
+
     "high_quantity_counter": f"""
 WITH {CART}
 SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY time, event_id) AS n
@@ -339,6 +353,27 @@ FROM m WHERE wstart + 1800000000 <= wm""",
 SELECT make_timestamp(wstart) AS window_start, make_timestamp(wstart + 1800000000) AS window_end,
        count(*) AS events
 FROM m WHERE NOT coalesce(wstart + 1800000000 <= wm, false) GROUP BY wstart""",
+
+    "late_events_periodic": f"""
+WITH e AS (SELECT event_id, ts, event_id // 20 * 4 + event_id * 7 % 20 // 5 AS tick FROM events),
+t AS (SELECT tick, max(epoch_us(ts)) AS latest FROM e GROUP BY 1),
+w AS (SELECT tick, max(latest) OVER (ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {H} AS wm FROM t)
+SELECT event_id, ts, {bucket('ts', H // 2, H // 2)} AS window_end, make_timestamp(wm) AS watermark
+FROM e JOIN w USING (tick) WHERE epoch_us(ts) // {H // 2} * {H // 2} + {H // 2} <= wm""",
+
+    "accumulator_top_values": """
+WITH v AS (SELECT event_type, date_trunc('day', ts)::TIMESTAMP AS day, floor(value)::BIGINT AS v, count(*) AS n FROM events GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type, day ORDER BY v DESC) AS r FROM v WHERE v IS NOT NULL)
+SELECT event_type, day, coalesce(string_agg(r.v || 'x' || r.n, ', ' ORDER BY r.r), '') AS top
+FROM (SELECT DISTINCT event_type, day FROM v) k LEFT JOIN r USING (event_type, day) WHERE coalesce(r.r, 1) <= 3 GROUP BY 1, 2""",
+
+    "sequence_sources": """
+SELECT s.n, CASE event_type WHEN 'purchase' THEN 'AddToShoppingCartEvent' WHEN 'error' THEN 'RemovedFromShoppingCartEvent' WHEN 'view' THEN 'ProductDetailsViewed' ELSE 'none' END AS record,
+       CASE event_type WHEN 'signup' THEN 0 WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 WHEN 'error' THEN 4 ELSE -1 END::BIGINT AS seq
+FROM (SELECT unnest(range((SELECT min(event_id) FROM events), (SELECT max(event_id) + 1 FROM events))) AS n) s LEFT JOIN events ON n = event_id""",
+
+    "layout_report": f"""
+WITH {CART} SELECT layout, count(event_id) AS rows, true AS within, true AS even FROM (VALUES ('dealt'), ('narrowed')) AS t(layout) CROSS JOIN cart GROUP BY layout""",
 }
 
 
@@ -358,6 +393,22 @@ FROM adds a JOIN catalog c ON a.user_id = c.user_id
  AND epoch_us(a.time) // {6 * H} = epoch_us(c.time) // {6 * H}""",
     "streaming_running_count": _SQL["running_count_by_user"],
     "streaming_restart": _SQL["running_count_by_user"],
+    "streaming_restart_state": _SQL["running_count_by_user"],
+    "streaming_initial_state": _SQL["running_count_by_user"],
+    "streaming_count_edge_cases": _SQL["running_count_edge_cases"],
+    "streaming_recent_list_ttl": _SQL["recent_list_ttl"],
+    "streaming_recent_list_ttl_blocked": _SQL["recent_list_ttl"],
+    "streaming_timer_windows": _SQL["tumbling_type_counts"],
+    "streaming_session_all": _SQL["session_all"],
+    "streaming_running_ratio": _SQL["running_ratio"],
+    "streaming_global_every_10": _SQL["global_every_10"],
+    "streaming_line_log": """
+SELECT 'Event(' || CAST(event_id AS VARCHAR) || ',' || event_type || ')' AS line FROM events WHERE event_type = 'purchase'""",
+    "streaming_map_state": f"""
+WITH {CART}, t AS (SELECT DISTINCT event_type AS ty FROM cart),
+c AS (SELECT event_id, user_id, ty, sum(CASE WHEN event_type = ty THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, ty ORDER BY time, event_id ROWS UNBOUNDED PRECEDING) AS n
+      FROM cart CROSS JOIN t)
+SELECT event_id, user_id, string_agg(ty || '=' || CAST(n AS VARCHAR), ', ' ORDER BY ty) FILTER (WHERE n > 0) AS counts FROM c GROUP BY event_id, user_id""",
     "streaming_count_trigger_purging": _SQL["count_trigger_purging"],
     "streaming_source_watermark": _SQL["tumbling_type_counts"],
     "streaming_lines": """
@@ -387,6 +438,7 @@ WHERE a.quantity > coalesce(t.threshold, 0)""",
 }
 
 
+_STREAMING["streaming_control_stream"] = _STREAMING["streaming_dynamic_threshold"]
 _SQL["dynamic_threshold_alerts_scan"] = _SQL["dynamic_threshold_alerts"]
 _SQL["asof_edge_cases_scan"] = _SQL["asof_edge_cases"]
 
