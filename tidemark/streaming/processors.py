@@ -1,7 +1,8 @@
-"""``transformWithState`` processors: one each for keyed Value, List and Map state (V2-V5).
+"""``transformWithState`` processors: keyed Value, List and Map state (V2-V5), event-time timers, two connected
+streams and state handed over from a batch table.
 
-Running sums and triggers of hot keys run as blocked scans instead (``blocked.py``). Each processor sees, per key and micro-batch, the key's new rows; it sorts them by
-``(time, event_id)`` (arrival order inside a micro-batch is not defined), folds
+Running sums, lists and triggers of hot keys run as blocked scans instead (``blocked.py``). Each processor sees, per key and micro-batch, the key's new rows; where
+order matters it sorts them by ``(time, event_id)``, rows without a time first (arrival order inside a micro-batch is not defined), folds
 them through its state and emits one output row per input row, like the
 reference's ``processElement``. Across micro-batches rows arrive in batch order,
 so a replay of time-ordered files equals the batch operators in ``operators/state.py``.
@@ -9,7 +10,7 @@ so a replay of time-ordered files equals the batch operators in ``operators/stat
 State is per key in the RocksDB state store and is checkpointed with the query,
 so a restart resumes from the last committed batch (V8).
 
-Memory: a processor holds one key's rows *of one micro-batch* (to order them), never
+Memory: a processor that orders holds one key's rows *of one micro-batch*, never
 the key's history; bound it with the source's per-trigger limit
 (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``), sized so a hot key's share of a
 micro-batch fits a task. Per-key history lives in the state store.
@@ -18,7 +19,7 @@ micro-batch fits a task. Per-key history lives in the state store.
 from __future__ import annotations
 
 import sys
-
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -41,11 +42,24 @@ def _get(state, default):
 
 def _rows(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
     pdf = pd.concat(list(batches), ignore_index=True)
-    return pdf.sort_values(ORDER, kind="stable").reset_index(drop=True)
+    return pdf.sort_values(ORDER, kind="stable", na_position="first").reset_index(drop=True)
+
+
+def _ids(ids: pd.Series) -> pd.Series:
+    """Ids as 64-bit numbers: a column with a null has come as floats."""
+    return ids.astype("Int64")
+
+
+def _millis(us: int) -> int:
+    """Microseconds as the next whole millisecond, the unit of timers."""
+    return -(-us // 1000)
 
 
 class RunningCount(StatefulProcessor):
-    """V2 ValueState: events per key so far. Output: event_id, user_id, n."""
+    """V2 ValueState: events per key so far. Output: event_id, user_id, n.
+
+    A key may start from a count that a batch has made: the initial state's column ``n``.
+    """
 
     SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
                            T.StructField("n", T.LongType())])
@@ -57,7 +71,10 @@ class RunningCount(StatefulProcessor):
         pdf = _rows(rows)
         n = _get(self.count, 0) + pd.RangeIndex(1, len(pdf) + 1).to_numpy()
         self.count.update((int(n[-1]),))
-        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "n": n})
+        yield pd.DataFrame({"event_id": _ids(pdf["event_id"]), "user_id": pd.array([key[0]] * len(pdf), "Int64"), "n": n})
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.count.update((int(initialState["n"].sum()),))
 
     def close(self) -> None:
         pass
@@ -75,15 +92,15 @@ class TypeCountMap(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
         current = {k[0]: v[0] for k, v in self.counts.iterator()}
-        types = sorted({*current, *pdf["event_type"]})
+        types = sorted({*current, *pdf["event_type"].dropna()})  # a null type is none
         # per type, the running count over the batch's rows
         n = {t: current.get(t, 0) + (pdf["event_type"] == t).cumsum() for t in types}
-        shown = pd.DataFrame({t: (t + "=" + c.astype(str)).where(c > 0) for t, c in n.items()})
+        shown = pd.DataFrame({t: (t + "=" + c.astype(str)).where(c > 0) for t, c in n.items()}, index=pdf.index)
         rendered = shown.apply(lambda column: column + ", ").fillna("").sum(axis=1).str.removesuffix(", ")
         current = {t: int(c.iloc[-1]) for t, c in n.items()}
-        for t in set(pdf["event_type"]):  # only the entries this micro-batch changed
+        for t in set(pdf["event_type"].dropna()):  # only the entries this micro-batch changed
             self.counts.updateValue((t,), (current[t],))
-        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "counts": rendered})
+        yield pd.DataFrame({"event_id": _ids(pdf["event_id"]), "user_id": pd.array([key[0]] * len(pdf), "Int64"), "counts": rendered.astype(str).to_numpy()})
 
     def close(self) -> None:
         pass
@@ -91,33 +108,170 @@ class TypeCountMap(StatefulProcessor):
 
 class RecentList(StatefulProcessor):
     """V3/V5 ListState: append, read the list, clear when it has more than ``clear_above``
-    elements (sizes cycle 1..clear_above+1). ``ttl_ms`` (e.g. the reference's one
-    hour) expires untouched lists; it needs ``timeMode="ProcessingTime"``."""
+    elements (sizes cycle 1..clear_above+1).
+
+    With ``ttl_us`` a list that was not written for so long or longer is gone when the next element comes. Whether it
+    is shows from the time of the last write, kept beside the list, so the answer doesn't depend on how rows are dealt to
+    micro-batches; an event-time timer, moved on with each write, frees the state of a key
+    that gets no more rows. It needs ``timeMode="EventTime"``. Rows without a time neither expire nor let expire.
+    """
 
     SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
                            T.StructField("list_size", T.IntegerType()), T.StructField("items", T.StringType())])
 
-    def __init__(self, clear_above: int = 10, ttl_ms: int | None = None):
-        self.clear_above, self.ttl_ms = clear_above, ttl_ms
+    def __init__(self, clear_above: int = 10, ttl_us: int | None = None):
+        self.clear_above, self.ttl_us = clear_above, ttl_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.items = handle.getListState("items", "item string", self.ttl_ms)
+        self.handle, self.items, self.written = handle, handle.getListState("items", "item string"), handle.getValueState("written", "us long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
+        pdf, period = _rows(rows), self.clear_above + 1
         held = [t[0] for t in self.items.get()]
-        items = pd.Series([*held, *pdf["event_id"].astype(str)], dtype=str).to_numpy()
-        # positions in the cycle of sizes 1 .. clear_above + 1 that the rows take
-        at = len(held) + pd.RangeIndex(len(pdf)).to_numpy()
-        sizes = at % (self.clear_above + 1) + 1
-        rendered = [", ".join(items[e - k + 1:e + 1]) for e, k in zip(at, sizes, strict=True)]
-        left = int(len(items) % (self.clear_above + 1))
+        ids = _ids(pdf["event_id"])
+        items = [*held, *("" if pd.isna(i) else str(i) for i in ids)]
+        last = _get(self.written, None)
+        begins = [0] * len(held)  # for each item the number of its list's first one
+        for at, moment in enumerate(pdf["time"], start=len(held)):
+            us = None if pd.isna(moment) else moment.value // 1000
+            expired = self.ttl_us is not None and None not in (us, last) and us - last >= self.ttl_us
+            life = at if expired or at == 0 else begins[-1]
+            begins.append(at if at - life >= period else life)
+            last = last if us is None else us
+        starts = begins[len(held):]
+        sizes = [at - b + 1 for at, b in enumerate(starts, start=len(held))]
+        rendered = [", ".join(x for x in items[b:b + n] if x) for b, n in zip(starts, sizes, strict=True)]
+        left = items[starts[-1]:] if sizes[-1] < period else []
         if left:
-            self.items.put([(x,) for x in items[len(items) - left:]])
+            self.items.put([(x,) for x in left])
         else:
             self.items.clear()
-        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0],
+        if last is not None:
+            self.written.update((last,))
+        if self.ttl_us is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if last is not None:
+                self.handle.registerTimer(_millis(last + self.ttl_us))
+        yield pd.DataFrame({"event_id": ids, "user_id": pd.array([key[0]] * len(pdf), "Int64"),
                             "list_size": pd.array(sizes, dtype="int32"), "items": rendered})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.items.clear()
+        self.written.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+class WindowTimer(StatefulProcessor):
+    """A window's counts, given out by the window's own timer when the watermark has passed its end.
+
+    Keys are (window_start, window_end, share): a window that holds most of the rows is counted in shares, and whoever reads the
+    output adds them up. Rows are only counted, so a micro-batch's rows are never held together.
+    """
+
+    SCHEMA = T.StructType([T.StructField("window_start", T.TimestampNTZType()), T.StructField("window_end", T.TimestampNTZType()),
+                           T.StructField("registrations", T.LongType()), T.StructField("events", T.LongType())])
+
+    def __init__(self, counted: str):
+        self.counted = counted
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.counts = handle, handle.getValueState("counts", "registrations long, events long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = self.counts.get()
+        registrations, events = held or (0, 0)
+        for pdf in rows:
+            events += len(pdf)
+            registrations += int((pdf["event_type"] == self.counted).sum())
+        self.counts.update((registrations, events))
+        if held is None:
+            self.handle.registerTimer(_millis(pd.Timestamp(key[1]).value // 1000))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        registrations, events = self.counts.get()
+        self.counts.clear()
+        yield pd.DataFrame({"window_start": [pd.Timestamp(key[0])], "window_end": [pd.Timestamp(key[1])], "registrations": [registrations], "events": [events]})
+
+    def close(self) -> None:
+        pass
+
+
+class AsOfControl(StatefulProcessor):
+    """Two connected streams, data rows and control rows, in one stateful operator.
+
+    Data rows wait until the watermark has passed their time: only then every control row that was in force is there. The
+    control rows' history is kept by the time from which they hold, back to the one in force at the watermark. Keys are
+    shares of the data; each control row is sent to every share. Rows have ``kind`` 0 (control: time, value; a null
+    value only moves the watermark) or 1 (data: time, value, event_id, user_id). A data row without a time, or before
+    any control row, meets ``default``. Output: the data rows whose value is above the one in force, and that.
+    """
+
+    SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                           T.StructField("quantity", T.IntegerType()), T.StructField("threshold", T.IntegerType())])
+
+    def __init__(self, default: int):
+        self.default = default
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.control = handle.getMapState("control", "us long", "value int")
+        self.waiting = handle.getListState("waiting", "us long, event_id long, user_id long, value int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        at_once, latest = [], None
+        for pdf in rows:
+            control = pdf[(pdf["kind"] == 0) & pdf["value"].notna() & pdf["time"].notna()]
+            for moment, value in zip(control["time"], control["value"], strict=True):
+                self.control.updateValue((moment.value // 1000,), (int(value),))
+            data = pdf[(pdf["kind"] == 1) & pdf["value"].notna()]
+            fields = [[None if pd.isna(v) else int(v) for v in data[c]] for c in ("event_id", "user_id", "value")]
+            found = [(None if pd.isna(t) else t.value // 1000, *f) for t, *f in zip(data["time"], *fields, strict=True)]
+            at_once += [f for f in found if f[0] is None]
+            timed = [f for f in found if f[0] is not None]
+            if timed:
+                self.waiting.appendList(timed)
+                latest = max(f[0] for f in (*timed, *([(latest,)] if latest is not None else [])))
+        if latest is not None:
+            self.handle.registerTimer(_millis(latest) + 1)
+        yield from self._judged(at_once, [])
+        yield from self._due(timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._due(timerValues)
+
+    def _due(self, timerValues) -> Iterator[pd.DataFrame]:
+        """The waiting rows before the watermark; control rows that no later row can meet go."""
+        until = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = list(self.waiting.get())
+        due = [w for w in waiting if w[0] < until]
+        if not due:
+            return
+        history = sorted((k[0], v[0]) for k, v in self.control.iterator())
+        yield from self._judged(due, history)
+        if len(due) < len(waiting):
+            self.waiting.put([w for w in waiting if w[0] >= until])
+        else:
+            self.waiting.clear()
+        over = [us for us, _ in history if us < until]
+        for us in over[:-1]:
+            self.control.removeKey((us,))
+
+    def _judged(self, rows: list[tuple], history: list[tuple]) -> Iterator[pd.DataFrame]:
+        times = [us for us, _ in history]
+        out = []
+        for us, event_id, user_id, value in rows:
+            n = 0 if us is None else bisect_right(times, us)
+            limit = history[n - 1][1] if n else self.default
+            if value > limit:
+                out.append((event_id, user_id, value, limit))
+        if out:
+            pdf = pd.DataFrame(out, columns=["event_id", "user_id", "quantity", "threshold"])
+            yield pdf.astype({"event_id": "Int64", "user_id": "Int64", "quantity": "int32", "threshold": "int32"})
+
     def close(self) -> None:
         pass

@@ -28,15 +28,22 @@ from ..session import scratch_path
 def time_slices(df: DataFrame, ts: str, n_slices: int) -> list[tuple]:
     """[from, to) bounds of ``n_slices`` slices of about equally many rows (fewer if times repeat); the last has no end.
 
-    Rows without a time belong to no slice.
+    Rows without a time come first: the first slice has no beginning (None) and holds them as well.
     """
     cuts = [i / n_slices for i in range(1, n_slices)]
     found = df.agg(F.min(ts).alias("lo"), F.percentile_approx(epoch_micros(ts), F.array(*[F.lit(c) for c in cuts]), F.lit(10_000)).alias("cuts")).first()
     if found["lo"] is None:
-        return []
+        return [] if df.isEmpty() else [(None, None)]
     epoch = dt.datetime(1970, 1, 1)
-    starts = sorted({found["lo"], *[epoch + dt.timedelta(microseconds=c) for c in found["cuts"]]})
-    return list(zip(starts, [*starts[1:], None], strict=True))
+    starts = sorted({epoch + dt.timedelta(microseconds=c) for c in found["cuts"]} - {found["lo"]})
+    return list(zip([None, *starts], [*starts, None], strict=True))
+
+
+def _within(ts: str, a, b) -> Column:
+    """Whether a row is in the slice from ``a`` to ``b``; rows without a time are in the one without a beginning."""
+    t = F.col(ts)
+    inside = F.lit(True) if b is None else t < F.lit(b)
+    return t.isNull() | inside if a is None else (t >= F.lit(a)) & inside
 
 
 def stage_time_slices(df: DataFrame, path: str, *, ts: str, n_slices: int,
@@ -54,11 +61,11 @@ def stage_time_slices(df: DataFrame, path: str, *, ts: str, n_slices: int,
     slices = time_slices(df, ts, n_slices)
     if not slices:
         return 1
-    parts = [df.filter((F.col(ts) >= F.lit(a)) & (F.col(ts) < F.lit(b)) if b is not None else F.col(ts) >= F.lit(a)) for a, b in slices]
+    parts = [df.filter(_within(ts, a, b)) for a, b in slices]
     index = F.lit(0)
     for a, _ in slices[1:]:
-        index = index + (F.col(ts) >= F.lit(a)).cast("int")
-    least = df.filter(F.col(ts).isNotNull()).groupBy(index.alias("s")).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0]
+        index = index + F.coalesce(F.col(ts) >= F.lit(a), F.lit(False)).cast("int")
+    least = df.groupBy(index.alias("s")).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0]
     k = files_per_slice or spark.sparkContext.defaultParallelism
     k = max(1, min(k, least // max(1, df.rdd.getNumPartitions())))
     for i in (only if only is not None else range(len(slices))):
@@ -78,15 +85,28 @@ def stage_slices(df: DataFrame, path: str, index: Column, n: int) -> int:
     return k
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for a stream, with the settings of ``spark`` and as many state partitions as the cluster has cores
+    (``spark.tidemark.streaming.shufflePartitions``): a stateful query fixes that number when it starts first,
+    then keeps it in its checkpoint. No other query of ``spark`` sees the setting.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.get(key, None) != value and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.tidemark.streaming.shufflePartitions", None) or str(spark.sparkContext.defaultParallelism))
+    return own
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, *, files_per_batch: int = 1,
                 fmt: str = "parquet") -> DataFrame:
-    return (spark.readStream.format(fmt).schema(schema)
+    return (stream_session(spark).readStream.format(fmt).schema(schema)
             .option("maxFilesPerTrigger", files_per_batch).load(path))
 
 
 def line_stream(spark: SparkSession, path: str, *, files_per_batch: int = 1) -> DataFrame:
     """One ``line`` string per row, from text files landing in ``path``."""
-    return (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch)
+    return (stream_session(spark).readStream.format("text").option("maxFilesPerTrigger", files_per_batch)
             .load(path).withColumnRenamed("value", "line"))
 
 
@@ -119,21 +139,10 @@ def run_available_now(spark: SparkSession, stream: DataFrame, name: str, *, outp
     ``on_done(query)`` sees the finished query (progress, late-row counts)."""
     path = path or scratch_path(spark, "streams", name)
     checkpoint = checkpoint or path + "_checkpoint"
-    # A new stateful query fixes its state-partition count from the session's
-    # shuffle partitions at start (then keeps it in the checkpoint). Size it to the
-    # cluster's parallelism, not a 200 default, for the time of ``start`` only:
-    # the query runs on a snapshot of the session conf.
-    parts = spark.conf.get("spark.tidemark.streaming.shufflePartitions", None) \
-        or str(spark.sparkContext.defaultParallelism)
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", parts)
-    try:
-        q = (stream.writeStream.format("parquet").outputMode(output_mode)
-             .option("path", path).option("checkpointLocation", checkpoint)
-             .queryName(f"{name}_{abs(hash(path)) % 10**8}")
-             .trigger(availableNow=True).start())
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    q = (stream.writeStream.format("parquet").outputMode(output_mode)
+         .option("path", path).option("checkpointLocation", checkpoint)
+         .queryName(f"{name}_{abs(hash(path)) % 10**8}")
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -8,6 +8,8 @@ micro-batch per slice), runs the streaming form of an operator with
   watermark; a row far in the future lands last and closes all windows of the input;
 * stream-stream joins, ``transformWithState`` processors and the blocked scans per micro-batch
   (``blocked.py``) emit every result.
+
+Rows without a time land in the first micro-batch, as they come first in the batch operators.
 """
 
 from __future__ import annotations
@@ -16,13 +18,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators import joins, windows
+from ..functions.columns import duration_us
+from ..operators import joins, state, windows
+from ..operators.blocks import FANOUT, measured_blocks
 from ..session import scratch_path
 from ..sources import tables, views
 from ..sinks import external, files
-from . import blocked
+from . import blocked, line_log
+from . import joins as stream_joins
 from . import processors as P
-from .replay import event_time, file_stream, line_stream, run_available_now, stage_slices, stage_time_slices, to_ntz
+from .replay import event_time, file_stream, line_stream, run_available_now, stage_slices, stage_time_slices, stream_session, time_slices, to_ntz
 
 DELAY = "10 minutes"
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "props"]
@@ -130,10 +135,10 @@ def _join_sides(stream: DataFrame):
 
 
 def streaming_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J3 streaming: stream-stream inner join, (-2 h, +2 h) exclusive, watermarks on both sides."""
+    """J3 streaming: stream-stream inner join by user and time bucket, (-2 h, +2 h) exclusive, watermarks on both sides."""
     adds, cat = _join_sides(replay_events(spark, sf_dir))
-    j = adds.join(cat, F.expr("user_id = c_user_id AND catalog_time > cart_time - INTERVAL 2 HOURS "
-                              "AND catalog_time < cart_time + INTERVAL 2 HOURS"), "inner")
+    j = stream_joins.interval_join(adds, cat, left_key="user_id", right_key="c_user_id", left_ts="cart_time", right_ts="catalog_time", span_us=duration_us("2 hours"),
+                                   within="catalog_time > cart_time - INTERVAL 2 HOURS AND catalog_time < cart_time + INTERVAL 2 HOURS")
     out = j.select("user_id", "cart_event_id", "catalog_event_id",
                    to_ntz("cart_time").alias("cart_time"), to_ntz("catalog_time").alias("catalog_time"))
     return run_available_now(spark, out, "interval_join")
@@ -161,28 +166,110 @@ def _process(spark, stream: DataFrame, key, proc, schema, name: str, time_mode:
     return run_available_now(spark, out, name)
 
 
+def _user_counts(spark: SparkSession, stream: DataFrame, name: str, **more) -> DataFrame:
+    return blocked.running_sum(spark, stream, name, keys=["user_id"], order=["time", "event_id"], at="time", value=F.lit(1),
+                               finish=lambda rows, n: rows.select("event_id", "user_id", F.col(n).cast("long").alias("n")), **more)
+
+
 def streaming_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V2 streaming: ValueState counter per user."""
-    return _process(spark, _cart_stream(spark, sf_dir), "user_id", P.RunningCount(), P.RunningCount.SCHEMA,
-                    "running_count")
+    """V2 streaming: counter per user, a blocked scan per micro-batch."""
+    return _user_counts(spark, _cart_stream(spark, sf_dir), "running_count")
+
+
+def streaming_initial_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7/V8: half of the cart events counted in batch, the other half by a ValueState processor that starts from those counts."""
+    ev = tables.events(spark, sf_dir, EVENT_COLS)
+    slices, landing = time_slices(ev, "ts", n_slices(spark)), scratch_path(spark, "replay", "initial_state")
+    first = range(max(1, len(slices) // 2))
+    stage_time_slices(ev, f"{landing}/batch", ts="ts", n_slices=n_slices(spark), only=first)
+    k = stage_time_slices(ev, f"{landing}/stream", ts="ts", n_slices=n_slices(spark), only=range(len(first), len(slices)))
+    session = stream_session(spark)
+    before = views.cart(session.read.schema(ev.schema).parquet(f"{landing}/batch")) if slices else views.cart(ev)
+    rows, block = measured_blocks(before, keys=["user_id"], at="time")
+    counted = state.running_count(rows, key="user_id", order=["time", "event_id"], block=block, fanout=FANOUT).select("event_id", "user_id", "n")
+    if len(slices) < 2:
+        return counted
+    totals = before.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    stream = views.cart(session.readStream.schema(ev.schema).option("maxFilesPerTrigger", k).parquet(f"{landing}/stream"))
+    out = stream.groupBy("user_id").transformWithStateInPandas(statefulProcessor=P.RunningCount(), outputStructType=P.RunningCount.SCHEMA, outputMode="Append",
+                                                               timeMode="None", initialState=totals.groupBy("user_id"))
+    return counted.unionByName(run_available_now(spark, out, "initial_state"))
 
 
 def streaming_type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V4 streaming: MapState of counts per event type per user, over all events."""
+    """V4 streaming: counts per event type per user, over all events, a blocked scan per micro-batch."""
     events = replay_events(spark, sf_dir).select("event_id", "user_id", "event_type", F.col("ts").alias("time"))
-    return _process(spark, events, "user_id", P.TypeCountMap(), P.TypeCountMap.SCHEMA,
-                    "type_map")
+    return blocked.type_counts(spark, events, "type_map", key="user_id", type_col="event_type", order=["time", "event_id"],
+                               finish=lambda rows: rows.select("event_id", "user_id", "counts"))
+
+
+def streaming_map_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4 streaming by a MapState processor, over the cart events."""
+    return _process(spark, _cart_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "time"), "user_id", P.TypeCountMap(), P.TypeCountMap.SCHEMA, "map_state")
+
+
+_LIST = ("event_id", "user_id", "list_size", "items")
 
 
 def streaming_recent_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5 streaming: ListState with clearing above 10 elements.
+    """V5 streaming: lists cleared above 10 elements; the open lists are carried from micro-batch to micro-batch."""
+    return blocked.recent_lists(spark, _cart_stream(spark, sf_dir), "recent_list", key="user_id", order=["time", "event_id"], item=F.col("event_id").cast("string"),
+                                clear_above=10, finish=lambda rows: rows.select(*_LIST))
+
+
+def streaming_recent_list_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5 streaming: ListState with clearing and an hour to live; event-time timers free the lists of users that stay away."""
+    cart = _cart_stream(spark, sf_dir).withColumn("time", event_time("time")).withWatermark("time", DELAY)
+    out = cart.select("event_id", "user_id", "time").groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=P.RecentList(ttl_us=duration_us("1 hour")), outputStructType=P.RecentList.SCHEMA, outputMode="Append", timeMode="EventTime")
+    return run_available_now(spark, out, "recent_list_ttl")
+
+
+def streaming_recent_list_ttl_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5 streaming for hot users: the same lists as a blocked scan per micro-batch; expired ones are no longer carried."""
+    return blocked.recent_lists(spark, _cart_stream(spark, sf_dir), "recent_list_ttl_blocked", key="user_id", order=["time", "event_id"], item=F.col("event_id").cast("string"),
+                                clear_above=10, ttl_us=duration_us("1 hour"), finish=lambda rows: rows.select(*_LIST))
+
+
+#: Shares of the rows of a window, or of the data side of two connected streams, that are keys of their own.
+SHARES = 16
+
+
+def streaming_timer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3 h windows given out by timers of a processor; a window is counted in shares, which are added up here."""
+    se = _windowed(views.server_events(replay_events(spark, sf_dir, flush=True)))
+    w = F.window("ts", "3 hours")
+    keyed = se.select(to_ntz(w["start"]).alias("window_start"), to_ntz(w["end"]).alias("window_end"),
+                      F.pmod(F.xxhash64("event_id"), F.lit(SHARES)).alias("share"), "event_type", "ts").filter("window_start IS NOT NULL")
+    out = keyed.groupBy("window_start", "window_end", "share").transformWithStateInPandas(
+        statefulProcessor=P.WindowTimer(S.PLAYER_REGISTERED), outputStructType=P.WindowTimer.SCHEMA, outputMode="Append", timeMode="EventTime")
+    fired = run_available_now(spark, out, "timer_windows")
+    return fired.groupBy("window_start", "window_end").agg(F.sum("registrations").alias("registrations"), F.sum("events").alias("events"))
+
+
+def streaming_session_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T11 streaming without a key: 5 min sessions of the whole stream, the open one carried over the border of micro-batches."""
+    return blocked.sessions_all(spark, replay_events(spark, sf_dir, flush=True), "session_all", ts="ts", gap_us=duration_us("5 minutes"), tiebreak=["event_id"],
+                                sums={"events": F.lit(1), "registrations": F.coalesce((F.col("event_type") == "signup").cast("int"), F.lit(0))})
+
+
+def streaming_running_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 streaming: share of purchases among purchases and views so far; two totals without a key are carried."""
+    ev = replay_events(spark, sf_dir).select("event_id", "ts", "event_type")
+    source = F.when(F.col("event_type") == "purchase", 0).otherwise(1)
+    tagged = ev.filter(F.col("event_type").isin("purchase", "view")).select("event_id", "ts", source.alias("source"))
+    ratio = F.round(F.col("first").cast("long") * 100.0 / (F.col("first") + F.col("second")).cast("long"), 6)
+    return blocked.running_sums(spark, tagged, "running_ratio", keys=[], order=["ts", "source", "event_id"], at="ts",
+                                values={"first": (F.col("source") == 0).cast("int"), "second": (F.col("source") == 1).cast("int")},
+                                finish=lambda rows: rows.select("event_id", "source", ratio.alias("ratio")))
 
-    The reference's 1 h TTL is ``RecentList(ttl_ms=3_600_000)`` with
-    ``time_mode="ProcessingTime"`` (TTL is processing time); the replay leaves it
-    off because the whole replay runs in well under an hour.
-    """
-    return _process(spark, _cart_stream(spark, sf_dir), "user_id", P.RecentList(), P.RecentList.SCHEMA,
-                    "recent_list")
+
+def streaming_global_every_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T12 streaming: global window, a count trigger of 10 and registrations so far."""
+    se = views.server_events(replay_events(spark, sf_dir))
+    registered = F.coalesce((F.col("event_type") == S.PLAYER_REGISTERED).cast("int"), F.lit(0))
+    return blocked.running_sums(spark, se, "global_every_10", keys=[], order=["ts", "event_id"], at="ts", values={"seen": F.lit(1), "registrations": registered},
+                                finish=lambda rows: rows.filter(F.col("seen") % 10 == 0).select(F.col("seen").cast("long").alias("seen"), F.col("registrations").cast("long").alias("registrations")))
 
 
 def streaming_high_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,6 +295,40 @@ def streaming_dynamic_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocked.read_batches(spark, out, alerts(spark.createDataFrame([], adds.schema)))
 
 
+def streaming_control_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5/V6 streaming: the control rows are a stream as well, and land between the data's micro-batches.
+
+    Data rows wait for the watermark, which is the earlier of both sides': a control side that has nothing to
+    say for a while says so with a row that holds only a time, here one after each slice of the data.
+    """
+    ev = tables.events(spark, sf_dir, EVENT_COLS)
+    landing, session = scratch_path(spark, "replay", "control_stream"), stream_session(spark)
+    th, slices = views.thresholds(spark), time_slices(ev, "ts", n_slices(spark))
+    k = stage_time_slices(ev, f"{landing}/data/slices", ts="ts", n_slices=n_slices(spark))
+    last = ev.agg(F.max("ts").alias("ts")).filter("ts IS NOT NULL")
+    end = last.select((F.col("ts") + F.expr(FLUSH_AFTER)).alias("ts"))
+    end.select(*[(F.col("ts") if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in ev.schema]).coalesce(1).write.parquet(f"{landing}/data/flush")
+    for start, stop in slices:  # control files, one for each slice of the data, older ones first
+        own = th.filter((F.lit(True) if start is None else F.col("effective_ts") >= F.lit(start)) & (F.lit(True) if stop is None else F.col("effective_ts") < F.lit(stop)))
+        idle = (end.select("ts") if stop is None else spark.createDataFrame([(stop,)], "ts timestamp_ntz")).select(F.lit(None).cast("int").alias("threshold"), F.col("ts").alias("effective_ts"))
+        own.unionByName(idle).coalesce(1).write.mode("append").parquet(f"{landing}/control")
+    control = session.readStream.schema(th.schema).option("maxFilesPerTrigger", 1).parquet(f"{landing}/control") if slices else session.createDataFrame([], th.schema)
+    data = session.readStream.schema(ev.schema).option("maxFilesPerTrigger", k).parquet(f"{landing}/data/*") if slices else session.createDataFrame([], ev.schema)
+    if not slices:
+        return spark.createDataFrame([], P.AsOfControl.SCHEMA)
+    none = F.lit(None).cast("long")
+    share = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share")
+    c = control.select(F.lit(0).alias("kind"), event_time("effective_ts").alias("time"), F.col("threshold").alias("value"), none.alias("event_id"), none.alias("user_id"))
+    c = c.withWatermark("time", "0 seconds").select("*", share)
+    flushed = F.col("event_type").isNull() & F.col("event_id").isNull()  # the closing row stays, to move the watermark
+    d = views.cart_adds(data.withColumn("event_type", F.when(flushed, "purchase").otherwise(F.col("event_type"))))
+    d = d.select(F.lit(1).alias("kind"), event_time("time").alias("time"), F.col("quantity").alias("value"), "event_id", "user_id")
+    d = d.withWatermark("time", DELAY).select("*", F.pmod(F.xxhash64("event_id"), F.lit(SHARES)).cast("int").alias("share"))
+    out = c.unionByName(d).groupBy("share").transformWithStateInPandas(statefulProcessor=P.AsOfControl(views.THRESHOLD_DEFAULT), outputStructType=P.AsOfControl.SCHEMA,
+                                                                       outputMode="Append", timeMode="EventTime")
+    return run_available_now(spark, out, "control_stream")
+
+
 def _count_trigger(spark: SparkSession, sf_dir: str, name: str, every: int, purging: bool) -> DataFrame:
     w = _cart_stream(spark, sf_dir).select(F.window("time", "1 day").alias("w"), "event_id", "time")
     w = w.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_id", "time")
@@ -218,7 +339,7 @@ def _count_trigger(spark: SparkSession, sf_dir: str, name: str, every: int, purg
         return rows.select("window_start", "window_end", (F.col(n) / every).cast("long").alias("firing"), pane.alias("pane_size"))
 
     return blocked.running_sum(spark, w, name, keys=["window_start", "window_end"], order=["time", "event_id"], at="time",
-                               value=F.lit(1), finish=fired)
+                               value=F.lit(1), finish=fired, closes="window_end", time="time", delay_us=duration_us(DELAY))
 
 
 def streaming_count_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,15 +382,63 @@ def streaming_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, out = scratch_path(spark, "replay", "restart"), scratch_path(spark, "streams", "restart")
     half = n_slices(spark) // 2
     result = None
+    for part in (range(half), range(half, n_slices(spark))):
+        k = stage_time_slices(ev, landing, ts="ts", n_slices=n_slices(spark), only=part)
+        stream = views.cart(file_stream(spark, landing, ev.schema, files_per_batch=k))
+        result = _user_counts(spark, stream, "restart", checkpoint=f"{out}_checkpoint", path=out)
+    return result
+
+
+def streaming_restart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2/V8: the same with the ValueState processor, whose state store goes on from the checkpoint."""
+    ev = tables.events(spark, sf_dir, EVENT_COLS)
+    landing, out = scratch_path(spark, "replay", "restart_state"), scratch_path(spark, "streams", "restart_state")
+    half = n_slices(spark) // 2
+    result = None
     for part in (range(half), range(half, n_slices(spark))):
         k = stage_time_slices(ev, landing, ts="ts", n_slices=n_slices(spark), only=part)
         stream = views.cart(file_stream(spark, landing, ev.schema, files_per_batch=k))
         counted = stream.groupBy("user_id").transformWithStateInPandas(
             statefulProcessor=P.RunningCount(), outputStructType=P.RunningCount.SCHEMA, outputMode="Append", timeMode="None")
-        result = run_available_now(spark, counted, "restart", checkpoint=f"{out}_checkpoint", path=out)
+        result = run_available_now(spark, counted, "restart_state", checkpoint=f"{out}_checkpoint", path=out)
     return result
 
 
+def streaming_line_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines from a source of our own through a sink of our own, stopped halfway and started again.
+
+    The source's offsets name files, the sink commits a micro-batch's lines as a folder; the first run reads the lines of
+    the events before the middle one, the second goes on from the checkpoint.
+    """
+    landing, target = scratch_path(spark, "replay", "line_log"), scratch_path(spark, "streams", "line_log")
+    ev = tables.events(spark, sf_dir, ["event_id", "event_type"])
+    middle = (ev.agg(F.max("event_id")).first()[0] or 0) // 2
+    early = F.coalesce(F.col("event_id") <= middle, F.lit(True))
+    session = stream_session(spark)
+    for registering in (session, spark):  # the writer looks it up in whichever session is active
+        registering.dataSource.register(line_log.LineLog)
+    for part, rows in enumerate((ev.filter(early), ev.filter(~early))):
+        files.write_text(rows, f"{landing}/part={part}", parallelism=4, name="Event")
+        lines = session.readStream.format("line_log").option("splitBytes", 1 << 20).load(landing).filter(F.col("line").endswith(",purchase)"))
+        query = lines.writeStream.format("line_log").option("path", target).option("checkpointLocation", f"{target}_checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    return spark.read.option("recursiveFileLookup", "true").text(target).select(F.col("value").alias("line"))
+
+
+def streaming_count_edge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 streaming with null keys and null times: nulls are a key, and rows without a time come in the first micro-batch."""
+    ev = tables.events(spark, sf_dir, ["event_id", "ts", "user_id"])
+    e = F.col("event_id")
+    rows = ev.select("event_id", F.when(e % 13 != 0, F.col("user_id") % 7).alias("grp"), F.when(e % 97 != 0, F.col("ts")).alias("ts"))
+    landing = scratch_path(spark, "replay", "edge_cases")
+    k = stage_time_slices(rows, landing, ts="ts", n_slices=n_slices(spark))
+    shown = F.coalesce("grp", F.lit(-1)).cast("long").alias("grp")
+    return blocked.running_sum(spark, file_stream(spark, landing, rows.schema, files_per_batch=k), "edge_cases", keys=["grp"], order=["ts", "event_id"], at="ts", value=F.lit(1),
+                               finish=lambda rows, n: rows.select("event_id", shown, F.col(n).cast("long").alias("n")))
+
+
 def streaming_ingest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T9 streaming: 1 h windows over a recorded ingest time (a few seconds after the event's)."""
     ev = replay_events(spark, sf_dir, flush=True)
@@ -308,6 +477,18 @@ STREAMING_QUERIES = {
     "streaming_interval_join": streaming_interval_join,
     "streaming_window_join": streaming_window_join,
     "streaming_running_count": streaming_running_count,
+    "streaming_count_edge_cases": streaming_count_edge_cases,
+    "streaming_initial_state": streaming_initial_state,
+    "streaming_map_state": streaming_map_state,
+    "streaming_recent_list_ttl": streaming_recent_list_ttl,
+    "streaming_recent_list_ttl_blocked": streaming_recent_list_ttl_blocked,
+    "streaming_timer_windows": streaming_timer_windows,
+    "streaming_control_stream": streaming_control_stream,
+    "streaming_session_all": streaming_session_all,
+    "streaming_running_ratio": streaming_running_ratio,
+    "streaming_global_every_10": streaming_global_every_10,
+    "streaming_restart_state": streaming_restart_state,
+    "streaming_line_log": streaming_line_log,
     "streaming_type_map": streaming_type_map,
     "streaming_recent_list": streaming_recent_list,
     "streaming_high_quantity": streaming_high_quantity,
