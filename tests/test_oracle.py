@@ -48,7 +48,8 @@ def test_queries_run_at_smallest_scale(spark):
 SCAN_QUERIES = ["session_by_user", "session_all", "global_every_10", "count_trigger", "count_trigger_purging",
                 "rolling_reduce", "running_count_by_user", "running_type_map", "recent_list_by_user",
                 "high_quantity_counter", "running_ratio", "late_events", "late_window_counts", "asof_edge_cases_scan",
-                "running_count_edge_cases", "session_edge_cases", "dynamic_threshold_alerts_scan"]
+                "running_count_edge_cases", "session_edge_cases", "dynamic_threshold_alerts_scan", "recent_list_ttl", "recent_list_ttl_edge_cases",
+                "late_events_periodic"]
 
 
 def test_scans_with_hot_keys_and_fine_blocks(spark, con):
