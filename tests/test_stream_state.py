@@ -15,7 +15,7 @@ from tidemark.session import scratch_path
 from tidemark.streaming import blocked, line_log
 from tidemark.streaming import joins as stream_joins
 from tidemark.streaming import processors as P
-from tidemark.streaming.replay import event_time, file_stream, run_available_now, stage_slices, stage_time_slices, time_slices
+from tidemark.streaming.replay import event_time, file_stream, landing_slices, run_available_now, stage_slices, stage_time_slices
 
 BASE = dt.datetime(2024, 1, 1)
 
@@ -247,13 +247,13 @@ def test_bucketed_interval_join_keeps_bounded_state_and_no_pair_twice(spark):
 def test_rows_without_a_time_land_first(spark):
     df = spark.createDataFrame([(i, None if i % 4 == 0 else at(i)) for i in range(200)], "id long, ts timestamp_ntz").repartition(2)
     path = scratch_path(spark, "test", "timeless")
-    assert time_slices(df, "ts", 4)[0][0] is None
+    assert landing_slices(df, "ts", 4)[0][0] is None
     k = stage_time_slices(df, path, ts="ts", n_slices=4)
     first = sorted(os.scandir(path.removeprefix("file:")), key=lambda f: f.stat().st_mtime_ns)
     files = [f.path for f in first if f.name.endswith(".parquet")]
     assert len(files) == 4 * k and spark.read.parquet(*files[:k]).filter("ts IS NULL").count() == 50
     none = df.withColumn("ts", F.lit(None).cast("timestamp_ntz"))
-    assert time_slices(none, "ts", 4) == [(None, None)] and time_slices(df.filter("false"), "ts", 4) == []
+    assert landing_slices(none, "ts", 4) == [(None, None)] and landing_slices(df.filter("false"), "ts", 4) == []
 
 
 def test_slices_by_an_index(spark):

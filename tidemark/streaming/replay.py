@@ -28,15 +28,22 @@ from ..session import scratch_path
 def time_slices(df: DataFrame, ts: str, n_slices: int) -> list[tuple]:
     """[from, to) bounds of ``n_slices`` slices of about equally many rows (fewer if times repeat); the last has no end.
 
-    Rows without a time come first: the first slice has no beginning (None) and holds them as well.
+    Rows without a time are between no bounds.
     """
     cuts = [i / n_slices for i in range(1, n_slices)]
     found = df.agg(F.min(ts).alias("lo"), F.percentile_approx(epoch_micros(ts), F.array(*[F.lit(c) for c in cuts]), F.lit(10_000)).alias("cuts")).first()
     if found["lo"] is None:
-        return [] if df.isEmpty() else [(None, None)]
+        return []
     epoch = dt.datetime(1970, 1, 1)
-    starts = sorted({epoch + dt.timedelta(microseconds=c) for c in found["cuts"]} - {found["lo"]})
-    return list(zip([None, *starts], [*starts, None], strict=True))
+    starts = sorted({found["lo"], *[epoch + dt.timedelta(microseconds=c) for c in found["cuts"]]})
+    return list(zip(starts, [*starts[1:], None], strict=True))
+
+
+def landing_slices(df: DataFrame, ts: str, n_slices: int) -> list[tuple]:
+    """``time_slices`` that hold every row: the first has no beginning (None), and rows without a time are in it, as they
+    come first in the batch operators."""
+    slices = time_slices(df, ts, n_slices) or ([] if df.isEmpty() else [(None, None)])
+    return [(None if i == 0 else a, b) for i, (a, b) in enumerate(slices)]
 
 
 def _within(ts: str, a, b) -> Column:
@@ -58,7 +65,7 @@ def stage_time_slices(df: DataFrame, path: str, *, ts: str, n_slices: int,
     chosen by bounds on ``ts`` itself, which parquet can prune by.
     """
     spark = df.sparkSession
-    slices = time_slices(df, ts, n_slices)
+    slices = landing_slices(df, ts, n_slices)
     if not slices:
         return 1
     parts = [df.filter(_within(ts, a, b)) for a, b in slices]

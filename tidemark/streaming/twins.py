@@ -27,7 +27,7 @@ from ..sinks import external, files
 from . import blocked, line_log
 from . import joins as stream_joins
 from . import processors as P
-from .replay import event_time, file_stream, line_stream, run_available_now, stage_slices, stage_time_slices, stream_session, time_slices, to_ntz
+from .replay import event_time, file_stream, landing_slices, line_stream, run_available_now, stage_slices, stage_time_slices, stream_session, to_ntz
 
 DELAY = "10 minutes"
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "props"]
@@ -179,7 +179,7 @@ def streaming_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streaming_initial_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V7/V8: half of the cart events counted in batch, the other half by a ValueState processor that starts from those counts."""
     ev = tables.events(spark, sf_dir, EVENT_COLS)
-    slices, landing = time_slices(ev, "ts", n_slices(spark)), scratch_path(spark, "replay", "initial_state")
+    slices, landing = landing_slices(ev, "ts", n_slices(spark)), scratch_path(spark, "replay", "initial_state")
     first = range(max(1, len(slices) // 2))
     stage_time_slices(ev, f"{landing}/batch", ts="ts", n_slices=n_slices(spark), only=first)
     k = stage_time_slices(ev, f"{landing}/stream", ts="ts", n_slices=n_slices(spark), only=range(len(first), len(slices)))
@@ -303,7 +303,7 @@ def streaming_control_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = tables.events(spark, sf_dir, EVENT_COLS)
     landing, session = scratch_path(spark, "replay", "control_stream"), stream_session(spark)
-    th, slices = views.thresholds(spark), time_slices(ev, "ts", n_slices(spark))
+    th, slices = views.thresholds(spark), landing_slices(ev, "ts", n_slices(spark))
     k = stage_time_slices(ev, f"{landing}/data/slices", ts="ts", n_slices=n_slices(spark))
     last = ev.agg(F.max("ts").alias("ts")).filter("ts IS NOT NULL")
     end = last.select((F.col("ts") + F.expr(FLUSH_AFTER)).alias("ts"))
