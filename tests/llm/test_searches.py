@@ -96,6 +96,48 @@ def test_top_k_of_few_and_no_rows(spark):
     assert op9_taat.top_k(df.limit(0), df, slots=2).count() == 0
 
 
+def test_top_k_of_huge_components_is_exact(spark):
+    """Components to 2**31 and beyond, sums near 2**63 that cancel or stay: no row is left out, nothing wraps."""
+    r = np.random.default_rng(10)
+    vectors = [(i, [float(x) for x in r.choice([0, 1, -1, 3.5, 2**21, -(2**21), 4.2e6, 5e6, 2**27 / 256], 8)]) for i in range(120)]
+    vectors += [(150, [2.0**23 * (1 if j % 2 else -1) for j in range(8)]), (151, [2.0**23 / 8] * 8), (152, [2.0**31, 0.5] + [0.0] * 6), (153, [0.0, 2.0**60] + [0.0] * 6)]
+    vectors += [(200, [2.0**23] * 7 + [-(2.0**23)]), (201, [2.0**45] + [0.0] * 7)]
+    asked = {0, 50, 100, 150}
+    small = [v for v in vectors if v[0] < 150]
+    want = brute_top(small, asked, 5)
+    assert max(abs(x[3]) for x in want) > 2**58
+    df = spark.createDataFrame(small, "vec_id long, embedding array<double>").repartition(3)
+    got = op9_taat.top_k(df, df.where("vec_id % 50 = 0"), query_block=2, block_rows=16, slots=4)
+    assert sorted(map(tuple, got.collect())) == want
+    # 64 products of 2**29 * 2**29 each: the sum is 2**64, far more than a 64-bit wrap to 0
+    wide = spark.createDataFrame([(0, [2.0**21] * 64), (1, [2.0**21] * 64), (2, [1.0] * 64)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        op9_taat.top_k(wide, wide.where("vec_id = 0"), slots=2).collect()
+    # sums that pass 2**63 on the way and come back are right
+    mixed = [(0, [2.0**24] * 4), (1, [2.0**23, 2.0**23, -(2.0**23), -(2.0**23)]), (2, [2.0**23, -(2.0**23), 1.0, 0.0])]
+    df = spark.createDataFrame(mixed, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, op9_taat.top_k(df, df.where("vec_id = 0"), slots=2).collect())) == brute_top(mixed, {0}, 5)
+    # one of the best that has no place in 64 bits is an error, one that isn't among them is none
+    far = spark.createDataFrame([(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [-(2.0**50), 0.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in op9_taat.top_k(far, far.where("vec_id = 0"), k=1, slots=2).collect()] == [(0, 1, 1, 256 * 512)]
+    with pytest.raises(Exception, match="64 bits"):
+        op9_taat.top_k(far, far.where("vec_id = 0"), k=2, slots=2).collect()
+
+
+def test_a_broken_row_does_not_hide_a_query(spark):
+    rows = [(50, [1.0, 1.0]), (50, [None, 1.0]), (50, None), (50, [float("nan"), 0.0]), (7, [2.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert [tuple(r) for r in op9_taat.top_k(df, df.where("vec_id = 50"), slots=2).collect()] == [(50, 1, 7, 256 * 512)]
+
+
+@pytest.mark.parametrize("slots, queries, rows", [(2, 1, 100), (12, 20, 1000), (20_000, 2, 100), (64, 100, 100), (5, 0, 0)])
+def test_grid_cells(slots, queries, rows):
+    r, c = op9_taat.grid(slots, queries, rows)
+    assert 1 <= r * c <= slots
+    if slots == 20_000:
+        assert r + queries / rows * c < 45  # copies of a row, against 400 if each query went to every cell
+
+
 def rendered(turns):
     text, spans = "", []
     for role, said in turns:

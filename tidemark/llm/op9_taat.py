@@ -6,9 +6,13 @@ of its terms the weighted postings are scattered into a dense array of the block
 scores, so every candidate is scored; a partition selection keeps the block's best k, and
 the blocks' bests are merged by a ranking in Spark.
 
-Query blocks meet candidate blocks in an equi-join on a slot: candidate blocks are
-dealt over the slots and each query block goes to all of them, so no side is broadcast
-or passes through the driver, and a task holds one block of each at a time.
+Query blocks meet candidate blocks in an equi-join on the cells of a grid: candidate blocks are dealt over its columns and
+go to all rows, query blocks are dealt over the rows and go to all columns, in such proportions that the fewest rows are
+copied. No side is broadcast or passes through the driver; a task holds one block of each at a time, and each query's best so far.
+
+Weights are whole numbers kept as doubles, which hold them exactly. A query whose scores in a block can't leave 64 bits
+(by the sum of its own weights and the block's largest) is scored in 64-bit integers, others in Python's; a score that
+is among the best but has no place in a 64-bit column is an error.
 """
 
 from __future__ import annotations
@@ -22,8 +26,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import batches
 
-#: A component beyond this (after scaling) has no place in 64-bit scores; its row takes no part.
-LARGEST = 2**30
+#: Queries whose best a task holds at a time.
+HELD_QUERIES = 200_000
 
 BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("ends", pa.binary()), ("terms", pa.binary()), ("weights", pa.binary())])
 BLOCK_DDL = "block long, ids binary, ends binary, terms binary, weights binary"
@@ -38,11 +42,12 @@ def sparse_rows(rows_in: Iterator[pa.RecordBatch], scale: float) -> Iterator[tup
             x = np.asarray(vector, np.float64)
             if not np.isfinite(x).all():
                 continue
-            x = np.floor(scale * x)
-            if len(x) and np.abs(x).max() > LARGEST:
-                continue
+            with np.errstate(over="ignore"):
+                x = np.floor(scale * x)
+            if not np.isfinite(x).all():
+                raise OverflowError(f"row {key}: a component times {scale} is no number any more")
             terms = np.flatnonzero(x)
-            yield key, terms, x[terms].astype(np.int64)
+            yield key, terms, x[terms]
 
 
 def in_blocks(size: int, scale: float):
@@ -80,6 +85,8 @@ def postings(ids: np.ndarray, ends: np.ndarray, terms: np.ndarray, weights: np.n
 def best_of_block(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
     """The k highest (score, id) but the query's own, ties to the smaller id."""
     other = np.flatnonzero(ids != own)
+    if scores.dtype == object:
+        return sorted(((scores[j], int(ids[j])) for j in other), key=lambda x: (-x[0], x[1]))[:k]
     if len(other) > k:
         s = scores[other]
         least = s[np.argpartition(-s, k - 1)[:k]].min()
@@ -88,57 +95,105 @@ def best_of_block(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> list
     return [(int(scores[j]), int(ids[j])) for j in other[order]]
 
 
+class Candidates:
+    """A candidate block's postings, as 64-bit integers and, where those won't do, as Python's."""
+
+    def __init__(self, ids: np.ndarray, ends: np.ndarray, terms: np.ndarray, weights: np.ndarray):
+        self.ids, self.largest = ids, int(np.abs(weights).max()) if len(weights) else 0
+        self.by_term = postings(ids, ends, terms, weights)
+        self.typed: dict[type, dict] = {}
+
+    def of(self, kind: type) -> dict[int, tuple]:
+        if kind not in self.typed:
+            whole = (lambda w: w.astype(np.int64)) if kind is np.int64 else (lambda w: np.array([int(x) for x in w], object))
+            self.typed[kind] = {t: (rows, whole(w)) for t, (rows, w) in self.by_term.items()}
+        return self.typed[kind]
+
+    def scores(self, terms: list[int], weights: list[int]) -> np.ndarray:
+        """The block's scores for a query, term at a time."""
+        kind = np.int64 if sum(map(abs, weights)) * self.largest < 2**63 and self.largest < 2**63 else object
+        out, by_term = np.zeros(len(self.ids), kind), self.of(kind)
+        for term, weight in zip(terms, weights, strict=True):
+            at, w = by_term.get(term, (None, None))
+            if w is None:
+                continue
+            if at is None:
+                out += weight * w
+            else:
+                out[at] += weight * w
+        return out
+
+
 def score_blocks(k: int):
-    """mapInArrow function over (query block, candidate block) pairs."""
+    """mapInArrow function over (query block, candidate block) pairs: the best of each query in the pairs of a task. Scores that
+    don't fit 64 bits are marked, with the nearest that does."""
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("over", pa.bool_())])
+        held: dict[int, list[tuple[int, int]]] = {}
 
         def arrays(row: dict, side: str) -> list[np.ndarray]:
-            return [np.frombuffer(row[f"{side}_{c}"], np.int64) for c in ("ids", "ends", "terms", "weights")]
+            return [np.frombuffer(row[f"{side}_{c}"], np.float64 if c == "weights" else np.int64) for c in ("ids", "ends", "terms", "weights")]
+
+        def given_out() -> Iterator[tuple]:
+            for query, best in held.items():
+                for score, vec in best:
+                    near = min(max(score, -(2**63)), 2**63 - 1)
+                    yield query, vec, near, near != score
+            held.clear()
 
         def rows() -> Iterator[tuple]:
             for batch in rows_in:
                 for row in batch.to_pylist():
                     q_ids, q_ends, q_terms, q_weights = arrays(row, "q")
-                    c_ids, *rest = arrays(row, "c")
-                    by_term = postings(c_ids, *rest)
-                    for q, (a, b) in enumerate(zip([0, *q_ends[:-1]], q_ends, strict=True)):
-                        scores = np.zeros(len(c_ids), np.int64)
-                        for term, weight in zip(q_terms[a:b].tolist(), q_weights[a:b].tolist(), strict=True):
-                            at, w = by_term.get(term, (None, None))
-                            if w is None:
-                                continue
-                            if at is None:
-                                scores += weight * w
-                            else:
-                                scores[at] += weight * w
-                        for score, vec in best_of_block(scores, c_ids, int(q_ids[q]), k):
-                            yield int(q_ids[q]), vec, score
+                    block = Candidates(*arrays(row, "c"))
+                    for query, a, b in zip(q_ids.tolist(), [0, *q_ends[:-1].tolist()], q_ends.tolist(), strict=True):
+                        found = best_of_block(block.scores(q_terms[a:b].tolist(), [int(w) for w in q_weights[a:b]]), block.ids, query, k)
+                        held[query] = sorted([*held.get(query, ()), *found], key=lambda x: (-x[0], x[1]))[:k]
+                    if len(held) > HELD_QUERIES:
+                        yield from given_out()
+            yield from given_out()
 
         yield from batches.record_batches(rows(), schema)
     return run
 
 
+def grid(slots: int, n_queries: int, n_candidates: int) -> tuple[int, int]:
+    """(rows, columns) of about ``slots`` cells for which the copies, candidates times rows plus queries times columns, are fewest."""
+    rows = min(slots, max(1, round((slots * n_queries / max(1, n_candidates)) ** 0.5)))
+    return rows, max(1, slots // rows)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5,
           scale: float = 256.0, query_block: int = 256, block_rows: int = 4096, slots: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest integer inner products.
 
-    Components become floor(scale * x). Rows whose id or vector is null, that hold a null
-    or non-finite component, or one beyond ``LARGEST`` after scaling, take no part. Vectors of
+    Components become floor(scale * x). Rows whose id or vector is null, or that hold a null
+    or non-finite component, take no part. Scores are exact whatever the components' size; if one of the
+    best needs more than 64 bits, or a component more than a double, the query fails. Vectors of
     different lengths are multiplied over the positions both have; an empty vector scores 0. A
     candidate with the query's id is the query's own row. Rows that repeat an id are
-    candidates each; a query id that repeats asks once, by its smallest vector. Ties go to
+    candidates each; a query id that repeats asks once, by the smallest of its vectors that can take part. Ties go to
     the smaller id. Other columns are not read; empty tables give no rows.
     """
     spark = vectors.sparkSession
     slots = slots or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    real = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf"))
     candidates = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
-    asked = (queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id is not null and v is not null")
+    asked = (queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", real))
              .groupBy("id").agg(F.min("v").alias("v")))
+    rows, columns = grid(slots, asked.count(), candidates.count())
     c = candidates.mapInArrow(in_blocks(block_rows, scale), BLOCK_DDL)
     q = asked.mapInArrow(in_blocks(query_block, scale), BLOCK_DDL)
-    c = c.select(F.pmod(F.xxhash64("block"), F.lit(slots)).alias("slot"), *[F.col(x).alias(f"c_{x}") for x in BLOCK.names[1:]])
-    q = q.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("slot"), *[F.col(x).alias(f"q_{x}") for x in BLOCK.names[1:]])
-    found = c.join(q, "slot").drop("slot").mapInArrow(score_blocks(k), "query_id long, vec_id long, score long")
+
+    def dealt(side: str, block: DataFrame, over: int, copies: int, cell) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long")))
+        block = block.select("*", F.pmod(F.xxhash64("block"), F.lit(over)).alias("own"), every.alias("other"))
+        return block.select(cell(F.col("own"), F.col("other")).alias("cell"), *[F.col(x).alias(f"{side}_{x}") for x in BLOCK.names[1:]])
+
+    c = dealt("c", c, columns, rows, lambda column, row: row * columns + column)
+    q = dealt("q", q, rows, columns, lambda row, column: row * columns + column)
+    found = c.join(q, "cell").drop("cell").mapInArrow(score_blocks(k), "query_id long, vec_id long, score long, over boolean")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    loud = F.when(F.col("over"), F.raise_error(F.lit("a score among the best needs more than 64 bits")).cast("long")).otherwise(F.col("score"))
+    return found.select("query_id", "rank", "vec_id", loud.alias("score"))
