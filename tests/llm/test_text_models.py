@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 
+from conftest import SF01
 from tidemark.llm import op3_disclosure, op6_ecoc, op10_mil, queries
 
 SYLLABLES = {"xx": ["ka", "ro", "mi", "tu"], "yy": ["shé", "wén", "lao", "ñi"], "zz": ["der", "ung", "sch", "ein"]}
@@ -171,12 +172,62 @@ def test_disclosure_is_relative_mutual_information(spark):
     from tidemark.llm import common
     scanned = text_rows.mapInArrow(op3_disclosure._scan, common.output(text_rows, "rest", f"text string, base {op3_disclosure.SPANS_DDL}"))
     hits = scanned.where(F.size("base") > 0).withColumn("row", F.monotonically_increasing_id())
-    got = {r.term: r.disclosure for r in op3_disclosure._disclosing(text_rows, common.written(spark, hits, "t"), 8, 3, -9.0).collect()}
+    got = {r.term: r.disclosure for r in op3_disclosure._disclosing(text_rows, common.written(spark, hits, "t"), 0.0, -9.0, 1.0).collect()}
     n, entity = 52, 12
     for term, own, both in [("alpha0", 4, 4), ("beta", 52, 12)]:
         assert got[term] == pytest.approx(math.log(both * n / (own * entity)) / math.log(n / entity))
 
 
+def brute_terms(rows, least_share=0.5, most_chance=0.05, threshold=0.8):
+    """(text, word) pairs that disclose, by counting every word and entity of every text."""
+    texts = sorted({t or "" for _, t in rows})
+    copies = {t: sum((x or "") == t for _, x in rows) for t in texts}
+    words, entities = {}, {}
+    for t in texts:
+        base = plain_base(t)
+        inside = [range(a, b) for _, a, b in base]
+        words[t] = ({m.group().lower() for m in re.finditer(r"\w+", t)},
+                    {m.group().lower() for m in re.finditer(r"\w+", t) if not any(i in r for i in range(m.start(), m.end()) for r in inside)})
+        entities[t] = {(k, t[a:b].lower()) for k, a, b in base}
+    have, out = {}, set()
+    for t in texts:
+        for w in words[t][0]:
+            have.setdefault(w, set()).add(t)
+    holds = {}
+    for t in texts:
+        for e in entities[t]:
+            holds.setdefault(e, set()).add(t)
+    n = sum(copies.values())
+    rows_of = lambda ts: sum(copies[t] for t in ts)
+    for e, with_e in holds.items():
+        p = len(with_e) / len(texts)
+        for w in {w for t in with_e for w in words[t][1]}:
+            both = {t for t in with_e if w in words[t][1]}
+            q = len(both) / len(have[w])
+            chance = math.exp(-len(have[w]) * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0))) if p < q else 1
+            if rows_of(with_e) < n and len(both) >= least_share * (len(have[w]) + 1) and chance <= most_chance:
+                strength = math.log(rows_of(both) * n / (rows_of(have[w]) * rows_of(with_e))) / math.log(n / rows_of(with_e))
+                if strength >= threshold - 1e-12:
+                    out |= {(t, w) for t in with_e if w in words[t][1]}
+    return out
+
+
+@pytest.mark.parametrize("share", [0.5, 0.6])
+def test_terms_of_the_given_table_equal_brute_force(spark, share):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    rows += [(10**6 + i, f"the desk of kingfisher number {i} mail bob@corp.example") for i in range(4)] * 2  # an entity of several texts, each twice
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = op3_disclosure.sanitise(df, least_share=share).collect()
+    texts = {i: t or "" for i, t in rows}
+    found = {(texts[g.rest.doc_id], texts[g.rest.doc_id][s.start:s.end].lower()) for g in got for s in g.spans if s.kind == "term"}
+    want = brute_terms(rows, share)
+    assert found == want and any(w == "kingfisher" for _, w in found)
+    assert share > 0.5 or len({t for t, _ in found}) > 40
+    for g in got:
+        assert [tuple(s) for s in g.base] == plain_base(texts[g.rest.doc_id])
+
+
 def test_digest_columns(spark, tmp_path):
     spark.createDataFrame([(1, "mail a@b.cd or 1.2.3.4", "en"), (2, None, "en")], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r for r in queries.op3_disclosure_sanitisation(spark, str(tmp_path)).collect()}

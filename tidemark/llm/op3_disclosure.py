@@ -1,21 +1,29 @@
 """Information-theoretic sanitisation of personal data.
 
-Patterns find the protected entities: mail and IP addresses, card and phone numbers. Around
-each one its neighbouring words are noted. Over the corpus, the pointwise mutual information of a
-word t and an entity e, relative to e's own information content,
+Patterns find the protected entities: mail and IP addresses, card and phone numbers. Over the
+corpus, the pointwise mutual information of a word t and an entity e that are in one document, relative to e's own
+information content,
 
     log(p(t, e) / (p(t) p(e))) / -log p(e),
 
-says how much of e the word gives away: 1 if t only occurs with e. In a document that holds e, words
-whose disclosure reaches a threshold are generalised, and beyond a higher one removed. A word
-must be seen with e in several different contexts, so that copies of one text prove nothing.
+says how much of e the word gives away: 1 if t only occurs with e. Few texts prove little, so there are two bounds on the evidence,
+both counted in different texts, for copies of a text prove nothing more than it does. Of the n(t) texts with the word and one more without the entity, e must be
+in a share of ``least_share``: at 0.5 a word that only one text has is enough (one of two), at 0.6 it takes two of two, or three of four. And if words fell
+on texts at random, so many of n(t) texts would have e with a chance of ``most_chance`` at most (by Chernoff's bound; the share of
+texts with e where the word is in one text): in a small corpus nothing is disclosed by a single text, in a large one an otherwise
+unseen word next to an address is. In a document that holds e, words whose disclosure reaches a threshold are
+generalised, and beyond a higher one removed.
+
+Which words and entities come together depends only on the texts that each is in. So both are put into classes by
+a digest of those texts, with how many they are, and classes meet in the texts they share: a list of a thousand addresses that
+always come together is one class, and only words rare enough to pass meet any.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,57 +114,109 @@ def _outside(text: str, covered: list[tuple[int, int]]) -> list[re.Match]:
     return [m for m in WORD.finditer(text) if inside[m.end()] == inside[m.start()]]
 
 
-def _contexts(window: int):
-    """(row, entity, context, term): each entity's neighbouring words; context is a digest of all of them."""
+def _entities(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, copies, entity): the entities of each text, each once, as digests."""
+    def rows():
+        for batch in rows_in:
+            for doc, copies, text, base in zip(*[batch.column(c).to_pylist() for c in ("doc", "copies", "text", "base")], strict=True):
+                for value in {f"{s['kind']}:{text[s['start']:s['end']].lower()}" for s in base}:
+                    yield doc, copies, xxhash.xxh3_64_intdigest(value) - (1 << 63)
+
+    yield from batches.record_batches(rows(), pa.schema([("doc", pa.binary()), ("copies", pa.int64()), ("entity", pa.int64())]))
+
+
+def _terms(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, copies, term): the words of each whole text outside of its entities, each once."""
+    def rows():
+        for batch in rows_in:
+            for doc, copies, text, base in zip(*[batch.column(c).to_pylist() for c in ("doc", "copies", "text", "base")], strict=True):
+                for term in {m.group().lower() for m in _outside(text, [(s["start"], s["end"]) for s in base])}:
+                    yield doc, copies, term
+
+    yield from batches.record_batches(rows(), pa.schema([("doc", pa.binary()), ("copies", pa.int64()), ("term", pa.string())]))
+
+
+def _is_set(bits: bytes, at: int) -> int:
+    return bits[at >> 3] >> (at & 7) & 1
+
+
+def _seen_terms(bits: bytes):
+    """(term, doc): the words of each text that the filter lets through, each once."""
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = (1 << FILTER_BITS) - 1
+
         def rows():
             for batch in rows_in:
-                for row, text, base in zip(batch.column("row").to_pylist(), batches.texts(batch), batch.column("base").to_pylist(), strict=True):
-                    words = _outside(text, [(s["start"], s["end"]) for s in base])
-                    starts = np.array([m.start() for m in words], np.int64)
-                    for s in base:
-                        i = int(np.searchsorted(starts, s["start"]))
-                        near = [m.group().lower() for m in words[max(0, i - window):i + window]]
-                        value = f"{s['kind']}:{text[s['start']:s['end']].lower()}"
-                        context = xxhash.xxh3_64_intdigest("\n".join(near)) - (1 << 63)
-                        for term in set(near):
-                            yield row, xxhash.xxh3_64_intdigest(value) - (1 << 63), context, term
-
-        yield from batches.record_batches(rows(), pa.schema([("row", pa.int64()), ("entity", pa.int64()), ("context", pa.int64()), ("term", pa.string())]))
+                for text in batches.texts(batch):
+                    found = [w for w in {w.lower() for w in set(WORD.findall(text))} if _is_set(bits, zlib.crc32(w.encode()) & mask)]
+                    if found:
+                        doc = xxhash.xxh3_128_digest(text.encode())
+                        for term in found:
+                            yield term, doc
+
+        yield from batches.record_batches(rows(), pa.schema([("term", pa.string()), ("doc", pa.binary())]))
     return run
 
 
-def _document_counts(bits: bytes):
-    """In how many rows of a task each word is, of those that the filter lets through."""
-    def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask, seen = (1 << FILTER_BITS) - 1, Counter()
-        for batch in rows_in:
-            for text in batches.texts(batch):
-                seen.update(w for w in set(WORD.findall(text.lower())) if bits[zlib.crc32(w.encode("utf-8")) & mask])
-        yield from batches.record_batches(iter(seen.items()), pa.schema([("term", pa.string()), ("n", pa.int64())]))
-    return run
+def _bitmap(terms: DataFrame) -> bytes:
+    """The filter's bits for the column ``term``, put together from pieces of 4 KB that Spark makes: its size is fixed."""
+    slot = terms.select((F.crc32(F.col("term").cast("binary")) % (1 << FILTER_BITS) + 1).alias("slot"))
+    pieces = slot.groupBy(F.expr("bitmap_bucket_number(slot)").alias("piece")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits"))
+    out = bytearray(1 << (FILTER_BITS - 3))
+    for row in pieces.toLocalIterator():
+        size = len(row["bits"])
+        out[(row["piece"] - 1) * size:row["piece"] * size] = row["bits"]
+    return bytes(out)
+
+
+def _classes(pairs: DataFrame, member: str) -> DataFrame:
+    """(member, sig, n, rows): the class of each member of (doc, copies, member), by the texts it is in, how many they are and how many rows have them."""
+    texts = F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("sig")
+    return pairs.groupBy(member).agg(texts, F.count("*").alias("n"), F.sum("copies").alias("rows"))
+
 
+def _text_key() -> Column:
+    return F.unhex(F.md5("text")).alias("doc")
 
-def _disclosing(rows: DataFrame, hits: DataFrame, window: int, least_contexts: int, threshold: float) -> DataFrame:
-    """(row, term, disclosure): the words to hide in each row of ``hits``."""
+
+def _chance(hits: Column, of: Column, p: Column) -> Column:
+    """An upper bound of the chance that so many of ``of`` or more are hits, each with chance ``p`` (Chernoff's)."""
+    q = hits / of
+    part = lambda x, y: F.when(x > 0, x * F.log(x / y)).otherwise(0.0)
+    return F.when((q > p) & (p < 1), F.exp(-of * (part(q, p) + part(1 - q, 1 - p)))).otherwise(1.0)
+
+
+def _disclosing(rows: DataFrame, hits: DataFrame, least_share: float, threshold: float, most_chance: float) -> DataFrame:
+    """(doc, term, disclosure): the words to hide in each text of ``hits``; ``doc`` is the text's digest."""
     spark = rows.sparkSession
-    near = common.written(spark, hits.select("row", "text", "base").mapInArrow(_contexts(window), "row long, entity long, context long, term string"), "contexts")
-    different = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= least_contexts)
-    pairs = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).join(different, ["entity", "term"])
-    pairs = common.written(spark, pairs.select("entity", "term", "n_both"), "pairs")
-    set_bits = pairs.select((F.crc32(F.col("term").cast("binary")) % (1 << FILTER_BITS)).cast("int").alias("bit")).distinct().collect()  # at most 2**FILTER_BITS
-    bits = np.zeros(1 << FILTER_BITS, np.uint8)
-    bits[[r["bit"] for r in set_bits]] = 1
-    if not set_bits:
-        return near.where(F.lit(False)).select("row", "term", F.lit(0.0).alias("disclosure"))
-    counts = rows.select("text").mapInArrow(_document_counts(bits.tobytes()), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    total = rows.count()
+    once = hits.select(_text_key(), "text", "base").groupBy("doc").agg(F.count("*").alias("copies"), F.any_value(F.struct("text", "base")).alias("t"))
+    once = common.written(spark, once.select("doc", "copies", "t.*"), "texts")
+    of_entities = common.written(spark, once.mapInArrow(_entities, "doc binary, copies long, entity long"), "of_entities")
+    of_terms = common.written(spark, once.mapInArrow(_terms, "doc binary, copies long, term string"), "of_terms")
+    # t_both >= least_share * (t_term + 1), and t_term >= t_both: fewer texts than these can't be enough
+    least = max(1, math.ceil(least_share / (1 - least_share) - 1e-9))
+    entities = common.written(spark, _classes(of_entities, "entity").where(F.col("n") >= least), "entities")
+    most = entities.agg(F.max("n")).first()[0] or 0
+    terms = common.written(spark, _classes(of_terms, "term").where((F.col("n") >= least) & (least_share * (F.col("n") + 1) <= most)), "terms")
+    e = of_entities.join(entities, "entity").select("doc", "copies", F.col("sig").alias("e_sig"), F.col("n").alias("t_entity"), F.col("rows").alias("n_entity")).distinct()
+    t = of_terms.join(terms, "term").select("doc", F.col("sig").alias("t_sig"), F.col("n").alias("t_near")).distinct()
+    e = common.written(spark, e, "entity_classes")
+    both = e.join(t, "doc").where(least_share * (F.col("t_near") + 1) <= F.col("t_entity"))
+    both = both.groupBy("e_sig", "t_entity", "n_entity", "t_sig", "t_near").agg(F.count("*").alias("t_both"), F.sum("copies").alias("n_both"))
+    both = common.written(spark, both.where(F.col("t_both") >= least_share * (F.col("t_near") + 1)), "pairs")
+    wanted = terms.join(both.select(F.col("t_sig").alias("sig"), F.col("t_near").alias("n")).distinct(), ["sig", "n"]).select("term", F.col("sig").alias("t_sig"), F.col("n").alias("t_near"))
+    wanted = common.written(spark, wanted, "wanted")
+    if wanted.isEmpty():
+        return e.where(F.lit(False)).select("doc", F.lit("").alias("term"), F.lit(0.0).alias("disclosure"))
+    seen = rows.select("text").mapInArrow(_seen_terms(_bitmap(wanted)), "term string, doc binary")
+    counts = seen.groupBy("term", "doc").agg(F.count("*").alias("n")).groupBy("term").agg(F.count("*").alias("t_term"), F.sum("n").alias("n_term"))
+    total, texts = rows.count(), rows.select(_text_key()).distinct().count()
     own = F.log(F.lit(total) / F.col("n_entity"))
     shared = F.log(F.col("n_both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
-    strong = (pairs.join(counts, "term").join(entities, "entity").where(own > 0).withColumn("disclosure", shared / own)
-              .where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure"))
-    return near.select("row", "entity").distinct().join(strong, "entity").groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
+    strong = (wanted.join(counts, "term").join(both, ["t_sig", "t_near"]).where((F.col("t_both") >= least_share * (F.col("t_term") + 1)) & (own > 0))
+              .where(_chance(F.col("t_both"), F.col("t_term"), F.col("t_entity") / F.lit(texts)) <= most_chance)
+              .withColumn("disclosure", shared / own).where(F.col("disclosure") >= threshold).select("e_sig", "n_entity", "term", "disclosure"))
+    return e.join(strong, ["e_sig", "n_entity"]).groupBy("doc", "term").agg(F.max("disclosure").alias("disclosure"))
 
 
 def _finish(remove_at: float):
@@ -190,14 +250,18 @@ def _replaced(text: str, marks: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, *, text_col: str = "text", window: int = 8, least_contexts: int = 3,
+#: Shares into which the rows of one text are dealt when they meet its words to hide.
+SHARES = 16
+
+
+def sanitise(docs: DataFrame, *, text_col: str = "text", least_share: float = 0.5, most_chance: float = 0.05,
              generalise_at: float = 0.8, remove_at: float = 0.95) -> DataFrame:
     """(rest, clean, base, spans) of every row of ``docs``.
 
     ``rest`` is a struct of all columns but the text (so no name clashes), ``clean`` the sanitised text, ``base`` the
     entities' spans and ``spans`` those and the terms' after them, as (kind, start, end) in code points. A null
-    text counts as empty; rows are told apart by themselves, so repeated rows, null and repeated ids are rows of their own (and
-    count as such in the corpus); texts without entities stay as they are. Only rows with
+    text counts as empty; repeated rows, null and repeated ids are rows of their own in the result, but equal texts
+    count once in the corpus; texts without entities stay as they are. Only rows with
     entities are shuffled. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -205,10 +269,12 @@ def sanitise(docs: DataFrame, *, text_col: str = "text", window: int = 8, least_
     rest = F.struct(*[docs[c] for c in others]) if others else F.struct(F.lit(None).cast("string").alias("none"))
     rows = docs.select(rest.alias("rest"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     scanned = rows.mapInArrow(_scan, common.output(rows, "rest", f"text string, base {SPANS_DDL}"))
-    hits = common.written(spark, scanned.where(F.size("base") > 0).withColumn("row", F.monotonically_increasing_id()), "entities")
-    terms = _disclosing(rows, hits, window, least_contexts, generalise_at)
-    terms = terms.groupBy("row").agg(F.collect_list(F.struct("term", "disclosure")).alias("terms"))
-    found = hits.join(terms, "row", "left").select("rest", "text", "base", "terms")
+    hits = common.written(spark, scanned.where(F.size("base") > 0), "entity_rows")
+    terms = _disclosing(rows, hits, least_share, generalise_at, most_chance)
+    terms = terms.groupBy("doc").agg(F.collect_list(F.struct("term", "disclosure")).alias("terms"))
+    terms = terms.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    dealt = hits.select("*", _text_key(), F.pmod(F.monotonically_increasing_id(), F.lit(SHARES)).cast("int").alias("share"))
+    found = dealt.join(terms, ["doc", "share"], "left").select("rest", "text", "base", "terms")
     found = found.mapInArrow(_finish(remove_at), common.output(rows, "rest", f"clean string, base {SPANS_DDL}, spans {SPANS_DDL}"))
     plain = scanned.where(F.size("base") == 0).select("rest", F.col("text").alias("clean"), "base", F.col("base").alias("spans"))
     return plain.unionByName(found)
