@@ -20,21 +20,45 @@ def _with_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"])
 
 
+#: A prediction of at least this score replaces a label that says otherwise.
+RELABEL_AT = 0.99
+#: Words that disclose personal data are hidden if two texts show it (two of two and one more: two thirds).
+DISCLOSED_SHARE = 0.6
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the codes, learned from these rows' own, can tell; texts without a letter go, and only those if no row has a language."""
+    """Documents in one language that the codes, learned from these rows' own labels, can tell.
+
+    Texts without a letter go, and so do ambiguous ones, in which two languages are nearly as close, unless their label confirms
+    the prediction. Rows without a label get the predicted one, and a prediction of ``RELABEL_AT`` or more corrects a label that says
+    otherwise. If no row has a label, only texts without a letter go.
+    """
     common.prepare(spark)
     model = op6_ecoc.train(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = op6_ecoc.identify(_with_rows(docs), model, id_col="row")
-    return found.where(F.col("lang_pred") != op6_ecoc.UNDETERMINED).select("row.*")
+    label, told = F.col("row.lang"), F.col("lang_pred")
+    found = found.where((told != op6_ecoc.UNDETERMINED) & (~F.col("ambiguous") | label.eqNullSafe(told)))
+    lang = F.when(label.isNull() | (F.col("score") >= RELABEL_AT), told).otherwise(label)
+    return found.select(*[(lang if c == "lang" else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component, the one of the smallest id; rows that repeat an id are one, rows without an id stay."""
+    """One document of each component, a row of the smallest id (null ids after all others).
+
+    Each row has a key of its own here, so rows that repeat an id are one only if their texts are linked, and rows
+    without an id are deduplicated like others.
+    """
     common.prepare(spark)
-    kept = op4_oph.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    key = "_row_key"
+    while key in docs.columns:
+        key += "_"
+    docs = common.written(spark, docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = op4_oph.near_duplicates(docs, id_col=key).select(key, "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key))
+    kept = found.join(docs.select(key, "doc_id"), key).groupBy("component_id").agg(first.getField(key).alias(key)).select(key)
+    return docs.join(kept, key, "left_semi").drop(key)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,17 +69,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their personal data and what discloses it replaced; ``n_chars`` follows the text."""
+    """All documents, their personal data and the words that disclose it in more than one text replaced; ``n_chars`` follows the text."""
     common.prepare(spark)
     columns = {"text": F.col("clean"), "n_chars": F.char_length("clean").cast("long")}
-    found = op3_disclosure.sanitise(docs)
+    found = op3_disclosure.sanitise(docs, least_share=DISCLOSED_SHARE)
     return found.select(*[columns.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in sequences of 4096 tokens, a row per piece."""
+    """All documents in sequences of 4096 tokens, a row per piece, with its ids as little-endian unsigned 32-bit numbers."""
     common.prepare(spark)
-    return op5_pack.pack(docs, public_tokenizers.path(queries.WORD_BPE), with_ids=False)
+    return op5_pack.pack(docs, public_tokenizers.path(queries.WORD_BPE))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
