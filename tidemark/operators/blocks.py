@@ -34,8 +34,8 @@ def target_rows(spark) -> int:
     return int(spark.conf.get("spark.tidemark.scan.blockRows", str(DEFAULT_ROWS)))
 
 
-#: Keys that need cutting (at most rows / target_rows) are broadcast up to this number.
-BROADCAST_KEYS = 100_000
+#: Keys that need cutting (at most rows / target_rows): so few go through the driver, more are kept as a table, and broadcast up to this number.
+DRIVER_KEYS, BROADCAST_KEYS = 1000, 100_000
 
 
 def _upto(n: int, c: Column) -> Column:
@@ -53,7 +53,7 @@ def measured_blocks(df: DataFrame, *, keys: list[str], at: str | Column, tie: st
 
     ``at`` is the first order column: a timestamp's name, or a whole-number Column; ``tie`` names the second, a whole number.
     Null keys are a key. Without ``tie`` rows at one position share a block. The tables kept in the shared folder
-    hold one row per key of more than ``rows`` rows, per over-full block, and per position with more than four times ``rows``.
+    hold one row per key of more than ``rows`` rows (if those are many), per over-full block, and per position with more than four times ``rows``.
     """
     rows = rows or target_rows(df.sparkSession)
     position = epoch_micros(at) if isinstance(at, str) else at.cast("long")
@@ -66,16 +66,20 @@ def measured_blocks(df: DataFrame, *, keys: list[str], at: str | Column, tie: st
         return null_safe_equal([F.col(k) for k in keys], [F.col(n + suffix) for n in names])
 
     stats = df.groupBy(*as_keys()).agg(F.count(F.lit(1)).alias("_n"), F.min(position).alias("_lo"), F.max(position).alias("_hi"))
-    hot = kept(stats.filter(F.col("_n") > rows).select(*names, "_lo", _width("_lo", "_hi", "_n", rows).alias("_width")), "hot")
-    found = hot.limit(BROADCAST_KEYS + 1).count()
-    if not found:
+    hot = stats.filter(F.col("_n") > rows).select(*names, "_lo", _width("_lo", "_hi", "_n", rows).alias("_width"))
+    known = hot.limit(DRIVER_KEYS + 1).collect()
+    if not known:
         return df, None
     columns = df.columns
     if keys:
-        few = F.broadcast(hot) if found <= BROADCAST_KEYS else hot
+        if len(known) <= DRIVER_KEYS:
+            few = F.broadcast(df.sparkSession.createDataFrame(known, hot.schema))
+        else:
+            hot = kept(hot, "hot")
+            few = F.broadcast(hot) if hot.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else hot
         cut = df.join(few, same(), "left").drop(*names)
     else:
-        whole = hot.first()
+        whole = known[0]
         cut = df.withColumns({"_lo": F.lit(whole["_lo"]).cast("long"), "_width": F.lit(whole["_width"]).cast("long")})
     cut = cut.withColumn("_first", _upto(FIRST, F.floor((position - F.col("_lo")) / F.col("_width")))).withColumn("_second", F.lit(0).cast("long"))
     counts = cut.filter("_first IS NOT NULL").groupBy(*as_keys("2"), F.col("_first").alias("_f")).agg(F.count(F.lit(1)).alias("_c"))
