@@ -103,3 +103,28 @@ def test_packing_of_counts_and_hashes():
     assert kn._unpack_counts(kn._pack_counts(n), 6).tolist() == n.tolist()
     h = np.array([0, 1, 2**48 - 1], np.uint64)
     assert kn._unpack48(kn._pack48(h)).tolist() == h.tolist()
+
+
+def test_a_lost_or_strange_shard_is_an_error(spark, tmp_path):
+    """Not a word that was never seen: a folder that isn't shared must not change scores silently."""
+    docs = spark.createDataFrame([(i, f"a b c w{i} d") for i in range(60)], "doc_id long, text string")
+    model = kn.train(docs, folder=str(tmp_path))
+    assert kn.score(docs, model).count() == 60 and set(model.written) >= {"bigrams-0", "words-0", "before-0"}
+    lost = next(p for p in sorted(tmp_path.iterdir()) if p.name.startswith("words-") and p.name.endswith(".n.npy"))
+    held = lost.read_bytes()
+    lost.unlink()
+    with pytest.raises(Exception, match="not there"):
+        kn.score(docs, model).collect()
+    lost.write_bytes(held)
+    hashes = next(p for p in sorted(tmp_path.iterdir()) if p.name.startswith("bigrams-") and p.name.endswith(".hash.npy"))
+    np.save(hashes, np.load(hashes)[:-1])
+    with pytest.raises(Exception, match="entries"):
+        kn.score(docs, model).collect()
+
+
+@pytest.mark.parametrize("shards", [4, 64, 400])
+def test_a_frequent_word_lies_in_many_shards(shards):
+    word = np.full(100_000, kn.END, np.uint64)
+    before = np.arange(100_000, dtype=np.uint64) * np.uint64(7919)
+    used = np.bincount(kn.shard_of(word, before, shards), minlength=shards)
+    assert used.max() < 100_000 * 5 / min(shards, max(16, shards // 4))

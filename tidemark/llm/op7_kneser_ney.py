@@ -35,8 +35,8 @@ _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.
 BEGIN, END = xxhash.xxh3_64_intdigest(b"  "), xxhash.xxh3_64_intdigest(b" ")
 #: A word that goes before others is known by its upper 48 bits.
 BEFORE_SHIFT = np.uint64(16)
-#: A frequent word's bigrams are dealt to so many shards, by the word before it.
-SPREAD = np.uint64(16)
+#: A frequent word's bigrams are dealt to at least so many shards, by the word before it, and to a quarter of them if they are many.
+SPREAD = 16
 #: Bits of a bigram's hash that the index of its shard takes; the next 32 are stored.
 INDEX_BITS = 12
 
@@ -54,7 +54,8 @@ def pair_hash(word: np.ndarray, before: np.ndarray) -> np.ndarray:
 
 
 def shard_of(word: np.ndarray, before: np.ndarray, shards: int) -> np.ndarray:
-    return (_mix(word * _P + _mix(before) % SPREAD) % np.uint64(shards)).astype(np.int64)
+    spread = np.uint64(max(SPREAD, shards // 4))
+    return (_mix(word * _P + _mix(before) % spread) % np.uint64(shards)).astype(np.int64)
 
 
 def word_shard_of(before48: np.ndarray, shards: int) -> np.ndarray:
@@ -201,6 +202,7 @@ def _merge_bigrams(folder: str, shards: int, word_shards: int):
             runs = _runs(own)
             follow = [np.add.reduceat((c == k).astype(np.int64), runs) for k in (1, 2)] + [np.add.reduceat((c > 2).astype(np.int64), runs)]
             yield from by_shard("before", word_shard_of(own[runs], word_shards), own[runs], follow)
+            yield (-1, f"bigrams-{shard}", np.uint64([len(key)]).tobytes(), b"", b"", b"")
             yield (-1, "bigrams", np.bincount(np.minimum(count, 5), minlength=6).astype(np.int64).tobytes(), b"", b"", b"")
 
         return pa.Table.from_batches(list(batches.record_batches(rows(), WORDS, 64)), schema=WORDS)
@@ -217,8 +219,9 @@ def _merge_words(folder: str):
         schema = pa.schema([("kind", pa.string()), ("name", pa.string()), ("n", pa.int64())])
         rows = table.to_pylist()
         if shard < 0:
-            found = sum(np.frombuffer(r["keys"], np.int64) for r in rows)
+            found = sum(np.frombuffer(r["keys"], np.int64) for r in rows if r["kind"] == "bigrams")
             out = [("bigrams", str(k), int(v)) for k, v in enumerate(found)]
+            out += [("written", r["kind"], int(np.frombuffer(r["keys"], np.int64)[0])) for r in rows if r["kind"] != "bigrams"]
             return pa.Table.from_batches(list(batches.record_batches(iter(out), schema)), schema=schema)
 
         def added(kind: str) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -236,7 +239,7 @@ def _merge_words(folder: str):
         _write(folder, f"words-{shard}", hash=words, n=n, kinds=kinds)
         _write(folder, f"before-{shard}", hash=befores, n1=follow[0], n2=follow[1], n3=follow[2])
         by_kinds = np.bincount(np.minimum(kinds, 5), minlength=6)
-        out = [("tokens", "", int(n.sum())), ("words", "", len(words)), ("kinds", "", int(kinds.sum())), *[("unigrams", str(k), int(v)) for k, v in enumerate(by_kinds)]]
+        out = [("written", f"words-{shard}", len(words)), ("written", f"before-{shard}", len(befores)), ("tokens", "", int(n.sum())), ("words", "", len(words)), ("kinds", "", int(kinds.sum())), *[("unigrams", str(k), int(v)) for k, v in enumerate(by_kinds)]]
         return pa.Table.from_batches(list(batches.record_batches(iter(out), schema)), schema=schema)
     return run
 
@@ -263,6 +266,7 @@ class Model:
     kinds: int  # distinct bigrams
     unigram_counts: list[int]
     bigram_counts: list[int]
+    written: dict[str, int]  # the shards' files, and how many entries each has
 
 
 def posix_folder(spark) -> str:
@@ -288,7 +292,8 @@ def train(docs: DataFrame, *, text_col: str = "text", folder: str | None = None,
     totals = words.groupBy("shard").applyInArrow(_merge_words(folder), TOTALS_DDL).groupBy("kind", "name").agg(F.sum("n").alias("n")).collect()
     n = {(r["kind"], r["name"]): r["n"] for r in totals}
     of = lambda kind: [n.get((kind, str(k)), 0) for k in range(6)]
-    return Model(folder, shards, shards, documents, n.get(("tokens", ""), 0), n.get(("words", ""), 0), n.get(("kinds", ""), 0), of("unigrams"), of("bigrams"))
+    return Model(folder, shards, shards, documents, n.get(("tokens", ""), 0), n.get(("words", ""), 0), n.get(("kinds", ""), 0), of("unigrams"), of("bigrams"),
+                 {name: k for (kind, name), k in n.items() if kind == "written"})
 
 
 class Tables:
@@ -301,10 +306,15 @@ class Tables:
         self.before = [self._load(f"before-{s}", "hash", "n1", "n2", "n3") for s in range(model.word_shards)]
 
     def _load(self, name: str, *keys: str) -> dict[str, np.ndarray] | None:
-        paths = {k: os.path.join(self.model.folder, f"{name}.{k}.npy") for k in keys}
-        if not os.path.exists(paths[keys[0]]):  # no row came to that shard
+        if name not in self.model.written:  # no row came to that shard
             return None
-        return {k: np.load(p, mmap_mode="r") for k, p in paths.items()}
+        paths = {k: os.path.join(self.model.folder, f"{name}.{k}.npy") for k in keys}
+        if missing := [p for p in paths.values() if not os.path.exists(p)]:
+            raise FileNotFoundError(f"the model's folder must be on a file system that all nodes share, and keep its files: {missing[0]} is not there")
+        found = {k: np.load(p, mmap_mode="r") for k, p in paths.items()}
+        if len(found["hash"]) != self.model.written[name]:
+            raise ValueError(f"{paths['hash']} has {len(found['hash'])} entries, not the {self.model.written[name]} of the model")
+        return found
 
     @staticmethod
     def _shard_by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -391,7 +401,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``.
 
     A null text counts as empty: its end is its one token. Repeated rows and null ids give a row each; other columns are not
-    read. A model of no rows gives every token 1 / (V + 1) = 1. No shuffle; a task holds ``batch_tokens`` tokens and a batch of texts.
+    read. A model of no rows gives every token 1 / (V + 1) = 1. A shard's file that is missing or not the one that was written is an error. No shuffle; a task holds ``batch_tokens`` tokens and a batch of texts.
     """
     longs, doubles = ["n_tokens", "n_known", "train_tokens"], ["base_score", "score"]
 
