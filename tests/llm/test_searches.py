@@ -62,6 +62,23 @@ def test_windows_equal_brute_force(spark, block_chars):
     assert sorted(map(tuple, got), key=str) == brute_windows(docs, items)
 
 
+def test_many_blocks_of_test_strings(spark, monkeypatch):
+    """More blocks than one plan chains: carried rows are written between them, and a worker holds the tables of one block."""
+    r = random.Random(8)
+    items = [(i, " ".join(f"b{i}w{j}" for j in range(r.randint(3, 20)))) for i in range(40)] + [(3, "b3w0 b3w1 b3w2")] * 5
+    docs = [(i, " ".join(r.choice(items)[1] if r.random() < 0.3 else f"x{r.randint(0, 99)}" for _ in range(30))) for i in range(60)] + [(None, items[0][1]), (7, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    it = spark.createDataFrame(items, "item_id long, text string")
+    collected = []
+    plain = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: (lambda out: collected.append(len(out)) or out)(plain(self)))
+    found = op8_wu_manber.find_windows(df, it, block_chars=400, steps=2)
+    assert len(collected) > 5 and max(collected) < 20  # a block at a time
+    monkeypatch.undo()
+    got = queries.contamination(found).collect()
+    assert sorted(map(tuple, got), key=str) == brute_windows(docs, items)
+
+
 def test_windows_of_empty_tables(spark):
     none, items = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert op8_wu_manber.find_windows(none, items).count() == 0

@@ -10,6 +10,7 @@ don't shorten the shifts of the others.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import batches, common
+from tidemark.session import scratch_path
 
 #: Bytes of UTF-8 that are part of words; A-Z go to lower case, all else separates.
 WORD_BYTES = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
@@ -95,13 +97,24 @@ def search(words: list[bytes], searchers: list[WuManber]) -> tuple[list[tuple[in
     return merged(stretches), items
 
 
+def _searchers(own: str, sent, window: int) -> list[WuManber]:
+    """The tables of a block, built once by each worker, which holds those of one block."""
+    held = batches.kept_by_worker(("op8",), dict)
+    if own not in held:
+        held.clear()
+        held[own] = tables([(i, text) for i, (_, text) in enumerate(sent.value)], window)
+    return held[own]
+
+
 def find_windows(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                 item_text_col: str = "text", window: int = 13, block_chars: int = 8 << 20) -> DataFrame:
+                 item_text_col: str = "text", window: int = 13, block_chars: int = 2 << 20, steps: int = 4) -> DataFrame:
     """(id, n_words, hits, item_ids) of every row of ``docs``: hit stretches [start, end) of words, and the
     items (as sorted strings) of which a window occurs.
 
-    The test strings go to the tasks in blocks of about ``block_chars`` of text (a bound on what is
-    sent and held at once); each block is one search step over the rows, which carry what was found before.
+    Spark numbers the test strings into blocks of about ``block_chars`` of text and writes them to the shared folder. Each block is
+    one search step over the rows, which carry what was found before: the driver and a task hold one block at a time (its tables
+    take some 140 bytes a character, and a worker builds them once), and after ``steps`` of them the carried rows are written, so
+    neither plans nor what is held grows with the test strings.
     No shuffle. Null and empty texts have no words, an item without words no window. Items with a null id
     hit words but are not listed. Repeated rows and null ids give a row each. Other columns are not read.
     """
@@ -110,10 +123,10 @@ def find_windows(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     stretch = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def step(block: list[tuple], last: bool):
-        sent = spark.sparkContext.broadcast(block)
+        sent, own = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searchers = tables([(i, text) for i, (_, text) in enumerate(sent.value)], window)
+            searchers = _searchers(own, sent, window)
             names = [name for name, _ in sent.value]
             for batch in rows_in:
                 before = batch.select(["hits", "item_ids"]).to_pylist() if "hits" in batch.schema.names else None
@@ -133,17 +146,19 @@ def find_windows(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_pydict(columns)
         return run
 
-    blocks: list[list[tuple]] = [[]]
-    size = 0
-    strings = items.select(F.col(item_col).cast("string"), F.col(item_text_col).cast("string")).where(F.col(item_text_col).isNotNull())
-    for name, text in strings.toLocalIterator():
-        if size >= block_chars:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((name, text))
-        size += len(text)
+    strings = items.select(F.col(item_col).cast("string").alias("name"), F.col(item_text_col).cast("string").alias("text")).where("text is not null").distinct()
+    chars = strings.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    blocks = max(1, -(-chars // block_chars))
+    if blocks > 1:
+        numbered = strings.withColumn("block", F.pmod(F.xxhash64("name", "text"), F.lit(blocks)))
+        path = scratch_path(spark, "llm", "blocks")
+        numbered.repartition("block").write.partitionBy("block").parquet(path)
+        strings = spark.read.schema(numbered.schema).parquet(path)
     rows = common.id_and_text(docs, id_col, text_col)
-    for i, block in enumerate(blocks):
-        last = i == len(blocks) - 1
+    for i in range(blocks):
+        last, own = i == blocks - 1, strings if blocks == 1 else strings.where(F.col("block") == i)
+        block = [tuple(r) for r in own.select("name", "text").collect()]
         rows = rows.mapInArrow(step(block, last), common.output(docs, id_col, ("" if last else "text string, ") + found_ddl, None if last else "id"))
+        if not last and i % steps == steps - 1:
+            rows = common.written(spark, rows, "carried")
     return rows
