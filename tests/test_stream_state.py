@@ -208,7 +208,7 @@ def test_sessions_over_micro_batches_and_their_borders(spark, delay):
     order = sorted(range(150), key=lambda i: times[i] + r.uniform(0, delay / 2))  # within half the delay
     rows = [(i, at(times[i])) for i in order] + [(1000, at(10**7))]
     stream = landed(spark, [rows[a:a + 25] for a in range(0, 151, 25)], "id long, ts timestamp_ntz", "sessions")
-    got = blocked.sessions_all(spark, stream, "sessions", ts="ts", gap_us=5_000_000, sums={"n": F.lit(1)}, tiebreak=["id"], delay_us=delay * 1_000_000)
+    got = blocked.session_windows(spark, stream, "sessions", ts="ts", gap_us=5_000_000, sums={"n": F.lit(1)}, tiebreak=["id"], delay_us=delay * 1_000_000)
     want = []
     for t in sorted(times):
         if want and t - want[-1][1] <= 5:
@@ -218,6 +218,26 @@ def test_sessions_over_micro_batches_and_their_borders(spark, delay):
     assert sorted(tuple(x) for x in got.collect()) == [(at(a), at(b + 5), n) for a, b, n in want]
 
 
+def test_sessions_by_key_over_micro_batches(spark):
+    """Null keys are a key, each key's sessions go on over the border, rows without a time are one session of their key."""
+    r = random.Random(4)
+    rows, now = [], 0
+    for i in range(160):
+        now += r.choice([0, 1, 2, 7])
+        rows.append((i, r.choice([None, 1, 1, 1, 2]), None if i < 6 else now))
+    batches = [[(i, k, at(s)) for i, k, s in rows[a:a + 40]] for a in range(0, 160, 40)] + [[(999, 9, at(10**7))]]
+    stream = landed(spark, batches, "id long, k long, ts timestamp_ntz", "keyed_sessions")
+    got = blocked.session_windows(spark, stream, "keyed_sessions", ts="ts", gap_us=5_000_000, sums={"n": F.lit(1)}, tiebreak=["id"], keys=["k"])
+    want = {}
+    for _, k, s in sorted(rows, key=lambda x: (x[2] is not None, x[2] or 0)):
+        own = want.setdefault(k, [])
+        if own and (own[-1][1] is None) == (s is None) and (s is None or s - own[-1][1] <= 5):
+            own[-1] = (own[-1][0], s, own[-1][2] + 1)
+        else:
+            own.append((s, s, 1))
+    assert sorted((tuple(x) for x in got.collect()), key=str) == sorted(((k, at(a), None if b is None else at(b + 5), n) for k, own in want.items() for a, b, n in own), key=str)
+
+
 @pytest.mark.parametrize("block_rows", [3, 1000])
 def test_parts_of_sessions_are_merged(spark, block_rows):
     spark.conf.set("spark.tidemark.scan.blockRows", str(block_rows))

@@ -75,8 +75,12 @@ def running_ratio(tagged: DataFrame, *, block_rows: int | None = None, name: str
     ``tagged`` is what ``connect`` gives. Arrival order is ``(ts, source, event_id)``. Counts are a
     blocked global scan, not a parallelism-1 operator.
     """
-    rows, block = measured_blocks(tagged, keys=[], at="ts", rows=block_rows)
-    s = scan(rows, keys=[], order=["ts", "source", "event_id"], block=block, fanout=FANOUT,
+    # what orders rows at one time, source and then id, as one whole number, for the cut of rows that have no time or the same
+    ends = tagged.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    room = 0 if ends["lo"] is None else ends["hi"] - ends["lo"] + 2
+    tie = F.col("source") * F.lit(room) + F.coalesce(F.col("event_id") - F.lit(ends["lo"]) + 1, F.lit(0))
+    rows, block = measured_blocks(tagged.withColumn("_tie", tie.cast("long")), keys=[], at="ts", tie="_tie", rows=block_rows)
+    s = scan(rows.drop("_tie"), keys=[], order=["ts", "source", "event_id"], block=block, fanout=FANOUT,
              specs={"first_count": Scan("sum", (F.col("source") == 0).cast("long")),
                     "second_count": Scan("sum", (F.col("source") == 1).cast("long"))})
     return s.withColumn(name, F.round(F.col("first_count") * 100.0 /

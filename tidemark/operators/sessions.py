@@ -87,19 +87,20 @@ def session_windows(df: DataFrame, *, ts: str, gap_us: int, keys: list[str], blo
     return out.drop(SID)
 
 
-def merge_sessions(parts: DataFrame, *, gap_us: int, sums: list[str]) -> DataFrame:
-    """Sessions (first, last, ``sums``) put together where the next begins no more than ``gap_us`` after any before it has ended.
+def merge_sessions(parts: DataFrame, *, gap_us: int, sums: list[str], keys: list[str] | None = None) -> DataFrame:
+    """Sessions (keys, first, last, ``sums``) put together where the next of a key begins no more than ``gap_us`` after any before it has ended.
 
-    Both the furthest end so far and the number of the session are scans over the parts, so parts that come from
-    everywhere never meet in one task. Parts without times are one session.
+    Both the furthest end so far and the number of the session are scans over the parts, so the parts of a hot key never meet
+    in one task. Parts without times are one session of their key; null keys are a key.
     """
-    rows, block = measured_blocks(parts.select("first", "last", *sums), keys=[], at="first")
-    over = {"keys": [], "order": ["first", "last"], "block": block, "fanout": FANOUT}
+    keys = keys or []
+    rows, block = measured_blocks(parts.select(*keys, "first", "last", *sums), keys=keys, at="first")
+    over = {"keys": keys, "order": ["first", "last"], "block": block, "fanout": FANOUT}
     s = scan(rows, specs={"_reach": Scan("max", epoch_micros("last"), inclusive=False)}, **over)
     at = epoch_micros("first")
     begins = at.isNotNull() & (F.col("_reach").isNull() | (at - F.col("_reach") > gap_us))
     s = scan(s.withColumn("_begins", F.when(begins, 1).otherwise(0)), specs={SID: Scan("sum", F.col("_begins"))}, **over)
-    return s.groupBy(SID).agg(F.min("first").alias("first"), F.max("last").alias("last"), *[F.sum(c).cast("long").alias(c) for c in sums]).drop(SID)
+    return s.groupBy(*keys, SID).agg(F.min("first").alias("first"), F.max("last").alias("last"), *[F.sum(c).cast("long").alias(c) for c in sums]).drop(SID)
 
 
 def session_windows_builtin(df: DataFrame, *, ts: str, gap: str, keys: list[str],

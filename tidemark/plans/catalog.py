@@ -413,6 +413,15 @@ def dynamic_threshold_alerts_scan(spark, sf_dir):
     return dynamic_threshold_alerts(spark, sf_dir, strategy="scan")
 
 
+def dynamic_threshold_large(spark, sf_dir):
+    """J5 against a control side that grows with the events and has no key: each signup sets the threshold from its time on."""
+    ev = _events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type", "props"])
+    control = ev.filter(F.col("event_type") == "signup").select(F.col("ts").alias("eff"), (F.col("event_id") % 7).alias("threshold"), F.col("event_id").alias("control_id"))
+    j = joins.asof_join(views.cart_adds(ev), control, left_ts="time", right_ts="eff", values=["threshold"], right_order=["control_id"])
+    j = j.withColumn("threshold", F.coalesce("threshold", F.lit(views.THRESHOLD_DEFAULT)).cast("long"))
+    return j.filter(F.col("quantity") > F.col("threshold")).select("event_id", "user_id", "quantity", "threshold")
+
+
 def _edge_sides(spark, sf_dir):
     """Events with null keys and times, and control rows with nulls and several at one time."""
     ev = _events(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"])
@@ -574,6 +583,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_ratio": running_ratio,
     "dynamic_threshold_alerts": dynamic_threshold_alerts,
     "dynamic_threshold_alerts_scan": dynamic_threshold_alerts_scan,
+    "dynamic_threshold_large": dynamic_threshold_large,
     "late_events": late_events,
     "late_window_counts": late_window_counts,
     "late_events_periodic": late_events_periodic,

@@ -345,6 +345,11 @@ SELECT event_id, user_id, quantity, threshold,
        || ' items of ' || sku || ' when threshold is ' || CAST(threshold AS VARCHAR) AS message
 FROM j WHERE quantity > threshold""",
 
+    "dynamic_threshold_large": f"""
+WITH {CART}, {ADDS}, c AS (SELECT ts AS eff, arg_max(event_id % 7, event_id) AS threshold FROM events WHERE event_type = 'signup' AND ts IS NOT NULL GROUP BY 1)
+SELECT a.event_id, a.user_id, a.quantity, coalesce(c.threshold, 0)::BIGINT AS threshold
+FROM adds a ASOF LEFT JOIN c ON a.time >= c.eff WHERE a.quantity > coalesce(c.threshold, 0)""",
+
     "late_events": _LATE + """
 SELECT event_id, ts, make_timestamp(wstart + 1800000000) AS window_end, make_timestamp(wm) AS watermark
 FROM m WHERE wstart + 1800000000 <= wm""",
@@ -400,6 +405,7 @@ FROM adds a JOIN catalog c ON a.user_id = c.user_id
     "streaming_recent_list_ttl_blocked": _SQL["recent_list_ttl"],
     "streaming_timer_windows": _SQL["tumbling_type_counts"],
     "streaming_session_all": _SQL["session_all"],
+    "streaming_session_blocked": _SQL["session_by_user"],
     "streaming_running_ratio": _SQL["running_ratio"],
     "streaming_global_every_10": _SQL["global_every_10"],
     "streaming_line_log": """

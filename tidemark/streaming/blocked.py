@@ -234,30 +234,34 @@ def recent_lists(spark: SparkSession, stream: DataFrame, name: str, *, key: str,
     return read_batches(spark, path, shown(lists(spark.createDataFrame([], stream.schema), None)))
 
 
-def sessions_all(spark: SparkSession, stream: DataFrame, name: str, *, ts: str, gap_us: int, sums: dict[str, Column], tiebreak: list[str], delay_us: int = 0) -> DataFrame:
-    """T11 without a key: sessions over the whole stream, (session_start, session_end, sums) of each once it has closed.
+def session_windows(spark: SparkSession, stream: DataFrame, name: str, *, ts: str, gap_us: int, sums: dict[str, Column], tiebreak: list[str],
+                    keys: list[str] | None = None, delay_us: int = 0) -> DataFrame:
+    """T11 with or without keys: (keys, session_start, session_end, sums) of each session once it has closed.
 
     A micro-batch's own sessions come from the blocked pass of the batch operator; with the open ones of earlier
     batches they are put together where they touch. A session is closed once the latest time less ``delay_us`` is past its
     last row by the gap: no row that is on time can touch it. Rows that are later than that are left out. Open sessions are carried,
-    with their bounds and sums; rows without a time are one session, closed with the first watermark.
+    with their bounds and sums; rows without a time are one session of their key, closed with the first watermark. Neither a hot key nor the
+    whole stream is ever in one task, and no key column is needed, as Spark's own session window has it.
     """
-    path = scratch_path(spark, "streams", name)
+    path, keys = scratch_path(spark, "streams", name), keys or []
     clock = Watermark(f"{path}_clock", ts, delay_us)
-    kind = T.StructType([T.StructField("first", stream.schema[ts].dataType), T.StructField("last", stream.schema[ts].dataType), *[T.StructField(n, T.LongType()) for n in sums]])
+    kind = T.StructType([*[stream.schema[k] for k in keys], T.StructField("first", stream.schema[ts].dataType), T.StructField("last", stream.schema[ts].dataType),
+                         *[T.StructField(n, T.LongType()) for n in sums]])
 
     def shown(found: DataFrame) -> DataFrame:
-        return found.select(F.col("first").alias("session_start"), (F.col("last") + interval_us(gap_us)).alias("session_end"), *sums)
+        return found.select(*keys, F.col("first").alias("session_start"), (F.col("last") + interval_us(gap_us)).alias("session_end"), *sums)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         old, new = clock.advance(batch, batch_id)
-        rows, block = measured_blocks(batch.filter(F.coalesce(epoch_micros(ts) + gap_us >= old, F.lit(True))), keys=[], at=ts, tie=tiebreak[0])
-        own = sessions.session_ids(rows, ts=ts, gap_us=gap_us, keys=[], block=block, tiebreak=tiebreak, fanout=FANOUT)
-        own = own.groupBy(sessions.SID).agg(F.min(ts).alias("first"), F.max(ts).alias("last"), *[F.sum(v).cast("long").alias(n) for n, v in sums.items()]).drop(sessions.SID)
+        rows, block = measured_blocks(batch.filter(F.coalesce(epoch_micros(ts) + gap_us >= old, F.lit(True))), keys=keys, at=ts, tie=tiebreak[0])
+        own = sessions.session_ids(rows, ts=ts, gap_us=gap_us, keys=keys, block=block, tiebreak=tiebreak, fanout=FANOUT)
+        own = own.groupBy(*keys, sessions.SID).agg(F.min(ts).alias("first"), F.max(ts).alias("last"), *[F.sum(v).cast("long").alias(n) for n, v in sums.items()]).drop(sessions.SID)
         if batch_id:
             own = own.unionByName(session.read.schema(kind).parquet(f"{path}_open/batch={batch_id - 1}"))
-        merged, closed = sessions.merge_sessions(own, gap_us=gap_us, sums=list(sums)), F.coalesce(F.coalesce(epoch_micros("last"), F.lit(-(1 << 62))) + gap_us < new, F.lit(False))
+        merged = sessions.merge_sessions(own, gap_us=gap_us, sums=list(sums), keys=keys)
+        closed = F.coalesce(F.coalesce(epoch_micros("last"), F.lit(-(1 << 62))) + gap_us < new, F.lit(False))
         merged.withColumn("_closed", closed).write.mode("overwrite").parquet(f"{path}_merged/batch={batch_id}")
         merged = session.read.parquet(f"{path}_merged/batch={batch_id}")
         shown(merged.filter("_closed")).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

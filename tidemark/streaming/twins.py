@@ -249,10 +249,16 @@ def streaming_timer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streaming_session_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T11 streaming without a key: 5 min sessions of the whole stream, the open one carried over the border of micro-batches."""
-    return blocked.sessions_all(spark, replay_events(spark, sf_dir, flush=True), "session_all", ts="ts", gap_us=duration_us("5 minutes"), tiebreak=["event_id"],
+    return blocked.session_windows(spark, replay_events(spark, sf_dir, flush=True), "session_all", ts="ts", gap_us=duration_us("5 minutes"), tiebreak=["event_id"],
                                 sums={"events": F.lit(1), "registrations": F.coalesce((F.col("event_type") == "signup").cast("int"), F.lit(0))})
 
 
+def streaming_session_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T11 streaming for hot users: 1 h sessions by user as a blocked pass per micro-batch, open sessions carried."""
+    return blocked.session_windows(spark, replay_events(spark, sf_dir, flush=True), "session_blocked", keys=["user_id"], ts="ts", gap_us=duration_us("1 hour"), tiebreak=["event_id"],
+                                   sums={"events": F.lit(1), "registrations": F.coalesce((F.col("event_type") == "signup").cast("int"), F.lit(0))})
+
+
 def streaming_running_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 streaming: share of purchases among purchases and views so far; two totals without a key are carried."""
     ev = replay_events(spark, sf_dir).select("event_id", "ts", "event_type")
@@ -485,6 +491,7 @@ STREAMING_QUERIES = {
     "streaming_timer_windows": streaming_timer_windows,
     "streaming_control_stream": streaming_control_stream,
     "streaming_session_all": streaming_session_all,
+    "streaming_session_blocked": streaming_session_blocked,
     "streaming_running_ratio": streaming_running_ratio,
     "streaming_global_every_10": streaming_global_every_10,
     "streaming_restart_state": streaming_restart_state,
