@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +49,10 @@ WORD = re.compile(r"\w+")
 
 #: Bits of the filter of words that are counted over the corpus: its size is fixed, and what
 #: it lets through in excess is joined away.
-FILTER_BITS = 20
+FILTER_BITS = 24
+
+#: Words that a task counts at a time.
+HELD_WORDS = 500_000
 
 SPANS_DDL = "array<struct<kind:string,start:long,`end`:long>>"
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -140,6 +144,20 @@ def _is_set(bits: bytes, at: int) -> int:
     return bits[at >> 3] >> (at & 7) & 1
 
 
+def _term_counts(bits: bytes):
+    """(term, n): in how many rows of a task each word is, of those that the filter lets through."""
+    def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask, seen, schema = (1 << FILTER_BITS) - 1, Counter(), pa.schema([("term", pa.string()), ("n", pa.int64())])
+        for batch in rows_in:
+            for text in batches.texts(batch):
+                seen.update(w for w in {w.lower() for w in set(WORD.findall(text))} if _is_set(bits, zlib.crc32(w.encode()) & mask))
+            if len(seen) > HELD_WORDS:
+                yield from batches.record_batches(iter(seen.items()), schema)
+                seen.clear()
+        yield from batches.record_batches(iter(seen.items()), schema)
+    return run
+
+
 def _seen_terms(bits: bytes):
     """(term, doc): the words of each text that the filter lets through, each once."""
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,16 +222,22 @@ def _disclosing(rows: DataFrame, hits: DataFrame, least_share: float, threshold:
     both = e.join(t, "doc").where(least_share * (F.col("t_near") + 1) <= F.col("t_entity"))
     both = both.groupBy("e_sig", "t_entity", "n_entity", "t_sig", "t_near").agg(F.count("*").alias("t_both"), F.sum("copies").alias("n_both"))
     both = common.written(spark, both.where(F.col("t_both") >= least_share * (F.col("t_near") + 1)), "pairs")
-    wanted = terms.join(both.select(F.col("t_sig").alias("sig"), F.col("t_near").alias("n")).distinct(), ["sig", "n"]).select("term", F.col("sig").alias("t_sig"), F.col("n").alias("t_near"))
-    wanted = common.written(spark, wanted, "wanted")
+    wanted = terms.join(both.select(F.col("t_sig").alias("sig"), F.col("t_near").alias("n")).distinct(), ["sig", "n"])
+    wanted = common.written(spark, wanted.select("term", F.col("sig").alias("t_sig"), F.col("n").alias("t_near"), F.col("rows").alias("n_near")), "wanted")
     if wanted.isEmpty():
         return e.where(F.lit(False)).select("doc", F.lit("").alias("term"), F.lit(0.0).alias("disclosure"))
-    seen = rows.select("text").mapInArrow(_seen_terms(_bitmap(wanted)), "term string, doc binary")
-    counts = seen.groupBy("term", "doc").agg(F.count("*").alias("n")).groupBy("term").agg(F.count("*").alias("t_term"), F.sum("n").alias("n_term"))
+    counts = rows.select("text").mapInArrow(_term_counts(_bitmap(wanted)), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+    pairs = common.written(spark, wanted.join(counts, "term").join(both, ["t_sig", "t_near"]), "counted")
+    # a word that no other row has is in no other text; of the others only those are counted by texts for which one more text would not be too many
+    here = pairs.where("n_term = n_near").withColumn("t_term", F.col("t_near"))
+    there = pairs.where((F.col("n_term") > F.col("n_near")) & (F.col("t_both") >= least_share * (F.col("t_near") + 2)))
+    if not there.isEmpty():
+        found = rows.select("text").mapInArrow(_seen_terms(_bitmap(there)), "term string, doc binary").distinct().groupBy("term").agg(F.count("*").alias("t_term"))
+        here = here.unionByName(there.join(found, "term"))
     total, texts = rows.count(), rows.select(_text_key()).distinct().count()
     own = F.log(F.lit(total) / F.col("n_entity"))
     shared = F.log(F.col("n_both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
-    strong = (wanted.join(counts, "term").join(both, ["t_sig", "t_near"]).where((F.col("t_both") >= least_share * (F.col("t_term") + 1)) & (own > 0))
+    strong = (here.where((F.col("t_both") >= least_share * (F.col("t_term") + 1)) & (own > 0))
               .where(_chance(F.col("t_both"), F.col("t_term"), F.col("t_entity") / F.lit(texts)) <= most_chance)
               .withColumn("disclosure", shared / own).where(F.col("disclosure") >= threshold).select("e_sig", "n_entity", "term", "disclosure"))
     return e.join(strong, ["e_sig", "n_entity"]).groupBy("doc", "term").agg(F.max("disclosure").alias("disclosure"))
