@@ -73,14 +73,30 @@ def format_pairs(turns: DataFrame, *, pair_col: str = "pair_id", side_col: str =
 
 
 def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
-    """Preference turns from plain conversations: each one is chosen; rejected is the same one with the
-    last turn's text taken from the last turn of the conversation before it (by number)."""
+    """Preference turns from plain conversations: each one is chosen; what is rejected depends on its number modulo 4.
+
+    0: the same with the last turn's text taken from the last turn of the conversation before it (by number), if there is one;
+    1: its turns up to the middle, then those of the conversation before it; 2: the same without its last turn; 3: the same, but
+    the last turn is said by the other side.
+    """
     c = conversations.select("conv_id", "turn", "role", "text").where("conv_id is not null")
-    last = c.groupBy("conv_id").agg(F.max("turn").alias("last"), F.max(F.struct("turn", "role", "text")).alias("t"))
-    donor = last.select((F.col("conv_id") + 1).alias("conv_id"), F.col("t.text").alias("other"), F.lit(True).alias("given"))
+    ends = c.groupBy("conv_id").agg(F.max("turn").alias("last"), F.max(F.struct("turn", "role", "text")).alias("t"))
+    donor = ends.select((F.col("conv_id") + 1).alias("conv_id"), F.col("t.text").alias("other"), F.lit(True).alias("given"))
+    c = c.join(ends.select("conv_id", "last").join(donor, "conv_id", "left"), "conv_id").withColumn("kind", F.pmod("conv_id", F.lit(4)))
+    at_last, turn = F.coalesce(F.col("turn") == F.col("last"), F.lit(False)), [F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn"]
+    other_side = F.when(F.col("role") == "assistant", "user").otherwise("assistant")
+    own = c.where("kind <> 1").where(~((F.col("kind") == 2) & at_last)).select(
+        *turn, F.when((F.col("kind") == 3) & at_last, other_side).otherwise(F.col("role")).alias("role"),
+        F.when((F.col("kind") == 0) & at_last & F.col("given"), F.col("other")).otherwise(F.col("text")).alias("text"))
+    middle = F.floor(F.col("last") / 2)
+    before = F.col("turn").isNull() | (F.col("turn") < middle)
+    begun = c.where("kind = 1").where(before).select(*turn, "role", "text")
+    cut = ends.where(F.pmod("conv_id", F.lit(4)) == 1).select("conv_id", middle.alias("middle"))
+    lent = conversations.select((F.col("conv_id") + 1).alias("conv_id"), "turn", "role", "text").join(cut, "conv_id").where(F.col("turn") >= F.col("middle")).select(*turn, "role", "text")
     chosen = c.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
-    ends = last.select("conv_id", "last").join(donor, "conv_id", "left")
-    swap = F.col("given") & (F.col("turn") == F.col("last"))
-    rejected = c.join(ends, "conv_id").select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", "role",
-                                              F.when(swap, F.col("other")).otherwise(F.col("text")).alias("text"))
-    return chosen.unionByName(rejected)
+    return chosen.unionByName(own).unionByName(begun).unionByName(lent)
+
+
+def listed(spans: str) -> Column:
+    """Spans as start:end, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -13,35 +13,42 @@ WORD_BPE = "word_bpe_49k.json"
 
 
 def op1_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation against itself with the last text of the one before it: lengths, masks and digests."""
+    """Each conversation against a rejected variant of itself (another ending, another course, a turn less, a role changed): lengths, masks and digests."""
     turns = op1_preference.pairs_from_conversations(read_table(spark, sf_dir, "conversations"))
     pairs = op1_preference.format_pairs(turns)
     trained = lambda c: F.aggregate(c, F.lit(0), lambda n, s: n + s["end"] - s["start"])
     return pairs.select(
         "pair_id", "n_prefix", "n_chosen", "n_rejected", F.char_length("prompt").alias("prompt_chars"),
         F.md5("prompt").alias("prompt_md5"), F.md5("chosen").alias("chosen_md5"), F.md5("rejected").alias("rejected_md5"),
-        trained("chosen_spans").alias("chosen_trained"), trained("rejected_spans").alias("rejected_trained"))
+        trained("chosen_spans").alias("chosen_trained"), trained("rejected_spans").alias("rejected_trained"),
+        op1_preference.listed("chosen_spans").alias("chosen_spans"), op1_preference.listed("rejected_spans").alias("rejected_spans"))
 
 
 OP1_SQL = """
-with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
-last as (select conv_id, max(turn) as last from c group by conv_id),
-donor as (select c.conv_id + 1 as conv_id, c.text as other from c join last l on c.conv_id = l.conv_id and c.turn = l.last),
-sides as (select c.conv_id, c.turn, c.role, c.text, case when c.turn = l.last and d.other is not null then d.other else c.text end as other,
-                row_number() over (partition by c.conv_id order by c.turn) as i
-         from c join last l on c.conv_id = l.conv_id left join donor d on d.conv_id = c.conv_id),
-prefix as (select conv_id, coalesce(min(case when text <> other then i end) - 1, count(*)) as n_prefix, count(*) as n from sides group by conv_id),
-said as (select b.*, p.n_prefix, p.n, '<|' || role || '|>' || chr(10) as head, '<|end|>' || chr(10) as tail from sides b join prefix p on b.conv_id = p.conv_id),
-texts as (select conv_id, any_value(n_prefix) as n_prefix, any_value(n) as n,
-  coalesce(string_agg(case when i <= n_prefix then head || text || tail end, '' order by i), '') as prompt,
-  coalesce(string_agg(case when i > n_prefix then head || text || tail end, '' order by i), '') as chosen,
-  coalesce(string_agg(case when i > n_prefix then head || other || tail end, '' order by i), '') as rejected,
-  sum(case when i > n_prefix and role = 'assistant' then length(text) + 8 else 0 end) as ct,
-  sum(case when i > n_prefix and role = 'assistant' then length(other) + 8 else 0 end) as rt
-  from said group by conv_id)
-select conv_id as pair_id, n_prefix::int as n_prefix, (n - n_prefix)::int as n_chosen, (n - n_prefix)::int as n_rejected, length(prompt)::int as prompt_chars,
-  md5(prompt) as prompt_md5, md5(chosen) as chosen_md5, md5(rejected) as rejected_md5, ct::int as chosen_trained, rt::int as rejected_trained
-from texts
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, max(turn) over (partition by conv_id) as last, ((conv_id % 4) + 4) % 4 as kind
+           from conversations where conv_id is not null),
+donor as (select conv_id + 1 as conv_id, arg_max(text, (turn, role, text)) as other from c group by conv_id),
+r as (select c.conv_id, turn, case when kind = 3 and turn = last then case role when 'assistant' then 'user' else 'assistant' end else role end as role,
+             case when kind = 0 and turn = last and d.other is not null then d.other else text end as text
+      from c left join donor d on d.conv_id = c.conv_id where kind <> 1 and not coalesce(kind = 2 and turn = last, false)
+      union all select conv_id, turn, role, text from c where kind = 1 and (turn is null or turn < last // 2)
+      union all select o.conv_id, c.turn, c.role, c.text from c join (select distinct conv_id, last // 2 as middle from c where kind = 1) o on o.conv_id = c.conv_id + 1 where c.turn >= o.middle),
+sides as (select *, row_number() over (partition by conv_id, side order by turn nulls first, role, text) as i
+          from (select conv_id, turn, role, text, 'chosen' as side from c union all select conv_id, turn, role, text, 'rejected' as side from r)),
+n as (select conv_id, count(*) filter (where side = 'chosen') as nc, count(*) filter (where side = 'rejected') as nr from sides group by conv_id),
+differ as (select a.conv_id, min(a.i) as i from sides a join sides b on a.conv_id = b.conv_id and a.i = b.i and a.side = 'chosen' and b.side = 'rejected'
+           where a.role <> b.role or a.text <> b.text group by a.conv_id),
+prefix as (select n.conv_id, nc, nr, coalesce(d.i - 1, least(nc, nr)) as n_prefix from n left join differ d on d.conv_id = n.conv_id),
+said as (select s.conv_id, side, i, role, n_prefix, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) as turn_text, length(role) + 5 as head, length(text) + 8 as body
+         from sides s join prefix p on p.conv_id = s.conv_id),
+placed as (select *, coalesce(sum(head + body) over (partition by conv_id, side order by i rows between unbounded preceding and 1 preceding), 0) as place from said where i > n_prefix),
+done as (select conv_id, side, string_agg(turn_text, '' order by i) as body_text, sum(case when role = 'assistant' then body else 0 end) as trained,
+                string_agg(case when role = 'assistant' then (place + head)::bigint || ':' || (place + head + body)::bigint end, ',' order by i) as spans from placed group by conv_id, side),
+prompts as (select conv_id, string_agg(turn_text, '' order by i) as prompt from said where side = 'chosen' and i <= n_prefix group by conv_id)
+select p.conv_id as pair_id, n_prefix::int as n_prefix, (nc - n_prefix)::int as n_chosen, (nr - n_prefix)::int as n_rejected, length(coalesce(prompt, ''))::int as prompt_chars,
+  md5(coalesce(prompt, '')) as prompt_md5, md5(coalesce(a.body_text, '')) as chosen_md5, md5(coalesce(b.body_text, '')) as rejected_md5,
+  coalesce(a.trained, 0)::int as chosen_trained, coalesce(b.trained, 0)::int as rejected_trained, coalesce(a.spans, '') as chosen_spans, coalesce(b.spans, '') as rejected_spans
+from prefix p left join prompts using (conv_id) left join done a on a.conv_id = p.conv_id and a.side = 'chosen' left join done b on b.conv_id = p.conv_id and b.side = 'rejected'
 """
 
 
