@@ -90,7 +90,7 @@ def count_by_chunks(encode, text: str, chunk: int, overlap: int) -> tuple[int, i
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
-                 chunk_chars: int = 32_768, overlap_chars: int = 256) -> DataFrame:
+                 chunk_chars: int = 8_192, overlap_chars: int = 256) -> DataFrame:
     """(id, n_bytes, n_tokens, n_chunks, n_widened) of every row of ``docs``.
 
     Texts of at most ``chunk_chars`` are one chunk and are encoded as they are; longer ones
