@@ -4,6 +4,8 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import op4_oph
 from tidemark.llm.components import components
@@ -124,3 +126,36 @@ def test_bitmap_of_wanted_slots(spark):
     bits = np.unpackbits(op4_oph.wanted_slots(ids), bitorder="little")
     slots = {r[0] for r in ids.select(op4_oph._slot()).collect()}
     assert set(np.flatnonzero(bits).tolist()) == slots
+
+
+def bucket(spark, members, seed=5):
+    """placed and classes of one bucket: (node, root, n) each, with signatures that rule nothing out among themselves."""
+    r = np.random.default_rng(seed)
+    placed = spark.createDataFrame([(7, 0, node, root, n) for node, root, n in members], "key long, band int, node long, root long, n int")
+    bands = [int(x) for x in r.integers(1, 10**9, 32)]
+    signature = op4_oph.signature(np.sort(r.integers(0, 2**64, 40, np.uint64)))
+    classes = spark.createDataFrame([(node, bands, bytearray(signature)) for node, _, _ in members], "node long, bands array<long>, signature binary")
+    return placed.repartition(8), classes.repartition(8)
+
+
+def test_a_giant_component_meets_strays_only(spark):
+    """A bucket of 50,000 members of one component and one stray: as many pairs of blocks as the component has, no block of it with another."""
+    placed, classes = bucket(spark, [(i, 0, 40) for i in range(50_000)] + [(90_000, 90_000, 42), (90_001, 90_001, 400)])
+    pairs = op4_oph.block_pairs(placed, classes, 75).select("same", *[F.transform(side, lambda m: m["root"]).alias(side) for side in ("left", "right")])
+    found = [(r.same, set(r.left), set(r.right)) for r in pairs.collect()]
+    crossing = [f for f in found if not f[0]]
+    assert len(crossing) == -(-50_000 // op4_oph.BLOCK) and all(f[1:] == ({0}, {90_000}) for f in crossing)
+    assert len(found) == len(crossing) + 2  # and the strays' blocks with themselves
+
+
+@pytest.mark.parametrize("block", [3, 8, 256])
+def test_pairs_across_components_of_a_bucket_are_all_found(spark, monkeypatch, block):
+    """Against all pairs, one by one: different components and sizes that fit, whatever the blocks."""
+    monkeypatch.setattr(op4_oph, "BLOCK", block)
+    monkeypatch.setattr(op4_oph, "MET", 2)
+    r = random.Random(block)
+    members = [(i, r.choice([0, 0, 0, 500, 500, i]), r.choice([30, 31, 33, 39, 40, 41, 52, 53, 60])) for i in range(1, 90)]
+    placed, classes = bucket(spark, members)
+    got = op4_oph.block_pairs(placed, classes, 75).mapInArrow(op4_oph._compare(75), "u long, v long")
+    want = sorted((a[0], b[0]) for i, a in enumerate(members) for b in members[i + 1:] if a[1] != b[1] and 100 * min(a[2], b[2]) >= 75 * max(a[2], b[2]))
+    assert sorted(map(tuple, got.collect())) == want

@@ -15,6 +15,7 @@ components that may be alike are confirmed on full sets as well.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -225,6 +226,46 @@ def links(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFra
     return joined.where(100 * F.col("both") >= percent * (F.col("total") - F.col("both"))).select("u", "v")
 
 
+#: Blocks of a bucket that one task meets with others.
+MET = 16
+
+
+def block_pairs(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(band, same, left, right): the pairs of blocks whose members must be compared, members of different components of a bucket.
+
+    placed: (key, band, node, root, n); classes: (node, bands, signature). A block keeps to one class of sizes, in
+    which sizes differ by less than a link allows, and meets only its own class and the next ones. A component that fills a block in its bucket has
+    blocks of its own, which never meet each other: a bucket of one giant component and a few strays takes as many pairs of
+    blocks as the component has, not their square. Blocks of a bucket are dealt over tasks by their number.
+    """
+    by_size = F.floor(F.log(F.col("n")) / math.log(100 / percent) + 1e-9).cast("long") if percent < 100 else F.col("n").cast("long")
+    placed = placed.withColumn("class", by_size)
+    alone = placed.groupBy("key", "root").agg(F.count("*").alias("c")).where(F.col("c") >= BLOCK).select("key", "root", F.lit(True).alias("alone"))
+    placed = placed.join(alone, ["key", "root"], "left").withColumn("alone", F.coalesce("alone", F.lit(False)))
+    placed = placed.withColumn("own", F.when(F.col("alone"), F.col("root")).otherwise(F.lit(0)))
+    group = ["key", "class", "alone", "own"]
+    parts = placed.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    placed = placed.join(parts, group).withColumn("block", F.pmod(F.xxhash64("node"), "parts"))
+    blocks = placed.join(classes, "node").groupBy(*group, "band", "block").agg(F.collect_list(F.struct("node", "root", "n", "bands", "signature")).alias("items"))
+    blocks = common.written(placed.sparkSession, blocks, "blocks")
+
+    def met(left: DataFrame, right: DataFrame, which) -> DataFrame:
+        """Pairs of blocks of a bucket and of near classes for which ``which`` holds; each left one is in one place, right ones go to all places of their bucket."""
+        tasks = left.groupBy("key").agg(F.ceil(F.count("*") / MET).alias("tasks"))
+        x = left.join(tasks, "key").select("key", F.pmod(F.xxhash64("class", "own", "block"), "tasks").alias("task"), *[F.col(c).alias(f"l_{c}") for c in (*group[1:], "band", "block", "items")])
+        y = right.join(tasks, "key").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"), *[F.col(c).alias(f"r_{c}") for c in (*group[1:], "block", "items")])
+        near = F.abs(F.col("l_class") - F.col("r_class")) <= 1
+        found = x.join(y, ["key", "task"]).where(near & which(*[F.struct(*[F.col(f"{side}_{c}").alias(c) for c in ("class", "block")]) for side in "lr"]))
+        same = (F.col("l_class") == F.col("r_class")) & (F.col("l_block") == F.col("r_block")) & ~F.col("l_alone") & ~F.col("r_alone")
+        return found.select(F.col("l_band").alias("band"), same.alias("same"), F.col("l_items").alias("left"), F.col("r_items").alias("right"))
+
+    mixed, single = blocks.where("not alone"), blocks.where("alone")
+    several = single.groupBy("key").agg(F.min("own").alias("a"), F.max("own").alias("b")).where("a <> b").select("key")
+    giants = single.join(several, "key", "left_semi")
+    return (met(mixed, mixed, lambda x, y: x <= y).unionByName(met(single, mixed, lambda x, y: F.lit(True)))
+            .unionByName(met(giants, giants, lambda x, y: F.col("l_own") < F.col("r_own"))))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 75) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row of ``docs``; ids are whole numbers.
 
@@ -255,13 +296,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # buckets that span components: pairs across them, but those with the bucket's centre, which the star has
     placed = members.join(roots.withColumnRenamed("v", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("node").alias("centre"), F.count("*").alias("size"))
-    mixed = mixed.where("lo <> hi and size > 2").select("key", "centre", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    placed = placed.join(mixed, "key").where("node <> centre")
-    placed = common.written(spark, placed.select("key", "band", "node", "root", "n", F.pmod(F.xxhash64("node"), "blocks").alias("block")), "mixed")
-    blocks = placed.join(classes.select("node", "bands", "signature"), "node").groupBy("key", "band", "block").agg(F.collect_list(F.struct("node", "root", "n", "bands", "signature")).alias("items"))
-    left = blocks.withColumnRenamed("items", "left")
-    right = blocks.select("key", F.col("block").alias("other"), F.col("items").alias("right"))
-    compared = left.join(right, "key").where("block <= other").select("band", (F.col("block") == F.col("other")).alias("same"), "left", "right")
+    mixed = mixed.where("lo <> hi and size > 2").select("key", "centre")
+    placed = common.written(spark, placed.join(mixed, "key").where("node <> centre").select("key", "band", "node", "root", "n"), "mixed")
+    compared = block_pairs(placed, classes.select("node", "bands", "signature"), percent)
     rest = compared.mapInArrow(_compare(percent), "u long, v long").where("u <> v").distinct()
     more = common.written(spark, links(rows, rest, shingle_words, percent), "links")
 
