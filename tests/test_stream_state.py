@@ -79,12 +79,12 @@ def test_carried_lists_do_not_depend_on_micro_batches(spark, cuts):
 
 def test_timers_free_expired_lists(spark):
     """A key that stays away has no state left; one that comes back after that begins a new list."""
-    batches = [[(0, 1, at(0)), (1, 2, at(1))], [(2, 2, at(100))], [(3, 2, at(200))], [(4, 1, at(300)), (5, 2, at(300))]]
+    batches = [[(0, 1, at(0)), (1, 2, at(1)), (6, 3, None), (7, None, at(1))], [(2, 2, at(100))], [(3, 2, at(200))], [(4, 1, at(300)), (5, 2, at(300)), (8, 3, None), (9, None, at(300))]]
     stream = landed(spark, batches, "event_id long, user_id long, time timestamp_ntz", "timers").withColumn("time", event_time("time")).withWatermark("time", "0 seconds")
     out = stream.groupBy("user_id").transformWithStateInPandas(statefulProcessor=P.RecentList(ttl_us=150_000_000), outputStructType=P.RecentList.SCHEMA, outputMode="Append", timeMode="EventTime")
     seen = []
     got = run_available_now(spark, out, "timers", on_done=lambda q: seen.extend(sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in q.recentProgress))
-    assert {r["event_id"]: r["items"] for r in got.collect()} == {0: "0", 1: "1", 2: "1, 2", 3: "1, 2, 3", 4: "4", 5: "1, 2, 3, 5"}
+    assert {r["event_id"]: r["items"] for r in got.collect()} == {0: "0", 1: "1", 2: "1, 2", 3: "1, 2, 3", 4: "4", 5: "1, 2, 3, 5", 6: "6", 7: "7", 8: "6, 8", 9: "9"}
     assert seen
 
 
