@@ -245,7 +245,10 @@ def block_pairs(placed: DataFrame, classes: DataFrame, percent: int) -> DataFram
     placed = placed.withColumn("own", F.when(F.col("alone"), F.col("root")).otherwise(F.lit(0)))
     group = ["key", "class", "alone", "own"]
     parts = placed.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    placed = placed.join(parts, group).withColumn("block", F.pmod(F.xxhash64("node"), "parts"))
+    # a group's rows are dealt over shares to meet their number of blocks
+    parts = parts.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(MET - 1).cast("long"))))
+    placed = placed.withColumn("share", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(MET).cast("long"))).join(parts, [*group, "share"])
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), "parts"))
     blocks = placed.join(classes, "node").groupBy(*group, "band", "block").agg(F.collect_list(F.struct("node", "root", "n", "bands", "signature")).alias("items"))
     blocks = common.written(placed.sparkSession, blocks, "blocks")
 
