@@ -200,7 +200,7 @@ def recent_lists(spark: SparkSession, stream: DataFrame, name: str, *, key: str,
     ``order`` is a time and what orders rows at one time.
     """
     path, ts = scratch_path(spark, "streams", name), order[0]
-    carried, clock = Carried(f"{path}_open", [key]), Watermark(f"{path}_clock", ts)
+    carried, clock = Carried(f"{path}_open", [key]), Watermark(f"{path}_clock", ts) if ttl_us is not None else None
     entry = F.struct(F.col(ts).alias("_time"), item.alias("_item"))
 
     def lists(rows: DataFrame, before: DataFrame | None) -> DataFrame:
@@ -219,13 +219,13 @@ def recent_lists(spark: SparkSession, stream: DataFrame, name: str, *, key: str,
         return finish(rows.filter(F.col("_new") == 1).withColumns({"list_size": F.size("_list"), "items": items}))
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        _, now = clock.advance(batch, batch_id)
         rows = lists(batch, carried.before(batch.sparkSession, batch_id))
         shown(rows).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         last = rows.groupBy(key).agg(F.max_by("_list", "_rn").alias("_list"))
         none = F.array().cast(rows.schema["_list"].dataType)
         wanted = F.size("open") > 0
-        if ttl_us is not None:
+        if clock:
+            _, now = clock.advance(batch, batch_id)
             newest = F.array_max(F.transform("open", lambda e: epoch_micros(e["_time"])))
             wanted = wanted & F.coalesce(newest + ttl_us > now, F.lit(True))
         carried.put(batch.sparkSession, batch_id, last.select(key, F.when(F.size("_list") <= clear_above, F.col("_list")).otherwise(none).alias("open")), wanted)
