@@ -7,6 +7,11 @@ them through its state and emits one output row per input row, like the
 reference's ``processElement``. Across micro-batches rows arrive in batch order,
 so a replay of time-ordered files equals the batch operators in ``operators/state.py``.
 
+A processor's plain name takes and gives pandas frames (``transformWithStateInPandas``), one of each per key; its form
+``...Rows`` takes and gives rows (``transformWithState``). Both fold the same way over the same state. A
+micro-batch of many keys with few rows each wants rows: a frame per key costs more than what is done with it. So does each
+call of a state variable, as it goes to the JVM and back: what can be known without asking isn't asked for.
+
 State is per key in the RocksDB state store and is checkpointed with the query,
 so a restart resumes from the last committed batch (V8).
 
@@ -19,11 +24,12 @@ micro-batch fits a task. Per-key history lives in the state store.
 from __future__ import annotations
 
 import sys
-from bisect import bisect_right
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -45,6 +51,11 @@ def _rows(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pdf.sort_values(ORDER, kind="stable", na_position="first").reset_index(drop=True)
 
 
+def _in_order(rows: Iterator[Row]) -> list[Row]:
+    """What ``_rows`` does, for rows."""
+    return sorted(rows, key=lambda r: (r["time"] is not None, r["time"], r["event_id"] is not None, r["event_id"]))
+
+
 def _ids(ids: pd.Series) -> pd.Series:
     """Ids as 64-bit numbers: a column with a null has come as floats."""
     return ids.astype("Int64")
@@ -69,9 +80,13 @@ class RunningCount(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
-        n = _get(self.count, 0) + pd.RangeIndex(1, len(pdf) + 1).to_numpy()
-        self.count.update((int(n[-1]),))
-        yield pd.DataFrame({"event_id": _ids(pdf["event_id"]), "user_id": pd.array([key[0]] * len(pdf), "Int64"), "n": n})
+        yield pd.DataFrame({"event_id": _ids(pdf["event_id"]), "user_id": pd.array([key[0]] * len(pdf), "Int64"), "n": self._counted(len(pdf))})
+
+    def _counted(self, rows: int) -> range:
+        """The count at each of the key's next ``rows`` rows."""
+        n = _get(self.count, 0)
+        self.count.update((n + rows,))
+        return range(n + 1, n + rows + 1)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self.count.update((int(initialState["n"].sum()),))
@@ -80,6 +95,17 @@ class RunningCount(StatefulProcessor):
         pass
 
 
+class RunningCountRows(RunningCount):
+    """``RunningCount`` over rows."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        rows, out = _in_order(rows), Row(*self.SCHEMA.names)
+        yield from (out(r["event_id"], key[0], n) for r, n in zip(rows, self._counted(len(rows)), strict=True))
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.count.update((_get(self.count, 0) + initialState["n"],))
+
+
 class TypeCountMap(StatefulProcessor):
     """V4 MapState: count per event type per key; emits ``type=n, ...`` (sorted) per row."""
 
@@ -91,21 +117,35 @@ class TypeCountMap(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
+        counts = self._counted([None if pd.isna(t) else t for t in pdf["event_type"]])
+        yield pd.DataFrame({"event_id": _ids(pdf["event_id"]), "user_id": pd.array([key[0]] * len(pdf), "Int64"), "counts": counts})
+
+    def _counted(self, types: list[str | None]) -> list[str]:
+        """The counts at each of the key's next rows, whose types these are; a null type is none."""
         current = {k[0]: v[0] for k, v in self.counts.iterator()}
-        types = sorted({*current, *pdf["event_type"].dropna()})  # a null type is none
-        # per type, the running count over the batch's rows
-        n = {t: current.get(t, 0) + (pdf["event_type"] == t).cumsum() for t in types}
-        shown = pd.DataFrame({t: (t + "=" + c.astype(str)).where(c > 0) for t, c in n.items()}, index=pdf.index)
-        rendered = shown.apply(lambda column: column + ", ").fillna("").sum(axis=1).str.removesuffix(", ")
-        current = {t: int(c.iloc[-1]) for t, c in n.items()}
-        for t in set(pdf["event_type"].dropna()):  # only the entries this micro-batch changed
+        names, out = sorted(current), []
+        for t in types:
+            if t is not None:
+                if t not in current:
+                    insort(names, t)
+                current[t] = current.get(t, 0) + 1
+            out.append(", ".join(f"{k}={current[k]}" for k in names))
+        for t in {*types} - {None}:  # only the entries this micro-batch changed
             self.counts.updateValue((t,), (current[t],))
-        yield pd.DataFrame({"event_id": _ids(pdf["event_id"]), "user_id": pd.array([key[0]] * len(pdf), "Int64"), "counts": rendered.astype(str).to_numpy()})
+        return out
 
     def close(self) -> None:
         pass
 
 
+class TypeCountMapRows(TypeCountMap):
+    """``TypeCountMap`` over rows."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        rows, out = _in_order(rows), Row(*self.SCHEMA.names)
+        yield from (out(r["event_id"], key[0], counts) for r, counts in zip(rows, self._counted([r["event_type"] for r in rows]), strict=True))
+
+
 class RecentList(StatefulProcessor):
     """V3/V5 ListState: append, read the list, clear when it has more than ``clear_above``
     elements (sizes cycle 1..clear_above+1).

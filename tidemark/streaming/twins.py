@@ -161,7 +161,7 @@ def _cart_stream(spark, sf_dir):
 
 def _process(spark, stream: DataFrame, key, proc, schema, name: str, time_mode: str = "None") -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
-    out = stream.groupBy(*keys).transformWithStateInPandas(
+    out = stream.groupBy(*keys).transformWithState(
         statefulProcessor=proc, outputStructType=schema, outputMode="Append", timeMode=time_mode)
     return run_available_now(spark, out, name)
 
@@ -191,8 +191,8 @@ def streaming_initial_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         return counted
     totals = before.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     stream = views.cart(session.readStream.schema(ev.schema).option("maxFilesPerTrigger", k).parquet(f"{landing}/stream"))
-    out = stream.groupBy("user_id").transformWithStateInPandas(statefulProcessor=P.RunningCount(), outputStructType=P.RunningCount.SCHEMA, outputMode="Append",
-                                                               timeMode="None", initialState=totals.groupBy("user_id"))
+    out = stream.groupBy("user_id").transformWithState(statefulProcessor=P.RunningCountRows(), outputStructType=P.RunningCountRows.SCHEMA, outputMode="Append",
+                                                       timeMode="None", initialState=totals.groupBy("user_id"))
     return counted.unionByName(run_available_now(spark, out, "initial_state"))
 
 
@@ -205,7 +205,7 @@ def streaming_type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streaming_map_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V4 streaming by a MapState processor, over the cart events."""
-    return _process(spark, _cart_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "time"), "user_id", P.TypeCountMap(), P.TypeCountMap.SCHEMA, "map_state")
+    return _process(spark, _cart_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "time"), "user_id", P.TypeCountMapRows(), P.TypeCountMapRows.SCHEMA, "map_state")
 
 
 _LIST = ("event_id", "user_id", "list_size", "items")
@@ -404,8 +404,8 @@ def streaming_restart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (range(half), range(half, n_slices(spark))):
         k = stage_time_slices(ev, landing, ts="ts", n_slices=n_slices(spark), only=part)
         stream = views.cart(file_stream(spark, landing, ev.schema, files_per_batch=k))
-        counted = stream.groupBy("user_id").transformWithStateInPandas(
-            statefulProcessor=P.RunningCount(), outputStructType=P.RunningCount.SCHEMA, outputMode="Append", timeMode="None")
+        counted = stream.groupBy("user_id").transformWithState(
+            statefulProcessor=P.RunningCountRows(), outputStructType=P.RunningCountRows.SCHEMA, outputMode="Append", timeMode="None")
         result = run_available_now(spark, counted, "restart_state", checkpoint=f"{out}_checkpoint", path=out)
     return result
 
