@@ -1,13 +1,15 @@
 """Processors over rows: what they give equals what they give over frames, without a frame per key."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import GroupedData, Row
+from pyspark.sql import functions as F
 
 from conftest import SF001
-from test_stream_state import Held, at, landed
+from test_stream_state import Held, at, landed, lists_by_hand
 from tidemark.streaming import processors as P
 from tidemark.streaming import twins
-from tidemark.streaming.replay import run_available_now
+from tidemark.streaming.replay import event_time, run_available_now
 
 ROW = Row("event_id", "time", "event_type")
 BATCHES = [[(5, 7, at(40), "b"), (1, 7, None, "a"), (None, 7, at(40), None), (2, None, at(3), "b"), (3, 8, at(2), "a")],
@@ -41,3 +43,72 @@ def test_type_counts_over_rows_equal_those_over_frames(spark):
     got = {r["event_id"]: (r["user_id"], r["counts"]) for r in got.collect()}
     assert got == {1: (7, "a=1"), 5: (7, "a=1, b=1"), None: (7, "a=1"), 8: (7, "a=1, b=2"), 9: (7, "a=2, b=2"), 12: (7, "a=2, b=2, c=1"), 2: (None, "b=1"), 10: (None, "b=2"),
                    13: (None, "a=1, b=2"), 3: (8, "a=1"), 11: (8, "a=1"), 14: (8, "a=2"), 15: (9, "é=1")}
+
+
+# --------------------------------------------------------------------- lists with time to live
+
+class Asked(Held):
+    """Which calls go to the state store."""
+
+    def __init__(self):
+        super().__init__()
+        self.calls = []
+
+    def _noted(self, name, variable):
+        calls = self.calls
+
+        class Noted:
+            def __getattr__(self, call):
+                calls.append(f"{name}.{call}")
+                return getattr(variable, call)
+        return Noted()
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self._noted(name, super().getValueState(name, schema))
+
+    def getListState(self, name, schema):  # noqa: N802
+        return self._noted(name, super().getListState(name, schema))
+
+    def registerTimer(self, ms):  # noqa: N802
+        self.calls.append("registerTimer")
+        super().registerTimer(ms)
+
+    def deleteTimer(self, ms):  # noqa: N802
+        self.calls.append("deleteTimer")
+        super().deleteTimer(ms)
+
+    def listTimers(self):  # noqa: N802
+        self.calls.append("listTimers")
+        return super().listTimers()
+
+
+def test_lists_over_rows_ask_the_store_for_no_more_than_they_need():
+    held, frames = Asked(), Asked()
+    p, q = P.RecentListRows(clear_above=2, ttl_us=100_000_000), P.RecentList(clear_above=2, ttl_us=100_000_000)
+    p.init(held)
+    q.init(frames)
+    batches = [[(0, 5), (1, 5), (2, 6)], [(3, 80)], [(4, None)], [(5, 180), (6, 181)], [(7, 181)], [(8, 400)]]
+    got = {}
+    want = lists_by_hand([(i, 1, s) for b in batches for i, s in sorted(b, key=lambda x: x[0])], 100, 2)
+    for batch in batches:
+        held.calls.clear()
+        frames.calls.clear()
+        for r in p.handleInputRows((1,), iter([ROW(i, at(s), None) for i, s in reversed(batch)]), None):
+            got[r["event_id"]] = r["items"]
+        frame = pd.DataFrame({"event_id": [i for i, _ in batch], "time": pd.to_datetime([at(s) for _, s in batch])})
+        assert [x for f in q.handleInputRows((1,), iter([frame]), None) for x in f["items"]] == [want[i] for i, _ in batch]
+        assert held.calls == frames.calls and len(held.calls) <= 6 and "listTimers" not in held.calls
+        assert held.timers == frames.timers and len(held.timers) == 1
+    assert got == want
+
+
+def test_lists_over_rows_expire_and_are_freed(spark, monkeypatch):
+    monkeypatch.setattr(GroupedData, "transformWithStateInPandas", None)
+    assert twins.streaming_recent_list_ttl(spark, SF001).count() > 0
+    stream = landed(spark, BATCHES, "event_id long, user_id long, time timestamp_ntz, event_type string", "rows_lists")
+    stream = stream.withColumn("time", event_time("time")).withWatermark("time", "0 seconds").select("event_id", "user_id", "time")
+    out = stream.groupBy("user_id").transformWithState(statefulProcessor=P.RecentListRows(ttl_us=300_000_000), outputStructType=P.RecentList.SCHEMA, outputMode="Append", timeMode="EventTime")
+    got = run_available_now(spark, out.filter(F.col("event_id").isNotNull()), "rows_lists")
+    assert {r["event_id"]: (r["user_id"], r["list_size"], r["items"]) for r in got.collect()} == {
+        1: (7, 1, "1"), 5: (7, 3, "1, 5"), 8: (7, 4, "1, 5, 8"), 9: (7, 5, "1, 5, 8, 9"), 12: (7, 1, "12"), 2: (None, 1, "2"), 10: (None, 2, "2, 10"), 13: (None, 1, "13"),
+        3: (8, 1, "3"), 11: (8, 1, "11"), 14: (8, 2, "11, 14"), 15: (9, 1, "15")}

@@ -23,6 +23,7 @@ micro-batch fits a task. Per-key history lives in the state store.
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -61,6 +62,11 @@ def _ids(ids: pd.Series) -> pd.Series:
     return ids.astype("Int64")
 
 
+def _micros(moment: dt.datetime | None) -> int | None:
+    """A row's time, with a zone or without (UTC), as microseconds."""
+    return None if moment is None else (moment - dt.datetime(1970, 1, 1, tzinfo=moment.tzinfo and dt.timezone.utc)) // dt.timedelta(microseconds=1)
+
+
 def _millis(us: int) -> int:
     """Microseconds as the next whole millisecond, the unit of timers."""
     return -(-us // 1000)
@@ -166,35 +172,38 @@ class RecentList(StatefulProcessor):
         self.handle, self.items, self.written = handle, handle.getListState("items", "item string"), handle.getValueState("written", "us long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf, period = _rows(rows), self.clear_above + 1
-        held = [t[0] for t in self.items.get()]
+        pdf = _rows(rows)
         ids = _ids(pdf["event_id"])
-        items = [*held, *("" if pd.isna(i) else str(i) for i in ids)]
-        last = _get(self.written, None)
+        found = self._listed([None if pd.isna(i) else str(i) for i in ids], [None if pd.isna(t) else t.value // 1000 for t in pdf["time"]])
+        sizes, rendered = zip(*found, strict=True)
+        yield pd.DataFrame({"event_id": ids, "user_id": pd.array([key[0]] * len(pdf), "Int64"),
+                            "list_size": pd.array(sizes, dtype="int32"), "items": rendered})
+
+    def _listed(self, new: list[str | None], times: list[int | None]) -> list[tuple[int, str]]:
+        """Size and text of the list at each of the key's next rows, whose items and times (microseconds) these are."""
+        period = self.clear_above + 1
+        held, before = [t[0] for t in self.items.get()], _get(self.written, None)
+        items, last = [*held, *(i or "" for i in new)], before
         begins = [0] * len(held)  # for each item the number of its list's first one
-        for at, moment in enumerate(pdf["time"], start=len(held)):
-            us = None if pd.isna(moment) else moment.value // 1000
+        for at, us in enumerate(times, start=len(held)):
             expired = self.ttl_us is not None and None not in (us, last) and us - last >= self.ttl_us
             life = at if expired or at == 0 else begins[-1]
             begins.append(at if at - life >= period else life)
             last = last if us is None else us
         starts = begins[len(held):]
         sizes = [at - b + 1 for at, b in enumerate(starts, start=len(held))]
-        rendered = [", ".join(x for x in items[b:b + n] if x) for b, n in zip(starts, sizes, strict=True)]
         left = items[starts[-1]:] if sizes[-1] < period else []
         if left:
             self.items.put([(x,) for x in left])
-        else:
+        elif held:
             self.items.clear()
-        if last is not None:
+        if last != before:
             self.written.update((last,))
-        if self.ttl_us is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            if last is not None:
+            if self.ttl_us is not None:  # the timer always stands at the last write and the time to live
+                if before is not None:
+                    self.handle.deleteTimer(_millis(before + self.ttl_us))
                 self.handle.registerTimer(_millis(last + self.ttl_us))
-        yield pd.DataFrame({"event_id": ids, "user_id": pd.array([key[0]] * len(pdf), "Int64"),
-                            "list_size": pd.array(sizes, dtype="int32"), "items": rendered})
+        return [(n, ", ".join(x for x in items[b:b + n] if x)) for b, n in zip(starts, sizes, strict=True)]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.items.clear()
@@ -205,6 +214,15 @@ class RecentList(StatefulProcessor):
         pass
 
 
+class RecentListRows(RecentList):
+    """``RecentList`` over rows."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        rows, out = _in_order(rows), Row(*self.SCHEMA.names)
+        found = self._listed([None if r["event_id"] is None else str(r["event_id"]) for r in rows], [_micros(r["time"]) for r in rows])
+        yield from (out(r["event_id"], key[0], *f) for r, f in zip(rows, found, strict=True))
+
+
 class WindowTimer(StatefulProcessor):
     """A window's counts, given out by the window's own timer when the watermark has passed its end.
 

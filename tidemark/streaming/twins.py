@@ -220,9 +220,8 @@ def streaming_recent_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streaming_recent_list_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V5 streaming: ListState with clearing and an hour to live; event-time timers free the lists of users that stay away."""
     cart = _cart_stream(spark, sf_dir).withColumn("time", event_time("time")).withWatermark("time", DELAY)
-    out = cart.select("event_id", "user_id", "time").groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=P.RecentList(ttl_us=duration_us("1 hour")), outputStructType=P.RecentList.SCHEMA, outputMode="Append", timeMode="EventTime")
-    return run_available_now(spark, out, "recent_list_ttl")
+    return _process(spark, cart.select("event_id", "user_id", "time"), "user_id", P.RecentListRows(ttl_us=duration_us("1 hour")), P.RecentListRows.SCHEMA,
+                    "recent_list_ttl", time_mode="EventTime")
 
 
 def streaming_recent_list_ttl_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
