@@ -112,3 +112,26 @@ def test_lists_over_rows_expire_and_are_freed(spark, monkeypatch):
     assert {r["event_id"]: (r["user_id"], r["list_size"], r["items"]) for r in got.collect()} == {
         1: (7, 1, "1"), 5: (7, 3, "1, 5"), 8: (7, 4, "1, 5, 8"), 9: (7, 5, "1, 5, 8, 9"), 12: (7, 1, "12"), 2: (None, 1, "2"), 10: (None, 2, "2, 10"), 13: (None, 1, "13"),
         3: (8, 1, "3"), 11: (8, 1, "11"), 14: (8, 2, "11, 14"), 15: (9, 1, "15")}
+
+
+# --------------------------------------------------------------------- rows without a user
+
+@pytest.mark.parametrize("name", ["streaming_map_state", "streaming_recent_list_ttl", "streaming_initial_state", "streaming_restart_state"])
+def test_rows_without_a_user_are_a_user_of_their_own(spark, tmp_path, name):
+    """Over frames a null key was no key (NaN): its rows and those of the users after it met in one state."""
+    rows = [(i, at(60 * i), None if i % 5 == 0 else i % 5 + 10 * (i % 3), "purchase" if i % 7 < 3 else "error") for i in range(160)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    events.withColumn("value", F.lit(1.0)).withColumn("props", F.lit('{"k": 5}')).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.tidemark.streaming.shufflePartitions", "1")
+    try:
+        got = {r["event_id"]: tuple(r)[1:] for r in twins.STREAMING_QUERIES[name](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.tidemark.streaming.shufflePartitions")
+    lists, seen, want = lists_by_hand([(i, u, 60 * i) for i, _, u, _ in rows], 3600, 10), {}, {}
+    for i, _, user, kind in rows:
+        own = seen.setdefault(user, {})
+        own[kind] = own.get(kind, 0) + 1
+        named = {"AddToShoppingCartEvent": own.get("purchase", 0), "RemovedFromShoppingCartEvent": own.get("error", 0)}
+        counts = ", ".join(f"{k}={n}" for k, n in named.items() if n)
+        want[i] = (user, counts) if name == "streaming_map_state" else (user, lists[i].count(",") + 1, lists[i]) if name == "streaming_recent_list_ttl" else (user, sum(own.values()))
+    assert got == want

@@ -11,6 +11,8 @@ A processor's plain name takes and gives pandas frames (``transformWithStateInPa
 ``...Rows`` takes and gives rows (``transformWithState``). Both fold the same way over the same state. A
 micro-batch of many keys with few rows each wants rows: a frame per key costs more than what is done with it. So does each
 call of a state variable, as it goes to the JVM and back: what can be known without asking isn't asked for.
+Null keys need the rows form: over frames Spark deals a null number as NaN, no key of its own, whose rows meet those of
+other keys in one state.
 
 State is per key in the RocksDB state store and is checkpointed with the query,
 so a restart resumes from the last committed batch (V8).
