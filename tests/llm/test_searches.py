@@ -147,6 +147,55 @@ def test_a_broken_row_does_not_hide_a_query(spark):
     assert [tuple(r) for r in op9_taat.top_k(df, df.where("vec_id = 50"), slots=2).collect()] == [(50, 1, 7, 256 * 512)]
 
 
+def test_scoring_is_not_handed_every_pair_of_blocks(spark, monkeypatch):
+    """What enters scoring follows the rows, not query blocks times candidate blocks (each pair as a row filled the heap)."""
+    r = np.random.default_rng(11)
+    vectors = [(i, [float(x) for x in r.integers(-8, 9, 32) / 8]) for i in range(600)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(2)
+    made, entered = op9_taat.score_blocks, spark.sparkContext.accumulator(0)
+
+    def counted(k):
+        scored = made(k)
+
+        def run(rows_in):
+            def seen():
+                for batch in rows_in:
+                    entered.add(batch.nbytes)
+                    yield batch
+            return scored(seen())
+        return run
+
+    monkeypatch.setattr(op9_taat, "score_blocks", counted)
+    got = op9_taat.top_k(df, df.where("vec_id % 5 = 0"), query_block=4, block_rows=20, slots=2).collect()
+    assert sorted(map(tuple, got)) == brute_top(vectors, set(range(0, 600, 5)), 5)
+    assert entered.value < 2 * 720 * 32 * 8, "more than two copies of all rows"
+
+
+def test_top_k_of_vectors_of_many_shapes(spark):
+    """Full and sparse blocks, wide and narrow ones, whole numbers beyond those of 32-bit floats, ties, and cells of several rows of the grid."""
+    r = np.random.default_rng(12)
+    vectors = [(i, [float(x) for x in r.integers(-3, 4, 6)]) for i in range(150)]
+    vectors += [(i, [float(x) for x in r.integers(-2**15, 2**15, 9)]) for i in range(150, 250)]
+    vectors += [(i, [0.0] * int(r.integers(0, 300)) + [float(r.integers(-4, 5))]) for i in range(250, 350)]
+    vectors += [(i, [0.5, -1.0, 2.0, 1.0]) for i in range(350, 420)]
+    vectors += [(i, [3.0, 0.0, 2.0**20]) for i in range(420, 430)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartitionByRange(5, "vec_id")
+    asked = set(range(0, 430, 10))
+    for slots, rows in ((3, 4096), (40, 16)):
+        got = op9_taat.top_k(df, df.where("vec_id % 10 = 0"), k=7, query_block=8, block_rows=rows, slots=slots).collect()
+        assert sorted(map(tuple, got)) == brute_top(vectors, asked, 7)
+
+
+def test_a_cell_holds_no_more_queries_than_fit(spark, monkeypatch):
+    assert op9_taat.grid(4, 100, 5000, held=9)[0] == 9
+    r = np.random.default_rng(13)
+    vectors = [(i, [float(x) for x in r.integers(-8, 9, 16) / 8]) for i in range(300)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(3)
+    monkeypatch.setattr(op9_taat, "HELD_BYTES", 16 * op9_taat.COMPONENT_BYTES * 20)
+    got = op9_taat.top_k(df, df.where("vec_id % 3 = 0"), query_block=4, slots=2)
+    assert sorted(map(tuple, got.collect())) == brute_top(vectors, set(range(0, 300, 3)), 5)
+
+
 @pytest.mark.parametrize("slots, queries, rows", [(2, 1, 100), (12, 20, 1000), (20_000, 2, 100), (64, 100, 100), (5, 0, 0)])
 def test_grid_cells(slots, queries, rows):
     r, c = op9_taat.grid(slots, queries, rows)
